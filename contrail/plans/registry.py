@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from contrail import schema as S
 from contrail.operators import cleaning as C
@@ -19,7 +18,6 @@ from contrail.operators import features as FT
 from contrail.operators import reports as R
 from contrail.plans import oracle as O
 from contrail.plans.pipeline import fixture_enriched, fixture_features, fixture_frames
-from contrail.sources.fixtures import FIXTURE_COORDINATE_PATCHES
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -218,6 +216,10 @@ def q_origin_congestion(spark, sf):
     return FT.add_origin_congestion(_scalar_features(spark, sf)).select(*KEYS, *_CONG)
 
 
+# Further query groups register themselves on import.
+from contrail.plans import registry_quality  # noqa: E402,F401
+
+
 def queries() -> dict[str, Builder]:
     return dict(QUERIES)
 
@@ -225,5 +227,3 @@ def queries() -> dict[str, Builder]:
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
 
-
-_ = (F, FIXTURE_COORDINATE_PATCHES)
