@@ -218,6 +218,7 @@ def q_origin_congestion(spark, sf):
 
 # Further query groups register themselves on import.
 from contrail.plans import registry_quality  # noqa: E402,F401
+from contrail.plans import registry_stats  # noqa: E402,F401
 
 
 def queries() -> dict[str, Builder]:
