@@ -26,9 +26,22 @@ DEFAULT_MAX_HOT_GROUPS = 10_000
 DEFAULT_SALT_BUCKETS = 64
 
 
+# Size and uniqueness proofs already established in this process, keyed by the
+# session, the canonical plan of the checked frame and the check itself, so a
+# lookup reused by many queries is checked once.
+_PROOFS: dict[tuple, bool] = {}
+
+
+def _proof_key(df: DataFrame, *check) -> tuple:
+    return (id(df.sparkSession), df.semanticHash(), *check)
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = _proof_key(df, "rows", max_rows)
+    if key not in _PROOFS:
+        _PROOFS[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _PROOFS[key]
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -37,8 +50,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 
 
 def assert_unique_keys(lookup: DataFrame, keys: Sequence[str]) -> None:
-    dup = lookup.groupBy(*keys).count().where(F.col("count") > 1).limit(1).count()
-    if dup:
+    key = _proof_key(lookup, "unique", tuple(keys))
+    if key not in _PROOFS:
+        _PROOFS[key] = lookup.groupBy(*keys).count().where(F.col("count") > 1).limit(1).count() == 0
+    if not _PROOFS[key]:
         raise ValueError(f"lookup keys {list(keys)} are not unique; a left join would duplicate rows")
 
 

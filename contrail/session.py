@@ -29,6 +29,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Generated methods above the JVM's 8000-byte JIT limit would run
+        # interpreted; fall back to per-operator codegen for such wide stages.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", "8g")
     )
     spark = builder.getOrCreate()
