@@ -41,3 +41,35 @@ def is_digits_only(c: str | Column) -> Column:
 
 def is_blank(c: str | Column) -> Column:
     return _col(c).cast("string").rlike(BLANK_PATTERN)
+
+
+# SQL-text forms of the same screens, for reports that build many expressions at
+# once (one JVM call per expression instead of one per Column operation).
+def sql_ident(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def sql_regex(pattern: str) -> str:
+    """A raw SQL string literal holding ``pattern``."""
+    assert "'" not in pattern
+    return f"r'{pattern}'"
+
+
+def control_chars_sql(c: str) -> str:
+    return f"CAST({sql_ident(c)} AS STRING) RLIKE {sql_regex(CONTROL_CHARS_PATTERN)}"
+
+
+def special_char_count_sql(c: str) -> str:
+    return f"regexp_count(CAST({sql_ident(c)} AS STRING), {sql_regex(SPECIAL_CHAR_PATTERN)})"
+
+
+def digits_only_sql(c: str) -> str:
+    return f"CAST({sql_ident(c)} AS STRING) RLIKE {sql_regex(DIGITS_ONLY_PATTERN)}"
+
+
+def blank_sql(c: str) -> str:
+    return f"CAST({sql_ident(c)} AS STRING) RLIKE {sql_regex(BLANK_PATTERN)}"
+
+
+def hhmm_sql(c: str) -> str:
+    return f"{sql_ident(c)} RLIKE {sql_regex(HHMM_PATTERN)}"

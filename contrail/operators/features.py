@@ -22,7 +22,8 @@ from contrail.functions.flags import (
 )
 from contrail.functions.hhmm import hour_from_hhmm
 from contrail.operators.joins import (
-    DEFAULT_MAX_HOT_GROUPS, DEFAULT_SALT_BUCKETS, attach_group_count, join_group_values,
+    DEFAULT_GROUP_BROADCAST_ROWS, DEFAULT_MAX_HOT_GROUPS, DEFAULT_SALT_BUCKETS, attach_group_count,
+    join_group_values,
 )
 
 PER_DAY = "FLIGHTS_PER_TAIL_NUMBER_PER_DAY"
@@ -66,7 +67,8 @@ def add_scalar_features(df: DataFrame) -> DataFrame:
 
 def add_tail_counts(df: DataFrame, tail: str = "TAIL_NUMBER", *,
                     max_hot_groups: int = DEFAULT_MAX_HOT_GROUPS,
-                    salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+                    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                    broadcast_max_rows: int = DEFAULT_GROUP_BROADCAST_ROWS) -> DataFrame:
     """H1 + H2: flights per tail number per day and per ISO week, on every row
     (null when the tail number or the date is null)."""
     if tail not in df.columns:
@@ -78,14 +80,17 @@ def add_tail_counts(df: DataFrame, tail: str = "TAIL_NUMBER", *,
             .join(per_week, [tail, "ISO_YEAR", "ISO_WEEK"], "inner")
             .select(tail, "FLIGHT_DATE", PER_DAY, PER_WEEK))
     return join_group_values(df, [tail, "FLIGHT_DATE"], both, PER_DAY, [PER_DAY, PER_WEEK],
-                             max_hot_groups=max_hot_groups, salt_buckets=salt_buckets)
+                             max_hot_groups=max_hot_groups, salt_buckets=salt_buckets,
+                             broadcast_max_rows=broadcast_max_rows)
 
 
 def add_origin_congestion(df: DataFrame, *, max_hot_groups: int = DEFAULT_MAX_HOT_GROUPS,
-                          salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+                          salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                          broadcast_max_rows: int = DEFAULT_GROUP_BROADCAST_ROWS) -> DataFrame:
     """H3: departures per origin airport per date per scheduled hour."""
     return attach_group_count(df, ["ORIGIN_AIRPORT", "FLIGHT_DATE", "DEPARTURE_HOUR"], CONGESTION,
-                              max_hot_groups=max_hot_groups, salt_buckets=salt_buckets)
+                              max_hot_groups=max_hot_groups, salt_buckets=salt_buckets,
+                              broadcast_max_rows=broadcast_max_rows)
 
 
 def add_features(df: DataFrame, **skew) -> DataFrame:

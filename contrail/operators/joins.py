@@ -4,10 +4,11 @@
 * ``lookup_join`` is a many-to-one left join that refuses duplicate lookup keys
   (a left join must not multiply fact rows).
 * ``join_group_values`` attaches per-group values (counts, quartiles...) back to
-  every row of a large table. Groups holding a large share of the rows are
-  broadcast (their number is bounded by construction); the remaining groups go
-  through a shuffle join in which rows of hot or null keys are spread over salt
-  buckets, so no single task receives a hot group.
+  every row of a large table. A group table of proven small size is broadcast
+  whole (the large table is not shuffled). Otherwise groups holding a large
+  share of the rows are broadcast (their number is bounded by construction) and
+  the remaining groups go through a shuffle join in which rows of hot or null
+  keys are spread over salt buckets, so no single task receives a hot group.
 """
 
 from __future__ import annotations
@@ -18,12 +19,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contrail.session import materialize, session_key
+
 # Lookups up to this many rows are broadcast; bigger ones take a shuffle join.
 DEFAULT_BROADCAST_ROWS = 1_000_000
 # At most this many groups count as hot (a group is hot above total / MAX_HOT rows).
 DEFAULT_MAX_HOT_GROUPS = 10_000
 # Salt buckets used to spread hot and null-key rows in the shuffle join.
 DEFAULT_SALT_BUCKETS = 64
+# A per-group table up to this many rows is broadcast whole: the large side is
+# then not shuffled at all.
+DEFAULT_GROUP_BROADCAST_ROWS = 2_000_000
 
 
 # Size and uniqueness proofs already established in this process, keyed by the
@@ -33,7 +39,7 @@ _PROOFS: dict[tuple, bool] = {}
 
 
 def _proof_key(df: DataFrame, *check) -> tuple:
-    return (id(df.sparkSession), df.semanticHash(), *check)
+    return (session_key(df.sparkSession), df.semanticHash(), *check)
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -79,17 +85,35 @@ def _all_not_null(cols: Sequence[str]) -> Column:
 def join_group_values(df: DataFrame, keys: Sequence[str], groups: DataFrame, weight: str,
                       values: Sequence[str], *, null_safe: bool = False,
                       max_hot_groups: int = DEFAULT_MAX_HOT_GROUPS,
-                      salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+                      salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                      broadcast_max_rows: int = DEFAULT_GROUP_BROADCAST_ROWS,
+                      persist_groups: bool = True) -> DataFrame:
     """Left-join per-group ``values`` from ``groups`` (one row per key) onto ``df``.
 
     ``weight`` is the number of ``df`` rows in each group. Keys with a null part
     get null values unless ``null_safe`` (then null matches null).
+
+    The group table is aggregated once and persisted (it is read up to three
+    times below). When it has at most ``broadcast_max_rows`` rows it is broadcast
+    whole and ``df`` is not shuffled; otherwise hot groups are broadcast and the
+    rest go through a salted shuffle join.
     """
     keys = list(keys)
     values = list(values)
     gk = [f"__gk{i}" for i in range(len(keys))]
     g = groups.select(*[F.col(k).alias(a) for k, a in zip(keys, gk)],
                       F.col(weight).alias("__w"), *[F.col(v) for v in values])
+    if persist_groups:
+        g = materialize(g, "group-values")
+
+    def cond(right: DataFrame) -> list[Column]:
+        if null_safe:
+            return [df[k].eqNullSafe(right[a]) for k, a in zip(keys, gk)]
+        return [df[k] == right[a] for k, a in zip(keys, gk)]
+
+    if broadcast_max_rows and row_count_at_most(g, broadcast_max_rows):
+        small = F.broadcast(g.drop("__w"))
+        return df.join(small, cond(small), "left").select(*[df[c] for c in df.columns], *values)
 
     # Hot groups: more than total/max_hot rows each, hence at most max_hot of them.
     total = g.select(F.sum("__w")).scalar()
@@ -98,11 +122,6 @@ def join_group_values(df: DataFrame, keys: Sequence[str], groups: DataFrame, wei
                                  *[F.col(v).alias(f"__h_{v}") for v in values])
     cold = g.where(~is_hot).select(*gk, *[F.col(v).alias(f"__c_{v}") for v in values])
 
-    def cond(right: DataFrame) -> list[Column]:
-        if null_safe:
-            return [df[k].eqNullSafe(right[a]) for k, a in zip(keys, gk)]
-        return [df[k] == right[a] for k, a in zip(keys, gk)]
-
     # 1) hot keys: broadcast hash join, no shuffle of df
     hot_b = F.broadcast(hot)
     step = df.join(hot_b, cond(hot_b), "left").drop(*gk)
@@ -125,7 +144,8 @@ def join_group_values(df: DataFrame, keys: Sequence[str], groups: DataFrame, wei
 
 def attach_group_count(df: DataFrame, keys: Sequence[str], name: str, *, null_safe: bool = False,
                        max_hot_groups: int = DEFAULT_MAX_HOT_GROUPS,
-                       salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+                       salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                       broadcast_max_rows: int = DEFAULT_GROUP_BROADCAST_ROWS) -> DataFrame:
     """Add ``name`` = number of rows sharing this row's ``keys`` (a group transform-count).
 
     Counting is a partial (map-side) aggregation, so hot keys cost nothing there;
@@ -136,4 +156,5 @@ def attach_group_count(df: DataFrame, keys: Sequence[str], name: str, *, null_sa
     src = df if null_safe else df.where(_all_not_null(keys))
     counts = src.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
     return join_group_values(df, keys, counts, name, [name], null_safe=null_safe,
-                             max_hot_groups=max_hot_groups, salt_buckets=salt_buckets)
+                             max_hot_groups=max_hot_groups, salt_buckets=salt_buckets,
+                             broadcast_max_rows=broadcast_max_rows)

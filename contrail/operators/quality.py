@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from contrail import schema as S
 from contrail.functions.hhmm import is_hhmm
 from contrail.functions.text import (
-    MAX_SPECIAL_CHARS, has_control_chars, is_blank, is_digits_only, special_char_count,
+    MAX_SPECIAL_CHARS, blank_sql, control_chars_sql, digits_only_sql, has_control_chars, hhmm_sql, is_blank,
+    is_digits_only, special_char_count, special_char_count_sql, sql_ident,
 )
 from contrail.operators.joins import DEFAULT_BROADCAST_ROWS, attach_group_count, broadcast_if_small
 from contrail.sources.files import lookup_keys
@@ -34,16 +35,39 @@ def _pct(part: Column, whole: Column, digits: int) -> Column:
     return F.round(part * 100.0 / whole, digits)
 
 
+def _pct_sql(part: str, whole: str, digits: int) -> str:
+    return f"round(({part}) * 100.0D / ({whole}), {digits})"
+
+
 def _long(wide: DataFrame, rows: Sequence[Sequence[tuple[str, Column]]]) -> DataFrame:
     """One wide aggregate row -> one output row per entry of ``rows``."""
     structs = [F.struct(*[c.alias(n) for n, c in fields]) for fields in rows]
     return wide.select(F.inline(F.array(*structs)))
 
 
+def _agg_sql(df: DataFrame, exprs: Sequence[str]) -> DataFrame:
+    """One aggregation pass from SQL expression texts (one JVM call each)."""
+    return df.agg(*[F.expr(e) for e in exprs])
+
+
+def _long_sql(wide: DataFrame, rows: Sequence[Sequence[tuple[str, str]]]) -> DataFrame:
+    """Like ``_long`` with SQL expression texts: a single ``selectExpr``."""
+    structs = ", ".join("named_struct(" + ", ".join(f"'{n}', {e}" for n, e in fields) + ")" for fields in rows)
+    return wide.selectExpr(f"inline(array({structs}))")
+
+
+def _lit(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _numeric(c: str) -> Column:
     return F.col(c).try_cast("double")
 
 
+def _num_sql(c: str) -> str:
+    return f"try_cast({sql_ident(c)} AS DOUBLE)"
+
+
 # ---------------------------------------------------------------------------
 # Shape, nulls, numeric summary
 # ---------------------------------------------------------------------------
@@ -68,18 +92,17 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Per column non-null, missing, missing %, blank-text count."""
     cols = list(cols or df.columns)
     types = dict(df.dtypes)
-    aggs = [F.count(F.lit(1)).alias("__n")]
+    aggs = ["count(1) AS __n"]
     for i, c in enumerate(cols):
-        aggs.append(F.count(F.col(c)).alias(f"nn{i}"))
-        blank = F.count_if(F.col(c).isNotNull() & is_blank(c)) if types[c] == "string" else F.lit(0).cast("long")
-        aggs.append(blank.alias(f"bl{i}"))
-    wide = df.agg(*aggs)
-    rows = [[("column_name", F.lit(c)),
-             ("non_null", F.col(f"nn{i}")),
-             ("missing", F.col("__n") - F.col(f"nn{i}")),
-             ("missing_pct", _pct(F.col("__n") - F.col(f"nn{i}"), F.col("__n"), 3)),
-             ("blank", F.col(f"bl{i}"))] for i, c in enumerate(cols)]
-    return _long(wide, rows)
+        q = sql_ident(c)
+        aggs.append(f"count({q}) AS nn{i}")
+        aggs.append(f"count_if({q} IS NOT NULL AND {blank_sql(c)}) AS bl{i}" if types[c] == "string"
+                    else f"CAST(0 AS BIGINT) AS bl{i}")
+    wide = _agg_sql(df, aggs)
+    rows = [[("column_name", _lit(c)), ("non_null", f"nn{i}"), ("missing", f"__n - nn{i}"),
+             ("missing_pct", _pct_sql(f"__n - nn{i}", "__n", 3)), ("blank", f"bl{i}")]
+            for i, c in enumerate(cols)]
+    return _long_sql(wide, rows)
 
 
 def numeric_summary(df: DataFrame, cols: Sequence[str], digits: int = 1,
@@ -93,23 +116,20 @@ def numeric_summary(df: DataFrame, cols: Sequence[str], digits: int = 1,
     """
     aggs = []
     for i, c in enumerate(cols):
-        v = _numeric(c)
+        v = _num_sql(c)
         if relative_error is None:
-            q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+            q = f"percentile({v}, array(0.25D, 0.5D, 0.75D))"
         else:
-            acc = int(round(1.0 / relative_error))
-            q = F.percentile_approx(v, [0.25, 0.5, 0.75], acc).cast("array<double>")
-        aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"),
-                 F.min(v).alias(f"lo{i}"), q.alias(f"q{i}"), F.max(v).alias(f"hi{i}")]
-    wide = df.agg(*aggs)
-
-    def r(x: Column) -> Column:
-        return F.round(x, digits)
-    rows = [[("column_name", F.lit(c)), ("count", F.col(f"n{i}")), ("mean", r(F.col(f"m{i}"))),
-             ("std", r(F.col(f"s{i}"))), ("min", r(F.col(f"lo{i}"))),
-             ("q25", r(F.col(f"q{i}")[0])), ("q50", r(F.col(f"q{i}")[1])), ("q75", r(F.col(f"q{i}")[2])),
-             ("max", r(F.col(f"hi{i}")))] for i, c in enumerate(cols)]
-    return _long(wide, rows)
+            q = f"CAST(percentile_approx({v}, array(0.25D, 0.5D, 0.75D), {int(round(1.0 / relative_error))}) AS ARRAY<DOUBLE>)"
+        aggs += [f"count({v}) AS n{i}", f"avg({v}) AS m{i}", f"stddev_samp({v}) AS s{i}", f"min({v}) AS lo{i}",
+                 f"{q} AS q{i}", f"max({v}) AS hi{i}"]
+    wide = _agg_sql(df, aggs)
+    rows = [[("column_name", _lit(c)), ("count", f"n{i}"), ("mean", f"round(m{i}, {digits})"),
+             ("std", f"round(s{i}, {digits})"), ("min", f"round(lo{i}, {digits})"),
+             ("q25", f"round(q{i}[0], {digits})"), ("q50", f"round(q{i}[1], {digits})"),
+             ("q75", f"round(q{i}[2], {digits})"), ("max", f"round(hi{i}, {digits})")]
+            for i, c in enumerate(cols)]
+    return _long_sql(wide, rows)
 
 
 # ---------------------------------------------------------------------------
@@ -217,24 +237,20 @@ def time_format_report(df: DataFrame, cols: Sequence[str] = S.TIME_COLS) -> Data
     names = [c for c in cols if c in df.columns]
     aggs = []
     for i, c in enumerate(names):
-        v, s = F.col(c), F.col(f"{c}_STR")
-        aggs += [F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"),
-                 F.count_if(v < HHMM_MIN).alias(f"neg{i}"), F.count_if(v > HHMM_MAX).alias(f"over{i}"),
-                 F.count_if(v.isNull()).alias(f"na{i}"),
-                 F.count_if(s.isNotNull() & (F.length(s) != 4)).alias(f"len{i}"),
-                 F.count_if(is_hhmm(s)).alias(f"ok{i}"),
-                 F.count_if(s.isNotNull() & ~is_hhmm(s)).alias(f"nok{i}")]
-    wide = df.agg(*aggs)
-    rows = []
-    for i, c in enumerate(names):
-        passed = (F.col(f"neg{i}") == 0) & (F.col(f"over{i}") == 0) & (F.col(f"len{i}") == 0) & \
-            (F.col(f"nok{i}") == 0)
-        rows.append([("column_name", F.lit(c)), ("min_value", F.col(f"lo{i}").cast("long")),
-                     ("max_value", F.col(f"hi{i}").cast("long")), ("below_zero", F.col(f"neg{i}")),
-                     ("above_2359", F.col(f"over{i}")), ("missing", F.col(f"na{i}")),
-                     ("wrong_length", F.col(f"len{i}")), ("valid_hhmm", F.col(f"ok{i}")),
-                     ("invalid_hhmm", F.col(f"nok{i}")), ("passed", passed)])
-    return _long(wide, rows)
+        v, st = sql_ident(c), sql_ident(f"{c}_STR")
+        ok = hhmm_sql(f"{c}_STR")
+        aggs += [f"min({v}) AS lo{i}", f"max({v}) AS hi{i}", f"count_if({v} < {HHMM_MIN}) AS neg{i}",
+                 f"count_if({v} > {HHMM_MAX}) AS over{i}", f"count_if({v} IS NULL) AS na{i}",
+                 f"count_if({st} IS NOT NULL AND length({st}) <> 4) AS len{i}", f"count_if({ok}) AS ok{i}",
+                 f"count_if({st} IS NOT NULL AND NOT ({ok})) AS nok{i}"]
+    wide = _agg_sql(df, aggs)
+    rows = [[("column_name", _lit(c)), ("min_value", f"CAST(lo{i} AS BIGINT)"),
+             ("max_value", f"CAST(hi{i} AS BIGINT)"), ("below_zero", f"neg{i}"), ("above_2359", f"over{i}"),
+             ("missing", f"na{i}"), ("wrong_length", f"len{i}"), ("valid_hhmm", f"ok{i}"),
+             ("invalid_hhmm", f"nok{i}"),
+             ("passed", f"(neg{i} = 0 AND over{i} = 0 AND len{i} = 0 AND nok{i} = 0)")]
+            for i, c in enumerate(names)]
+    return _long_sql(wide, rows)
 
 
 def verdict(report: DataFrame, flag: str = "passed") -> DataFrame:
@@ -471,14 +487,13 @@ def junk_text_report(df: DataFrame, cols: Sequence[str] = S.JUNK_TEXT_COLS,
     names = [c for c in cols if c in df.columns]
     aggs = []
     for i, c in enumerate(names):
-        aggs += [F.count_if(has_control_chars(c)).alias(f"cc{i}"),
-                 F.count_if(special_char_count(c) > MAX_SPECIAL_CHARS).alias(f"sp{i}"),
-                 (F.count_if(is_digits_only(c)) if c in code_cols else F.lit(0).cast("long")).alias(f"dg{i}")]
-    wide = df.agg(*aggs)
-    rows = [[("column_name", F.lit(c)), ("non_printable", F.col(f"cc{i}")),
-             ("excessive_special", F.col(f"sp{i}")), ("pure_numeric", F.col(f"dg{i}"))]
-            for i, c in enumerate(names)]
-    return _long(wide, rows)
+        aggs += [f"count_if({control_chars_sql(c)}) AS cc{i}",
+                 f"count_if({special_char_count_sql(c)} > {MAX_SPECIAL_CHARS}) AS sp{i}",
+                 (f"count_if({digits_only_sql(c)})" if c in code_cols else "CAST(0 AS BIGINT)") + f" AS dg{i}"]
+    wide = _agg_sql(df, aggs)
+    rows = [[("column_name", _lit(c)), ("non_printable", f"cc{i}"), ("excessive_special", f"sp{i}"),
+             ("pure_numeric", f"dg{i}")] for i, c in enumerate(names)]
+    return _long_sql(wide, rows)
 
 
 def junk_values(df: DataFrame, cols: Sequence[str] = S.JUNK_TEXT_COLS,

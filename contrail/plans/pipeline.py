@@ -23,7 +23,7 @@ from contrail import schema as S
 from contrail.operators.cleaning import clean_flights
 from contrail.operators.enrich import enrich_flights
 from contrail.operators.features import add_origin_congestion, add_scalar_features, add_tail_counts
-from contrail.session import materialize
+from contrail.session import materialize, session_key
 from contrail.sources.fixtures import FIXTURE_COORDINATE_PATCHES, flight_views
 
 
@@ -78,7 +78,7 @@ def build_feature_table(raw: DataFrame, airlines: DataFrame, airports: DataFrame
 # The same chain over the flight-shaped views of the driver tables
 # ---------------------------------------------------------------------------
 
-_MEMO: dict[tuple[int, str, str], DataFrame] = {}
+_MEMO: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def fixture_frames(spark: SparkSession, sf_dir: str) -> FlightFrames:
@@ -88,7 +88,7 @@ def fixture_frames(spark: SparkSession, sf_dir: str) -> FlightFrames:
 
 def fixture_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Persisted stage 1 over ``sf_dir`` (built once per session and input)."""
-    key = (id(spark), sf_dir, "enriched")
+    key = (session_key(spark), sf_dir, "enriched")
     if key not in _MEMO:
         _MEMO[key] = enriched_stage(fixture_frames(spark, sf_dir), FIXTURE_COORDINATE_PATCHES)
     return _MEMO[key]
@@ -96,7 +96,7 @@ def fixture_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fixture_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Persisted feature table over ``sf_dir`` (built once per session and input)."""
-    key = (id(spark), sf_dir, "features")
+    key = (session_key(spark), sf_dir, "features")
     if key not in _MEMO:
         _MEMO[key] = feature_stage(fixture_enriched(spark, sf_dir))
     return _MEMO[key]

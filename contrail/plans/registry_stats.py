@@ -10,6 +10,7 @@ from contrail.operators import stats as ST
 from contrail.plans import oracle as O
 from contrail.plans.pipeline import fixture_features, fixture_frames
 from contrail.plans.registry import KEYS, register
+from contrail.session import session_key
 
 _K = ", ".join(KEYS)
 # Rows per carrier in the registered sample run (the library default is 20,000,
@@ -203,7 +204,7 @@ _TRAINED: dict = {}
 
 
 def _trained(spark, sf) -> M.TrainedModels:
-    key = (id(spark), sf)
+    key = (session_key(spark), sf)
     if key not in _TRAINED:
         table = _model_table(spark, sf).drop(*KEYS)
         _TRAINED[key] = M.train_models(table, forest_trees=REGISTERED_FOREST_TREES)

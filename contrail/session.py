@@ -40,6 +40,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identity of a running application (stable for its lifetime, never reused)."""
+    return spark.sparkContext.applicationId
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only when unset.
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from contrail.session import materialize, session_key
+
 FLIGHTS_SQL = """
 SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
  CAST(EXTRACT(YEAR FROM l.l_shipdate) AS INT) AS YEAR,
@@ -86,7 +88,7 @@ def register_sources(spark: SparkSession, sf_dir: str) -> None:
         df.createOrReplaceTempView(name)
 
 
-_VIEWS: dict[tuple[int, str], tuple[DataFrame, DataFrame, DataFrame]] = {}
+_VIEWS: dict[tuple[str, str], tuple[DataFrame, DataFrame, DataFrame]] = {}
 
 
 def flight_views(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -96,8 +98,11 @@ def flight_views(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     ``spark.sql`` analyses each text right away, so the returned frames stay bound
     to this ``sf_dir`` even if the views are registered again later.
     """
-    key = (id(spark), sf_dir)
+    key = (session_key(spark), sf_dir)
     if key not in _VIEWS:
         register_sources(spark, sf_dir)
-        _VIEWS[key] = (spark.sql(FLIGHTS_SQL), spark.sql(AIRLINES_SQL), spark.sql(AIRPORTS_SQL))
+        # The derived flights play the raw flights file: written once as Parquet
+        # (under the shared checkpoint folder) and scanned by every query.
+        raw = materialize(spark.sql(FLIGHTS_SQL), "flights-raw")
+        _VIEWS[key] = (raw, spark.sql(AIRLINES_SQL), spark.sql(AIRPORTS_SQL))
     return _VIEWS[key]
