@@ -101,8 +101,12 @@ def join_group_values(df: DataFrame, keys: Sequence[str], groups: DataFrame, wei
     keys = list(keys)
     values = list(values)
     gk = [f"__gk{i}" for i in range(len(keys))]
+    # ``__salt`` is 0 on every group row, carried as data (not a literal): a
+    # literal would be folded out of the join keys, and the shuffle would then
+    # hash hot-key rows by their real key again.
     g = groups.select(*[F.col(k).alias(a) for k, a in zip(keys, gk)],
-                      F.col(weight).alias("__w"), *[F.col(v) for v in values])
+                      F.col(weight).alias("__w"), *[F.col(v) for v in values],
+                      (F.col(weight) * 0).alias("__salt"))
     if persist_groups:
         g = materialize(g, "group-values")
 
@@ -112,7 +116,7 @@ def join_group_values(df: DataFrame, keys: Sequence[str], groups: DataFrame, wei
         return [df[k] == right[a] for k, a in zip(keys, gk)]
 
     if broadcast_max_rows and row_count_at_most(g, broadcast_max_rows):
-        small = F.broadcast(g.drop("__w"))
+        small = F.broadcast(g.drop("__w", "__salt"))
         return df.join(small, cond(small), "left").select(*[df[c] for c in df.columns], *values)
 
     # Hot groups: more than total/max_hot rows each, hence at most max_hot of them.
@@ -120,7 +124,7 @@ def join_group_values(df: DataFrame, keys: Sequence[str], groups: DataFrame, wei
     is_hot = F.col("__w") * F.lit(max_hot_groups) > total
     hot = g.where(is_hot).select(*gk, F.lit(True).alias("__is_hot"),
                                  *[F.col(v).alias(f"__h_{v}") for v in values])
-    cold = g.where(~is_hot).select(*gk, *[F.col(v).alias(f"__c_{v}") for v in values])
+    cold = g.where(~is_hot).select(*gk, "__salt", *[F.col(v).alias(f"__c_{v}") for v in values])
 
     # 1) hot keys: broadcast hash join, no shuffle of df
     hot_b = F.broadcast(hot)
@@ -131,8 +135,8 @@ def join_group_values(df: DataFrame, keys: Sequence[str], groups: DataFrame, wei
     key_ok = F.lit(True) if null_safe else _all_not_null(keys)
     spread = 1 + F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
     hot_hit = F.col("__is_hot").isNotNull()
-    step = step.withColumn("__salt", F.when(key_ok & ~hot_hit, F.lit(0)).otherwise(spread))
-    cold_s = cold.withColumn("__salt", F.lit(0))
+    step = step.withColumn("__salt", F.when(key_ok & ~hot_hit, F.lit(0).cast("long")).otherwise(spread))
+    cold_s = cold
     conds = ([step[k].eqNullSafe(cold_s[a]) for k, a in zip(keys, gk)] if null_safe
              else [step[k] == cold_s[a] for k, a in zip(keys, gk)])
     conds.append(step["__salt"] == cold_s["__salt"])

@@ -53,3 +53,26 @@ def test_lookup_join_refuses_duplicate_keys(spark):
     assert join_airlines(fact, ok).first().AIRLINE_FULL_NAME == "x"
     lk = spark.createDataFrame([("AA", "x")], "AIRLINE string, n string")
     assert lookup_join(fact, lk, ["AIRLINE"], max_broadcast_rows=0).count() == 1
+
+
+def test_salt_is_a_shuffle_key_when_groups_are_large(spark):
+    df = _skewed(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = attach_group_count(df, ["k", "g"], "n", max_hot_groups=2, salt_buckets=4, broadcast_max_rows=0)
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            out.explain()
+        plan = buf.getvalue()
+        assert "SortMergeJoin" in plan
+        shuffles = [ln for ln in plan.splitlines() if "hashpartitioning(" in ln]
+        assert shuffles and all("__salt" in ln for ln in shuffles if "k#" in ln)
+        got = {r.id: r.n for r in out.collect()}
+        w = Window.partitionBy("k", "g")
+        want = {r.id: (r.n if r.k is not None else None)
+                for r in df.withColumn("n", F.count(F.lit(1)).over(w)).collect()}
+        assert got == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
