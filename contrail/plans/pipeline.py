@@ -104,3 +104,15 @@ def fixture_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reset_memo() -> None:
     _MEMO.clear()
+
+
+def run_batch(spark: SparkSession, flights_path: str, airlines_path: str, airports_path: str, output: str,
+              fmt: str = "csv", patches: Mapping[str, tuple[float, float]] = S.COORDINATE_PATCHES,
+              **skew) -> DataFrame:
+    """The production job: raw flight file(s) and the two lookup files in, the
+    feature table out (Parquet under ``output``, partitioned by MONTH)."""
+    from contrail.sources.files import read_airlines, read_airports, read_flights
+    raw = read_flights(spark, flights_path, fmt)
+    airlines = read_airlines(spark, airlines_path)
+    airports = read_airports(spark, airports_path)
+    return build_feature_table(raw, airlines, airports, patches, output, **skew)
