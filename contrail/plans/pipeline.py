@@ -14,7 +14,7 @@ short scan instead of a copy of the whole cleaning chain per join branch.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,30 +48,34 @@ def enriched_stage(frames: FlightFrames, patches: Mapping[str, tuple[float, floa
     return _persist(table, "flights-enriched", output)
 
 
-def feature_stage(enriched: DataFrame, output: str | None = None, **skew) -> DataFrame:
+def feature_stage(enriched: DataFrame, output: str | None = None,
+                  partition_by: Sequence[str] = ("MONTH",), **skew) -> DataFrame:
     """Stage 2, persisted: stage 1 plus the three per-group counts."""
     table = enriched.transform(add_tail_counts, **skew).transform(add_origin_congestion, **skew)
-    return _persist(table, "flights-features", output)
+    return _persist(table, "flights-features", output, partition_by)
 
 
-def _persist(table: DataFrame, name: str, output: str | None) -> DataFrame:
+def _persist(table: DataFrame, name: str, output: str | None,
+             partition_by: Sequence[str] = ("MONTH",)) -> DataFrame:
     if output is None:
         return materialize(table, name)
-    table.write.mode("overwrite").partitionBy("MONTH").parquet(output)
+    table.write.mode("overwrite").partitionBy(*partition_by).parquet(output)
     return table.sparkSession.read.parquet(output)
 
 
 def build_feature_table(raw: DataFrame, airlines: DataFrame, airports: DataFrame,
                         patches: Mapping[str, tuple[float, float]] = S.COORDINATE_PATCHES,
-                        output: str | None = None, **skew) -> DataFrame:
+                        output: str | None = None, partition_by: Sequence[str] = ("MONTH",),
+                        **skew) -> DataFrame:
     """The whole batch job: raw flights and lookups in, the feature table out.
 
     With ``output`` the final table is written there (Parquet partitioned by
-    MONTH, so month filters prune files); the intermediate stage always goes to
-    the shared checkpoint folder.
+    ``partition_by`` -- MONTH for one year of flights, YEAR and MONTH for
+    several -- so month filters prune files); the intermediate stage always goes
+    to the shared checkpoint folder.
     """
     stage1 = enriched_stage(FlightFrames(raw, airlines, airports), patches)
-    return feature_stage(stage1, output, **skew)
+    return feature_stage(stage1, output, partition_by, **skew)
 
 
 # ---------------------------------------------------------------------------
@@ -108,11 +112,11 @@ def reset_memo() -> None:
 
 def run_batch(spark: SparkSession, flights_path: str, airlines_path: str, airports_path: str, output: str,
               fmt: str = "csv", patches: Mapping[str, tuple[float, float]] = S.COORDINATE_PATCHES,
-              **skew) -> DataFrame:
+              partition_by: Sequence[str] = ("MONTH",), **skew) -> DataFrame:
     """The production job: raw flight file(s) and the two lookup files in, the
     feature table out (Parquet under ``output``, partitioned by MONTH)."""
     from contrail.sources.files import read_airlines, read_airports, read_flights
     raw = read_flights(spark, flights_path, fmt)
     airlines = read_airlines(spark, airlines_path)
     airports = read_airports(spark, airports_path)
-    return build_feature_table(raw, airlines, airports, patches, output, **skew)
+    return build_feature_table(raw, airlines, airports, patches, output, partition_by, **skew)
