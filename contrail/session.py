@@ -49,11 +49,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only when unset.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; that value is
-    always used as is. Only a session without one (a test or a laptop run) gets
-    a fresh scratch folder.
+    always used as is. Only a local session without one (a test or a laptop run)
+    gets a fresh scratch folder; a cluster session without one is an error.
     """
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            # a machine-local folder is not visible to the other executors
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
         current = tempfile.mkdtemp(prefix="contrail-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
     spark.sparkContext.setCheckpointDir(current)
