@@ -167,6 +167,23 @@ def _stack(df: DataFrame, cols: Sequence[str], value_type: str = "long") -> Data
     return df.select(F.inline(pairs))
 
 
+def range_values(df: DataFrame, cols: Sequence[str] = tuple(S.DATE_RANGES)) -> DataFrame:
+    """B6 (unique values): every distinct value of each column with its row count
+    (a grouped count, not a collected list, so any cardinality stays distributed)."""
+    names = [c for c in cols if c in df.columns]
+    return _stack(df, names).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def invalid_time_rows(df: DataFrame, cols: Sequence[str] = S.TIME_COLS,
+                      keep: Sequence[str] = ("YEAR", "MONTH", "DAY")) -> DataFrame:
+    """B10 (offending rows): each (row, time column) whose value is outside 0-2359."""
+    names = [c for c in cols if c in df.columns]
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), _numeric(c).alias("value")) for c in names])
+    v = F.col("value")
+    return (df.select(*keep, F.inline(pairs))
+            .where(v.isNotNull() & ((v < HHMM_MIN) | (v > HHMM_MAX))))
+
+
 def _top_per_column(counts: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("column_name").orderBy(F.desc("n"), F.asc("value"))
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

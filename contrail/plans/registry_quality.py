@@ -118,6 +118,12 @@ def q_invalid_values_topk(spark, sf):
     return Q.invalid_values_topk(_raw(spark, sf))
 
 
+@register("range_values", O.with_stages(
+    f"SELECT column_name, value, COUNT(*) AS n FROM ({_DATE_PAIRS}) p GROUP BY column_name, value"))
+def q_range_values(spark, sf):
+    return Q.range_values(_raw(spark, sf))
+
+
 # --- B9-B15 ---------------------------------------------------------------
 
 def _time_row(c: str) -> str:
@@ -140,6 +146,16 @@ def q_invalid_times_topk(spark, sf):
     return Q.invalid_times_topk(_raw(spark, sf))
 
 
+_KEEP = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "YEAR", "MONTH", "DAY"]
+
+
+@register("invalid_time_rows", O.with_stages(
+    "SELECT * FROM (" + _union([f"SELECT {', '.join(_KEEP)}, '{c}' AS column_name, CAST({c} AS DOUBLE) AS value "
+                                f"FROM fv" for c in S.TIME_COLS]) + ") t WHERE value < 0 OR value > 2359"))
+def q_invalid_time_rows(spark, sf):
+    return Q.invalid_time_rows(_raw(spark, sf), keep=_KEEP)
+
+
 def _hist_rows(c: str) -> list[str]:
     return [f"SELECT '{c}' AS column_name, '[{lo}, {hi})' AS bin, {lo} AS bin_start, "
             f"COUNT_IF({c} >= {lo} AND {c} < {hi}) AS n FROM s_str" for lo, hi in Q.HHMM_BINS]
