@@ -13,7 +13,6 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
@@ -132,5 +131,3 @@ def chi2_pvalue(stat: Column, dof: Column) -> Column:
 def f_pvalue(f: Column, d1: Column, d2: Column) -> Column:
     return _f_sf_udf(f.cast("double"), d1.cast("double"), d2.cast("double"))
 
-
-_ = F

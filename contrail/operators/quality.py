@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail import schema as S
-from contrail.functions.hhmm import is_hhmm
 from contrail.functions.text import (
     MAX_SPECIAL_CHARS, blank_sql, control_chars_sql, digits_only_sql, has_control_chars, hhmm_sql, is_blank,
     is_digits_only, special_char_count, special_char_count_sql, sql_ident,

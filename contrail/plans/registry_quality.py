@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from contrail import schema as S
 from contrail.operators import enrich as E
 from contrail.operators import quality as Q
-from contrail.operators.cleaning import clean_times, null_when_cancelled
+from contrail.operators.cleaning import clean_times, keep_valid_airports, null_when_cancelled
 from contrail.plans import oracle as O
 from contrail.plans.pipeline import fixture_enriched, fixture_frames
 from contrail.plans.registry import KEYS, register
@@ -218,7 +218,6 @@ def q_cancel_profile(spark, sf):
     "UNION ALL SELECT CANCELLATION_REASON AS value, COUNT(*) AS n, 'after' AS stage FROM s_clean GROUP BY 1"))
 def q_cancellation_value_counts(spark, sf):
     fr = fixture_frames(spark, sf)
-    from contrail.operators.cleaning import keep_valid_airports
     before = keep_valid_airports(null_when_cancelled(clean_times(fr.raw)), fr.airports)
     return Q.value_counts(before, "CANCELLATION_REASON", "before").unionByName(
         Q.value_counts(fr.cleaned, "CANCELLATION_REASON", "after"))
@@ -238,7 +237,6 @@ def _cause_row(c: str) -> str:
     + " FROM s_clean)"))
 def q_delay_cause_checks(spark, sf):
     fr = fixture_frames(spark, sf)
-    from contrail.operators.cleaning import keep_valid_airports
     before = keep_valid_airports(null_when_cancelled(clean_times(fr.raw)), fr.airports)
     return Q.delay_cause_checks(before, fr.cleaned)
 
@@ -329,7 +327,6 @@ def q_code_breakdown(spark, sf):
     "SELECT DESTINATION_AIRPORT FROM s_valid) u WHERE code IS NOT NULL) AS distinct_codes_left) t"))
 def q_row_accounting(spark, sf):
     fr = fixture_frames(spark, sf)
-    from contrail.operators.cleaning import keep_valid_airports
     before = null_when_cancelled(clean_times(fr.raw))
     return Q.row_accounting(before, keep_valid_airports(before, fr.airports))
 
