@@ -183,9 +183,16 @@ def invalid_time_rows(df: DataFrame, cols: Sequence[str] = S.TIME_COLS,
             .where(v.isNotNull() & ((v < HHMM_MIN) | (v > HHMM_MAX))))
 
 
-def _top_per_column(counts: DataFrame, k: int) -> DataFrame:
-    w = Window.partitionBy("column_name").orderBy(F.desc("n"), F.asc("value"))
-    return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+def _top_per_column(counts: DataFrame, k: int, buckets: int = 64) -> DataFrame:
+    """Top ``k`` values per column by count, exactly, in two phases: first per
+    (column, hash bucket of the value), then per column over at most k x buckets
+    candidates -- a column with many distinct values is never ranked in one task."""
+    order = [F.desc("n"), F.asc("value")]
+    salted = counts.withColumn("__b", F.pmod(F.xxhash64("value"), F.lit(buckets)))
+    w1 = Window.partitionBy("column_name", "__b").orderBy(*order)
+    cand = salted.withColumn("rank", F.row_number().over(w1)).where(F.col("rank") <= k).drop("__b")
+    w2 = Window.partitionBy("column_name").orderBy(*order)
+    return cand.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= k)
 
 
 def invalid_values_topk(df: DataFrame, ranges: Mapping[str, tuple] = S.DATE_RANGES, k: int = 15) -> DataFrame:
