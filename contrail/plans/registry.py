@@ -17,6 +17,7 @@ from contrail.operators import enrich as E
 from contrail.operators import features as FT
 from contrail.operators import reports as R
 from contrail.plans import oracle as O
+from contrail.plans import sql_layer as SQ
 from contrail.plans.pipeline import fixture_enriched, fixture_features, fixture_frames
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -220,6 +221,29 @@ def q_origin_congestion(spark, sf):
     return FT.add_origin_congestion(_scalar_features(spark, sf)).select(*KEYS, *_CONG)
 
 
+# ---------------------------------------------------------------------------
+# The same reports as SQL text over the registered query layer (int 0/1 flags)
+# ---------------------------------------------------------------------------
+
+def _sql_view(spark, sf) -> str:
+    return "flights_features_" + "".join(ch if ch.isalnum() else "_" for ch in sf.rstrip("/").split("/")[-1])
+
+
+for _name, _text, _params, _base in [
+    ("executive_snapshot", SQ.EXECUTIVE_SNAPSHOT, {}, fixture_enriched),
+    ("airline_performance", SQ.AIRLINE_PERFORMANCE, {}, fixture_enriched),
+    ("airport_congestion", SQ.AIRPORT_CONGESTION, {"min_flights": ORIGIN_MIN_FLIGHTS, "top": 20}, fixture_features),
+    ("monthly_trend", SQ.MONTHLY_TREND, {}, fixture_enriched),
+    ("hourly_trend", SQ.HOURLY_TREND, {}, fixture_enriched),
+    ("route_bottlenecks", SQ.ROUTE_BOTTLENECKS, {"min_flights": ROUTE_MIN_FLIGHTS, "top": 20}, fixture_enriched),
+]:
+    def _make(text=_text, params=_params, base=_base):
+        def q(spark, sf):
+            return SQ.run_report(base(spark, sf), text, _sql_view(spark, sf), **params)
+        return q
+    register(f"sql_{_name}", ORACLE[_name])(_make())
+
+
 # Further query groups register themselves on import.
 from contrail.plans import registry_quality  # noqa: E402,F401
 from contrail.plans import registry_stats  # noqa: E402,F401
