@@ -2,7 +2,7 @@ from contrail.plans import sql_layer as SQ
 
 
 def test_query_layer_sums_flags_in_sql(spark):
-    df = spark.createDataFrame([("AA", True, 0, 20.0), ("AA", False, 1, None), ("UA", None, 0, 5.0)],
+    df = spark.createDataFrame([("AA", True, 0, 20.0), ("AA", False, 1, None), ("UA", False, 0, 5.0)],
                                "AIRLINE string, IS_DELAYED_ARRIVAL boolean, CANCELLED int, ARRIVAL_DELAY double")
     assert dict(SQ.query_layer(df).dtypes)["IS_DELAYED_ARRIVAL"] == "int"
     out = {r.AIRLINE: r for r in SQ.run_report(df.withColumn("IS_DELAYED_DEPARTURE", df.IS_DELAYED_ARRIVAL),
