@@ -63,12 +63,32 @@ def assert_unique_keys(lookup: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"lookup keys {list(keys)} are not unique; a left join would duplicate rows")
 
 
+def _small_and_unique(lookup: DataFrame, keys: Sequence[str], max_rows: int) -> tuple[bool, bool | None]:
+    """One job over at most ``max_rows + 1`` rows: (row count <= max_rows, keys unique
+    among those rows). Uniqueness is only conclusive when the lookup is small."""
+    key = _proof_key(lookup, "small-unique", tuple(keys), max_rows)
+    if key not in _PROOFS:
+        r = (lookup.limit(max_rows + 1).groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
+             .agg(F.coalesce(F.sum("c"), F.lit(0)).alias("rows"), F.coalesce(F.max("c"), F.lit(0)).alias("most"))
+             .first())
+        _PROOFS[key] = (r["rows"] <= max_rows, r["most"] <= 1)
+        if _PROOFS[key][0]:  # share the proofs with the single-purpose checks
+            _PROOFS[_proof_key(lookup, "rows", max_rows)] = True
+            _PROOFS[_proof_key(lookup, "unique", tuple(keys))] = _PROOFS[key][1]
+    small, unique = _PROOFS[key]
+    return small, (unique if small else None)
+
+
 def lookup_join(fact: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left",
                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, check_unique: bool = True) -> DataFrame:
     """Many-to-one join of a fact table to a dimension on ``keys``."""
+    small, unique = _small_and_unique(lookup, keys, max_broadcast_rows)
     if check_unique:
-        assert_unique_keys(lookup, keys)
-    return fact.join(broadcast_if_small(lookup, max_broadcast_rows), list(keys), how)
+        if unique is None:  # too big to decide from the bounded read: full check
+            assert_unique_keys(lookup, keys)
+        elif not unique:
+            raise ValueError(f"lookup keys {list(keys)} are not unique; a left join would duplicate rows")
+    return fact.join(F.broadcast(lookup) if small else lookup, list(keys), how)
 
 
 def semi_join(fact: DataFrame, fact_key: str, keys: DataFrame, key: str,
