@@ -114,3 +114,32 @@ def with_stages(select: str, extra_ctes: str = "") -> str:
 
 def rate_sql(flag: str, digits: int = 4) -> str:
     return f"ROUND(SUM(CAST({flag} AS INTEGER)) / COUNT(*), {digits})"
+
+
+def _closing_paren(sql: str, open_at: int) -> int:
+    """Index of the parenthesis closing the one at ``open_at`` (string literals skipped)."""
+    depth, quote = 0, False
+    for k in range(open_at, len(sql)):
+        ch = sql[k]
+        if ch == "'":
+            quote = not quote
+        elif not quote and ch == "(":
+            depth += 1
+        elif not quote and ch == ")":
+            depth -= 1
+            if depth == 0:
+                return k
+    raise ValueError("unbalanced parentheses in oracle SQL")
+
+
+def bigint_counts(sql: str) -> str:
+    """Wrap every ``COUNT_IF(...)`` in ``CAST(... AS BIGINT)``: DuckDB returns
+    HUGEINT for it, Spark returns BIGINT (same values, different column type)."""
+    token = "COUNT_IF("
+    out, i = [], 0
+    while (j := sql.find(token, i)) >= 0:
+        k = _closing_paren(sql, j + len(token) - 1)
+        out += [sql[i:j], f"CAST(COUNT_IF({bigint_counts(sql[j + len(token):k])}) AS BIGINT)"]
+        i = k + 1
+    out.append(sql[i:])
+    return "".join(out)

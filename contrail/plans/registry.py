@@ -42,7 +42,7 @@ def register(name: str, sql: str | None = None):
     def deco(fn: Builder) -> Builder:
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = O.bigint_counts(sql)
         return fn
     return deco
 
@@ -241,7 +241,7 @@ for _name, _text, _params, _base in [
         def q(spark, sf):
             return SQ.run_report(base(spark, sf), text, _sql_view(spark, sf), **params)
         return q
-    register(f"sql_{_name}", ORACLE[_name])(_make())
+    register(f"sql_{_name}", ORACLE[_name])(_make())  # already normalised; idempotent below
 
 
 # Further query groups register themselves on import.

@@ -103,8 +103,8 @@ def q_range_report(spark, sf):
 
 
 def _topk_sql(pairs: str, cond: str, k: int) -> str:
-    return (f"SELECT * FROM (SELECT column_name, value, n, ROW_NUMBER() OVER (PARTITION BY column_name "
-            f"ORDER BY n DESC, value ASC) AS rank FROM (SELECT column_name, value, COUNT(*) AS n FROM ({pairs}) p "
+    return (f"SELECT * FROM (SELECT column_name, value, n, CAST(ROW_NUMBER() OVER (PARTITION BY column_name "
+            f"ORDER BY n DESC, value ASC) AS INTEGER) AS rank FROM (SELECT column_name, value, COUNT(*) AS n FROM ({pairs}) p "
             f"WHERE value IS NOT NULL AND ({cond}) GROUP BY column_name, value) c) r WHERE rank <= {k}")
 
 
