@@ -62,3 +62,10 @@ def test_literal_table_and_temp_table(spark):
     lk = FS.literal_table(spark, [("AA", "American Airlines"), ("DL", "Delta Air Lines")], ["AIRLINE", "AIRLINE_NAME"])
     FS.save_as_table(lk, "contrail_test_lookup", temp=True)
     assert FS.read_table(spark, "contrail_test_lookup").count() == 2
+
+
+def test_use_catalog_sets_current_database(spark):
+    before = spark.catalog.currentDatabase()
+    FS.use_catalog(spark, database="default")
+    assert spark.catalog.currentDatabase() == "default"
+    FS.use_catalog(spark, database=before)
