@@ -9,9 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from contrail.llm.ann import nearest
 from contrail.llm.common import table
 from contrail.llm.exact_dedup import exact_dedup
+from contrail.llm.licenses import license_scan
 from contrail.llm.mixing import mix_sources
 from contrail.llm.oracle import ORACLE
+from contrail.llm.quality import score_documents
+from contrail.llm.secrets import secret_scan
 from contrail.llm.substring_dedup import substring_dedup
+from contrail.llm.suffix_dedup import suffix_dedup
+from contrail.llm.tokenize import tokenize
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,12 +33,34 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenize(table(spark, sf_dir, "documents"))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op2_substring_dedup, op3_nearest_neighbours, op7_exact_dedup)
+    f.__name__: f for f in (
+        op1_mixing, op2_substring_dedup, op3_nearest_neighbours, op4_quality_classifier, op5_license_scan,
+        op6_suffix_array_dedup, op7_exact_dedup, op8_sentencepiece, op9_secret_scan)
 }
 
 
