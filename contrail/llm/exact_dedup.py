@@ -100,11 +100,15 @@ def _below(key: str, order: str):
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns; rows repeating a kept doc_id and text stay once.
+    """The documents that stay, with all their columns; rows that repeat a kept doc_id and text stay once.
 
     Decisions join back on doc_id and the text's digest, so only digests move besides the documents.
     """
     sha = F.sha2(squeeze(F.coalesce(F.col("text").cast("string"), F.lit(""))), 256)
-    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_keep"), F.col("text_sha256").alias("_sha"))
+    kept = cut(exact_dedup(docs).where("kept").select(
+        F.col("doc_id").alias("_keep"), F.col("text_sha256").alias("_sha"), "n_rows"), "kept")
     on = docs["doc_id"].cast("long").eqNullSafe(kept["_keep"]) & (sha == kept["_sha"])
-    return docs.join(kept, on, "left_semi").dropDuplicates(["doc_id"])
+    out = docs.join(kept, on, "left_semi")
+    if kept.where("n_rows > 1").isEmpty():
+        return out
+    return out.withColumn("_sha", sha).dropDuplicates(["doc_id", "_sha"]).drop("_sha")

@@ -11,6 +11,7 @@ from contrail.llm.common import table
 from contrail.llm.exact_dedup import exact_dedup
 from contrail.llm.licenses import license_scan
 from contrail.llm.mixing import mix_sources
+from contrail.llm.near_dedup import near_dedup
 from contrail.llm.oracle import ORACLE
 from contrail.llm.quality import score_documents
 from contrail.llm.secrets import secret_scan
@@ -57,10 +58,16 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three-word shingles, similarity 0.85."""
+    found = near_dedup(table(spark, sf_dir, "documents"), size=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_mixing, op2_substring_dedup, op3_nearest_neighbours, op4_quality_classifier, op5_license_scan,
-        op6_suffix_array_dedup, op7_exact_dedup, op8_sentencepiece, op9_secret_scan)
+        op6_suffix_array_dedup, op7_exact_dedup, op8_sentencepiece, op9_secret_scan, op10_near_dedup)
 }
 
 
