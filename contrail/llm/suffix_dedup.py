@@ -35,7 +35,7 @@ from contrail.llm.common import ROW_KEY, cut, keyed, same_row
 WINDOW = 200
 GRAM = 32
 #: Suffixes of one sorted run, and about as many per merge range.
-RUN = 60_000
+RUN = 30_000
 HOT = 200_000
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -146,9 +146,8 @@ def _contexts(raw: bytes, at: np.ndarray, window: int, gram: int) -> tuple[np.nd
     """Byte matrices of what follows each anchor (window bytes) and of what precedes it, nearest first."""
     before = window - gram
     padded = np.concatenate([np.zeros(before, np.uint8), np.frombuffer(raw, np.uint8), np.zeros(window, np.uint8)])
-    right = padded[at[:, None] + before + np.arange(window)]
-    left = padded[at[:, None] + before - 1 - np.arange(before)]
-    return right, left
+    spans = np.lib.stride_tricks.sliding_window_view
+    return spans(padded, window)[at + before], spans(padded, before)[at][:, ::-1]
 
 
 def _runs(window: int, gram: int, ranges: int):
@@ -195,7 +194,8 @@ def _runs(window: int, gram: int, ranges: int):
             for doc_id, row_hash, text, pos, grams in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row_hash", "text")),
                                                           batch.column("pos"), batch.column("gram"), strict=True):
                 raw = text.encode()
-                at, hashes = np.array(pos.values), np.array(grams.values).view(np.uint64)
+                at, which = np.unique(np.array(pos.values), return_index=True)
+                hashes = np.array(grams.values).view(np.uint64)[which]
                 docs.append((doc_id, row_hash))
                 for i in range(0, len(at), RUN):
                     some = at[i:i + RUN].astype(np.int64)
@@ -409,8 +409,7 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot
     ranges = max(1, total[0] // RUN + 1)
 
     def joined(is_hot: bool) -> DataFrame:
-        mine = listed.where(F.col("hot") == is_hot).select(
-            *ROW_KEY, F.transform(F.array_distinct("x"), lambda s: s["pos"]).alias("pos"), F.transform(F.array_distinct("x"), lambda s: s["gram"]).alias("gram"))
+        mine = listed.where(F.col("hot") == is_hot).select(*ROW_KEY, F.col("x.pos").alias("pos"), F.col("x.gram").alias("gram"))
         return same_row(rows, mine, "inner").select(*ROW_KEY, "text", "pos", "gram")
 
     runs = joined(False).mapInArrow(_runs(window, gram, ranges), "range int, size long, run binary")
