@@ -47,6 +47,14 @@ def same_row(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
     return out.drop(right["doc_id"]).drop(right["row_hash"])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: a Parquet table in the shared folder of spark.checkpoint.dir, read back."""
     return materialize(df, f"llm-{name}")

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import cut, id_and_text, squeeze
+from contrail.llm.common import cut, free_name, id_and_text, squeeze
 
 MIN_CHUNK = 384
 MAX_CHUNK = 4096
@@ -111,4 +111,5 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     out = docs.join(kept, on, "left_semi")
     if kept.where("n_rows > 1").isEmpty():
         return out
-    return out.withColumn("_sha", sha).dropDuplicates(["doc_id", "_sha"]).drop("_sha")
+    name = free_name(docs, "_sha")
+    return out.withColumn(name, sha).dropDuplicates(["doc_id", name]).drop(name)

@@ -74,7 +74,7 @@ def suffix_order(codes: np.ndarray, depth: int) -> np.ndarray:
     bits = max(1, int(letter.max()).bit_length())
     span = max(1, min(62 // bits, depth))
     packed = np.zeros(len(letter) + span, dtype=np.int64)
-    for i in range(span):
+    for i in range(min(span, len(letter))):
         packed[:len(letter) - i] |= letter[i:] << (bits * (span - 1 - i))
     rank = packed[:len(letter)]
     while span < depth:
