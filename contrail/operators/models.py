@@ -1,9 +1,10 @@
 """Delay prediction (M1-M13) with ``pyspark.ml``.
 
 Training and scoring stay distributed: the model table is a DataFrame, sampling
-and the train/test split are deterministic hash predicates (repeatable under
-retries and repartitioning, unlike ``rand``), and metrics are aggregations of
-the prediction column. Only model summaries (accuracies, 9 importances) are
+and the train/test split are predicates on a digest of the row's key (repeatable
+under retries and repartitioning, unlike ``rand``), and metrics are aggregations of
+the prediction column. Only the rows used to fit are sampled and bounded; every
+held-out row is evaluated and every row is scored. Only model summaries (accuracies, 9 importances) are
 small enough to be built on the driver.
 """
 
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -31,15 +33,14 @@ LABEL = "label"
 # Sample and split fractions, seed, model settings
 # ---------------------------------------------------------------------------
 TRAIN_SAMPLE_FRACTION = 0.3
-SCORING_SAMPLE_FRACTION = 0.2
 TEST_FRACTION = 0.2
 SEED = 42
 LOGISTIC_MAX_ITER = 1000
 TREE_MAX_DEPTH = 10
 FOREST_TREES = 150
-# Unbounded depth is not available (Spark caps at 30) and deep forests need
-# exponential memory per node-split pass; 12 keeps a 150-tree forest tractable.
-FOREST_MAX_DEPTH = 12
+FOREST_MAX_DEPTH = 30  # the deepest that Spark offers; the reference's trees have no limit
+#: About this many rows at most are used to fit (after the sample fraction); fitting deep forests costs memory per row.
+MAX_FIT_ROWS = 4_000
 
 _BUCKETS = 1_000_000
 
@@ -56,17 +57,19 @@ def model_table(features: DataFrame, id_cols: Sequence[str] = ()) -> DataFrame:
 
 
 def _bucket(seed: int, cols: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]), F.lit(_BUCKETS))
+    """0 .. _BUCKETS - 1 from the first 8 hex digits of md5(seed|key...)."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols]))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % F.lit(_BUCKETS)
 
 
 def hash_sample(df: DataFrame, fraction: float, seed: int = SEED, cols: Sequence[str] | None = None) -> DataFrame:
-    """M2: Bernoulli-like sample by a hash of the row (or of ``cols``)."""
+    """M2: Bernoulli-like sample by a digest of the row's key ``cols`` (all columns without one)."""
     return df.where(_bucket(seed, list(cols or df.columns)) < int(fraction * _BUCKETS))
 
 
 def with_split(df: DataFrame, test_fraction: float = TEST_FRACTION, seed: int = SEED,
                cols: Sequence[str] | None = None) -> DataFrame:
-    """M3: add ``is_test`` (about ``test_fraction`` of rows) from a hash of the row."""
+    """M3: add ``is_test`` (about ``test_fraction`` of rows) from a digest of the row's key."""
     b = _bucket(seed + 1, list(cols or df.columns))
     return df.withColumn("is_test", b < int(test_fraction * _BUCKETS))
 
@@ -93,42 +96,45 @@ def classifiers(n_train: int, forest_trees: int = FOREST_TREES, forest_depth: in
 @dataclass
 class TrainedModels:
     models: dict[str, PipelineModel]
-    train: DataFrame
     test: DataFrame
-    hash_cols: list[str]
-    sample_fraction: float | None
-    test_fraction: float
-    seed: int
+    fitted: Column
+    n_fit: int
     features: list[str] = field(default_factory=lambda: list(S.MODEL_FEATURES))
 
     def is_train(self) -> Column:
-        """True for rows the models were fitted on (same hash predicates)."""
-        cols = self.hash_cols
-        in_sample = (_bucket(self.seed, cols) < int(self.sample_fraction * _BUCKETS)
-                     if self.sample_fraction else F.lit(True))
-        return in_sample & ~(_bucket(self.seed + 1, cols) < int(self.test_fraction * _BUCKETS))
+        """True for rows the models were fitted on (a predicate on the row's key)."""
+        return self.fitted
 
 
-def train_models(table: DataFrame, sample_fraction: float | None = TRAIN_SAMPLE_FRACTION,
+def train_models(table: DataFrame, key: Sequence[str] | None = None, features: Sequence[str] = S.MODEL_FEATURES,
+                 sample_fraction: float | None = TRAIN_SAMPLE_FRACTION, max_fit_rows: int | None = MAX_FIT_ROWS,
                  test_fraction: float = TEST_FRACTION, seed: int = SEED,
                  names: Sequence[str] | None = None, **kw) -> TrainedModels:
-    """M2-M7: sample, split, fit each classifier in a pipeline with the assembler."""
-    cols = list(table.columns)
-    base = hash_sample(table, sample_fraction, seed, cols) if sample_fraction else table
-    split = with_split(base.withColumn(LABEL, F.col(S.MODEL_TARGET).cast("double")), test_fraction, seed, cols)
+    """M2-M7: split, sample the training side, fit each classifier in a pipeline with the assembler.
+
+    ``key``: the row's key columns, which decide split and sample (all columns without
+    one). ``max_fit_rows`` lowers the sample fraction where it would give more rows.
+    ``test`` holds every held-out row.
+    """
+    cols = list(key or table.columns)
+    split = with_split(table.withColumn(LABEL, F.col(S.MODEL_TARGET).cast("double")), test_fraction, seed, cols)
+    fraction = sample_fraction or 1.0
+    if max_fit_rows:
+        n_train = split.where(~F.col("is_test")).count()
+        fraction = min(fraction, max_fit_rows / max(n_train, 1))
+    sampled = _bucket(seed, cols) < int(fraction * _BUCKETS)
+    held_out = _bucket(seed + 1, cols) < int(test_fraction * _BUCKETS)
     # Iterative learners re-read the training rows many times: keep them on the
-    # executors (memory, spilling to disk); a lost block is recomputed from the
-    # persisted feature table.
-    train = split.where(~F.col("is_test")).persist(StorageLevel.MEMORY_AND_DISK)
-    test = split.where(F.col("is_test"))
-    n_train = train.count()
-    chosen = classifiers(n_train, seed=seed, **kw)
+    # executors (memory, spilling to disk) until the fits are done; a lost block is
+    # recomputed from the persisted feature table.
+    train = split.where(~F.col("is_test") & sampled).select(*features, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+    n_fit = train.count()
     models = {}
-    for name, est in chosen.items():
-        if names and name not in names:
-            continue
-        models[name] = Pipeline(stages=[assembler(), est]).fit(train)
-    return TrainedModels(models, train, test, cols, sample_fraction, test_fraction, seed)
+    for name, est in classifiers(n_fit, seed=seed, **kw).items():
+        if not names or name in names:
+            models[name] = Pipeline(stages=[assembler(features), est]).fit(train)
+    train.unpersist()
+    return TrainedModels(models, split.where(F.col("is_test")).drop("is_test"), sampled & ~held_out, n_fit, list(features))
 
 
 def accuracy(label: str = LABEL, prediction: str = "prediction") -> Column:
@@ -137,23 +143,26 @@ def accuracy(label: str = LABEL, prediction: str = "prediction") -> Column:
 
 
 def model_comparison(trained: TrainedModels) -> DataFrame:
-    """M10 + M12: accuracy on the test rows per model and the best one (computed)."""
-    parts = []
-    for name, model in trained.models.items():
-        parts.append(model.transform(trained.test).agg(accuracy().alias("accuracy"))
-                     .withColumn("model", F.lit(name)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    best = out.select(F.max_by("model", "accuracy")).scalar()
-    return out.select("model", "accuracy", (F.col("model") == best).alias("is_best"))
+    """M10 + M12: accuracy on all held-out rows per model (scored once each) and the best one."""
+    parts = [model.transform(trained.test).agg(accuracy().alias("accuracy")).withColumn("model", F.lit(name))
+             for name, model in trained.models.items()]
+    rows = reduce(DataFrame.unionByName, parts).agg(F.collect_list(F.struct("accuracy", "model")).alias("rows"))
+    best = rows.withColumn("best", F.array_max("rows")["model"]).select(F.explode("rows").alias("r"), "best")
+    return best.select("r.model", "r.accuracy", (F.col("r.model") == F.col("best")).alias("is_best"))
+
+
+def model_reports(trained: TrainedModels) -> DataFrame:
+    """M9: the classification report of every model on all held-out rows."""
+    return reduce(DataFrame.unionByName, [
+        classification_report(model.transform(trained.test), LABEL, "prediction").withColumn("model", F.lit(name))
+        for name, model in trained.models.items()])
 
 
 def feature_importance(trained: TrainedModels, name: str = "Random Forest") -> DataFrame:
     """The forest's feature importances, largest first."""
     model = trained.models[name].stages[-1]
     rows = list(zip(trained.features, [float(x) for x in model.featureImportances.toArray()]))
-    spark = trained.train.sparkSession
+    spark = trained.test.sparkSession
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"))
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from contrail.functions.special import chi2_pvalue, f_pvalue
 from contrail.operators.enrich import label_with_fallback
-from contrail.operators.joins import DEFAULT_SALT_BUCKETS, join_group_values
+from contrail.operators.joins import join_group_values
 
 # ---------------------------------------------------------------------------
 # Significance level, box-plot whisker reach, per-group sample size
@@ -50,22 +50,27 @@ def sample_order_key(seed: int, cols: Sequence[str]) -> Column:
 
 
 def stratified_sample(df: DataFrame, group: str, n: int = SAMPLE_PER_GROUP, seed: int = 42,
-                      order_cols: Sequence[str] | None = None,
-                      salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    """Up to ``n`` rows per group in pseudo-random order.
-
-    Two-phase top-n: first per (group, salt bucket) -- a hot group is spread
-    over ``salt_buckets`` tasks -- then per group over at most n * buckets
-    candidates. Exact: the n smallest keys of a group are among the n smallest
-    of its buckets.
+                      order_cols: Sequence[str] | None = None, digits: int = 4) -> DataFrame:
+    """Up to ``n`` rows per group in pseudo-random order, exactly.
+
+    Rows are counted per (group, first ``digits`` hex digits of the order key), a
+    map-side combined count; the running count tells in which key range each group's
+    n-th row lies. Rows in earlier ranges are all in, and only the rows of that one
+    range (about 1/16^digits of the group) are ranked, so no group is sorted whole.
     """
-    key = sample_order_key(seed, list(order_cols or df.columns))
-    keyed = df.withColumn("__k", key).withColumn("__salt", F.pmod(F.xxhash64("__k"), F.lit(salt_buckets)))
-    w1 = Window.partitionBy(group, "__salt").orderBy("__k")
-    cand = keyed.withColumn("__r", F.row_number().over(w1)).where(F.col("__r") <= n)
-    w2 = Window.partitionBy(group).orderBy("__k")
-    out = cand.withColumn("__r", F.row_number().over(w2)).where(F.col("__r") <= n)
-    return out.drop("__k", "__salt", "__r")
+    keyed = df.withColumn("__k", sample_order_key(seed, list(order_cols or df.columns)))
+    keyed = keyed.withColumn("__p", F.substring("__k", 1, digits))
+    ranges = keyed.groupBy(group, "__p").agg(F.count(F.lit(1)).alias("__n"))
+    upto = F.sum("__n").over(Window.partitionBy(group).orderBy("__p"))
+    cuts = (ranges.withColumn("__upto", upto).groupBy(group).agg(
+        F.sum("__n").alias("__rows"), F.min(F.when(F.col("__upto") >= n, F.struct("__p", (F.col("__upto") - F.col("__n")).alias("before")))).alias("__cut")))
+    cuts = cuts.select(group, "__rows", F.col("__cut.__p").alias("__last"), F.col("__cut.before").alias("__before"))
+    marked = join_group_values(keyed, [group], cuts, "__rows", ["__last", "__before"], null_safe=True)
+    whole = marked.where(F.col("__last").isNull() | (F.col("__p") < F.col("__last")))
+    rank = F.row_number().over(Window.partitionBy(group).orderBy("__k"))
+    partial = marked.where(F.col("__p") == F.col("__last")).withColumn("__r", rank)
+    partial = partial.where(F.col("__before") + F.col("__r") <= n)
+    return whole.select(*df.columns).unionByName(partial.select(*df.columns))
 
 
 def group_sizes(df: DataFrame, group: str = GROUP) -> DataFrame:
@@ -88,45 +93,60 @@ def contingency(df: DataFrame, group: str = GROUP, flag: str = FLAG) -> DataFram
                       F.coalesce(F.col("1"), F.lit(0)).alias("delayed"))
 
 
+def _grid(df: DataFrame, group: str, flag: str, correction: bool) -> DataFrame:
+    """One row per (group, observed flag value): observed ``o`` (0 where absent), expected ``e``,
+    ``o_used`` (continuity-corrected with one degree of freedom), ``dof``, ``n``, ``groups``.
+
+    One grouped count reads the rows; the margins are windows over its few result rows.
+    """
+    per_group = df.where(F.col(flag).isin(0, 1)).groupBy(group).agg(
+        F.count_if(F.col(flag) == 0).alias("o0"), F.count_if(F.col(flag) == 1).alias("o1"))
+    every = Window.partitionBy(F.lit(1))
+    c0, c1 = F.sum("o0").over(every), F.sum("o1").over(every)
+    wide = per_group.select(group, "o0", "o1", c0.alias("c0"), c1.alias("c1"), F.count(F.lit(1)).over(every).alias("groups"))
+    n = F.col("c0") + F.col("c1")
+    kinds = (F.col("c0") > 0).cast("long") + (F.col("c1") > 0).cast("long")
+    cell = lambda v: F.struct(F.lit(v).alias(flag), F.col(f"o{v}").cast("double").alias("o"), F.col(f"c{v}").alias("c"))
+    cells = wide.select(group, (F.col("o0") + F.col("o1")).alias("r"), n.alias("n"), "groups", ((F.col("groups") - 1) * (kinds - 1)).alias("dof"),
+                        F.inline(F.array(cell(0), cell(1)))).where("c > 0")
+    e = F.col("r").cast("double") * F.col("c") / F.col("n")
+    diff = e - F.col("o")
+    moved = F.col("o") + F.signum(diff) * F.least(F.lit(0.5), F.abs(diff))
+    return cells.withColumn("e", e).withColumn("o_used", F.when(F.lit(correction) & (F.col("dof") == 1), moved).otherwise(F.col("o")))
+
+
+def expected_counts(df: DataFrame, group: str = GROUP, flag: str = FLAG, digits: int = DIGITS) -> DataFrame:
+    """L1: observed and expected count of every cell."""
+    return _grid(df, group, flag, False).select(group, flag, F.col("o").cast("long").alias("observed"), F.round("e", digits).alias("expected"))
+
+
+def _chi_square(df: DataFrame, group: str, flag: str, correction: bool) -> DataFrame:
+    d = F.col("o_used") - F.col("e")
+    return _grid(df, group, flag, correction).agg(
+        F.sum(d * d / F.col("e")).alias("statistic"), F.max("dof").alias("dof"), F.max("n").alias("n_rows"), F.max("groups").alias("n_groups"))
+
+
 def chi_square(df: DataFrame, group: str = GROUP, flag: str = FLAG, correction: bool = True,
                digits: int = DIGITS) -> DataFrame:
     """L1: chi-square test of independence of ``group`` and a 0/1 ``flag``.
 
-    Cells are counted by one grouped aggregation; margins come from that small
-    table; the grid of expected counts lists every (group, observed flag value)
-    pair -- the flag is binary, so the grid is built by exploding [0, 1], not by
-    a cross join. With one degree of freedom each observed count moves 0.5
-    towards its expectation (continuity correction), as usual for 2 x 2 tables.
+    With one degree of freedom each observed count moves 0.5 towards its expectation
+    (continuity correction), as usual for 2 x 2 tables.
     """
-    cells = df.groupBy(group, flag).agg(F.count(F.lit(1)).alias("o"))
-    rows = cells.groupBy(group).agg(F.sum("o").alias("r"))
-    cols = cells.groupBy(flag).agg(F.sum("o").alias("c"))
-    total = cells.select(F.sum("o")).scalar()
-    n_rows = rows.select(F.count(F.lit(1))).scalar()
-    n_cols = cols.select(F.count(F.lit(1))).scalar()
-    dof = (n_rows - 1) * (n_cols - 1)
-    grid = (rows.withColumn(flag, F.explode(F.array(F.lit(0), F.lit(1))))
-            .join(cols, flag, "inner")
-            .join(cells, [group, flag], "left")
-            .withColumn("o", F.coalesce(F.col("o"), F.lit(0)).cast("double")))
-    e = F.col("r").cast("double") * F.col("c").cast("double") / total
-    diff = e - F.col("o")
-    adj = F.col("o") + F.signum(diff) * F.least(F.lit(0.5), F.abs(diff))
-    o_used = F.when(F.lit(correction) & (dof == 1), adj).otherwise(F.col("o"))
-    contrib = (o_used - e) * (o_used - e) / e
-    out = grid.agg(F.sum(contrib).alias("stat"), F.count(F.lit(1)).alias("cells"))
-    return out.select(F.round(F.col("stat"), digits).alias("statistic"), dof.cast("long").alias("dof"),
-                      total.cast("long").alias("n_rows"), n_rows.cast("long").alias("n_groups"))
+    return _chi_square(df, group, flag, correction).withColumn("statistic", F.round("statistic", digits))
 
 
-def with_chi2_pvalue(test: DataFrame, alpha: float = ALPHA) -> DataFrame:
-    """L1 + L6: add the p-value and the decision ``reject_h0`` (p < alpha)."""
-    p = chi2_pvalue(F.col("statistic"), F.col("dof"))
-    return test.withColumn("p_value", p).withColumn("reject_h0", F.col("p_value") < alpha)
+def chi_square_test(df: DataFrame, group: str = GROUP, flag: str = FLAG, correction: bool = True,
+                    alpha: float = ALPHA, digits: int = DIGITS) -> DataFrame:
+    """L1 + L6: with the p-value (of the unrounded statistic) and ``reject_h0`` (p < alpha)."""
+    test = _chi_square(df, group, flag, correction)
+    p = test.withColumn("p_value", chi2_pvalue(F.col("statistic"), F.col("dof")))
+    return p.select(F.round("statistic", digits).alias("statistic"), "dof", "n_rows", "n_groups", F.round("p_value", 9).alias("p_value"),
+                    (F.col("p_value") < alpha).alias("reject_h0"))
 
 
-def anova(df: DataFrame, value: str = MINUTES, group: str = GROUP, digits: int = DIGITS) -> DataFrame:
-    """L2: one-way ANOVA F statistic of ``value`` across ``group``.
+def _anova(df: DataFrame, value: str, group: str) -> DataFrame:
+    """One-way ANOVA with the unrounded F statistic.
 
     Per group: n, mean, sample variance (one aggregation). Then
     SSB = sum n_i m_i^2 - (sum n_i m_i)^2 / N and SSW = sum (n_i - 1) s_i^2 on
@@ -143,14 +163,20 @@ def anova(df: DataFrame, value: str = MINUTES, group: str = GROUP, digits: int =
     df_b = F.col("k") - 1
     df_w = F.col("N") - F.col("k")
     f = (ssb / df_b) / (F.col("ssw") / df_w)
-    return t.select(F.round(f, digits).alias("f_statistic"), df_b.cast("long").alias("df_between"),
+    return t.select(f.alias("f_statistic"), df_b.cast("long").alias("df_between"),
                     df_w.cast("long").alias("df_within"), F.col("k").alias("n_groups"), F.col("N").alias("n_rows"))
 
 
-def with_f_pvalue(test: DataFrame, alpha: float = ALPHA) -> DataFrame:
-    """L2 + L6: add the p-value of the F statistic and ``reject_h0``."""
+def anova(df: DataFrame, value: str = MINUTES, group: str = GROUP, digits: int = DIGITS) -> DataFrame:
+    """L2: one-way ANOVA F statistic of ``value`` across ``group``."""
+    return _anova(df, value, group).withColumn("f_statistic", F.round("f_statistic", digits))
+
+
+def anova_test(df: DataFrame, value: str = MINUTES, group: str = GROUP, alpha: float = ALPHA, digits: int = DIGITS) -> DataFrame:
+    """L2 + L6: with the p-value (of the unrounded statistic) and ``reject_h0``."""
     p = f_pvalue(F.col("f_statistic"), F.col("df_between"), F.col("df_within"))
-    return test.withColumn("p_value", p).withColumn("reject_h0", F.col("p_value") < alpha)
+    return _anova(df, value, group).withColumn("p_value", p).withColumn("reject_h0", F.col("p_value") < alpha).withColumn(
+        "f_statistic", F.round("f_statistic", digits))
 
 
 def correlation(df: DataFrame, x: str = CONGESTION, y: str = MINUTES, digits: int = DIGITS) -> DataFrame:
@@ -160,28 +186,36 @@ def correlation(df: DataFrame, x: str = CONGESTION, y: str = MINUTES, digits: in
                     F.count(F.lit(1)).alias("n_rows"))
 
 
-def box_stats(df: DataFrame, value: str = MINUTES, group: str = GROUP, whis: float = WHISKER_IQR,
-              digits: int = 4, **skew) -> DataFrame:
-    """L4: per group n, mean, quartiles (linear interpolation) and box-plot
-    whiskers: the most extreme values within ``whis`` IQR of the box.
+def quartiles(counts: DataFrame, group: str, value: str, count: str) -> DataFrame:
+    """``counts`` (group, value, count) with n and the exact quartiles (linear interpolation) of its group on every row.
+
+    Running counts over the distinct values, sorted and spillable: no state grows with them.
+    """
+    order = Window.partitionBy(group).orderBy(value)
+    whole = Window.partitionBy(group)
+    ranked = counts.withColumn("__upto", F.sum(count).over(order)).withColumn("n", F.sum(count).over(whole))
+
+    def at(p: float) -> Column:
+        place = F.lit(p) * (F.col("n") - 1)
+        value_at = lambda k: F.min(F.when(F.col("__upto") > k, F.col(value))).over(whole)
+        low, high = value_at(F.floor(place)), value_at(F.ceil(place))
+        return low + (place - F.floor(place)) * (high - low)
+    return ranked.withColumns({"q1": at(0.25), "median": at(0.5), "q3": at(0.75)}).drop("__upto")
+
+
+def box_stats(df: DataFrame, value: str = MINUTES, group: str = GROUP, whis: float = WHISKER_IQR, digits: int = 4) -> DataFrame:
+    """L4: per group n, mean, quartiles and box-plot whiskers: the most extreme values
+    within ``whis`` IQR of the box.
 
-    Quartiles come from one exact ``percentile`` aggregation (state: one counter
-    per distinct value), then are joined back to the rows skew-safely for the
-    whisker pass.
+    The rows are read once, into counts per (group, value); the rest works on those.
     """
     v = F.col(value).cast("double")
-    q = (df.where(v.isNotNull()).groupBy(group)
-         .agg(F.count(F.lit(1)).alias("n"), F.avg(v).alias("mean"),
-              F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")))
-    q = q.select(group, "n", "mean", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                 F.col("q")[2].alias("q3"))
-    rows = df.where(v.isNotNull()).select(group, v.alias("__v"))
-    joined = join_group_values(rows, [group], q, "n", ["q1", "q3"], **skew)
-    iqr = F.col("q3") - F.col("q1")
-    lo_ok = F.col("__v") >= F.col("q1") - whis * iqr
-    hi_ok = F.col("__v") <= F.col("q3") + whis * iqr
-    wh = joined.groupBy(group).agg(F.min(F.when(lo_ok, F.col("__v"))).alias("whisker_low"),
-                                   F.max(F.when(hi_ok, F.col("__v"))).alias("whisker_high"))
-    out = q.join(wh, group, "inner")
+    counts = df.where(v.isNotNull()).groupBy(group, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    q = quartiles(counts, group, "__v", "__c")
+    reach = whis * (F.col("q3") - F.col("q1"))
+    out = q.groupBy(group, "n", "q1", "median", "q3").agg(
+        (F.sum(F.col("__v") * F.col("__c")) / F.col("n")).alias("mean"),
+        F.min(F.when(F.col("__v") >= F.col("q1") - reach, F.col("__v"))).alias("whisker_low"),
+        F.max(F.when(F.col("__v") <= F.col("q3") + reach, F.col("__v"))).alias("whisker_high"))
     return out.select(group, "n", *[F.round(F.col(c), digits).alias(c) for c in
                                     ("mean", "q1", "median", "q3", "whisker_low", "whisker_high")])

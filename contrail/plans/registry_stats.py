@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from contrail import schema as S
 from contrail.operators import models as M
 from contrail.operators.features import add_model_features
 from contrail.operators import prescribe as P
@@ -14,14 +15,12 @@ from contrail.plans.registry import KEYS, register
 from contrail.session import session_key
 
 _K = ", ".join(KEYS)
-# Rows per carrier in the registered sample run (the library default is 20,000,
-# more than any carrier has at the test scales, which would make it a no-op).
-SAMPLE_N = 1000
+SAMPLE_N = ST.SAMPLE_PER_GROUP
+# A second sample that bites at the test scales.
+SMALL_SAMPLE_N = 500
 SAMPLE_SEED = 42
 # Groups of the deterministic score used to exercise the prescriptive layer.
 SCORE_KEYS = ["ORIGIN_AIRPORT", "DESTINATION_AIRPORT", "DEPARTURE_HOUR"]
-# Registered model runs use a smaller forest than the library default (150 trees).
-REGISTERED_FOREST_TREES = 50
 
 _BASE = """base AS (SELECT f.l_orderkey, f.l_linenumber, f.l_partkey, f.l_suppkey,
   COALESCE(a.AIRLINE, f.AIRLINE) AS AIRLINE_NAME, CAST(f.IS_DELAYED_ARRIVAL AS INTEGER) AS IS_DELAYED_ARRIVAL,
@@ -38,18 +37,24 @@ def _base(spark, sf):
 
 # --- G7-G9, G14, H4/L5 ----------------------------------------------------
 
-_SAMPLE_SQL = (f"sample AS (SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY AIRLINE_NAME "
-               f"ORDER BY md5(concat_ws('|', '{SAMPLE_SEED}', {_K}))) AS rn FROM base) s WHERE rn <= {SAMPLE_N})")
+def _sample_sql(n: int) -> str:
+    return (f"sample AS (SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY AIRLINE_NAME "
+            f"ORDER BY md5(concat_ws('|', '{SAMPLE_SEED}', {_K}))) AS rn FROM base) s WHERE rn <= {n})")
 
 
-@register("stratified_sample", O.with_stages("SELECT * FROM sample", f"{_BASE},\n{_SAMPLE_SQL}"))
+@register("stratified_sample", O.with_stages("SELECT * FROM sample", f"{_BASE},\n{_sample_sql(SAMPLE_N)}"))
 def q_stratified_sample(spark, sf):
     return ST.stratified_sample(_base(spark, sf), ST.GROUP, SAMPLE_N, SAMPLE_SEED, KEYS)
 
 
+@register("stratified_sample_small", O.with_stages("SELECT * FROM sample", f"{_BASE},\n{_sample_sql(SMALL_SAMPLE_N)}"))
+def q_stratified_sample_small(spark, sf):
+    return ST.stratified_sample(_base(spark, sf), ST.GROUP, SMALL_SAMPLE_N, SAMPLE_SEED, KEYS)
+
+
 @register("sample_sizes", O.with_stages(
     "SELECT AIRLINE_NAME, COUNT(*) AS n FROM sample GROUP BY 1 ORDER BY n DESC, AIRLINE_NAME",
-    f"{_BASE},\n{_SAMPLE_SQL}"))
+    f"{_BASE},\n{_sample_sql(SAMPLE_N)}"))
 def q_sample_sizes(spark, sf):
     return ST.group_sizes(ST.stratified_sample(_base(spark, sf), ST.GROUP, SAMPLE_N, SAMPLE_SEED, KEYS))
 
@@ -96,9 +101,20 @@ def q_chi_square(spark, sf):
     return ST.chi_square(_base(spark, sf))
 
 
-@register("chi_square_test")
+@register("chi_square_expected", O.with_stages(
+    "SELECT AIRLINE_NAME, IS_DELAYED_ARRIVAL, CAST(o AS BIGINT) AS observed, ROUND(e, 6) AS expected FROM grid", _CHI))
+def q_chi_square_expected(spark, sf):
+    return ST.expected_counts(_base(spark, sf))
+
+
+# With an even number of degrees of freedom the tail is a finite sum that SQL can evaluate.
+@register("chi_square_test", O.with_stages(
+    "SELECT ROUND(x, 6) AS statistic, CAST(dof AS BIGINT) AS dof, n_rows, n_groups, ROUND(p, 9) AS p_value, p < 0.05 AS reject_h0 "
+    "FROM (SELECT x, dof, n_rows, n_groups, CASE WHEN dof % 2 = 0 THEN list_sum([exp(i * ln(x / 2) - x / 2 - "
+    "lgamma(CAST(i + 1 AS DOUBLE))) for i in range(0, CAST(dof / 2 AS BIGINT))]) END AS p FROM (SELECT SUM((o - e) * (o - e) / e) AS x, MAX(dof) AS dof, "
+    "CAST((SELECT n FROM tt) AS BIGINT) AS n_rows, CAST((SELECT nr FROM tt) AS BIGINT) AS n_groups FROM adj) s) t", _CHI))
 def q_chi_square_test(spark, sf):
-    return ST.with_chi2_pvalue(ST.chi_square(_base(spark, sf)))
+    return ST.chi_square_test(_base(spark, sf))
 
 
 _ANOVA = f"""{_BASE},
@@ -118,7 +134,7 @@ def q_anova(spark, sf):
 
 @register("anova_test")
 def q_anova_test(spark, sf):
-    return ST.with_f_pvalue(ST.anova(_base(spark, sf)))
+    return ST.anova_test(_base(spark, sf))
 
 
 @register("correlation", O.with_stages(
@@ -201,29 +217,44 @@ def q_classification_report(spark, sf):
 
 
 _TRAINED: dict = {}
+_WITHOUT_CAUSE = [c for c in S.MODEL_FEATURES if c != "HAS_DELAY_CAUSE"]
 
 
-def _trained(spark, sf) -> M.TrainedModels:
-    key = (session_key(spark), sf)
+def _trained(spark, sf, features=tuple(S.MODEL_FEATURES)) -> M.TrainedModels:
+    key = (session_key(spark), sf, tuple(features))
     if key not in _TRAINED:
-        table = _model_table(spark, sf).drop(*KEYS)
-        _TRAINED[key] = M.train_models(table, forest_trees=REGISTERED_FOREST_TREES)
+        _TRAINED[key] = M.train_models(_model_table(spark, sf), KEYS, list(features))
     return _TRAINED[key]
 
 
-@register("train_test_split")
+def _bucket_sql(seed: int) -> str:
+    return f"CAST('0x' || substr(md5(concat_ws('|', '{seed}', {_K})), 1, 8) AS BIGINT) % 1000000"
+
+
+@register("train_test_split", O.with_stages(
+    f"SELECT {_bucket_sql(M.SEED + 1)} < {int(M.TEST_FRACTION * 1_000_000)} AS is_test, COUNT(*) AS n FROM mt GROUP BY 1", _MT))
 def q_train_test_split(spark, sf):
-    table = _model_table(spark, sf).drop(*KEYS)
-    sampled = M.hash_sample(table, M.TRAIN_SAMPLE_FRACTION, M.SEED, table.columns)
-    split = M.with_split(sampled, M.TEST_FRACTION, M.SEED, table.columns)
+    split = M.with_split(_model_table(spark, sf), M.TEST_FRACTION, M.SEED, KEYS)
     return split.groupBy("is_test").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("train_sample", O.with_stages(
+    f"SELECT {_K} FROM mt WHERE {_bucket_sql(M.SEED)} < {int(M.TRAIN_SAMPLE_FRACTION * 1_000_000)}", _MT))
+def q_train_sample(spark, sf):
+    return M.hash_sample(_model_table(spark, sf), M.TRAIN_SAMPLE_FRACTION, M.SEED, KEYS).select(*KEYS)
+
+
 @register("model_comparison")
 def q_model_comparison(spark, sf):
     return M.model_comparison(_trained(spark, sf))
 
 
+@register("model_comparison_without_cause")
+def q_model_comparison_without_cause(spark, sf):
+    """HAS_DELAY_CAUSE follows from the outcome; the same models without it."""
+    return M.model_comparison(_trained(spark, sf, _WITHOUT_CAUSE))
+
+
 @register("feature_importance")
 def q_feature_importance(spark, sf):
     return M.feature_importance(_trained(spark, sf))
@@ -231,24 +262,36 @@ def q_feature_importance(spark, sf):
 
 @register("model_classification_report")
 def q_model_classification_report(spark, sf):
-    tm = _trained(spark, sf)
-    pred = tm.models["Random Forest"].transform(tm.test)
-    return M.classification_report(pred, "label", "prediction")
+    return M.model_reports(_trained(spark, sf))
+
+
+def _forest_scores(spark, sf):
+    return M.delay_scores(_trained(spark, sf), _model_table(spark, sf))
 
 
 @register("delay_scores")
 def q_delay_scores(spark, sf):
-    tm = _trained(spark, sf)
-    rows = _model_table(spark, sf)
-    scored = M.delay_scores(tm, M.hash_sample(rows, M.SCORING_SAMPLE_FRACTION, M.SEED + 7, KEYS))
-    return scored.select(*KEYS, "delay_probability", "is_train", "prediction")
+    return _forest_scores(spark, sf).select(*KEYS, "delay_probability", "is_train", "prediction")
 
 
 @register("model_risk_distribution")
 def q_model_risk_distribution(spark, sf):
-    tm = _trained(spark, sf)
-    scored = M.delay_scores(tm, _model_table(spark, sf))
-    return P.risk_distribution(P.add_risk(scored))
+    return P.risk_distribution(P.add_risk(_forest_scores(spark, sf)))
+
+
+def _forest_recommendations(spark, sf):
+    table = M.model_table(fixture_features(spark, sf), [*KEYS, "AIRLINE", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT"])
+    return P.recommendation_table(M.delay_scores(_trained(spark, sf), table), id_cols=KEYS)
+
+
+@register("model_recommendations")
+def q_model_recommendations(spark, sf):
+    return _forest_recommendations(spark, sf)
+
+
+@register("model_top_risk_flights")
+def q_model_top_risk_flights(spark, sf):
+    return P.top_risk(_forest_recommendations(spark, sf), 20, tie_break=KEYS)
 
 
 # --- M14-M19 on a deterministic score -------------------------------------

@@ -1,5 +1,6 @@
 import pytest
 
+from contrail import schema as S
 from contrail.operators import models as M
 from contrail.operators import prescribe as P
 
@@ -35,7 +36,7 @@ def test_train_and_score_small(spark):
                                ["DISTANCE", "DEPARTURE_HOUR", "DAY_OF_WEEK", "ORIGIN_CONGESTION", "IS_LONG_DISTANCE",
                                 "IS_EVENING", "HAS_DELAY_CAUSE", "FLIGHTS_PER_TAIL_NUMBER_DAY",
                                 "FLIGHTS_PER_TAIL_NUMBER_WEEK", "IS_DELAYED_ARRIVAL"]))
-    tm = M.train_models(df, sample_fraction=None, forest_trees=5, forest_depth=4)
+    tm = M.train_models(df, sample_fraction=None, max_fit_rows=None, forest_trees=5, forest_depth=4)
     comp = {r.model: r for r in M.model_comparison(tm).collect()}
     assert set(comp) == {"Logistic Regression", "Decision Tree", "Random Forest"}
     assert sum(r.is_best for r in comp.values()) >= 1 and all(0 <= r.accuracy <= 1 for r in comp.values())
@@ -43,4 +44,10 @@ def test_train_and_score_small(spark):
     assert len(imp) == 9 and abs(sum(r.importance for r in imp) - 1) < 1e-6
     scored = P.add_risk(M.delay_scores(tm, df))
     assert scored.count() == 400 and scored.where("delay_probability < 0 OR delay_probability > 1").count() == 0
-    assert scored.where("is_train").count() == tm.train.count()
+    assert scored.where("is_train").count() == tm.n_fit and tm.n_fit + tm.test.count() == 400
+    reports = M.model_reports(tm).groupBy("model").count().collect()
+    assert len(reports) == 3 and {r["count"] for r in reports} == {5}
+    small = M.train_models(df, max_fit_rows=50, features=[c for c in S.MODEL_FEATURES if c != "HAS_DELAY_CAUSE"],
+                           forest_trees=3, forest_depth=3)
+    assert 20 <= small.n_fit <= 90 and small.test.count() == tm.test.count()
+    assert len(M.feature_importance(small).collect()) == 8

@@ -19,7 +19,7 @@ def test_chi_square_2x2_with_continuity_correction(spark):
     assert r.statistic == pytest.approx(0.446429, abs=1e-6) and r.dof == 1 and r.n_rows == 100
     r2 = ST.chi_square(df, correction=False).first()
     assert r2.statistic == pytest.approx(0.793651, abs=1e-6)
-    p = ST.with_chi2_pvalue(ST.chi_square(df)).first()
+    p = ST.chi_square_test(df).first()
     assert p.p_value == pytest.approx(0.5040, abs=1e-4) and p.reject_h0 is False
 
 
@@ -38,7 +38,7 @@ def test_contingency(spark):
 def test_anova_matches_hand_computation(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", 3.0), ("b", 4.0), ("b", 5.0), ("b", 6.0)],
                                "AIRLINE_NAME string, ARRIVAL_DELAY double")
-    r = ST.with_f_pvalue(ST.anova(df)).first()
+    r = ST.anova_test(df).first()
     assert r.f_statistic == pytest.approx(13.5) and (r.df_between, r.df_within) == (1, 4)
     assert r.p_value == pytest.approx(0.021311641128756723, rel=1e-8)
 
@@ -47,7 +47,7 @@ def test_correlation_and_box_stats(spark):
     df = spark.createDataFrame([("a", float(x), float(2 * x)) for x in range(1, 11)] + [("a", 100.0, 200.0)],
                                "AIRLINE_NAME string, ARRIVAL_DELAY double, ORIGIN_CONGESTION double")
     assert ST.correlation(df).first().pearson_r == pytest.approx(1.0)
-    b = ST.box_stats(df, max_hot_groups=1).first()
+    b = ST.box_stats(df).first()
     # values 1..10 and 100: q1 = 3.5, q3 = 8.5, upper fence 16 -> whisker at 10, low whisker at 1
     assert (b.q1, b.median, b.q3, b.whisker_low, b.whisker_high) == (3.5, 6.0, 8.5, 1.0, 10.0)
 
@@ -55,7 +55,7 @@ def test_correlation_and_box_stats(spark):
 def test_stratified_sample_matches_brute_force(spark):
     rows = [("HOT", i) for i in range(400)] + [(f"g{i % 5}", 1000 + i) for i in range(60)]
     df = spark.createDataFrame(rows, "AIRLINE_NAME string, id int")
-    got = ST.stratified_sample(df, "AIRLINE_NAME", n=25, seed=7, order_cols=["id"], salt_buckets=8)
+    got = ST.stratified_sample(df, "AIRLINE_NAME", n=25, seed=7, order_cols=["id"])
     got = sorted((r.AIRLINE_NAME, r.id) for r in got.collect())
     want = []
     for g in {r[0] for r in rows}:
@@ -63,3 +63,22 @@ def test_stratified_sample_matches_brute_force(spark):
         want += [(g, i) for _, i in ids[:25]]
     assert got == sorted(want)
     assert F is not None
+
+
+def test_stratified_sample_beyond_the_default_size(spark):
+    df = spark.range(0, 45_000).selectExpr("'HOT' AS AIRLINE_NAME", "id").unionByName(
+        spark.range(0, 100).selectExpr("IF(id % 2 = 0, 'few', NULL) AS AIRLINE_NAME", "id + 100000 AS id"))
+    got = ST.stratified_sample(df, "AIRLINE_NAME", seed=7, order_cols=["id"])
+    order = sorted(range(45_000), key=lambda i: hashlib.md5(f"7|{i}".encode()).hexdigest())
+    assert {r.id for r in got.where("AIRLINE_NAME = 'HOT'").collect()} == set(order[:ST.SAMPLE_PER_GROUP])
+    assert got.where("AIRLINE_NAME = 'few'").count() == 50 and got.where("AIRLINE_NAME IS NULL").count() == 50
+
+
+def test_tails_match_known_values():
+    from contrail.functions.special import chi2_sf, f_sf
+    # published critical values of the chi-square and F distributions
+    for dof, x, p in [(1, 3.841459, .05), (2, 5.991465, .05), (5, 15.08627, .01), (24, 36.41503, .05)]:
+        assert chi2_sf(x, dof) == pytest.approx(p, rel=1e-5)
+    for f, a, b, p in [(4.9646027, 1, 10, .05), (3.3258345, 5, 10, .05), (5.1432528, 2, 6, .05), (1.5173, 24, 1_000_000, .05)]:
+        assert f_sf(f, a, b) == pytest.approx(p, rel=1e-3)
+    assert chi2_sf(0, 3) == 1.0 and f_sf(0, 2, 3) == 1.0
