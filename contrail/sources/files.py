@@ -1,36 +1,72 @@
 """File and catalog sources and sinks.
 
-Paths are parameters; nothing here lists local folders. Reads declare their
-schema, so no inference pass runs over the data and dirty text stays text until
-an operator coerces it with ``try_cast``.
+Paths are parameters; nothing here lists local folders. CSV columns are found by
+header name and read as text, so no inference pass runs over the data and dirty
+text never shifts or fails a row; types come from ``try_cast``.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail import schema as S
-from contrail.session import materialize
+
+
+def _missing(exc: AnalysisException) -> bool:
+    return "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc)
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
+    """CSV columns are bound by header name, whatever their order, and read as text; each
+    is then cast with ``try_cast``, so an unparsable cell becomes null (``unparsable``
+    counts them) and '1.0' is a whole number. Other formats carry their own schema."""
     try:
-        reader = spark.read.schema(schema) if fmt == "csv" else spark.read
-        if fmt == "csv":
-            return (reader.option("header", True).option("encoding", "UTF-8")
-                    .option("mode", "PERMISSIVE").csv(path))
-        return reader.format(fmt).load(path)
+        if fmt != "csv":
+            return spark.read.format(fmt).load(path)
+        text = csv_text(spark, path, [f.name for f in schema.fields])
+        return text.select(*[_typed(f) for f in schema.fields])
     except AnalysisException as exc:  # A10: a missing input fails loudly
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+        if _missing(exc):
             raise FileNotFoundError(f"Input not found: {path}") from exc
         raise
 
 
+def csv_text(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
+    """The named columns of CSV files with a header, as text; files whose header differs from the first one's fail."""
+    header = spark.read.option("header", True).option("encoding", "UTF-8").csv(path).columns
+    absent = [n for n in names if n not in header]
+    if absent:
+        raise ValueError(f"{path}: columns missing from the header: {', '.join(absent)}")
+    reader = spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in header]))
+    return (reader.option("header", True).option("enforceSchema", False).option("encoding", "UTF-8")
+            .option("mode", "PERMISSIVE").csv(path).select(*[F.col(f"`{n}`") for n in names]))
+
+
+def _typed(f: T.StructField) -> Column:
+    text = F.col(f"`{f.name}`")
+    if isinstance(f.dataType, T.StringType):
+        return text
+    if isinstance(f.dataType, T.IntegerType):  # only whole numbers: 1.0 is 1, 1.5 is unparsable
+        number = F.trim(text).try_cast("double")
+        return F.when(number == F.floor(number), number.try_cast("int")).alias(f.name)
+    return F.trim(text).try_cast(f.dataType).alias(f.name)
+
+
+def unparsable(spark: SparkSession, path: str, schema: T.StructType = S.FLIGHTS_RAW) -> DataFrame:
+    """Per typed column of a CSV source: cells with text that its type cannot hold."""
+    typed = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    text = csv_text(spark, path, [f.name for f in typed])
+    filled = lambda n: F.length(F.trim(F.col(f"`{n}`"))) > 0
+    wide = text.agg(*[F.count_if(filled(f.name) & _typed(f).isNull()).alias(f.name) for f in typed])
+    return wide.select(F.inline(F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.col(f"`{f.name}`").alias("unparsable")) for f in typed])))
+
+
 def read_flights(spark: SparkSession, path: str, fmt: str = "csv",
                  schema: T.StructType = S.FLIGHTS_RAW) -> DataFrame:
     """A1: raw flight records, header row, declared schema."""
@@ -91,17 +127,27 @@ def rewrite_in_place(spark: SparkSession, path: str, fn: Callable[[DataFrame], D
                      output: str | None = None, fmt: str = "parquet") -> str:
     """Read ``path``, transform, write to ``output`` or back over ``path``.
 
-    Spark cannot overwrite a path it is still reading, so an in-place rewrite
-    first materialises the result under the shared checkpoint folder (which also
-    cuts the lineage) and then overwrites the input from that copy.
+    In place, the result is first written to a staging folder beside the input; only when
+    that is complete do the folders change names (through the Hadoop file system, so any
+    store works) and the old one is deleted. A failed write leaves the input untouched.
     """
-    src = spark.read.format(fmt).load(path)
-    result = fn(src)
-    target = output or path
-    if target == path:
-        result = materialize(result, "rewrite")
-    result.write.mode("overwrite").format(fmt).save(target)
-    return target
+    result = fn(spark.read.format(fmt).load(path))
+    if output and output != path:
+        result.write.mode("overwrite").format(fmt).save(output)
+        return output
+    staged, old = (f"{path.rstrip('/')}.{kind}-{uuid.uuid4().hex}" for kind in ("staged", "old"))
+    result.write.format(fmt).save(staged)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    here = hadoop.Path(path)
+    fs = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.rename(here, hadoop.Path(old)):
+        raise OSError(f"cannot rename {path}; the result is in {staged}")
+    if not fs.rename(hadoop.Path(staged), here):
+        fs.rename(hadoop.Path(old), here)
+        raise OSError(f"cannot put {staged} in place of {path}; {path} is as before")
+    fs.delete(hadoop.Path(old), True)
+    spark.catalog.refreshByPath(path)
+    return path
 
 
 def save_as_table(df: DataFrame, name: str, temp: bool = False) -> None:

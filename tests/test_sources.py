@@ -69,3 +69,27 @@ def test_use_catalog_sets_current_database(spark):
     FS.use_catalog(spark, database="default")
     assert spark.catalog.currentDatabase() == "default"
     FS.use_catalog(spark, database=before)
+
+
+def test_csv_binds_by_header_name_and_reports_bad_cells(spark):
+    tmp = tempfile.mkdtemp(prefix="contrail-src-")
+    swapped = FS.read_airlines(spark, _csv(tmp, "a.csv", "AIRLINE,extra,IATA_CODE\nUnited,x,UA\n")).first()
+    assert (swapped.IATA_CODE, swapped.AIRLINE) == ("UA", "United")
+    with pytest.raises(ValueError, match="IATA_CODE"):
+        FS.read_airlines(spark, _csv(tmp, "b.csv", "CODE,AIRLINE\nUA,United\n"))
+    names = [f.name for f in FS.S.FLIGHTS_RAW.fields]
+    cells = {"YEAR": "2015", "MONTH": " 2", "CANCELLED": "1.0", "DIVERTED": "0.5", "DISTANCE": "n/a", "DAY": ""}
+    path = _csv(tmp, "f.csv", ",".join(reversed(names)) + "\n" + ",".join(cells.get(n, "") for n in reversed(names)) + "\n")
+    r = FS.read_flights(spark, path).first()
+    assert (r.YEAR, r.MONTH, r.CANCELLED, r.DIVERTED, r.DISTANCE, r.DAY) == (2015, 2, 1, None, None, None)
+    bad = {x.column_name: x.unparsable for x in FS.unparsable(spark, path).collect()}
+    assert {k for k, v in bad.items() if v} == {"DIVERTED", "DISTANCE"}
+
+
+def test_failed_rewrite_leaves_the_input(spark):
+    tmp = tempfile.mkdtemp(prefix="contrail-out-")
+    out = os.path.join(tmp, "t")
+    spark.range(5).write.parquet(out)
+    with pytest.raises(Exception):
+        FS.rewrite_in_place(spark, out, lambda d: d.select(F.raise_error(F.lit("no")).alias("id")))
+    assert spark.read.parquet(out).count() == 5
