@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from contrail import schema as S
 from contrail.functions.hhmm import hhmm_normalise, hhmm_string
 from contrail.functions.text import is_blank
-from contrail.operators.joins import DEFAULT_BROADCAST_ROWS, semi_join
+from contrail.operators.joins import DEFAULT_BROADCAST_ROWS, lookup_join, semi_join
 from contrail.sources.files import lookup_keys
 
 STR_SUFFIX = "_STR"
@@ -54,11 +54,6 @@ def fill_cancellation_reason(df: DataFrame, reason: str = "CANCELLATION_REASON",
     )
 
 
-def blank_to_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Empty or white-space-only text -> null."""
-    return df.withColumns({c: F.when(~is_blank(c), F.col(c)) for c in cols if c in df.columns})
-
-
 def clean_delay_causes(df: DataFrame, cols: Sequence[str] = S.DELAY_CAUSE_COLS) -> DataFrame:
     """Blank / 'ND' / non-numeric / missing -> 0, then whole minutes (int,
     truncated toward zero)."""
@@ -82,6 +77,18 @@ def keep_valid_airports(df: DataFrame, airports: DataFrame, origin: str = "ORIGI
     return semi_join(out, destination, keys, key, max_broadcast_rows=max_broadcast_rows)
 
 
+def flag_valid_airports(df: DataFrame, airports: DataFrame, name: str = "keep", origin: str = "ORIGIN_AIRPORT",
+                        destination: str = "DESTINATION_AIRPORT", key: str = "IATA_CODE",
+                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """C1 as a flag: all rows, with whether ``keep_valid_airports`` keeps them (one pass, no filter)."""
+    out = df
+    for i, col in enumerate((origin, destination)):
+        keys = lookup_keys(airports, key).select(F.col(key).alias(col), F.lit(True).alias(f"__ok{i}"))
+        out = lookup_join(out, keys, [col], "left", max_broadcast_rows)
+    ok = F.coalesce(F.col("__ok0"), F.lit(False)) & F.coalesce(F.col("__ok1"), F.lit(False))
+    return out.withColumn(name, ok).drop("__ok0", "__ok1")
+
+
 def patch_coordinates(df: DataFrame, patches: Mapping[str, tuple[float, float]] = S.COORDINATE_PATCHES,
                       roles: Sequence[str] = ("ORIGIN", "DESTINATION")) -> DataFrame:
     """Overwrite LAT/LON for the listed airport codes, on both roles,

@@ -10,7 +10,7 @@ always lies inside one ISO week.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail import schema as S
@@ -22,7 +22,7 @@ from contrail.functions.flags import (
 )
 from contrail.functions.hhmm import hour_from_hhmm
 from contrail.operators.joins import (
-    DEFAULT_GROUP_BROADCAST_ROWS, DEFAULT_MAX_HOT_GROUPS, DEFAULT_SALT_BUCKETS, join_group_values,
+    DEFAULT_GROUP_BROADCAST_ROWS, DEFAULT_MAX_HOT_GROUPS, join_group_values,
 )
 
 PER_DAY = "FLIGHTS_PER_TAIL_NUMBER_PER_DAY"
@@ -66,18 +66,16 @@ def add_scalar_features(df: DataFrame) -> DataFrame:
 
 def tail_count_groups(df: DataFrame, tail: str = "TAIL_NUMBER") -> DataFrame:
     """One row per (tail, date) with that day's and that ISO week's flight counts
-    (partial aggregations; rows with a null tail or date are not counted)."""
+    (rows with a null tail or date are not counted). A day lies in one ISO week, so
+    the weekly count sums the at most seven daily counts: the flights are read once."""
     keyed = df.where(F.col(tail).isNotNull() & F.col("FLIGHT_DATE").isNotNull())
     per_day = keyed.groupBy(tail, "FLIGHT_DATE").agg(F.count(F.lit(1)).alias(PER_DAY))
-    per_week = keyed.groupBy(tail, "ISO_YEAR", "ISO_WEEK").agg(F.count(F.lit(1)).alias(PER_WEEK))
-    return (per_day.withColumns({"ISO_YEAR": iso_year("FLIGHT_DATE"), "ISO_WEEK": iso_week("FLIGHT_DATE")})
-            .join(per_week, [tail, "ISO_YEAR", "ISO_WEEK"], "inner")
-            .select(tail, "FLIGHT_DATE", PER_DAY, PER_WEEK))
+    week = Window.partitionBy(tail, iso_year("FLIGHT_DATE"), iso_week("FLIGHT_DATE"))
+    return per_day.withColumn(PER_WEEK, F.sum(PER_DAY).over(week))
 
 
 def add_tail_counts(df: DataFrame, tail: str = "TAIL_NUMBER", *, groups: DataFrame | None = None,
                     max_hot_groups: int = DEFAULT_MAX_HOT_GROUPS,
-                    salt_buckets: int = DEFAULT_SALT_BUCKETS,
                     broadcast_max_rows: int = DEFAULT_GROUP_BROADCAST_ROWS) -> DataFrame:
     """H1 + H2: flights per tail number per day and per ISO week, on every row
     (null when the tail number or the date is null). ``groups``: a precomputed
@@ -86,7 +84,7 @@ def add_tail_counts(df: DataFrame, tail: str = "TAIL_NUMBER", *, groups: DataFra
         return df.withColumns({PER_DAY: F.lit(None).cast("long"), PER_WEEK: F.lit(None).cast("long")})
     both = groups if groups is not None else tail_count_groups(df, tail)
     return join_group_values(df, [tail, "FLIGHT_DATE"], both, PER_DAY, [PER_DAY, PER_WEEK],
-                             max_hot_groups=max_hot_groups, salt_buckets=salt_buckets,
+                             max_hot_groups=max_hot_groups,
                              broadcast_max_rows=broadcast_max_rows, persist_groups=groups is None)
 
 
@@ -102,12 +100,11 @@ def congestion_groups(df: DataFrame) -> DataFrame:
 
 def add_origin_congestion(df: DataFrame, *, groups: DataFrame | None = None,
                           max_hot_groups: int = DEFAULT_MAX_HOT_GROUPS,
-                          salt_buckets: int = DEFAULT_SALT_BUCKETS,
                           broadcast_max_rows: int = DEFAULT_GROUP_BROADCAST_ROWS) -> DataFrame:
     """H3: departures per origin airport per date per scheduled hour."""
     g = groups if groups is not None else congestion_groups(df)
     return join_group_values(df, CONGESTION_KEYS, g, CONGESTION, [CONGESTION],
-                             max_hot_groups=max_hot_groups, salt_buckets=salt_buckets,
+                             max_hot_groups=max_hot_groups,
                              broadcast_max_rows=broadcast_max_rows, persist_groups=groups is None)
 
 

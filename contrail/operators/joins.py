@@ -6,9 +6,9 @@
 * ``join_group_values`` attaches per-group values (counts, quartiles...) back to
   every row of a large table. A group table of proven small size is broadcast
   whole (the large table is not shuffled). Otherwise groups holding a large
-  share of the rows are broadcast (their number is bounded by construction) and
-  the remaining groups go through a shuffle join in which rows of hot or null
-  keys are spread over salt buckets, so no single task receives a hot group.
+  share of the rows are broadcast (their number is bounded by construction);
+  rows of hot or null keys get their values there and never enter the shuffle
+  join of the remaining groups.
 """
 
 from __future__ import annotations
@@ -25,21 +25,32 @@ from contrail.session import materialize, session_key
 DEFAULT_BROADCAST_ROWS = 1_000_000
 # At most this many groups count as hot (a group is hot above total / MAX_HOT rows).
 DEFAULT_MAX_HOT_GROUPS = 10_000
-# Salt buckets used to spread hot and null-key rows in the shuffle join.
-DEFAULT_SALT_BUCKETS = 64
 # A per-group table up to this many rows is broadcast whole: the large side is
 # then not shuffled at all.
 DEFAULT_GROUP_BROADCAST_ROWS = 2_000_000
 
 
 # Size and uniqueness proofs already established in this process, keyed by the
-# session, the canonical plan of the checked frame and the check itself, so a
-# lookup reused by many queries is checked once.
+# session, the checked frame's canonical plan, the versions of its input files and
+# the check itself: a lookup reused by many queries is checked once, a rewritten one
+# is checked again.
 _PROOFS: dict[tuple, bool] = {}
 
 
+def _input_versions(df: DataFrame) -> tuple:
+    """(path, time, length) of each input file of a lookup or group table."""
+    spark = df.sparkSession
+    conf, out = spark._jsc.hadoopConfiguration(), []
+    for name in df.inputFiles():
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        status = path.getFileSystem(conf).getFileStatus(path)
+        out.append((name, status.getModificationTime(), status.getLen()))
+    return tuple(sorted(out))
+
+
 def _proof_key(df: DataFrame, *check) -> tuple:
-    return (session_key(df.sparkSession), df.semanticHash(), *check)
+    plan = df._jdf.queryExecution().analyzed().canonicalized().toString()
+    return (session_key(df.sparkSession), plan, _input_versions(df), *check)
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -98,14 +109,13 @@ def semi_join(fact: DataFrame, fact_key: str, keys: DataFrame, key: str,
     return fact.join(side, fact[fact_key] == side["__k"], "left_anti" if anti else "left_semi")
 
 
-def _all_not_null(cols: Sequence[str]) -> Column:
+def all_not_null(cols: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
 
 
 def join_group_values(df: DataFrame, keys: Sequence[str], groups: DataFrame, weight: str,
                       values: Sequence[str], *, null_safe: bool = False,
                       max_hot_groups: int = DEFAULT_MAX_HOT_GROUPS,
-                      salt_buckets: int = DEFAULT_SALT_BUCKETS,
                       broadcast_max_rows: int = DEFAULT_GROUP_BROADCAST_ROWS,
                       persist_groups: bool = True) -> DataFrame:
     """Left-join per-group ``values`` from ``groups`` (one row per key) onto ``df``.
@@ -115,61 +125,48 @@ def join_group_values(df: DataFrame, keys: Sequence[str], groups: DataFrame, wei
 
     The group table is aggregated once and persisted (it is read up to three
     times below). When it has at most ``broadcast_max_rows`` rows it is broadcast
-    whole and ``df`` is not shuffled; otherwise hot groups are broadcast and the
-    rest go through a salted shuffle join.
+    whole and ``df`` is not shuffled; otherwise hot groups are broadcast, and only
+    rows of the other groups are shuffled.
     """
     keys = list(keys)
     values = list(values)
     gk = [f"__gk{i}" for i in range(len(keys))]
-    # ``__salt`` is 0 on every group row, carried as data (not a literal): a
-    # literal would be folded out of the join keys, and the shuffle would then
-    # hash hot-key rows by their real key again.
-    g = groups.select(*[F.col(k).alias(a) for k, a in zip(keys, gk)],
-                      F.col(weight).alias("__w"), *[F.col(v) for v in values],
-                      (F.col(weight) * 0).alias("__salt"))
+    g = groups.select(*[F.col(k).alias(a) for k, a in zip(keys, gk)], F.col(weight).alias("__w"), *[F.col(v) for v in values])
     if persist_groups:
         g = materialize(g, "group-values")
 
-    def cond(right: DataFrame) -> list[Column]:
-        if null_safe:
-            return [df[k].eqNullSafe(right[a]) for k, a in zip(keys, gk)]
-        return [df[k] == right[a] for k, a in zip(keys, gk)]
+    # by name: the group columns have names of their own, and ``df`` may already hold earlier joins of this kind
+    pairs = list(zip(keys, gk, strict=True))
+    cond: list[Column] = [F.col(k).eqNullSafe(F.col(a)) if null_safe else F.col(k) == F.col(a) for k, a in pairs]
 
     if broadcast_max_rows and row_count_at_most(g, broadcast_max_rows):
-        small = F.broadcast(g.drop("__w", "__salt"))
-        return df.join(small, cond(small), "left").select(*[df[c] for c in df.columns], *values)
+        small = F.broadcast(g.drop("__w"))
+        return df.join(small, cond, "left").select(*df.columns, *values)
 
     # Hot groups: more than total/max_hot rows each, hence at most max_hot of them.
     total = g.select(F.sum("__w")).scalar()
     is_hot = F.col("__w") * F.lit(max_hot_groups) > total
     hot = g.where(is_hot).select(*gk, F.lit(True).alias("__is_hot"),
                                  *[F.col(v).alias(f"__h_{v}") for v in values])
-    cold = g.where(~is_hot).select(*gk, "__salt", *[F.col(v).alias(f"__c_{v}") for v in values])
+    cold = g.where(~is_hot).drop("__w")
 
     # 1) hot keys: broadcast hash join, no shuffle of df
     hot_b = F.broadcast(hot)
-    step = df.join(hot_b, cond(hot_b), "left").drop(*gk)
-
-    # 2) other keys: shuffle join; hot and null-key rows get a non-zero salt that
-    #    never matches, so they spread over buckets instead of piling on one task
-    key_ok = F.lit(True) if null_safe else _all_not_null(keys)
-    spread = 1 + F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
+    step = df.join(hot_b, cond, "left").drop(*gk)
     hot_hit = F.col("__is_hot").isNotNull()
-    step = step.withColumn("__salt", F.when(key_ok & ~hot_hit, F.lit(0).cast("long")).otherwise(spread))
-    cold_s = cold
-    conds = ([step[k].eqNullSafe(cold_s[a]) for k, a in zip(keys, gk)] if null_safe
-             else [step[k] == cold_s[a] for k, a in zip(keys, gk)])
-    conds.append(step["__salt"] == cold_s["__salt"])
-    joined = step.join(cold_s, conds, "left")
-    out = [step[c] for c in df.columns]
-    out += [F.when(hot_hit, F.col(f"__h_{v}")).otherwise(F.col(f"__c_{v}")).alias(v) for v in values]
-    return joined.select(*out)
+    key_ok = F.lit(True) if null_safe else all_not_null(keys)
+    settled = hot_hit | ~key_ok
+    done = step.where(settled).select(*df.columns, *[F.col(f"__h_{v}").alias(v) for v in values])
+
+    # 2) other keys: rows that can match no cold group are not shuffled at all
+    rest = step.where(~settled).select(*df.columns)
+    joined = rest.join(cold, cond, "left").select(*df.columns, *values)
+    return done.unionByName(joined)
 
 
 def attach_group_count(df: DataFrame, keys: Sequence[str], name: str, *, null_safe: bool = False,
                        max_hot_groups: int = DEFAULT_MAX_HOT_GROUPS,
-                       salt_buckets: int = DEFAULT_SALT_BUCKETS,
-                       broadcast_max_rows: int = DEFAULT_GROUP_BROADCAST_ROWS) -> DataFrame:
+                        broadcast_max_rows: int = DEFAULT_GROUP_BROADCAST_ROWS) -> DataFrame:
     """Add ``name`` = number of rows sharing this row's ``keys`` (a group transform-count).
 
     Counting is a partial (map-side) aggregation, so hot keys cost nothing there;
@@ -177,8 +174,8 @@ def attach_group_count(df: DataFrame, keys: Sequence[str], name: str, *, null_sa
     part gets null unless ``null_safe``.
     """
     keys = list(keys)
-    src = df if null_safe else df.where(_all_not_null(keys))
+    src = df if null_safe else df.where(all_not_null(keys))
     counts = src.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
     return join_group_values(df, keys, counts, name, [name], null_safe=null_safe,
-                             max_hot_groups=max_hot_groups, salt_buckets=salt_buckets,
+                             max_hot_groups=max_hot_groups,
                              broadcast_max_rows=broadcast_max_rows)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from contrail import schema as S
 from contrail.functions.flags import as_int
 from contrail.functions.risk import recommended_action, risk_level
-from contrail.operators.joins import join_group_values
+from contrail.operators.joins import all_not_null, join_group_values
 
 PROB = "delay_probability"
 
@@ -21,7 +21,7 @@ def historical_delay_score(df: DataFrame, keys: Sequence[str], flag: str = "IS_D
     (e.g. origin, destination and departure hour), joined back skew-safely.
     Serves as the score when no trained model is at hand."""
     keys = list(keys)
-    keyed = df.where(F.greatest(*[F.col(k).isNull() for k in keys]) == F.lit(False))
+    keyed = df.where(all_not_null(keys))
     rates = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
                                      F.avg(as_int(flag).cast("double")).alias(PROB))
     return join_group_values(df, keys, rates, "__n", [PROB], **skew)

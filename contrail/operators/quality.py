@@ -20,7 +20,8 @@ from contrail.functions.text import (
     MAX_SPECIAL_CHARS, blank_sql, control_chars_sql, digits_only_sql, has_control_chars, hhmm_sql, is_blank,
     is_digits_only, special_char_count, special_char_count_sql, sql_ident,
 )
-from contrail.operators.joins import DEFAULT_BROADCAST_ROWS, attach_group_count, broadcast_if_small
+from contrail.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, join_group_values
+from contrail.operators.stats import quartiles
 from contrail.sources.files import lookup_keys
 
 # ---------------------------------------------------------------------------
@@ -76,9 +77,9 @@ def table_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)))
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """B2: first ``n`` rows."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:
+    """B2: first ``n`` rows in the order of the key columns ``order`` (any ``n`` rows without one)."""
+    return df.orderBy(*order).limit(n) if order else df.limit(n)
 
 
 def schema_report(df: DataFrame) -> DataFrame:
@@ -108,27 +109,30 @@ def numeric_summary(df: DataFrame, cols: Sequence[str], digits: int = 1,
                     relative_error: float | None = None) -> DataFrame:
     """Count, mean, std (sample), min, quartiles, max per column, rounded.
 
-    Quartiles are exact with linear interpolation (``percentile``), whose state
-    is one counter per distinct value -- small for minutes, miles and clock
-    times. For a high-cardinality column pass ``relative_error`` to use the
-    bounded-memory ``percentile_approx`` instead.
+    Quartiles are exact with linear interpolation, from counts per (column, value) that
+    are combined before their shuffle; running counts over a column's sorted values find
+    them, so no aggregation state grows with the number of distinct values. With
+    ``relative_error`` they come from the bounded-memory ``percentile_approx`` instead.
     """
+    names = list(cols)
     aggs = []
-    for i, c in enumerate(cols):
+    for i, c in enumerate(names):
         v = _num_sql(c)
-        if relative_error is None:
-            q = f"percentile({v}, array(0.25D, 0.5D, 0.75D))"
-        else:
-            q = f"CAST(percentile_approx({v}, array(0.25D, 0.5D, 0.75D), {int(round(1.0 / relative_error))}) AS ARRAY<DOUBLE>)"
-        aggs += [f"count({v}) AS n{i}", f"avg({v}) AS m{i}", f"stddev_samp({v}) AS s{i}", f"min({v}) AS lo{i}",
-                 f"{q} AS q{i}", f"max({v}) AS hi{i}"]
-    wide = _agg_sql(df, aggs)
-    rows = [[("column_name", _lit(c)), ("count", f"n{i}"), ("mean", f"round(m{i}, {digits})"),
-             ("std", f"round(s{i}, {digits})"), ("min", f"round(lo{i}, {digits})"),
-             ("q25", f"round(q{i}[0], {digits})"), ("q50", f"round(q{i}[1], {digits})"),
-             ("q75", f"round(q{i}[2], {digits})"), ("max", f"round(hi{i}, {digits})")]
-            for i, c in enumerate(cols)]
-    return _long_sql(wide, rows)
+        aggs += [f"count({v}) AS n{i}", f"avg({v}) AS m{i}", f"stddev_samp({v}) AS s{i}", f"min({v}) AS lo{i}", f"max({v}) AS hi{i}"]
+        if relative_error is not None:
+            aggs.append(f"CAST(percentile_approx({v}, array(0.25D, 0.5D, 0.75D), {int(round(1.0 / relative_error))}) AS ARRAY<DOUBLE>) AS q{i}")
+    fields = [("count", "n"), ("mean", "m"), ("std", "s"), ("min", "lo"), ("max", "hi")]
+    rounded = [[("column_name", _lit(c))] + [(f, f"{k}{i}" if f == "count" else f"round({k}{i}, {digits})") for f, k in fields]
+               + ([(f"q{p}", f"round(q{i}[{j}], {digits})") for j, p in enumerate((25, 50, 75))] if relative_error is not None else [])
+               for i, c in enumerate(names)]
+    wide = _long_sql(_agg_sql(df, aggs), rounded)
+    if relative_error is not None:
+        return wide
+    pairs = _stack(df.selectExpr(*[f"{_num_sql(c)} AS {sql_ident(c)}" for c in names]), names, "double").where("value IS NOT NULL")
+    counts = pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("__c"))
+    q = quartiles(counts, "column_name", "value", "__c").select(
+        "column_name", *[F.round(a, digits).alias(b) for a, b in (("q1", "q25"), ("median", "q50"), ("q3", "q75"))]).distinct()
+    return wide.join(F.broadcast(q), "column_name", "left")  # one row per column
 
 
 # ---------------------------------------------------------------------------
@@ -413,23 +417,22 @@ def code_breakdown(df: DataFrame, airports: DataFrame, origin: str = "ORIGIN_AIR
                             "any_invalid_pct": _pct(F.col("any_invalid"), F.col("total_rows"), 2)})
 
 
-def row_accounting(before: DataFrame, after: DataFrame,
+def row_accounting(flagged: DataFrame, keep: str = "keep",
                    code_cols: Sequence[str] = ("ORIGIN_AIRPORT", "DESTINATION_AIRPORT")) -> DataFrame:
-    """Rows before and after a filter, removed count and %, kept %, and
-    the distinct codes left in ``code_cols``."""
-    codes = None
-    for c in code_cols:
-        part = after.select(F.col(c).alias("code"))
-        codes = part if codes is None else codes.union(part)
-    parts = [
-        before.agg(F.count(F.lit(1)).alias("v")).select(F.lit("rows_before").alias("k"), "v"),
-        after.agg(F.count(F.lit(1)).alias("v")).select(F.lit("rows_after").alias("k"), "v"),
-        codes.where(F.col("code").isNotNull()).agg(F.count_distinct("code").alias("v"))
-        .select(F.lit("distinct_codes_left").alias("k"), "v"),
-    ]
-    both = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    wide = both.agg(*[F.max(F.when(F.col("k") == k, F.col("v"))).alias(k)
-                      for k in ("rows_before", "rows_after", "distinct_codes_left")])
+    """Rows before and after a filter, removed count and %, kept %, and the
+    distinct codes left in ``code_cols``.
+
+    ``flagged`` holds all rows and whether the filter keeps each: one pass counts them by
+    their codes, and the rest works on those few groups.
+    """
+    kept = F.coalesce(F.col(keep), F.lit(False))
+    groups = flagged.groupBy(kept.alias("__keep"), *code_cols).agg(F.count(F.lit(1)).alias("__n"))
+    codes = groups.select("__keep", "__n", F.posexplode(F.array(*[F.col(c).cast("string") for c in code_cols])).alias("__side", "__code"))
+    per_code = codes.groupBy("__code").agg(F.sum(F.when(F.col("__side") == 0, F.col("__n"))).alias("before"),
+                                           F.sum(F.when((F.col("__side") == 0) & F.col("__keep"), F.col("__n"))).alias("after"),
+                                           F.max("__keep").alias("left"))
+    wide = per_code.agg(F.coalesce(F.sum("before"), F.lit(0)).alias("rows_before"), F.coalesce(F.sum("after"), F.lit(0)).alias("rows_after"),
+                        F.count_if(F.col("left") & F.col("__code").isNotNull()).alias("distinct_codes_left"))
     removed = F.col("rows_before") - F.col("rows_after")
     return wide.withColumns({"rows_removed": removed,
                              "removed_pct": _pct(removed, F.col("rows_before"), 2),
@@ -495,12 +498,18 @@ def duplicate_report(df: DataFrame, subset: Sequence[str] | None = None) -> Data
 
 
 def duplicate_rows(df: DataFrame, subset: Sequence[str] | None = None, **skew) -> DataFrame:
-    """Every member of a duplicate group (keep=False), with the group size.
-    The group size is joined back skew-safely: a group of copies holding a large
-    share of the table is broadcast, never sent to one task."""
+    """Every member of a duplicate group (keep=False), with the group size ``copies``.
+
+    Without ``subset`` the members of a group are equal in all columns, so each group of
+    more than one row is repeated that often: no join. With it, only the groups of more
+    than one row are joined back (rows of hot groups meet a broadcast table and are not
+    shuffled; see ``join_group_values``).
+    """
     subset = list(subset or df.columns)
-    return (attach_group_count(df, subset, "copies", null_safe=True, **skew)
-            .where(F.col("copies") > 1))
+    groups = df.groupBy(*subset).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+    if set(subset) == set(df.columns):
+        return groups.select(*df.columns, "copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("col")
+    return join_group_values(df, subset, groups, "copies", ["copies"], null_safe=True, **skew).where(F.col("copies").isNotNull())
 
 
 def junk_text_report(df: DataFrame, cols: Sequence[str] = S.JUNK_TEXT_COLS,
@@ -521,13 +530,11 @@ def junk_text_report(df: DataFrame, cols: Sequence[str] = S.JUNK_TEXT_COLS,
 
 def junk_values(df: DataFrame, cols: Sequence[str] = S.JUNK_TEXT_COLS,
                 code_cols: Sequence[str] = S.CODE_COLS) -> DataFrame:
-    """The distinct offending values per column."""
-    out = None
+    """The distinct offending values per column, all columns in one pass."""
+    cells = []
     for c in [x for x in cols if x in df.columns]:
         bad = has_control_chars(c) | (special_char_count(c) > MAX_SPECIAL_CHARS)
         if c in code_cols:
             bad = bad | is_digits_only(c)
-        part = (df.where(bad).select(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-                .distinct())
-        out = part if out is None else out.unionByName(part)
-    return out
+        cells.append(F.when(bad, F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))))
+    return df.select(F.explode(F.array_compact(F.array(*cells))).alias("x")).select("x.*").distinct()

@@ -25,8 +25,7 @@ from contrail.operators.enrich import enrich_flights
 from contrail.operators.features import (
     add_origin_congestion, add_scalar_features, add_tail_counts, congestion_groups, tail_count_groups,
 )
-from contrail.operators.joins import DEFAULT_GROUP_BROADCAST_ROWS, row_count_at_most
-from contrail.session import materialize, session_key
+from contrail.session import intermediates, materialize, session_key
 from contrail.sources.files import read_airlines, read_airports, read_flights
 from contrail.sources.fixtures import FIXTURE_COORDINATE_PATCHES, flight_views
 
@@ -53,28 +52,19 @@ def enriched_stage(frames: FlightFrames, patches: Mapping[str, tuple[float, floa
 
 
 def feature_stage(enriched: DataFrame, output: str | None = None,
-                  partition_by: Sequence[str] = ("MONTH",), persist: bool | str = "auto",
+                  partition_by: Sequence[str] = ("MONTH",), persist: bool = False,
                   **skew) -> DataFrame:
     """Stage 2: stage 1 plus the three per-group counts.
 
-    The two group tables are aggregated and persisted first. With ``output`` (or
-    ``persist=True``) the whole table is written. With ``persist="auto"`` it is
-    written only when a group table is too big to broadcast (the join back then
-    shuffles the fact table, which should happen once); when both are proven
-    small, stage 2 stays two map-side broadcast joins over stage 1 and the fact
-    table is never rewritten just to add three columns.
+    The two group tables are aggregated and persisted first. The whole table is
+    written only where the caller asks for it, with ``output`` or ``persist=True``
+    (worth it where many reads follow and a group table is too big to broadcast).
     """
     tail_g = materialize(tail_count_groups(enriched), "tail-groups")
     cong_g = materialize(congestion_groups(enriched), "congestion-groups")
     table = (enriched.transform(add_tail_counts, groups=tail_g, **skew)
              .transform(add_origin_congestion, groups=cong_g, **skew))
-    if output is None and persist == "auto":
-        limit = skew.get("broadcast_max_rows", DEFAULT_GROUP_BROADCAST_ROWS)
-        if limit and row_count_at_most(tail_g, limit) and row_count_at_most(cong_g, limit):
-            return table
-    if output is None and persist is False:
-        return table
-    return _persist(table, "flights-features", output, partition_by)
+    return _persist(table, "flights-features", output, partition_by) if output or persist else table
 
 
 def _persist(table: DataFrame, name: str, output: str | None,
@@ -140,4 +130,5 @@ def run_batch(spark: SparkSession, flights_path: str, airlines_path: str, airpor
     raw = read_flights(spark, flights_path, fmt)
     airlines = read_airlines(spark, airlines_path)
     airports = read_airports(spark, airports_path)
-    return build_feature_table(raw, airlines, airports, patches, output, partition_by, **skew)
+    with intermediates(spark):  # the output is complete when the block ends; what led to it goes
+        return build_feature_table(raw, airlines, airports, patches, output, partition_by, **skew)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from contrail import schema as S
 from contrail.operators import enrich as E
 from contrail.operators import quality as Q
-from contrail.operators.cleaning import clean_times, keep_valid_airports, null_when_cancelled
+from contrail.operators.cleaning import clean_times, flag_valid_airports, null_when_cancelled
 from contrail.plans import oracle as O
 from contrail.plans.pipeline import fixture_enriched, fixture_frames
 from contrail.plans.registry import KEYS, register
@@ -53,9 +53,17 @@ def q_table_shape(spark, sf):
     return Q.table_shape(_raw(spark, sf))
 
 
-@register("preview")
+@register("preview", O.with_stages(f"SELECT {', '.join(RAW_COLS)} FROM fv ORDER BY {_K} LIMIT 5"))
 def q_preview(spark, sf):
-    return Q.preview(_raw(spark, sf), 5)
+    return Q.preview(_raw(spark, sf), 5, KEYS).select(*RAW_COLS)
+
+
+_COL_LIST = "[" + ", ".join(f"'{c}'" for c in RAW_COLS) + "]"
+
+
+@register("schema_report", f"SELECT CAST(generate_subscripts({_COL_LIST}, 1) - 1 AS INTEGER) AS position, unnest({_COL_LIST}) AS column_name")
+def q_schema_report(spark, sf):
+    return Q.schema_report(_raw(spark, sf).select(*RAW_COLS)).select("position", "column_name")
 
 
 # --- B3-B5 ----------------------------------------------------------------
@@ -328,7 +336,7 @@ def q_code_breakdown(spark, sf):
 def q_row_accounting(spark, sf):
     fr = fixture_frames(spark, sf)
     before = null_when_cancelled(clean_times(fr.raw))
-    return Q.row_accounting(before, keep_valid_airports(before, fr.airports))
+    return Q.row_accounting(flag_valid_airports(before, fr.airports))
 
 
 # --- B27-B30 --------------------------------------------------------------

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,14 +66,52 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+#: Folders written by ``materialize`` in this process, deleted when their block or the process ends.
+_MADE: list[str] = []
+_KEPT: list[str] = []
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextlib.contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``materialize`` writes inside the block when the block ends.
+
+    What is still needed afterwards has to be written by then (to an output of its own,
+    or with ``keep``).
+    """
+    mark = len(_MADE)
+    try:
+        yield
+    finally:
+        done = _MADE[mark:]
+        del _MADE[mark:]
+        _delete(spark, done)
+
+
+@atexit.register
+def _delete_all() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        with contextlib.suppress(Exception):  # the JVM may be gone already
+            _delete(spark, _MADE + _KEPT)
+
+
+def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     This cuts the lineage (a lost executor re-reads the files instead of
-    recomputing the whole chain) and gives later stages file statistics.
+    recomputing the whole chain) and gives later stages file statistics. The table
+    lives until the surrounding ``intermediates`` block ends (with ``keep``, or
+    outside such a block, until the process ends).
     """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/{name}-{uuid.uuid4().hex}"
+    (_KEPT if keep else _MADE).append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

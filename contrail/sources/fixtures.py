@@ -17,8 +17,11 @@ SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
  CAST(EXTRACT(MONTH FROM l.l_shipdate) AS INT) AS MONTH,
  CASE WHEN l.l_orderkey % 101 = 0 THEN 31 ELSE CAST(EXTRACT(DAY FROM l.l_shipdate) AS INT) END AS DAY,
  CAST((l.l_orderkey + l.l_linenumber) % 7 + 1 AS INT) AS DAY_OF_WEEK,
- p.p_brand AS AIRLINE,
- CASE WHEN l.l_suppkey % 9 <> 4 THEN CONCAT('N', CAST(l.l_suppkey AS VARCHAR(20))) END AS TAIL_NUMBER,
+ CASE WHEN l.l_orderkey % 997 = 5 THEN '12' WHEN l.l_orderkey % 997 = 6 THEN '345' ELSE p.p_brand END AS AIRLINE,
+ CASE WHEN l.l_orderkey % 499 = 7 THEN CONCAT('N', CHR(9), CAST(l.l_suppkey % 10 AS VARCHAR(20)))
+      WHEN l.l_orderkey % 499 = 6 THEN CONCAT('N', CHR(127), '7')
+      WHEN l.l_orderkey % 499 = 5 THEN CONCAT('#$%^&*', CAST(l.l_suppkey % 10 AS VARCHAR(20)))
+      WHEN l.l_suppkey % 9 <> 4 THEN CONCAT('N', CAST(l.l_suppkey AS VARCHAR(20))) END AS TAIL_NUMBER,
  ns.n_name AS ORIGIN_AIRPORT, nc.n_name AS DESTINATION_AIRPORT,
  CASE WHEN l.l_partkey % 61 <> 5 THEN CAST(((l.l_orderkey*7 + l.l_linenumber*131) % 24)*100 + l.l_partkey % 60 AS INT) END AS SCHEDULED_DEPARTURE,
  CAST(CASE WHEN (l.l_orderkey + l.l_partkey) % 97 = 0 THEN 2400 ELSE ((l.l_orderkey*7 + l.l_linenumber*131 + 1) % 24)*100 + l.l_partkey % 60 END AS INT) AS DEPARTURE_TIME,

@@ -56,13 +56,13 @@ def test_model_features(spark):
     assert (r[2].IS_LONG_DISTANCE, r[2].IS_EVENING, r[2].HAS_DELAY_CAUSE) == (0, 0, 0)
 
 
-def test_feature_stage_persists_only_when_a_join_back_shuffles(spark):
+def test_feature_stage_persists_only_when_told(spark):
     from contrail.plans.pipeline import feature_stage
     from contrail.session import materialize
     s1 = materialize(add_scalar_features(_flights(spark)), "unit-stage1")
-    lazy = feature_stage(s1)
+    lazy = feature_stage(s1, broadcast_max_rows=0)
     assert not any("flights-features" in f for f in lazy.inputFiles())
-    forced = feature_stage(s1, broadcast_max_rows=0)  # group tables "too big": salted join, then persisted
-    assert all("flights-features" in f for f in forced.inputFiles())
+    written = feature_stage(s1, persist=True)
+    assert all("flights-features" in f for f in written.inputFiles())
     cols = sorted(lazy.columns)
-    assert lazy.select(cols).exceptAll(forced.select(cols)).count() == 0 and lazy.count() == forced.count()
+    assert lazy.select(cols).exceptAll(written.select(cols)).count() == 0 and lazy.count() == written.count()

@@ -18,7 +18,7 @@ def _skewed(spark):
 @pytest.mark.parametrize("max_hot", [10_000, 2])
 def test_attach_group_count_matches_window(spark, max_hot):
     df = _skewed(spark)
-    got = {r.id: r.n for r in attach_group_count(df, ["k", "g"], "n", max_hot_groups=max_hot, salt_buckets=4).collect()}
+    got = {r.id: r.n for r in attach_group_count(df, ["k", "g"], "n", max_hot_groups=max_hot).collect()}
     w = Window.partitionBy("k", "g")
     want = {r.id: (r.n if r.k is not None else None)
             for r in df.withColumn("n", F.count(F.lit(1)).over(w)).collect()}
@@ -55,24 +55,23 @@ def test_lookup_join_refuses_duplicate_keys(spark):
     assert lookup_join(fact, lk, ["AIRLINE"], max_broadcast_rows=0).count() == 1
 
 
-def test_salt_is_a_shuffle_key_when_groups_are_large(spark):
-    df = _skewed(spark)
+def test_hot_identical_rows_are_not_shuffled_together(spark):
+    """Copies of one row stay spread over the tasks that read them; other groups take the shuffle join."""
+    rows = spark.range(0, 20_000, 1, 8).selectExpr("'HOT' AS k", "1 AS g").unionByName(
+        spark.range(0, 400, 1, 2).selectExpr("IF(id % 50 = 0, NULL, concat('k', id % 40)) AS k", "CAST(id % 2 AS INT) AS g"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        out = attach_group_count(df, ["k", "g"], "n", max_hot_groups=2, salt_buckets=4, broadcast_max_rows=0)
+        out = attach_group_count(rows, ["k", "g"], "n", null_safe=True, max_hot_groups=2, broadcast_max_rows=0)
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             out.explain()
-        plan = buf.getvalue()
-        assert "SortMergeJoin" in plan
-        shuffles = [ln for ln in plan.splitlines() if "hashpartitioning(" in ln]
-        assert shuffles and all("__salt" in ln for ln in shuffles if "k#" in ln)
-        got = {r.id: r.n for r in out.collect()}
-        w = Window.partitionBy("k", "g")
-        want = {r.id: (r.n if r.k is not None else None)
-                for r in df.withColumn("n", F.count(F.lit(1)).over(w)).collect()}
+        assert "SortMergeJoin" in buf.getvalue()
+        hot = out.where("k = 'HOT'").groupBy(F.spark_partition_id()).count().collect()
+        assert len(hot) == 8 and {r["count"] for r in hot} == {2500}
+        got = sorted(map(str, out.collect()))
+        want = sorted(map(str, rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("k", "g"))).collect()))
         assert got == want
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

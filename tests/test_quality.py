@@ -5,8 +5,8 @@ def test_duplicates_treat_null_as_equal(spark):
     df = spark.createDataFrame([(1, None), (1, None), (2, "x"), (2, "x"), (2, "x"), (3, "y")], "a int, b string")
     r = Q.duplicate_report(df).first()
     assert (r.total_rows, r.duplicate_rows, r.unique_rows) == (6, 3, 3)
-    members = Q.duplicate_rows(df, max_hot_groups=1).collect()
-    assert sorted((m.a, m.copies) for m in members) == [(1, 2), (1, 2), (2, 3), (2, 3), (2, 3)]
+    for members in (Q.duplicate_rows(df), Q.duplicate_rows(df, ["a"], max_hot_groups=1, broadcast_max_rows=0)):
+        assert sorted((m.a, m.copies) for m in members.collect()) == [(1, 2), (1, 2), (2, 3), (2, 3), (2, 3)]
 
 
 def test_junk_text(spark):
@@ -57,3 +57,16 @@ def test_range_and_null_profile(spark):
     assert (n["s"].missing, n["s"].blank) == (1, 1)
     top = Q.invalid_values_topk(df).collect()
     assert sorted((t.column_name, t.value) for t in top) == [("MONTH", 13), ("YEAR", 2014)]
+
+
+def test_numeric_summary_and_row_accounting(spark):
+    df = spark.createDataFrame([(x, None) for x in (1, 2, 3, 4, 10)] + [(None, None)], "a int, b double")
+    r = {x.column_name: x for x in Q.numeric_summary(df, ["a", "b"]).collect()}
+    assert (r["a"]["count"], r["a"]["mean"], r["a"].q25, r["a"].q50, r["a"].q75, r["a"]["max"]) == (5, 4.0, 2.0, 3.0, 4.0, 10.0)
+    assert r["b"]["count"] == 0 and r["b"].q50 is None
+    approx = {x.column_name: x for x in Q.numeric_summary(df, ["a"], relative_error=0.001).collect()}
+    assert approx["a"].q50 == 3.0
+    flagged = spark.createDataFrame([("A", "B", True), ("A", "A", True), ("C", None, False), ("A", None, None)],
+                                    "ORIGIN_AIRPORT string, DESTINATION_AIRPORT string, keep boolean")
+    x = Q.row_accounting(flagged).first()
+    assert (x.rows_before, x.rows_after, x.distinct_codes_left, x.rows_removed, x.removed_pct) == (4, 2, 2, 2, 50.0)
