@@ -106,13 +106,13 @@ def patch_coordinates(df: DataFrame, patches: Mapping[str, tuple[float, float]]
     return df.withColumns(exprs)
 
 
+def clean_rows(raw: DataFrame) -> DataFrame:
+    """The row-level rules alone, all rows kept: times, cancelled N/A, codes, cancellation reason, delay causes."""
+    return (raw.transform(clean_times).transform(null_when_cancelled).transform(codes_as_text)
+            .transform(fill_cancellation_reason).transform(clean_delay_causes))
+
+
 def clean_flights(raw: DataFrame, airports: DataFrame,
                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Row-level cleaning in the documented order: times, cancelled N/A, codes,
-    airport-code filter, cancellation reason, delay causes."""
-    return (raw.transform(clean_times)
-            .transform(null_when_cancelled)
-            .transform(codes_as_text)
-            .transform(keep_valid_airports, airports, max_broadcast_rows=max_broadcast_rows)
-            .transform(fill_cancellation_reason)
-            .transform(clean_delay_causes))
+    """Row-level cleaning and the airport-code filter (which reads no cleaned value, so their order is free)."""
+    return keep_valid_airports(clean_rows(raw), airports, max_broadcast_rows=max_broadcast_rows)

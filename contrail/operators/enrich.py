@@ -22,13 +22,14 @@ def join_airlines(df: DataFrame, airlines: DataFrame, key: str = "AIRLINE",
 
 def join_airports(df: DataFrame, airports: DataFrame, role: str,
                   attrs: Mapping[str, str] = S.AIRPORT_ATTRS,
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, how: str = "left") -> DataFrame:
     """add the airport attributes for one role (ORIGIN or DESTINATION) as
-    ``<role>_<suffix>`` columns, joined on ``<role>_AIRPORT``."""
+    ``<role>_<suffix>`` columns, joined on ``<role>_AIRPORT``. With ``how="inner"`` the
+    join is the airport-code filter (C1) of that role as well."""
     key = f"{role}_AIRPORT"
     lk = airports.select(F.col("IATA_CODE").cast("string").alias(key),
                          *[F.col(src).alias(f"{role}_{dst}") for src, dst in attrs.items()])
-    return lookup_join(df, lk, [key], "left", max_broadcast_rows)
+    return lookup_join(df, lk, [key], how, max_broadcast_rows)
 
 
 def label_with_fallback(df: DataFrame, labels: DataFrame, key: str = "AIRLINE",
@@ -41,9 +42,10 @@ def label_with_fallback(df: DataFrame, labels: DataFrame, key: str = "AIRLINE",
 
 def enrich_flights(df: DataFrame, airlines: DataFrame, airports: DataFrame,
                    patches: Mapping[str, tuple[float, float]] = S.COORDINATE_PATCHES,
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """F1-F3 then D11: the enriched table (raw + _STR + carrier + 2 x 6 airport columns)."""
+                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, how: str = "left") -> DataFrame:
+    """F1-F3 then D11: the enriched table (raw + _STR + carrier + 2 x 6 airport columns).
+    ``how="inner"``: rows with an unknown airport code go in the same joins."""
     return (df.transform(join_airlines, airlines, max_broadcast_rows=max_broadcast_rows)
-            .transform(join_airports, airports, "ORIGIN", max_broadcast_rows=max_broadcast_rows)
-            .transform(join_airports, airports, "DESTINATION", max_broadcast_rows=max_broadcast_rows)
+            .transform(join_airports, airports, "ORIGIN", max_broadcast_rows=max_broadcast_rows, how=how)
+            .transform(join_airports, airports, "DESTINATION", max_broadcast_rows=max_broadcast_rows, how=how)
             .transform(patch_coordinates, patches))

@@ -242,20 +242,23 @@ def invalid_times_topk(df: DataFrame, cols: Sequence[str] = S.TIME_COLS, k: int
     return _top_per_column(counts, k)
 
 
-def hhmm_histogram(df: DataFrame, cols: Sequence[str] = S.TIME_COLS) -> DataFrame:
+def hhmm_histogram(df: DataFrame, cols: Sequence[str] = S.TIME_COLS, clean_only: bool = False) -> DataFrame:
     """Counts per time-of-day bin [0,600) [600,1200) [1200,1800) [1800,2400),
-    every bin listed (zero included)."""
+    every bin listed (zero included). ``clean_only`` lists only columns without any
+    value outside the bins."""
     names = [c for c in cols if c in df.columns]
     aggs = []
     for i, c in enumerate(names):
         v = _numeric(c)
         for j, (lo, hi) in enumerate(HHMM_BINS):
             aggs.append(F.count_if((v >= lo) & (v < hi)).alias(f"b{i}_{j}"))
+        aggs.append(F.count_if((v < HHMM_BINS[0][0]) | (v >= HHMM_BINS[-1][1])).alias(f"out{i}"))
     wide = df.agg(*aggs)
     rows = [[("column_name", F.lit(c)), ("bin", F.lit(f"[{lo}, {hi})")), ("bin_start", F.lit(lo)),
-             ("n", F.col(f"b{i}_{j}"))]
+             ("n", F.col(f"b{i}_{j}")), ("outside", F.col(f"out{i}"))]
             for i, c in enumerate(names) for j, (lo, hi) in enumerate(HHMM_BINS)]
-    return _long(wide, rows)
+    long = _long(wide, rows)
+    return (long.where("outside = 0") if clean_only else long).drop("outside")
 
 
 def time_format_report(df: DataFrame, cols: Sequence[str] = S.TIME_COLS) -> DataFrame:
@@ -280,6 +283,21 @@ def time_format_report(df: DataFrame, cols: Sequence[str] = S.TIME_COLS) -> Data
     return _long_sql(wide, rows)
 
 
+def time_text_lengths(df: DataFrame, cols: Sequence[str] = S.TIME_COLS) -> DataFrame:
+    """How many values of each length every ``_STR`` twin holds."""
+    names = [c + "_STR" for c in cols if c + "_STR" in df.columns]
+    pairs = _stack(df.select(*[F.length(c).alias(c) for c in names]), names, "int").where("value IS NOT NULL")
+    return pairs.groupBy("column_name", F.col("value").alias("length")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def bad_hhmm_examples(df: DataFrame, cols: Sequence[str] = S.TIME_COLS, k: int = 10) -> DataFrame:
+    """The most frequent ``_STR`` values that are no clock time, per column (top ``k``)."""
+    names = [c + "_STR" for c in cols if c + "_STR" in df.columns]
+    bad = df.selectExpr(*[f"CASE WHEN NOT ({hhmm_sql(c)}) THEN {sql_ident(c)} END AS {sql_ident(c)}" for c in names])
+    counts = _stack(bad, names, "string").where("value IS NOT NULL").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    return _top_per_column(counts, k)
+
+
 def verdict(report: DataFrame, flag: str = "passed") -> DataFrame:
     """Overall pass/fail over the rows of a check report."""
     return report.agg(F.coalesce(F.bool_and(flag), F.lit(True)).alias("all_passed"),
@@ -385,14 +403,15 @@ def invalid_codes(df: DataFrame, lookup: DataFrame, cols: Sequence[str], key: st
 
 
 def code_set_difference(df: DataFrame, lookup: DataFrame, cols: Sequence[str], key: str = "IATA_CODE",
-                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Distinct codes of the union of ``cols`` that the lookup lacks."""
+                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, first: int | None = None) -> DataFrame:
+    """Distinct codes of the union of ``cols`` that the lookup lacks (I5: the ``first`` of them in order)."""
     seen = None
     for c in cols:
         part = _codes(df, c)
         seen = part if seen is None else seen.union(part)
     keys = broadcast_if_small(lookup_keys(lookup, key).withColumnRenamed(key, "code"), max_broadcast_rows)
-    return seen.distinct().join(keys, "code", "left_anti")
+    out = seen.distinct().join(keys, "code", "left_anti")
+    return out.orderBy("code").limit(first) if first else out
 
 
 def code_breakdown(df: DataFrame, airports: DataFrame, origin: str = "ORIGIN_AIRPORT",

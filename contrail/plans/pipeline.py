@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from contrail import schema as S
-from contrail.operators.cleaning import clean_flights
+from contrail.operators.cleaning import clean_flights, clean_rows
 from contrail.operators.enrich import enrich_flights
 from contrail.operators.features import (
     add_origin_congestion, add_scalar_features, add_tail_counts, congestion_groups, tail_count_groups,
@@ -41,7 +41,8 @@ class FlightFrames:
         return clean_flights(self.raw, self.airports)
 
     def enriched(self, patches: Mapping[str, tuple[float, float]] = S.COORDINATE_PATCHES) -> DataFrame:
-        return enrich_flights(self.cleaned, self.airlines, self.airports, patches)
+        # one inner join per airport role filters and enriches
+        return enrich_flights(clean_rows(self.raw), self.airlines, self.airports, patches, how="inner")
 
 
 def enriched_stage(frames: FlightFrames, patches: Mapping[str, tuple[float, float]] = S.COORDINATE_PATCHES,

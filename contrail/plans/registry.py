@@ -273,6 +273,7 @@ def q_sql_overview(spark, sf):
 
 # Further query groups register themselves on import.
 from contrail.plans import registry_quality  # noqa: E402,F401
+from contrail.plans import registry_sources  # noqa: E402,F401
 from contrail.plans import registry_stats  # noqa: E402,F401
 
 

@@ -314,6 +314,14 @@ _VO = "ORIGIN_AIRPORT IN (SELECT IATA_CODE FROM airports WHERE IATA_CODE IS NOT
 _VD = "DESTINATION_AIRPORT IN (SELECT IATA_CODE FROM airports WHERE IATA_CODE IS NOT NULL)"
 
 
+@register("first_unknown_codes", O.with_stages(
+    "SELECT DISTINCT code FROM (SELECT ORIGIN_AIRPORT AS code FROM fv UNION ALL SELECT DESTINATION_AIRPORT FROM fv) u "
+    "WHERE code IS NOT NULL AND code NOT IN (SELECT IATA_CODE FROM airports WHERE IATA_CODE IS NOT NULL) ORDER BY code LIMIT 30"))
+def q_first_unknown_codes(spark, sf):
+    fr = fixture_frames(spark, sf)
+    return Q.code_set_difference(fr.raw, fr.airports, _AP, first=30)
+
+
 @register("code_breakdown", O.with_stages(
     f"SELECT total_rows, both_valid, any_invalid, origin_only_invalid, destination_only_invalid, both_invalid, "
     f"{_pct('both_valid', 'total_rows', 2)} AS both_valid_pct, {_pct('any_invalid', 'total_rows', 2)} AS any_invalid_pct "
@@ -339,6 +347,13 @@ def q_row_accounting(spark, sf):
     return Q.row_accounting(flag_valid_airports(before, fr.airports))
 
 
+@register("time_text_lengths", O.with_stages(_union([
+    f"SELECT '{c}_STR' AS column_name, CAST(length({c}_STR) AS INTEGER) AS length, COUNT(*) AS n FROM s_str WHERE {c}_STR IS NOT NULL GROUP BY ALL"
+    for c in S.TIME_COLS])))
+def q_time_text_lengths(spark, sf):
+    return Q.time_text_lengths(_times(spark, sf))
+
+
 # --- B27-B30 --------------------------------------------------------------
 
 @register("unmatched_after_joins", O.with_stages(
@@ -393,6 +408,16 @@ def q_duplicate_report(spark, sf):
     return Q.duplicate_report(_raw(spark, sf), DUP_SUBSET)
 
 
+_REPEATED = ["AIRLINE", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT", "MONTH"]
+
+
+@register("duplicate_full_rows", O.with_stages(
+    f"SELECT {', '.join(_REPEATED)}, COUNT(*) OVER (PARTITION BY {', '.join(_REPEATED)}) AS copies FROM fv QUALIFY copies > 1"))
+def q_duplicate_full_rows(spark, sf):
+    """All columns decide: a projection of the flights that holds real copies."""
+    return Q.duplicate_rows(_raw(spark, sf).select(*_REPEATED))
+
+
 @register("duplicate_rows", O.with_stages(
     f"SELECT {_K}, AIRLINE, TAIL_NUMBER, copies FROM (SELECT *, COUNT(*) OVER (PARTITION BY {_DS}) AS copies "
     f"FROM fv) t WHERE copies > 1"))

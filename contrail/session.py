@@ -101,6 +101,13 @@ def _delete_all() -> None:
             _delete(spark, _MADE + _KEPT)
 
 
+def scratch_path(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A new folder name under the shared checkpoint folder, deleted like the tables of ``materialize``."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    (_KEPT if keep else _MADE).append(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
@@ -110,8 +117,6 @@ def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     outside such a block, until the process ends).
     """
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/{name}-{uuid.uuid4().hex}"
-    (_KEPT if keep else _MADE).append(path)
+    path = scratch_path(spark, name, keep)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

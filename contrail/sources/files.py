@@ -119,7 +119,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if compression:
         writer = writer.option("compression", compression)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        # white space is data: Spark's CSV writer would trim it
+        writer = writer.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     writer.format(fmt).save(path)
 
 
@@ -150,9 +151,10 @@ def rewrite_in_place(spark: SparkSession, path: str, fn: Callable[[DataFrame], D
     return path
 
 
-def save_as_table(df: DataFrame, name: str, temp: bool = False) -> None:
-    """Publish the result under a name (catalog table, or a temp view)."""
+def save_as_table(df: DataFrame, name: str, temp: bool = False, path: str | None = None) -> None:
+    """Publish the result under a name: a temp view, or a catalog table (at ``path`` if given)."""
     if temp:
         df.createOrReplaceTempView(name)
     else:
-        df.write.mode("overwrite").saveAsTable(name)
+        writer = df.write.mode("overwrite")
+        (writer.option("path", path) if path else writer).saveAsTable(name)

@@ -70,3 +70,16 @@ def test_numeric_summary_and_row_accounting(spark):
                                     "ORIGIN_AIRPORT string, DESTINATION_AIRPORT string, keep boolean")
     x = Q.row_accounting(flagged).first()
     assert (x.rows_before, x.rows_after, x.distinct_codes_left, x.rows_removed, x.removed_pct) == (4, 2, 2, 2, 50.0)
+
+
+def test_time_text_examples_lengths_and_clean_gate(spark):
+    df = spark.createDataFrame([(5, "0005"), (2460, "2460"), (2460, "2460"), (12345, "12345"), (None, None)],
+                               "ARRIVAL_TIME int, ARRIVAL_TIME_STR string").selectExpr("*", "CAST(100 AS INT) AS WHEELS_ON")
+    bad = {(r.value, r.n) for r in Q.bad_hhmm_examples(df, ["ARRIVAL_TIME"]).collect()}
+    assert bad == {("2460", 2), ("12345", 1)}
+    assert {(r.length, r.n) for r in Q.time_text_lengths(df, ["ARRIVAL_TIME"]).collect()} == {(4, 3), (5, 1)}
+    gated = Q.hhmm_histogram(df, ["ARRIVAL_TIME", "WHEELS_ON"], clean_only=True)
+    assert {r.column_name for r in gated.collect()} == {"WHEELS_ON"}
+    lookup = spark.createDataFrame([("A",)], "IATA_CODE string")
+    codes = spark.createDataFrame([("C", "B"), ("A", "D")], "o string, d string")
+    assert [r.code for r in Q.code_set_difference(codes, lookup, ["o", "d"], first=2).collect()] == ["B", "C"]
