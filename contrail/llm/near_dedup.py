@@ -9,10 +9,13 @@ their sketches; large ones branch again. A pair of similarity s is missed by a t
 with probability at most 1 - (2s - 1) / s^2 at any depth (0.03 at 0.85), and by all
 trees with that to the power of their number.
 
-Only what connects is verified: each node first gives a spanning forest of its
-candidate pairs, most similar first. Verified links are joined to components; then
-each node gives the candidate pairs that still lie across components. All links are
-confirmed on full shingle sets.
+Similarity is decided on full shingle sets inside the nodes: the texts of a block of
+items meet in one task, their overlaps are computed at once, and only a spanning
+forest of the confirmed links leaves it, so output grows with the items and not with
+their pairs. The first tree links most of what there is; the others then only look at
+nodes that hold items of different components. Nodes that stay large (a large group
+of near copies never parts) are handled in blocks: within blocks first, then the
+items outside a node's most frequent component against all its blocks.
 """
 
 from __future__ import annotations
@@ -108,33 +111,31 @@ def _describe(size: int) -> Callable:
 # ---- trees -------------------------------------------------------------------------------------------------------
 
 def _children(rows: DataFrame) -> DataFrame:
-    """(node, item, sketch) -> the BRANCH children of each row, named by selected coordinate and token."""
+    """(tree, node, item, sketch) -> the BRANCH children of each row, named by selected coordinate and token."""
     first = F.pmod(F.xxhash64("node", F.lit(0)), F.lit(SKETCH))
     step = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(SKETCH - 1)) + 1
     picks = F.explode(F.array(*[F.pmod(first + step * F.lit(i), F.lit(SKETCH)).cast("int") for i in range(BRANCH)]))
     chosen = rows.withColumn("at", picks)
-    return chosen.select(F.xxhash64("node", "at", F.get("sketch", F.col("at"))).alias("node"), "item")
+    return chosen.select("tree", F.xxhash64("node", "at", F.get("sketch", F.col("at"))).alias("node"), "item")
 
 
 def leaf_nodes(items: DataFrame, trees: int = TREES, depth: int = DEPTH, node_size: int = NODE) -> DataFrame:
-    """(node, n, item): members of nodes to compare; n is the node's size (above ``node_size`` only at ``depth``)."""
-    level = items.select(F.explode(F.sequence(F.lit(1).cast("long"), F.lit(trees).cast("long"))).alias("node"), "item", "sketch")
+    """(tree, node, n, item): members of the nodes to compare; n is the node's size (above ``node_size`` only at ``depth``)."""
+    level = items.select(F.explode(F.sequence(F.lit(1), F.lit(trees))).alias("tree"), "item", "sketch")
+    level = level.select("tree", F.col("tree").cast("long").alias("node"), "item", "sketch")
     leaves = None
     for d in range(1, depth + 1):
         rows = cut(_children(level), "path-level")
         sizes = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
-        sized = rows.join(sizes, "node").select("node", "n", "item")
-        if d < depth:
-            sized = cut(sized, "path-sized")
-            large = sized.where(F.col("n") > node_size)
-            mine = sized.where(F.col("n") <= node_size)
-        else:
-            mine = sized
+        sized = cut(rows.join(sizes, "node").select("tree", "node", "n", "item"), "path-sized")
+        large = sized.where(F.col("n") > node_size)
+        last = d == depth or large.isEmpty()
+        mine = sized if last else sized.where(F.col("n") <= node_size)
         leaves = mine if leaves is None else leaves.unionByName(mine)
-        if d == depth or large.isEmpty():
-            break
-        level = large.select("node", "item").join(items.select("item", "sketch"), "item")
-    return cut(leaves, "path-leaves")
+        if last:
+            return leaves
+        level = large.select("tree", "node", "item").join(items.select("item", "sketch"), "item")
+    return leaves
 
 
 def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -155,31 +156,61 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield rest
 
 
-def _candidates(least: float, across: bool) -> Callable:
-    """mapInArrow over blocks: spanning forest of each block's candidate pairs, or (across) its pairs between components."""
-    def pairs(block: pa.Table) -> list[tuple[bytes, bytes]]:
+def _by_block(rows: DataFrame) -> DataFrame:
+    return rows.repartition("block").sortWithinPartitions("block")
+
+
+def _alike(least: float, across: bool):
+    """mapInArrow over blocks with sketches: the rows of items that have a candidate partner in
+    the block (``across``: in another component, one of the two asking)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _groups(batches, "block"):
+            tokens = np.array(block["sketch"].combine_chunks().flatten()).reshape(block.num_rows, SKETCH)
+            if across:
+                label = np.unique(block["label"].to_pylist(), return_inverse=True)[1]
+                asks = np.array(block["asks"].to_pylist())
+            near = np.zeros(len(tokens), dtype=bool)
+            for i in range(len(tokens) - 1):
+                hit = (tokens[i + 1:] == tokens[i]).mean(axis=1) >= least
+                if across:
+                    hit &= (label[i + 1:] != label[i]) & (asks[i + 1:] | asks[i])
+                near[i + 1:] |= hit
+                near[i] |= hit.any()
+            if near.any():
+                yield from block.drop(["sketch"]).filter(pa.array(near)).to_batches()
+    return run
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections, from products of the sets' indicator matrix, column block by column block."""
+    size = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[code] > 1  # a shingle of one set is in no intersection
+    owner, code = owner[shared], np.unique(code[shared], return_inverse=True)[1]
+    order = np.argsort(code, kind="stable")
+    owner, code = owner[order], code[order]
+    out = np.zeros((len(sets), len(sets)))
+    for low in range(0, int(code[-1]) + 1 if len(code) else 0, 8192):
+        part = slice(*np.searchsorted(code, [low, low + 8192]))
+        held = np.zeros((len(sets), 8192), dtype=np.float32)
+        held[owner[part], code[part] - low] = 1
+        out += held @ held.T
+    np.fill_diagonal(out, size)
+    return out.astype(np.int64)
+
+
+def _links(size: int, percent: int, across: bool):
+    """mapInArrow over blocks with texts: a spanning forest of the links confirmed on full sets
+    (``across``: of the components, over links between them)."""
+    def forest(block: pa.Table, shingler: Shingler) -> list[tuple[bytes, bytes]]:
         items = block["item"].to_pylist()
-        tokens = np.array(block["sketch"].combine_chunks().flatten()).reshape(len(items), SKETCH)
-        order = np.array(sorted(range(len(items)), key=items.__getitem__))
-        items, tokens = [items[i] for i in order], tokens[order]
-        upper = [(i, j) for i, j in ((0, 1),)] if len(items) == 2 else None
-        if upper:
-            same = np.array([(tokens[0] == tokens[1]).mean()])
-            a, b = np.array([0]), np.array([1])
-        else:
-            a, b = np.triu_indices(len(items), 1)
-            same = np.concatenate([(tokens[i + 1:] == tokens[i]).mean(axis=1) for i in range(len(items) - 1)]) if len(items) > 1 else np.zeros(0)
-        use = same >= least
-        if across:
-            label = np.unique(block["label"].to_pylist(), return_inverse=True)[1][order]
-            use &= label[a] != label[b]
-            if "asks" in block.column_names:
-                asks = np.array(block["asks"].to_pylist())[order]
-                use &= asks[a] | asks[b]
-        a, b, same = a[use], b[use], same[use]
-        differ = [k for k in range(len(a)) if items[a[k]] != items[b[k]]]
+        sets = [shingler(t) for t in block["text"].to_pylist()]
+        n, both = np.array([len(s) for s in sets]), overlaps(sets)
+        linked = np.triu(100 * both >= percent * (n[:, None] + n[None, :] - both), 1)
+        group = np.arange(len(items))
         if across:
-            return [(items[a[k]], items[b[k]]) for k in differ]
+            group = np.unique(block["label"].to_pylist(), return_inverse=True)[1]
         parent = list(range(len(items)))
 
         def root(i: int) -> int:
@@ -188,85 +219,67 @@ def _candidates(least: float, across: bool) -> Callable:
                 i = parent[i]
             return i
 
-        out, rank = [], np.argsort(-same, kind="stable").tolist()
-        wanted = set(differ)
-        for k in rank:
-            if k in wanted and (x := root(int(a[k]))) != (y := root(int(b[k]))):
+        out = []
+        for i, j in zip(*(x.tolist() for x in np.nonzero(linked)), strict=True):
+            x, y = root(int(group[i])), root(int(group[j]))
+            if x != y:
                 parent[y] = x
-                out.append((items[a[k]], items[b[k]]))
-                if len(out) == len(items) - 1:
-                    break
+                out.append((items[i], items[j]))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[bytes, bytes]] = []
-        as_batch = lambda: pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.binary()) for i in (0, 1)], names=["a", "b"])
+        shingler = Shingler(size)
         for block in _groups(batches, "block"):
-            out += pairs(block)
-            if len(out) >= 20_000:
-                yield as_batch()
-                out = []
-        yield as_batch()
+            if block.num_rows > 1 and (found := forest(block, shingler)):
+                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.binary()) for k in (0, 1)], names=["a", "b"])
     return run
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    return rows.repartition("block").sortWithinPartitions("block")
+_LINK = "a binary, b binary"
 
 
-def forest_pairs(leaves: DataFrame, items: DataFrame, percent: int, node_size: int = NODE) -> DataFrame:
-    """(a, b) distinct: per node (or block of a large node, together with its first item) a spanning forest."""
-    n_blocks = F.ceil(F.col("n") / node_size).cast("int")
-    own = F.pmod(F.xxhash64("item"), n_blocks)
-    rows = leaves.select(F.xxhash64("node", own).alias("block"), "item")
-    leaders = (leaves.where(F.col("n") > node_size).groupBy("node", "n").agg(F.min("item").alias("item"))
-               .select("node", "item", F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("i")))
-    rows = rows.unionByName(leaders.select(F.xxhash64("node", "i").alias("block"), "item")).distinct()
-    with_sketch = rows.join(items.select("item", "sketch"), "item")
-    return _blocks(with_sketch).mapInArrow(_candidates(least_estimate(percent), False), "a binary, b binary").distinct()
+def _with_sketch(rows: DataFrame, items: DataFrame) -> DataFrame:
+    return _by_block(rows.join(items.select("item", "sketch"), "item"))
 
 
-def crossing_pairs(leaves: DataFrame, items: DataFrame, labels: DataFrame, percent: int, node_size: int = NODE) -> DataFrame:
-    """(a, b) distinct: candidate pairs of each node whose items lie in different components.
+def _with_text(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    return _by_block(rows.join(texts, "item"))
 
-    In a node larger than a block the items outside its most frequent component are
-    set against all others, block by block.
-    """
-    labelled = leaves.join(labels, "item")
-    kinds = labelled.groupBy("node", "label").agg(F.count("*").alias("m")).groupBy("node").agg(
-        F.count("*").alias("k"), F.max_by("label", F.struct("m", "label")).alias("common")).where("k > 1").drop("k")
-    rows = labelled.join(kinds, "node")
-    n_blocks = F.ceil(F.col("n") / node_size).cast("int")
-    asks = (F.col("n") <= node_size) | (F.col("label") != F.col("common"))
-    own = F.pmod(F.xxhash64("item"), n_blocks)
-    spread = F.when((F.col("n") > node_size) & asks, F.sequence(F.lit(0), n_blocks - 1)).otherwise(F.array(own))
-    placed = rows.select("node", "item", "label", asks.alias("asks"), F.explode(spread).alias("i"))
-    placed = placed.select(F.xxhash64("node", "i").alias("block"), "item", "label", "asks").distinct()
-    with_sketch = placed.join(items.select("item", "sketch"), "item")
-    return _blocks(with_sketch).mapInArrow(_candidates(least_estimate(percent), True), "a binary, b binary").distinct()
 
+def _n_blocks(node_size: int):
+    return F.ceil(F.col("n") / node_size).cast("int")
 
-# ---- verification and components ---------------------------------------------------------------------------------
 
-def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets satisfy 100 * intersection >= percent * union."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(size)
-        last: tuple[bytes | None, np.ndarray] = (None, np.zeros(0, np.uint64))
-        for batch in batches:
-            ok = []
-            for b, x, y in zip(batch.column("b").to_pylist(), batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True):
-                if last[0] != b:
-                    last = (b, shingler(y))
-                one, two = shingler(x), last[1]
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                ok.append(100 * both >= percent * (len(one) + len(two) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+def first_blocks(small: DataFrame, large: DataFrame, node_size: int = NODE) -> DataFrame:
+    """(block, item) of the first round: the small nodes of the first tree, and for each item of its
+    large nodes one node, in blocks that also hold the node's first item."""
+    one = large.where("tree = 1").groupBy("item").agg(F.min(F.struct("node", "n")).alias("x")).select("item", "x.node", "x.n")
+    own = F.pmod(F.xxhash64("item"), _n_blocks(node_size))
+    leaders = one.groupBy("node", "n").agg(F.min("item").alias("item")).select(
+        "node", "item", F.explode(F.sequence(F.lit(0), _n_blocks(node_size) - 1)).alias("i"))
+    placed = one.select(F.xxhash64("node", own.cast("int")).alias("block"), "item").unionByName(
+        leaders.select(F.xxhash64("node", "i").alias("block"), "item"))
+    return small.where("tree = 1").select(F.col("node").alias("block"), "item").unionByName(placed).distinct()
 
-    left = pairs.join(texts.select(F.col("item").alias("a"), F.col("text").alias("text_a")), "a")
-    both = left.join(texts.select(F.col("item").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
 
+def crossing_blocks(small: DataFrame, large: DataFrame, labels: DataFrame, node_size: int = NODE) -> DataFrame:
+    """(block, item, label, asks) of the second round: nodes whose items lie in several components.
+
+    Small nodes of the first tree are done. In a large node the items outside its most
+    frequent component ask, in every block; the others stay in their own.
+    """
+    rows = small.where("tree > 1").unionByName(large).join(labels, "item")
+    kinds = rows.groupBy("node", "label").agg(F.count("*").alias("m")).groupBy("node").agg(
+        F.count("*").alias("k"), F.max_by("label", F.struct("m", "label")).alias("common")).where("k > 1").drop("k")
+    split = F.col("n") > node_size
+    asks = ~split | (F.col("label") != F.col("common"))
+    own = F.pmod(F.xxhash64("item"), _n_blocks(node_size)).cast("int")
+    where = F.when(split & asks, F.sequence(F.lit(0), _n_blocks(node_size) - 1)).otherwise(F.array(own))
+    placed = rows.join(kinds, "node").select("node", "item", "label", asks.alias("asks"), F.explode(where).alias("i"))
+    return placed.select(F.xxhash64("node", "i").alias("block"), "item", "label", "asks").distinct()
+
+
+# ---- components --------------------------------------------------------------------------------------------------
 
 def components(links: DataFrame) -> DataFrame:
     """(item, label) for every linked item: label is the least item of its component.
@@ -313,19 +326,28 @@ def near_dedup(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCEN
     items = cut(found.select("item", "one.doc_id", "one.row_hash", "sketch"), "items")
 
     leaves = leaf_nodes(items, trees, depth, node_size)
-    pairs = cut(forest_pairs(leaves, items, percent, node_size), "forest")
-    need = cut(pairs.select(F.explode(F.array("a", "b")).alias("item")).distinct(), "candidates")
+    large = leaves.where(F.col("n") > node_size)
+    alone = leaves.where(F.col("n") <= node_size).withColumn("block", F.col("node"))
+    kind = "item binary, tree int, node long, n long, block long"
+    small = cut(_with_sketch(alone, items).select("item", "tree", "node", "n", "block", "sketch")
+                .mapInArrow(_alike(least_estimate(percent), False), kind).drop("block"), "candidates")
+    need = cut(small.select("item").unionByName(large.select("item")).distinct(), "candidate-items")
     wanted = items.select("item", *ROW_KEY).join(need, "item")
-    # rows alike in doc_id and text would come more than once
-    texts = cut(same_row(rows.select(*ROW_KEY, "text"), wanted, "inner").select("item", "text"), "texts")
-    if docs_repeat(described):
+    texts = same_row(rows.select(*ROW_KEY, "text"), wanted, "inner").select("item", "text")
+    if docs_repeat(described):  # rows alike in doc_id and text would come more than once
         texts = texts.dropDuplicates(["item"])
-    links = cut(verified(pairs, texts, size, percent), "links")
+    texts = cut(texts, "texts")
+
+    links = cut(_with_text(first_blocks(small, large, node_size), texts).select("block", "item", "text")
+                .mapInArrow(_links(size, percent, False), _LINK), "links")
     labels = cut(components(links), "labels")
     # candidates without a link so far are components of their own
     named = need.join(labels, "item", "left").select("item", F.coalesce("label", "item").alias("label"))
-    more = crossing_pairs(leaves.join(need, "item", "left_semi"), items, named, percent, node_size).join(pairs, ["a", "b"], "left_anti")
-    further = cut(verified(cut(more, "crossing"), texts, size, percent), "links")
+    crossing = crossing_blocks(small, large, named, node_size)
+    alike = cut(_with_sketch(crossing, items).select("block", "item", "label", "asks", "sketch")
+                .mapInArrow(_alike(least_estimate(percent), True), "block long, item binary, label binary, asks boolean"), "crossing")
+    further = cut(_with_text(alike.drop("asks"), texts).select("block", "item", "label", "text")
+                  .mapInArrow(_links(size, percent, True), _LINK), "links")
     if not further.isEmpty():
         labels = cut(components(links.unionByName(further)), "labels")
 
