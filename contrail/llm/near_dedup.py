@@ -39,6 +39,8 @@ BRANCH = 2
 DEPTH = 3
 #: Nodes of up to this many items are compared exhaustively; larger ones at DEPTH in blocks of it.
 NODE = 128
+#: In a node that stays large, the second round sets blocks of so many items against blocks of so many askers.
+BLOCK = 512
 SEED = 10
 WORDS_REMEMBERED = 500_000
 
@@ -262,21 +264,29 @@ def first_blocks(small: DataFrame, large: DataFrame, node_size: int = NODE) -> D
     return small.where("tree = 1").select(F.col("node").alias("block"), "item").unionByName(placed).distinct()
 
 
-def crossing_blocks(small: DataFrame, large: DataFrame, labels: DataFrame, node_size: int = NODE) -> DataFrame:
+def crossing_blocks(small: DataFrame, large: DataFrame, labels: DataFrame, node_size: int = NODE, block: int = BLOCK) -> DataFrame:
     """(block, item, label, asks) of the second round: nodes whose items lie in several components.
 
-    Small nodes of the first tree are done. In a large node the items outside its most
-    frequent component ask, in every block; the others stay in their own.
+    Small nodes of the first tree are done; the other small ones are one block each. In a
+    large node the items outside its most frequent component ask: every block of askers
+    meets every block of items, so no block grows with the node.
     """
     rows = small.where("tree > 1").unionByName(large).join(labels, "item")
     kinds = rows.groupBy("node", "label").agg(F.count("*").alias("m")).groupBy("node").agg(
-        F.count("*").alias("k"), F.max_by("label", F.struct("m", "label")).alias("common")).where("k > 1").drop("k")
+        F.count("*").alias("k"), F.sum("m").alias("here"), F.max(F.struct("m", "label")).alias("common")).where("k > 1")
+    count = lambda n: F.greatest(F.lit(1), F.ceil(n / block).cast("int"))
+    kinds = kinds.select("node", F.col("common.label").alias("common"), count(F.col("here")).alias("n_items"),
+                         count(F.col("here") - F.col("common.m")).alias("n_askers"))
     split = F.col("n") > node_size
     asks = ~split | (F.col("label") != F.col("common"))
-    own = F.pmod(F.xxhash64("item"), _n_blocks(node_size)).cast("int")
-    where = F.when(split & asks, F.sequence(F.lit(0), _n_blocks(node_size) - 1)).otherwise(F.array(own))
-    placed = rows.join(kinds, "node").select("node", "item", "label", asks.alias("asks"), F.explode(where).alias("i"))
-    return placed.select(F.xxhash64("node", "i").alias("block"), "item", "label", "asks").distinct()
+    part = lambda seed, n: F.pmod(F.xxhash64("item", F.lit(seed)), F.col(n)).cast("int")
+    place = lambda i, j, ask: F.struct(i.alias("i"), j.alias("j"), F.lit(ask).alias("asks"))
+    answers = F.transform(F.sequence(F.lit(0), F.col("n_askers") - 1), lambda j: place(part(1, "n_items"), j, False))
+    asked = F.transform(F.sequence(F.lit(0), F.col("n_items") - 1), lambda i: place(i, part(2, "n_askers"), True))
+    one = F.array(place(F.lit(0), F.lit(0), True))
+    places = F.when(~split, one).when(asks, F.concat(answers, asked)).otherwise(answers)
+    placed = rows.join(kinds, "node").select("node", "item", "label", F.explode(places).alias("at"))
+    return placed.select(F.xxhash64("node", "at.i", "at.j").alias("block"), "item", "label", "at.asks").distinct()
 
 
 # ---- components --------------------------------------------------------------------------------------------------
@@ -343,10 +353,10 @@ def near_dedup(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCEN
     labels = cut(components(links), "labels")
     # candidates without a link so far are components of their own
     named = need.join(labels, "item", "left").select("item", F.coalesce("label", "item").alias("label"))
-    crossing = crossing_blocks(small, large, named, node_size)
+    crossing = crossing_blocks(small, large, named, node_size, min(BLOCK, 4 * node_size))
     alike = cut(_with_sketch(crossing, items).select("block", "item", "label", "asks", "sketch")
                 .mapInArrow(_alike(least_estimate(percent), True), "block long, item binary, label binary, asks boolean"), "crossing")
-    further = cut(_with_text(alike.drop("asks"), texts).select("block", "item", "label", "text")
+    further = cut(_with_text(alike.drop("asks").distinct(), texts).select("block", "item", "label", "text")
                   .mapInArrow(_links(size, percent, True), _LINK), "links")
     if not further.isEmpty():
         labels = cut(components(links.unionByName(further)), "labels")
