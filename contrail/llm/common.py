@@ -30,8 +30,21 @@ def squeeze(text: Column) -> Column:
     return F.regexp_replace(text, WS_RUN, " ")
 
 
+#: Rows of one Arrow batch of whole texts: at Spark's default of 10,000 a task and its worker hold
+#: well over 100 MB of batch. A size that the user has set is kept.
+TEXT_BATCH = 1000
+_ARROW_ROWS, _SPARK_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch size to TEXT_BATCH unless it has been set."""
+    if spark.conf.get(_ARROW_ROWS) == _SPARK_DEFAULT:
+        spark.conf.set(_ARROW_ROWS, TEXT_BATCH)
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """The two columns that text operators read: doc_id as long, text with null as empty."""
+    bound_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
 
 

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contrail.llm.common import bound_batches
+
 #: The only bound: labelled rows used to fit, taken in order of a digest of doc_id. All documents are scored.
 MAX_FIT_ROWS = 20_000
 KEEP_SCORE = 0.7
@@ -128,6 +130,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> T
     Labels other than 0 and 1 and null doc_ids are left out; a doc_id labelled more than
     once counts with its mean label; a doc_id with several texts adds each of them.
     """
+    bound_batches(docs.sparkSession)
     labelled = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
                 .where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out())
                 .groupBy("doc_id").agg(F.avg("quality").alias("quality")))

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from contrail.llm.common import id_and_text
+from contrail.llm.common import TEXT_BATCH, bound_batches, id_and_text
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -259,6 +259,7 @@ def tokenize(docs: DataFrame, model_file: str = MODEL, keep: tuple[str, ...] = (
     one does not round-trip. Repeated rows give repeated results, an empty table an
     empty result; columns other than ``keep`` and text are ignored.
     """
+    bound_batches(docs.sparkSession)
     vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary(model_file))
     rows = id_and_text(docs) if keep == ("doc_id",) else docs.select(*keep, "text")
     kept = [f for f in rows.schema.fields if f.name in keep]
@@ -266,8 +267,8 @@ def tokenize(docs: DataFrame, model_file: str = MODEL, keep: tuple[str, ...] = (
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary.value)
         for whole in batches:
-            for at in range(0, whole.num_rows, 2048):
-                batch = whole.slice(at, 2048)
+            for at in range(0, whole.num_rows, TEXT_BATCH):
+                batch = whole.slice(at, TEXT_BATCH)
                 texts = [t or "" for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
                 coded = encoder.encode(texts)
                 size = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) // 4
