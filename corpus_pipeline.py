@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm.common import cut, table
+from contrail.llm.common import table
 from contrail.llm.exact_dedup import kept_documents
 from contrail.llm.mixing import mix_sources
 from contrail.llm.near_dedup import keep_one
 from contrail.llm.quality import keep_good
 from contrail.llm.tokenize import tokenize
+from contrail.session import intermediates, materialize
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,5 +51,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), f"stage-{name}")
+        with intermediates(spark):  # what the stage wrote on its way goes when its result is written
+            docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}", keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)
