@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from contrail import schema as S
 from contrail.operators import enrich as E
 from contrail.operators import quality as Q
-from contrail.operators.cleaning import clean_times, flag_valid_airports, null_when_cancelled
+from contrail.operators.cleaning import clean_times, flag_valid_airports, keep_valid_airports, null_when_cancelled
 from contrail.plans import oracle as O
 from contrail.plans.pipeline import fixture_enriched, fixture_frames
 from contrail.plans.registry import KEYS, register
