@@ -16,6 +16,9 @@ A byte is removed when a string of WINDOW bytes that covers it also starts elsew
    bytes before them give them to the left. A WINDOW string around an anchor is
    repeated where two suffixes agree far enough on both sides.
 
+An anchor that occurs more than OFTEN times (a frequent line) is entered twice, once for
+the strings that reach far to its right and once for the others, under a hash of the
+bytes that those strings share for certain: its group falls apart by context.
 An anchor that occurs more than HOT times is not gathered: the strings around it are
 counted by digest, combined before the shuffle, which gives the same spans.
 """
@@ -35,7 +38,9 @@ from contrail.llm.common import ROW_KEY, cut, keyed, same_row
 WINDOW = 200
 GRAM = 32
 #: Suffixes of one sorted run, and about as many per merge range.
-RUN = 30_000
+RUN = 20_000
+#: Suffixes at an anchor that is found more often than this are told apart by half of their surroundings first.
+OFTEN = 5_000
 HOT = 200_000
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -120,13 +125,13 @@ def _front_coded(rows: np.ndarray) -> tuple[np.ndarray, bytes]:
     return shared.astype(np.uint16), rows[np.arange(rows.shape[1])[None, :] >= shared[:, None]].tobytes()
 
 
-def _restored(shared: np.ndarray, rest: bytes, width: int) -> list[bytes]:
-    out, at, last = [], 0, b""
-    for n in shared.tolist():
-        last = last[:n] + rest[at:at + width - n]
-        at += width - n
-        out.append(last)
-    return out
+def _restored(shared: np.ndarray, rest: bytes, width: int) -> np.ndarray:
+    """Byte matrix of a front-coded run: every byte of a shared prefix comes from the last row that spelled it out."""
+    spelled = np.arange(width)[None, :] >= shared[:, None]
+    rows = np.zeros((len(shared), width), dtype=np.uint8)
+    rows[spelled] = np.frombuffer(rest, np.uint8)
+    source = np.maximum.accumulate(np.where(spelled, np.arange(len(shared), dtype=np.int32)[:, None], 0), axis=0)
+    return np.take_along_axis(rows, source, axis=0)
 
 
 def _pack(arrays: list[np.ndarray | bytes]) -> bytes:
@@ -150,13 +155,45 @@ def _contexts(raw: bytes, at: np.ndarray, window: int, gram: int) -> tuple[np.nd
     return spans(padded, window)[at + before], spans(padded, before)[at][:, ::-1]
 
 
+def _row_hashes(rows: np.ndarray) -> np.ndarray:
+    """64-bit hash of each row of a byte matrix."""
+    out = np.full(len(rows), rows.shape[1] + 1, dtype=np.uint64)
+    for column in rows.T:
+        out = out * np.uint64(_MULTIPLIER) + column + np.uint64(1)
+    out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return out ^ (out >> np.uint64(32))
+
+
+def _by_halves(part: tuple, often: np.ndarray, window: int, gram: int) -> tuple:
+    """Entries of one text, those at frequent anchors replaced by two that each stand for half of the offsets.
+
+    ``part``: doc, pos, hash, size, right, left, and how far to the right and left an entry counts.
+    """
+    half = (window - gram) // 2
+    doc, pos, hashes, size, right, left, far_right, far_left = part
+    # strings with at most ``half`` bytes before the anchor share window - half bytes from it on
+    a = np.flatnonzero(often & (size - pos >= window - half))
+    # the others share ``half`` bytes before it, and its own
+    b = np.flatnonzero(often & (pos >= half))
+    rows = np.concatenate([np.flatnonzero(~often), a, b])
+    name = hashes.copy()[rows]
+    at_a, at_b = slice(len(rows) - len(a) - len(b), len(rows) - len(b)), slice(len(rows) - len(b), len(rows))
+    name[at_a] = _row_hashes(right[a][:, :window - half])
+    name[at_b] = _row_hashes(np.concatenate([left[b][:, :half], right[b][:, :gram]], axis=1)) ^ np.uint64(_MULTIPLIER)
+    far_right, far_left = far_right[rows], far_left[rows]
+    far_left[at_a] = half
+    far_right[at_b] = window - half
+    return doc[rows], pos[rows], name, size[rows], right[rows], left[rows], far_right, far_left
+
+
 def _runs(window: int, gram: int, ranges: int):
-    """mapInArrow: (doc_id, row_hash, text, pos[], gram[]) -> (range, size, run): front-coded sorted runs."""
-    def write(docs: list, doc_of: np.ndarray, pos: np.ndarray, hashes: np.ndarray, size: np.ndarray, right: np.ndarray, left: np.ndarray):
+    """mapInArrow: (doc_id, row_hash, text, pos[], gram[], often[]) -> (range, size, run): front-coded sorted runs."""
+    def write(docs: list, doc_of: np.ndarray, pos: np.ndarray, hashes: np.ndarray, size: np.ndarray, right: np.ndarray, left: np.ndarray,
+              far_right: np.ndarray, far_left: np.ndarray):
         key = np.concatenate([hashes.byteswap().view(np.uint8).reshape(-1, 8), right], axis=1)
         # how much of each side is text rather than padding is part of a suffix's identity
-        after = np.minimum(size - pos, window).astype(np.uint16)
-        before = np.minimum(pos, window - gram).astype(np.uint16)
+        after = np.minimum(size - pos, far_right).astype(np.uint16)
+        before = np.minimum(pos, far_left).astype(np.uint16)
         whole = np.concatenate([key, left, after.byteswap().view(np.uint8).reshape(-1, 2), before.byteswap().view(np.uint8).reshape(-1, 2)], axis=1)
         order = np.argsort(np.ascontiguousarray(whole).view(f"V{whole.shape[1]}").ravel(), kind="stable")
         same = _shared(whole[order]) == whole.shape[1]
@@ -187,20 +224,21 @@ def _runs(window: int, gram: int, ranges: int):
         held = 0
 
         def flush():
-            doc_of, pos, hashes, size, right, left = (np.concatenate(x) for x in zip(*parts, strict=True))
-            return write(docs, doc_of, pos, hashes, size, right, left)
+            return write(docs, *(np.concatenate(x) for x in zip(*parts, strict=True)))
 
         for batch in batches:
-            for doc_id, row_hash, text, pos, grams in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row_hash", "text")),
-                                                          batch.column("pos"), batch.column("gram"), strict=True):
+            for doc_id, row_hash, text, pos, grams, frequent in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row_hash", "text")),
+                                                                    *(batch.column(c) for c in ("pos", "gram", "often")), strict=True):
                 raw = text.encode()
                 at, which = np.unique(np.array(pos.values), return_index=True)
-                hashes = np.array(grams.values).view(np.uint64)[which]
+                hashes, often = np.array(grams.values).view(np.uint64)[which], np.array(frequent.values)[which]
                 docs.append((doc_id, row_hash))
                 for i in range(0, len(at), RUN):
                     some = at[i:i + RUN].astype(np.int64)
-                    parts.append((np.full(len(some), len(docs) - 1), some, hashes[i:i + RUN], np.full(len(some), len(raw)), *_contexts(raw, some, window, gram)))
-                    held += len(some)
+                    parts.append(_by_halves((
+                        np.full(len(some), len(docs) - 1), some, hashes[i:i + RUN], np.full(len(some), len(raw)), *_contexts(raw, some, window, gram),
+                        np.full(len(some), window), np.full(len(some), window - gram)), often[i:i + RUN], window, gram))
+                    held += len(parts[-1][0])
                     if held >= RUN:
                         yield flush()
                         docs, parts, held = docs[-1:], [], 0
@@ -213,18 +251,21 @@ def _runs(window: int, gram: int, ranges: int):
 
 # ---- merge -------------------------------------------------------------------------------------------------------
 
-def merge_runs(runs: list[tuple[list[bytes], list[int]]], width: int) -> tuple[list[tuple[int, int]], list[int]]:
-    """Loser tree over sorted runs of ``width``-byte strings, each with its shared prefix lengths.
+def merge_runs(runs: list[tuple[np.ndarray, np.ndarray]], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Loser tree over sorted runs: byte matrices of ``width`` columns, each with its shared prefix lengths.
 
-    Returns (run, index) in merged order and the length of the prefix shared with the
-    element before. A contender's known prefix is relative to the last element taken out.
+    Returns the merged order as row numbers (runs laid end to end) and the length of the
+    prefix shared with the row before. A contender's known prefix is relative to the last
+    row taken out. Only the head of each run is a bytes object.
     """
     k = 1
     while k < len(runs):
         k *= 2
     size = [len(r[0]) for r in runs] + [0] * (k - len(runs))
+    first = np.concatenate([[0], np.cumsum(size)]).tolist()
     index, known = [0] * k, [0] * k
-    head: list[bytes | None] = [runs[i][0][0] if i < len(runs) and size[i] else None for i in range(k)]
+    lcp = [r[1].tolist() for r in runs]
+    head: list[bytes | None] = [runs[i][0][0].tobytes() if size[i] else None for i in range(k)]
     loser = [0] * k
 
     def play(a: int, b: int) -> tuple[int, int]:
@@ -256,14 +297,14 @@ def merge_runs(runs: list[tuple[list[bytes], list[int]]], width: int) -> tuple[l
         return won
 
     champion = build(1)
-    order, shared = [], []
-    while head[champion] is not None:
-        order.append((champion, index[champion]))
-        shared.append(known[champion])
+    order, shared = np.empty(first[-1], dtype=np.int64), np.empty(first[-1], dtype=np.int64)
+    for place in range(first[-1]):
+        order[place] = first[champion] + index[champion]
+        shared[place] = known[champion]
         i = index[champion] = index[champion] + 1
         if i < size[champion]:
-            head[champion] = runs[champion][0][i]
-            known[champion] = runs[champion][1][i]
+            head[champion] = runs[champion][0][i].tobytes()
+            known[champion] = lcp[champion][i]
         else:
             head[champion] = None
         node = (champion + k) // 2
@@ -325,24 +366,25 @@ def _merge(window: int, gram: int):
 
     def run(group: pa.Table) -> pa.Table:
         runs, lefts, afters, befores, times, refs, first = [], [], [], [], [], [], 0
-        offset = []
         for size, blob in zip(group["size"].to_pylist(), group["run"].to_pylist(), strict=True):
             (shared, rest, l_shared, l_rest, after, before, entry, doc, pos, ids, nulls, hashes) = _unpack(blob, size)
             shared, l_shared = np.frombuffer(shared, np.uint16), np.frombuffer(l_shared, np.uint16)
-            runs.append((_restored(shared, rest, key), shared.tolist()))
-            lefts.append(np.frombuffer(b"".join(_restored(l_shared, l_rest, most)), np.uint8).reshape(len(shared), most))
+            runs.append((_restored(shared, rest, key), shared))
+            lefts.append(_restored(l_shared, l_rest, most))
             afters.append(np.frombuffer(after, np.uint16).astype(np.int64))
             befores.append(np.frombuffer(before, np.uint16).astype(np.int64))
             entry, doc = np.frombuffer(entry, np.int32), np.frombuffer(doc, np.int32)
             times.append(np.bincount(entry, minlength=len(shared)))
             refs.append((entry + first, np.frombuffer(pos, np.int32), np.frombuffer(ids, np.int64)[doc],
                          np.frombuffer(nulls, bool)[doc], np.frombuffer(hashes, np.int64)[doc]))
-            offset.append(first)
             first += len(shared)
-        order, shared = merge_runs(runs, key)
-        row = np.array([offset[r] + i for r, i in order], dtype=np.int64)
-        left, after, before, count = (np.concatenate(x)[row] for x in (lefts, afters, befores, times))
-        known = np.array(shared, dtype=np.int64) - 8
+        row, shared = merge_runs(runs, key)
+        runs.clear()
+        left = np.concatenate(lefts)
+        lefts.clear()
+        left = left[row]
+        after, before, count = (np.concatenate(x)[row] for x in (afters, befores, times))
+        known = shared - 8
         # rows equal in all bytes and in how far their text goes are one suffix
         known[0] = -1
         left, after, before, count, known, merged = _fold(left, after, before, count, known, window)
@@ -363,9 +405,12 @@ def _fold(left: np.ndarray, after: np.ndarray, before: np.ndarray, count: np.nda
     block = np.cumsum(known < window)  # equal keys
     whole = np.concatenate([block.astype(">i8").view(np.uint8).reshape(-1, 8), left,
                             after.astype(">u2").view(np.uint8).reshape(-1, 2), before.astype(">u2").view(np.uint8).reshape(-1, 2)], axis=1)
-    order = np.argsort(np.ascontiguousarray(whole).view(f"V{whole.shape[1]}").ravel(), kind="stable")
-    new = _shared(whole[order]) < whole.shape[1]
-    new[0] = True
+    texts = np.ascontiguousarray(whole).view(f"V{whole.shape[1]}").ravel()
+    order = np.argsort(texts, kind="stable")
+    new = np.ones(len(order), dtype=bool)
+    for i in range(1, len(order), RUN):  # piece by piece: a range may hold a frequent anchor's many suffixes
+        part = order[i - 1:i + RUN]
+        new[i:i + RUN] = texts[part[1:]] != texts[part[:-1]]
     merged = np.empty(len(order), dtype=np.int64)
     merged[order] = np.cumsum(new) - 1
     heads = order[new]
@@ -394,14 +439,14 @@ def _hot_windows(window: int, gram: int):
     return run
 
 
-def duplicate_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+def duplicate_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, often: int = OFTEN) -> DataFrame:
     """doc_id, row_hash, start, end: byte spans (overlapping) covered by strings that also start elsewhere."""
     rows = keyed(docs)
     found = rows.mapInArrow(_anchor_rows(window, gram), "doc_id long, row_hash long, pos int, gram long")
     repeated = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     at = found.join(repeated, "gram").groupBy(*ROW_KEY, (F.col("n") > hot).alias("hot"))
     # rows alike in doc_id and text put their anchors here together; they are told apart by count
-    listed = cut(at.agg(F.collect_list(F.struct("pos", "gram")).alias("x")), "anchors")
+    listed = cut(at.agg(F.collect_list(F.struct("pos", "gram", (F.col("n") > often).alias("often"))).alias("x")), "anchors")
     total = listed.agg(F.sum(F.size("x")), F.max("hot")).first()
     spans = "doc_id long, row_hash long, start int, end int"
     if not total[0]:
@@ -409,8 +454,8 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot
     ranges = max(1, total[0] // RUN + 1)
 
     def joined(is_hot: bool) -> DataFrame:
-        mine = listed.where(F.col("hot") == is_hot).select(*ROW_KEY, F.col("x.pos").alias("pos"), F.col("x.gram").alias("gram"))
-        return same_row(rows, mine, "inner").select(*ROW_KEY, "text", "pos", "gram")
+        mine = listed.where(F.col("hot") == is_hot).select(*ROW_KEY, F.col("x.pos").alias("pos"), F.col("x.gram").alias("gram"), F.col("x.often").alias("often"))
+        return same_row(rows, mine, "inner").select(*ROW_KEY, "text", "pos", "gram", "often")
 
     runs = joined(False).mapInArrow(_runs(window, gram, ranges), "range int, size long, run binary")
     out = runs.groupBy("range").applyInArrow(_merge(window, gram), spans)
@@ -432,7 +477,7 @@ def joined_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, often: int = OFTEN) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed_spans.
 
     Bytes are UTF-8; ``removed_spans`` lists the maximal removed runs as 'start:end'.
@@ -442,7 +487,7 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: i
     - rows that repeat a doc_id and its text are copies of each other like any others;
     - an empty table gives an empty result; other columns are ignored.
     """
-    per_row = duplicate_spans(docs, window, gram, hot).groupBy(*ROW_KEY).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    per_row = duplicate_spans(docs, window, gram, hot, often).groupBy(*ROW_KEY).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     all_rows = same_row(keyed(docs), per_row).select("doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,13 +5,14 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from contrail.llm.exact_dedup import exact_dedup, kept_documents
 from contrail.llm.near_dedup import components, near_dedup
 from contrail.llm.substring_dedup import substring_dedup
-from contrail.llm.suffix_dedup import merge_runs, suffix_dedup
+from contrail.llm.suffix_dedup import _front_coded, _restored, merge_runs, suffix_dedup
 
 WS = r"[\x20\x09-\x0D]+"
 CLASH = "doc_id long, text string, keep_id long, h long, kept string, pos int, item string, label int, _sha string, spans int"
@@ -124,22 +125,25 @@ def suffix_rows():
                    (106, p[:40] + "\0"), (107, p[:40]), (108, "é" * 50)]
 
 
-@pytest.mark.parametrize("window,gram,hot", [(20, 4, 10**6), (16, 8, 10**6), (24, 5, 3)])
-def test_suffix_dedup(spark, suffix_rows, window, gram, hot):
+@pytest.mark.parametrize("window,gram,hot,often", [(20, 4, 10**6, 10**6), (20, 4, 10**6, 3), (16, 8, 10**6, 2), (24, 5, 3, 2)])
+def test_suffix_dedup(spark, suffix_rows, window, gram, hot, often):
     df = frame(spark, [(d, t, "x") for d, t in suffix_rows])
-    got = suffix_dedup(df, window, gram, hot).collect()
+    got = suffix_dedup(df, window, gram, hot, often).collect()
     assert by_str(tuple(r)[:5] for r in got) == suffix_brute(suffix_rows, window)
 
 
-def test_merge_never_loses_order():
+def test_merge_and_front_coding():
     rng = random.Random(5)
     strings = sorted("".join(rng.choice("ab") for _ in range(12)).encode() for _ in range(500))
-    shared = lambda a, b: next((i for i in range(12) if a[i] != b[i]), 12)
-    runs = [strings[i::7] for i in range(7)] + [[]]
-    order, known = merge_runs([(r, [0] + [shared(a, b) for a, b in zip(r, r[1:])]) for r in runs], 12)
-    merged = [runs[r][i] for r, i in order]
-    assert merged == strings
-    assert known == [0] + [shared(a, b) for a, b in zip(strings, strings[1:])]
+    rows = np.frombuffer(b"".join(strings), np.uint8).reshape(-1, 12)
+    runs = [rows[i::7] for i in range(7)] + [rows[:0]]
+    coded = [_front_coded(r) for r in runs]
+    for r, (shared, rest) in zip(runs, coded, strict=True):
+        assert (_restored(shared, rest, 12) == r).all() and len(rest) == 12 * len(r) - shared.sum()
+    order, known = merge_runs([(r, c[0]) for r, c in zip(runs, coded, strict=True)], 12)
+    assert (np.concatenate(runs)[order] == rows).all()
+    shared = [0] + [next((i for i in range(12) if a[i] != b[i]), 12) for a, b in zip(strings, strings[1:])]
+    assert known.tolist() == shared
 
 
 def near_brute(rows, size, percent):
