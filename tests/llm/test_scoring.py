@@ -35,7 +35,7 @@ def test_mixing_rates_and_counts(spark):
     chars = got.text.str.len().groupby(got.source).sum()
     assert chars["big"] == pytest.approx(35_000 / 3, rel=0.1) and chars["small"] == pytest.approx(70_000 / 3, rel=0.1)
     assert (got.groupby("doc_id").size() == got.groupby("doc_id").n_copies.first()).all()
-    assert got.shuffle_key.is_monotonic_increasing and got.copy.max() <= got.n_copies.max()
+    assert got.shuffle_key.is_monotonic_increasing and got["copy"].max() <= got.n_copies.max()
     again = mix_sources(df.repartition(7), {"big": 1.0, "small": 2.0}).toPandas()
     assert got.equals(again)
     # the count's distribution: variance of a Poisson variable equals its mean
