@@ -1,13 +1,13 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
-Vectors go to the unit sphere, are turned by fast Hadamard pseudo-rotations (three
-rounds of random signs and a Hadamard transform) and hashed to the nearest signed
-axis, one rotation per table. A query probes in each table the axes nearest to it.
-Candidates are reranked exactly on the original vectors.
+Vectors go to the unit sphere, each by its own length, are turned by fast Hadamard
+pseudo-rotations (three rounds of random signs and a Hadamard transform) and hashed to
+the nearest signed axis, one rotation per table. A query probes in each table the axes
+nearest to it. Candidates are reranked exactly on the original vectors.
 
-Inner products of vectors of different length become angles by one more component,
-sqrt(M^2 - |x|^2) with M the largest length (0 for queries), which does not change
-the order of inner products.
+Directions alone would lose long vectors at a wide angle, whose inner products are
+large all the same: every query also meets the longest vectors (HEAD of them, and
+always enough for k neighbours). No vector's bucket depends on the length of another.
 
 Equal vectors are one class that is searched once. Bucket and query groups above a
 block size are split into blocks that meet pairwise, so a hot bucket spreads over
@@ -29,6 +29,9 @@ TABLES = 8
 PROBES = 24
 BLOCK = 8192
 SEED = 20
+#: The longest vectors, candidates of every query.
+HEAD = 1024
+HEAD_TABLE = -1
 
 
 def _axes(dim: int) -> int:
@@ -57,26 +60,25 @@ def rotate(x: np.ndarray, table: int, seed: int = SEED) -> np.ndarray:
     return x
 
 
-def _sphere(vectors: list, dim: int, longest: float, query: bool) -> np.ndarray:
+def _sphere(vectors: list, dim: int) -> np.ndarray:
     x = np.array(vectors, dtype=np.float64).reshape(len(vectors), dim)
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # squares of very large or small components stay finite
     out = np.zeros((len(x), _axes(dim + 1)))
-    if query:
-        out[:, :dim] = x / np.linalg.norm(x, axis=1, keepdims=True)
-    else:
-        out[:, :dim] = x / longest
-        out[:, dim] = np.sqrt(np.clip(1 - (out[:, :dim] ** 2).sum(axis=1), 0, None))
+    out[:, :dim] = x / np.linalg.norm(x, axis=1, keepdims=True)
     return out
 
 
-def _hasher(dim: int, longest: float, tables: int, probes: int, query: bool, seed: int) -> Callable:
-    """mapInPandas: (cls, vec) -> one row (cls, vec, tab, bucket) per table, and per probe for queries."""
+def _hasher(dim: int, tables: int, probes: int, query: bool, seed: int) -> Callable:
+    """mapInPandas: (cls, vec) -> one row (cls, vec, tab, bucket) per table; for queries per probe, and one for the longest vectors."""
     take = probes if query else 1
 
     def run(batches):
         for pdf in batches:
             if not len(pdf):
                 continue
-            x = _sphere(list(pdf["vec"]), dim, longest, query)
+            x = _sphere(list(pdf["vec"]), dim)
+            if query:
+                yield pdf[["cls", "vec"]].assign(tab=HEAD_TABLE, bucket=0)
             for table in range(tables):
                 turned = rotate(x, table, seed)
                 signed = np.concatenate([turned, -turned], axis=1)
@@ -117,7 +119,7 @@ def usable_vectors(embeddings: DataFrame) -> DataFrame:
 
 
 def nearest(embeddings: DataFrame, query_every: int = 20, k: int = 20, tables: int = TABLES, probes: int = PROBES,
-            block: int = BLOCK, seed: int = SEED) -> DataFrame:
+            block: int = BLOCK, seed: int = SEED, head: int = HEAD) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every row whose vec_id is divisible by ``query_every``.
 
     Score is the inner product in double precision on the original vectors; nearest
@@ -126,7 +128,7 @@ def nearest(embeddings: DataFrame, query_every: int = 20, k: int = 20, tables: i
     - vectors that are null, empty, zero or hold a null or non-finite component take no part;
     - vectors of another length than the most frequent (ties: the longer) take no part, as no inner product exists;
     - rows that repeat a vec_id and its vector count once; a vec_id with several vectors keeps each of them;
-    - fewer than k others: all that were found; an empty table gives an empty result.
+    - k neighbours wherever there are k others, else all others; an empty table gives an empty result.
     """
     # One row of equal vec_id and vector, then classes of equal vectors. A neighbour list can use
     # at most k+1 members of a class (the query itself may be one), always those of smallest id;
@@ -142,17 +144,20 @@ def nearest(embeddings: DataFrame, query_every: int = 20, k: int = 20, tables: i
     members = rows.withColumn("rn", F.row_number().over(by_vec)).where(F.col("rn") <= k + 1)
     classes = cut(members.groupBy("vec").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
                   .withColumn("cls", F.xxhash64("vec", F.col("ids")[0])), "ann-classes")
-    longest = classes.agg(F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)))).first()[0] or 1.0
 
     # rows and classes meet on the vector; queries of one class share one search
     asked = rows.where(F.col("vec_id") % query_every == 0)
     asked = cut(asked.join(classes.select("vec", "cls"), "vec").select("vec_id", "cls"), "ann-queries")
     hashed = "cls long, vec array<double>, tab int, bucket int"
     asked_classes = classes.join(asked.select("cls").distinct(), "cls", "left_semi").select("cls", "vec")
-    index = cut(classes.select("cls", "vec").mapInPandas(_hasher(dim, longest, tables, 1, False, seed), hashed), "ann-index")
-    queries = cut(asked_classes.mapInPandas(_hasher(dim, longest, tables, probes, True, seed), hashed), "ann-probes")
-
-    # blocks per bucket: a table of at most tables * 2 * axes rows, whatever the data
+    # the longest vectors are one bucket more, and every query probes it
+    length = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))
+    longest = classes.orderBy(length.desc(), F.col("ids")[0], "cls").limit(max(head, k + 1)).select(
+        "cls", "vec", F.lit(HEAD_TABLE).alias("tab"), F.lit(0).alias("bucket"))
+    index = cut(classes.select("cls", "vec").mapInPandas(_hasher(dim, tables, 1, False, seed), hashed).unionByName(longest), "ann-index")
+    queries = cut(asked_classes.mapInPandas(_hasher(dim, tables, probes, True, seed), hashed), "ann-probes")
+
+    # blocks per bucket: a table of at most tables * 2 * axes + 1 rows, whatever the data
     def blocks(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy("tab", "bucket").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias(name))
     sizes = F.broadcast(blocks(index, "n_i").join(blocks(queries, "n_q"), ["tab", "bucket"]))

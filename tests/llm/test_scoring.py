@@ -85,6 +85,21 @@ def test_nearest_recall_and_scores(spark, block):
         assert r.score == pytest.approx(float(np.dot(v[r.query_id].astype(float), v[r.vec_id].astype(float))), rel=1e-9)
 
 
+@pytest.mark.parametrize("lengths", ["equal", "spread", "outlier"])
+def test_nearest_recall_does_not_depend_on_lengths(spark, lengths):
+    """With a head of one row in twenty most of the work is left to the buckets."""
+    rng = np.random.default_rng(11)
+    v = rng.normal(size=(2000, 64))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    v *= {"equal": np.ones((2000, 1)), "spread": rng.lognormal(0, 1, (2000, 1)), "outlier": np.where(np.arange(2000) == 7, 100, 1)[:, None]}[lengths]
+    rows = [(i, [float(a) for a in x]) for i, x in enumerate(v)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = {(q, j) for q, _, j, _ in brute(rows)}
+    got = [(r.query_id, r.vec_id) for r in nearest(df, head=100).collect()]
+    print(lengths, "recall", len(want & set(got)) / len(want))
+    assert len(got) == len(want) and len(want & set(got)) >= 0.9 * len(want)
+
+
 def test_nearest_ties_copies_and_bad_vectors(spark):
     same = [1.0, 2.0, 0.0]
     rows = [(i, same) for i in range(60)] + [(100, [2.0, 4.0, 0.0]), (101, None), (120, []), (140, [0.0, 0.0, 0.0]), (160, [float("nan"), 1.0, 1.0]),
