@@ -69,7 +69,7 @@ def _sphere(vectors: list, dim: int) -> np.ndarray:
 
 
 def _hasher(dim: int, tables: int, probes: int, query: bool, seed: int) -> Callable:
-    """mapInPandas: (cls, vec) -> one row (cls, vec, tab, bucket) per table; for queries per probe, and one for the longest vectors."""
+    """mapInPandas: (cls, first, vec) -> one row (cls, first, vec, tab, bucket) per table; for queries per probe, and one for the longest vectors."""
     take = probes if query else 1
 
     def run(batches):
@@ -78,30 +78,30 @@ def _hasher(dim: int, tables: int, probes: int, query: bool, seed: int) -> Calla
                 continue
             x = _sphere(list(pdf["vec"]), dim)
             if query:
-                yield pdf[["cls", "vec"]].assign(tab=HEAD_TABLE, bucket=0)
+                yield pdf[["cls", "first", "vec"]].assign(tab=HEAD_TABLE, bucket=0)
             for table in range(tables):
                 turned = rotate(x, table, seed)
                 signed = np.concatenate([turned, -turned], axis=1)
                 near = np.argsort(-signed, axis=1, kind="stable")[:, :take]
                 rows = np.repeat(np.arange(len(pdf)), near.shape[1])
-                yield pd.DataFrame({"cls": pdf["cls"].to_numpy()[rows], "vec": pdf["vec"].to_numpy()[rows],
-                                    "tab": table, "bucket": near.ravel().astype(np.int32)})
+                yield pd.DataFrame({"cls": pdf["cls"].to_numpy()[rows], "first": pdf["first"].to_numpy()[rows],
+                                    "vec": pdf["vec"].to_numpy()[rows], "tab": table, "bucket": near.ravel().astype(np.int32)})
     return run
 
 
 def _best(dim: int, top: int) -> Callable:
-    """Cogrouped block of one bucket: each query's ``top`` best classes, exact scores."""
+    """Cogrouped block of one bucket: each query's ``top`` best classes, exact scores, ties to the class with the smaller first vec_id."""
     def run(index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(index) or not len(queries):
             return pd.DataFrame({"q_cls": [], "cls": [], "score": []})
-        order = np.argsort(index["cls"].to_numpy(), kind="stable")
+        order = np.lexsort((index["cls"].to_numpy(), index["first"].to_numpy()))
         ids = index["cls"].to_numpy()[order]
         x = np.array(list(index["vec"]), dtype=np.float64).reshape(-1, dim)[order]
         found = []
         for at in range(0, len(queries), 1024):
             part = queries.iloc[at:at + 1024]
             scores = np.array(list(part["vec"]), dtype=np.float64).reshape(-1, dim) @ x.T
-            # ids ascend, so a stable sort leaves ties with the smaller id first
+            # first vec_ids ascend, so a stable sort leaves ties with the smaller one first
             best = np.argsort(-scores, axis=1, kind="stable")[:, :top]
             found.append(pd.DataFrame({"q_cls": np.repeat(part["cls"].to_numpy(), best.shape[1]), "cls": ids[best].ravel(),
                                        "score": np.take_along_axis(scores, best, axis=1).ravel()}))
@@ -148,13 +148,14 @@ def nearest(embeddings: DataFrame, query_every: int = 20, k: int = 20, tables: i
     # rows and classes meet on the vector; queries of one class share one search
     asked = rows.where(F.col("vec_id") % query_every == 0)
     asked = cut(asked.join(classes.select("vec", "cls"), "vec").select("vec_id", "cls"), "ann-queries")
-    hashed = "cls long, vec array<double>, tab int, bucket int"
-    asked_classes = classes.join(asked.select("cls").distinct(), "cls", "left_semi").select("cls", "vec")
+    hashed = "cls long, first long, vec array<double>, tab int, bucket int"
+    named = classes.select("cls", F.col("ids")[0].alias("first"), "vec")
+    asked_classes = named.join(asked.select("cls").distinct(), "cls", "left_semi")
     # the longest vectors are one bucket more, and every query probes it
     length = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))
-    longest = classes.orderBy(length.desc(), F.col("ids")[0], "cls").limit(max(head, k + 1)).select(
-        "cls", "vec", F.lit(HEAD_TABLE).alias("tab"), F.lit(0).alias("bucket"))
-    index = cut(classes.select("cls", "vec").mapInPandas(_hasher(dim, tables, 1, False, seed), hashed).unionByName(longest), "ann-index")
+    longest = named.orderBy(length.desc(), "first", "cls").limit(max(head, k + 1)).select(
+        "cls", "first", "vec", F.lit(HEAD_TABLE).alias("tab"), F.lit(0).alias("bucket"))
+    index = cut(named.mapInPandas(_hasher(dim, tables, 1, False, seed), hashed).unionByName(longest), "ann-index")
     queries = cut(asked_classes.mapInPandas(_hasher(dim, tables, probes, True, seed), hashed), "ann-probes")
 
     # blocks per bucket: a table of at most tables * 2 * axes + 1 rows, whatever the data
@@ -164,14 +165,13 @@ def nearest(embeddings: DataFrame, query_every: int = 20, k: int = 20, tables: i
     key = ["tab", "bucket", "i", "q"]
     own = lambda n: F.pmod(F.xxhash64("cls", F.lit(7)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = index.join(sizes, ["tab", "bucket"]).withColumn("i", own("n_i")).withColumn("q", every("n_q")).select(*key, "cls", "vec")
-    right = queries.join(sizes, ["tab", "bucket"]).withColumn("q", own("n_q")).withColumn("i", every("n_i")).select(*key, "cls", "vec")
+    left = index.join(sizes, ["tab", "bucket"]).withColumn("i", own("n_i")).withColumn("q", every("n_q")).select(*key, "cls", "first", "vec")
+    right = queries.join(sizes, ["tab", "bucket"]).withColumn("q", own("n_q")).withColumn("i", every("n_i")).select(*key, "cls", "first", "vec")
     scored = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(_best(dim, k + 1), "q_cls long, cls long, score double")
 
     # the same pair may come from several tables
     pairs = scored.groupBy("q_cls", "cls").agg(F.max("score").alias("score")).join(classes.select("cls", "ids"), "cls")
-    first = F.col("ids")[0]
-    per_class = Window.partitionBy("q_cls").orderBy(F.desc("score"), first)
+    per_class = Window.partitionBy("q_cls").orderBy(F.desc("score"), F.col("ids")[0])
     best = pairs.withColumn("rn", F.row_number().over(per_class)).where(F.col("rn") <= k + 1)
     listed = best.select("q_cls", "score", F.explode("ids").alias("vec_id"))
     lists = listed.withColumn("rn", F.row_number().over(Window.partitionBy("q_cls").orderBy(F.desc("score"), "vec_id")))

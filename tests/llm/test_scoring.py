@@ -116,6 +116,13 @@ def test_nearest_ties_copies_and_bad_vectors(spark):
     assert [tuple(r) for r in nearest(spark.createDataFrame([(0, same)], "vec_id long, embedding array<float>")).collect()] == []
 
 
+def test_nearest_ties_of_different_vectors_go_to_the_smaller_id(spark):
+    """Thirty vectors that differ only where the query is zero, more than a block keeps."""
+    rows = [(0, [1.0] + [0.0] * 31)] + [(i, [1.0] + [float(j == i) for j in range(1, 32)]) for i in range(1, 31)]
+    got = nearest(spark.createDataFrame(rows[::-1], "vec_id long, embedding array<double>")).where("query_id = 0").orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(i, 1.0) for i in range(1, 21)]
+
+
 # ---- quality ----
 
 def test_trees_learn_and_statistics_are_defined():
