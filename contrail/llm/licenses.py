@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from contrail.llm.common import id_and_text
 
 # Sentences of public license texts and notices. Words compare in lower case,
-# without punctuation at their ends; "<v>" stands for one version number such as 2.0.
+# without punctuation at their ends; "<v>" stands for one version number such as 2.0, "<h>"
+# for one to SLOT words such as a holder's name.
 SENTENCES: dict[str, str] = {
     "apache-line": "Licensed under the Apache License, Version 2.0",
     "apache-line-the": "Licensed under the Apache License, Version 2.0 (the \"License\")",
@@ -53,30 +54,89 @@ SENTENCES: dict[str, str] = {
     "cc-by-nd-line": "Licensed under CC BY-ND <v>",
     "cc-by-nc-sa-line": "Licensed under CC BY-NC-SA <v>",
     "cc-by-nc-nd-line": "Licensed under CC BY-NC-ND <v>",
-    "spdx-apache": "SPDX-License-Identifier: Apache-2.0",
-    "spdx-mit": "SPDX-License-Identifier: MIT",
-    "spdx-bsd-2": "SPDX-License-Identifier: BSD-2-Clause",
-    "spdx-bsd-3": "SPDX-License-Identifier: BSD-3-Clause",
-    "spdx-gpl-2": "SPDX-License-Identifier: GPL-2.0-or-later",
-    "spdx-gpl-3": "SPDX-License-Identifier: GPL-3.0-or-later",
-    "spdx-mpl": "SPDX-License-Identifier: MPL-2.0",
+    "spdx": "SPDX-License-Identifier: <v>",
+    "bsd-advertising": "All advertising materials mentioning features or use of this software must display the following acknowledgement",
+    "gpl-any-free": "This <h> is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version <v> of the License, or (at your option) any later version",
+    "gpl-only": "This <h> is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version <v> as published by the Free Software Foundation",
+    "lgpl-free": "This <h> is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version <v> of the License, or (at your option) any later version",
+    "lgpl-see": "See the GNU Lesser General Public License for more details",
+    "agpl-free": "This <h> is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version <v> of the License, or (at your option) any later version",
+    "agpl-see": "See the GNU Affero General Public License for more details",
+    "gpl-title": "GNU General Public License Version <v>",
+    "lgpl-title": "GNU Lesser General Public License Version <v>",
+    "agpl-title": "GNU Affero General Public License Version <v>",
+    "apache-title": "Apache License Version 2.0, January 2004",
+    "mpl-title": "Mozilla Public License Version <v>",
+    "zlib-as-is": "This software is provided 'as-is', without any express or implied warranty",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions",
+    "epl-terms": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v<v>",
+    "epl-title": "Eclipse Public License - v <v>",
+    "boost-title": "Boost Software License - Version 1.0",
+    "boost-grant": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following",
 }
 
+# Further wordings of a sentence.
+WORDINGS: list[tuple[str, str]] = [
+    ("apache-copy", "You may obtain a copy of the License at https://www.apache.org/licenses/LICENSE-2.0"),
+    ("mpl-copy", "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/"),
+    ("isc-grant", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("gpl-only", "This <h> is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version <v> of the License"),
+    ("gpl-hope", "This <h> is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE"),
+    ("epl-terms", "This program and the accompanying materials are made available under the terms of the Eclipse Public License <v>"),
+    ("epl-terms", "This program and the accompanying materials are made available under the terms of the Eclipse Public License v. <v>"),
+    *(("bsd-endorse", f"{start} be used to endorse or promote products derived from this software without specific prior written permission") for start in (
+        "Neither the name of <h> nor the names of its contributors may", "Neither the name of <h> nor the names of contributors may",
+        "Neither the name of <h> nor the names of any contributors may", "Neither the name of <h> nor the names of other contributors may",
+        "Neither the name of <h> nor the names of their contributors may", "Neither the name nor trademarks of <h> may", "Neither the name of <h> may",
+        "The name of <h> may not", "The names of its contributors may not", "Neither the names of <h> nor the names of its contributors may")),
+]
+
+# Names of licenses as notices give them. A notice is one of OPENINGS, an article and a name.
+OPENINGS = [*(f"{verb} under" for verb in ("Licensed", "Released", "Distributed", "Available")),
+            *(f"{what} <h> {be} {verb} under" for what in ("This", "The") for be in ("is", "are")
+              for verb in ("licensed", "released", "distributed", "available", "made available"))]
+NAMES: list[tuple[str, str]] = [
+    ("MIT License", "MIT"), ("MIT licence terms", "MIT"), ("Apache License, Version 2.0", "Apache-2.0"), ("Apache License 2.0", "Apache-2.0"),
+    ("Apache 2.0 License", "Apache-2.0"), ("Apache-2.0 License", "Apache-2.0"), ("BSD License", "BSD"), ("BSD 2-Clause License", "BSD-2-Clause"),
+    ("BSD-2-Clause License", "BSD-2-Clause"), ("2-Clause BSD License", "BSD-2-Clause"), ("Simplified BSD License", "BSD-2-Clause"),
+    ("BSD 3-Clause License", "BSD-3-Clause"), ("BSD-3-Clause License", "BSD-3-Clause"), ("3-Clause BSD License", "BSD-3-Clause"),
+    ("New BSD License", "BSD-3-Clause"), ("ISC License", "ISC"), ("zlib License", "Zlib"), ("Unlicense", "Unlicense"),
+    ("Boost Software License, Version 1.0", "BSL-1.0"), ("Boost Software License 1.0", "BSL-1.0"),
+    *((f"{full}{mid} <v>", f"{short}-<v>") for full, short in (("Mozilla Public License", "MPL"), ("Eclipse Public License", "EPL"))
+      for mid in ("", ", version", ", v.")),
+    *((name, out) for full, short in (("GNU General Public License", "GPL"), ("GNU Lesser General Public License", "LGPL"), ("GNU Affero General Public License", "AGPL"))
+      for name, out in ((full, short), (f"{full} <v>", f"{short}-<v>"), (f"{full}, version <v>", f"{short}-<v>"),
+                        (f"{full} <v> or later", f"{short}-<v>-or-later"), (f"{full}, version <v> or later", f"{short}-<v>-or-later"),
+                        (f"{full}, version <v> or any later version", f"{short}-<v>-or-later"),
+                        (f"{full} <v> only", f"{short}-<v>-only"), (f"{full}, version <v> only", f"{short}-<v>-only"))),
+    *((f"Creative Commons Attribution{long} <v> International License", f"CC-BY{short}-<v>") for long, short in (
+        ("", ""), ("-ShareAlike", "-SA"), ("-NonCommercial", "-NC"), ("-NoDerivatives", "-ND"), ("-NonCommercial-ShareAlike", "-NC-SA"),
+        ("-NonCommercial-NoDerivatives", "-NC-ND"))),
+]
+
 # Ordered rules. "<v>" in a license name is the version that the sentence holds.
 RULES: list[tuple[str, tuple[str, ...]]] = [
     ("Apache-2.0", ("apache-line-the", "apache-comply", "apache-copy", "apache-as-is", "apache-see")),
-    ("Apache-2.0", ("apache-line-the",)), ("Apache-2.0", ("apache-line",)), ("Apache-2.0", ("spdx-apache",)),
+    ("Apache-2.0", ("apache-line-the",)), ("Apache-2.0", ("apache-line",)), ("Apache-2.0", ("apache-title",)),
     ("MIT", ("mit-title", "mit-grant", "mit-notice", "as-is-software", "as-is-liability")),
     ("MIT", ("mit-grant", "mit-notice", "as-is-software", "as-is-liability")),
-    ("MIT", ("mit-grant", "mit-notice")), ("MIT", ("mit-title",)), ("MIT", ("mit-line",)), ("MIT", ("mit-line-licensed",)), ("MIT", ("spdx-mit",)),
+    ("MIT", ("mit-grant", "mit-notice")), ("MIT", ("mit-title",)), ("MIT", ("mit-line",)), ("MIT", ("mit-line-licensed",)),
+    ("BSD-4-Clause", ("bsd-redistribution", "bsd-source", "bsd-binary", "bsd-advertising", "bsd-endorse")),
     ("BSD-3-Clause", ("bsd-redistribution", "bsd-source", "bsd-binary", "bsd-endorse")),
     ("BSD-2-Clause", ("bsd-redistribution", "bsd-source", "bsd-binary")),
-    ("BSD", ("bsd-line",)), ("BSD-2-Clause", ("spdx-bsd-2",)), ("BSD-3-Clause", ("spdx-bsd-3",)),
+    ("BSD", ("bsd-line",)),
     ("ISC", ("isc-grant",)),
     ("GPL-<v>", ("gpl-line",)), ("LGPL-<v>", ("lgpl-line",)),
-    ("GPL-3.0-or-later", ("gpl-free", "gpl-hope", "gpl-see")), ("GPL-3.0-or-later", ("gpl-free",)), ("GPL-3.0-or-later", ("spdx-gpl-3",)),
-    ("GPL-2.0-or-later", ("gpl-2-free", "gpl-hope", "gpl-see")), ("GPL-2.0-or-later", ("gpl-2-free",)), ("GPL-2.0-or-later", ("spdx-gpl-2",)),
-    ("MPL-2.0", ("mpl-terms", "mpl-copy")), ("MPL-2.0", ("mpl-terms",)), ("MPL-2.0", ("spdx-mpl",)),
+    ("GPL-3.0-or-later", ("gpl-free", "gpl-hope", "gpl-see")), ("GPL-3.0-or-later", ("gpl-free",)),
+    ("GPL-2.0-or-later", ("gpl-2-free", "gpl-hope", "gpl-see")), ("GPL-2.0-or-later", ("gpl-2-free",)),
+    ("MPL-2.0", ("mpl-terms", "mpl-copy")), ("MPL-2.0", ("mpl-terms",)), ("MPL-<v>", ("mpl-title",)),
+    ("GPL-<v>-or-later", ("gpl-any-free", "gpl-hope", "gpl-see")), ("GPL-<v>-or-later", ("gpl-any-free",)),
+    ("GPL-<v>-only", ("gpl-only", "gpl-hope", "gpl-see")), ("GPL-<v>-only", ("gpl-only",)),
+    ("LGPL-<v>-or-later", ("lgpl-free", "gpl-hope", "lgpl-see")), ("LGPL-<v>-or-later", ("lgpl-free",)),
+    ("AGPL-<v>-or-later", ("agpl-free", "gpl-hope", "agpl-see")), ("AGPL-<v>-or-later", ("agpl-free",)),
+    ("GPL-<v>", ("gpl-title",)), ("LGPL-<v>", ("lgpl-title",)), ("AGPL-<v>", ("agpl-title",)),
+    ("Zlib", ("zlib-as-is", "zlib-grant")), ("Zlib", ("zlib-grant",)), ("EPL-<v>", ("epl-terms",)), ("EPL-<v>", ("epl-title",)),
+    ("BSL-1.0", ("boost-title", "boost-grant")), ("BSL-1.0", ("boost-title",)), ("BSL-1.0", ("boost-grant",)), ("<v>", ("spdx",)),
     ("Unlicense", ("unlicense-domain",)),
     ("CC0-<v>", ("cc0-line",)), ("CC-BY-<v>", ("cc-by-line",)), ("CC-BY-SA-<v>", ("cc-by-sa-line",)), ("CC-BY-NC-<v>", ("cc-by-nc-line",)),
     ("CC-BY-ND-<v>", ("cc-by-nd-line",)), ("CC-BY-NC-SA-<v>", ("cc-by-nc-sa-line",)), ("CC-BY-NC-ND-<v>", ("cc-by-nc-nd-line",)),
@@ -86,6 +146,13 @@ VERSION = re.compile(r"v?\d+(?:\.\d+)*")
 WORD = re.compile(r"\S+")
 #: A sentence may start at the text's or a line's start, after the end of a sentence, or after a list mark.
 START = re.compile(r"(?:\A|\n|[.!?;:,]\s|(?:[*#/-]|\d[.)]|\(\w\))\s)\s*(?=\S)")
+#: An SPDX notice may stand anywhere; its expression ends with its line.
+_ID = r"[A-Za-z0-9](?:[A-Za-z0-9.+:-]*[A-Za-z0-9+])?"
+_PART = rf"(?:\([ \t]*)*{_ID}(?:[ \t]+WITH[ \t]+{_ID})?(?:[ \t]*\))*"
+SPDX = re.compile(rf"(?<!\w)(?i:SPDX-License-Identifier):[ \t]*({_PART}(?:[ \t]+(?:AND|OR)[ \t]+{_PART})*)")
+#: Longest filling of "<h>", in words.
+SLOT = 12
+_STOP = re.compile(r"[.!?]\W*$")
 EDGE = ".,;:!?()[]{}\"'`*#/-"
 
 
@@ -94,20 +161,26 @@ def word_of(raw: str) -> str:
     return raw.strip(EDGE).lower().replace("licence", "license")
 
 
+def wordings() -> list[tuple[str, str]]:
+    """(identifier, wording) of every known sentence; a notice's identifier is its license."""
+    notices = [(f"notice {out}", f"{opening} {article}{name}") for opening in OPENINGS for article in ("the ", "a ", "an ", "") for name, out in NAMES]
+    return [*((name, x) for name, x in SENTENCES.items() if name != "spdx"), *WORDINGS, *notices]
+
+
 def _trie() -> dict:
     root: dict = {}
-    for name, sentence in SENTENCES.items():
+    for name, sentence in wordings():
         node = root
-        for raw in sentence.split():
-            node = node.setdefault("<v>" if raw == "<v>" else word_of(raw), {})
-        node[None] = name
+        for raw in sentence.replace(" v<v>", " <v>").split():
+            word = raw if raw in ("<v>", "<h>") else word_of(raw)
+            node = node.setdefault(word, {}) if word else node
+        node.setdefault(None, name)
     return root
 
 
 _ROOT = _trie()
-_FIRST = frozenset(k for k in _ROOT if k)
 #: Each sentence holds one of these; texts with none are not searched further.
-TRIGGERS = ("licens", "licenc", "permission", "redistribution", "neither the name", "public domain", "the software", "mpl", "free software", "this program")
+TRIGGERS = ("licens", "licenc", "permission", "redistribution", "neither", "public domain", "software", "program", "mpl", "endorse", "apache")
 
 
 def sentences(text: str) -> list[tuple[int, int, str, str]]:
@@ -115,46 +188,72 @@ def sentences(text: str) -> list[tuple[int, int, str, str]]:
     low = text.lower()
     if not any(t in low for t in TRIGGERS):
         return []
-    out: list[tuple[int, int, str, str]] = []
+    out = [(m.start(), m.start(1) + len(e), "spdx", e) for m in SPDX.finditer(text) for e in [_balanced(m[1])]] if "spdx" in low else []
+    named = [(x[0], x[1]) for x in out]
     done = 0
     for m in START.finditer(text):
         at = m.end()
-        if at < done:
-            continue
-        node, version, best = _ROOT, "", None
-        for w in WORD.finditer(text, at):
-            word = word_of(w[0])
-            if not word:  # a comment mark at a line's start
-                if node is _ROOT:
-                    break
-                continue
-            if word in node:
-                node = node[word]
-            elif "<v>" in node and VERSION.fullmatch(word):
-                node, version = node["<v>"], word
-            else:
-                break
-            if None in node:
-                best = (at, w.end(), node[None], version)
-        if best:
+        if at >= done and (best := _longest(text, at)) and not any(s < best[1] and at < e for s, e in named):
             out.append(best)
             done = best[1]
-    return out
+    return sorted(out)
+
+
+def _balanced(expression: str) -> str:
+    """Without closing brackets that belong to the text around it."""
+    while expression.count(")") > expression.count("("):
+        expression = expression[:expression.rindex(")")].rstrip()
+    return expression
+
+
+def _longest(text: str, at: int) -> tuple[int, int, str, str] | None:
+    """Longest known sentence that starts at ``at``; of equally long ones the one with fewer slots."""
+    states, best, last = [(_ROOT, "", 0)], None, None  # node, version, words that the slot before the node may still take
+    for w in WORD.finditer(text, at):
+        word = word_of(w[0])
+        if not word:  # a comment mark at a line's start
+            if states[0][0] is _ROOT:
+                break
+            continue
+        # a slot lies within one sentence
+        within = last is None or not (_STOP.search(last[0]) and w[0][0].isupper() or text.count("\n", last.end(), w.start()) > 1)
+        literal, slots, last = [], [], w
+        for node, version, left in states:
+            if word in node:
+                literal.append((node[word], version, 0))
+            if "<v>" in node and VERSION.fullmatch(word):
+                literal.append((node["<v>"], word.removeprefix("v"), 0))
+            if "<h>" in node and within:
+                slots.append((node["<h>"], version, SLOT - 1))
+            if left and within:
+                slots.append((node, version, left - 1))
+        states = literal + slots
+        if not states:
+            break
+        best = next(((at, w.end(), node[None], version) for node, version, _ in literal if None in node), best)
+    return best
 
 
 _BY_FIRST: dict[str, list[tuple[str, tuple[str, ...]]]] = {}
-for _name, _rule in sorted(RULES, key=lambda r: -len(r[1])):
+for _name, _rule in sorted([*RULES, *((out, (f"notice {out}",)) for out in dict(NAMES[::-1]).values())], key=lambda r: -len(r[1])):
     _BY_FIRST.setdefault(_rule[0], []).append((_name, _rule))
 
 
-def licenses(text: str) -> list[tuple[int, int, str]]:
-    """Matched rules in order: (start, end, license)."""
-    found, out, i = sentences(text), [], 0
+def _name(name: str, version: str) -> str:
+    """SPDX writes 3.0 where a text says version 3."""
+    if name.endswith(("-or-later", "-only")) and "." not in version:
+        version += ".0"
+    return name.replace("<v>", version)
+
+
+def matches(found: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str]]:
+    """Rules matched by a text's known sentences, in order: (start, end, license)."""
+    out, i = [], 0
     names = tuple(f[2] for f in found)
     while i < len(found):
         for name, rule in _BY_FIRST.get(names[i], ()):
             if names[i:i + len(rule)] == rule:
-                out.append((found[i][0], found[i + len(rule) - 1][1], name.replace("<v>", found[i][3])))
+                out.append((found[i][0], found[i + len(rule) - 1][1], _name(name, found[i][3])))
                 i += len(rule)
                 break
         else:
@@ -162,6 +261,11 @@ def licenses(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def licenses(text: str) -> list[tuple[int, int, str]]:
+    """Matched rules in order: (start, end, license)."""
+    return matches(sentences(text))
+
+
 def license_scan(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id, licenses (sorted names, comma-joined), n_matches, n_sentences, spans.
 

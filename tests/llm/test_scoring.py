@@ -195,6 +195,45 @@ def test_license_spans_wrapping_and_edges(spark):
     assert license_scan(docs(spark, [])).count() == 0
 
 
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+   * Redistributions of source code must retain the above copyright
+notice, this list of conditions and the following disclaimer.
+   * Redistributions in binary form must reproduce the above
+copyright notice, this list of conditions and the following disclaimer
+in the documentation and/or other materials provided with the
+distribution.
+"""
+ENDORSE = """may be used to endorse or promote products derived from
+this software without specific prior written permission.
+"""
+FREE = """ * This %s is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU %s General Public
+ * License as published by the Free Software Foundation; either
+ * version %s of the License, or (at your option) any later version.
+"""
+PUBLISHED = [
+    (BSD, "BSD-2-Clause"), (BSD + "   * Neither the name of Google Inc. nor the names of its\ncontributors " + ENDORSE, "BSD-3-Clause"),
+    (BSD + "3. Neither the name of the <organization> nor the\nnames of its contributors " + ENDORSE, "BSD-3-Clause"),
+    (FREE % ("library", "Lesser", "2.1"), "LGPL-2.1-or-later"), (FREE % ("program", "Affero", "3"), "AGPL-3.0-or-later"),
+    ("This project is licensed under the MIT License.", "MIT"), ("The code is released under the BSD 3-Clause License", "BSD-3-Clause"),
+    ("This project is not licensed under the MIT License.", ""), ("                    GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007", "GPL-3"),
+    ("Permission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\n"
+     "freely, subject to the following restrictions:", "Zlib"),
+    ("Distributed under the Boost Software License, Version 1.0.", "BSL-1.0"),
+    ("This program and the accompanying materials\nare made available under the terms of the Eclipse Public License v1.0", "EPL-1.0"),
+    *((f"/* SPDX-License-Identifier: {x} */", x) for x in ("GPL-3.0-only", "LGPL-2.1-only", "ISC", "CC-BY-4.0", "MIT OR Apache-2.0",
+                                                          "GPL-2.0-only WITH Classpath-exception-2.0", "(MIT AND ISC) OR BSL-1.0")),
+    ("(SPDX-License-Identifier: MIT).", "MIT"),
+]
+
+
+@pytest.mark.parametrize("text,want", PUBLISHED)
+def test_published_license_texts(text, want):
+    assert ",".join(x[2] for x in licenses(text)) == want
+
+
 # ---- tokenizer ----
 
 @pytest.mark.skipif(not os.path.exists(MODEL), reason="tokenizer files not present")
