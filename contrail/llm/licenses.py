@@ -179,8 +179,8 @@ def _trie() -> dict:
 
 
 _ROOT = _trie()
-#: Each sentence holds one of these; texts with none are not searched further.
-TRIGGERS = ("licens", "licenc", "permission", "redistribution", "neither", "public domain", "software", "program", "mpl", "endorse", "apache")
+#: Single words, as a text may break a line between any two. Each sentence holds one of these; texts with none are not searched further.
+TRIGGERS = ("licens", "licenc", "permission", "redistribution", "neither", "unencumbered", "software", "program", "mpl", "endorse", "apache")
 
 
 def sentences(text: str) -> list[tuple[int, int, str, str]]:
@@ -276,12 +276,13 @@ def license_scan(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            found = [licenses(t) for t in texts]
+            known = [sentences(t) for t in texts]
+            found = [matches(k) for k in known]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"),
                 pa.array([",".join(sorted({x[2] for x in f})) for f in found], pa.string()),
                 pa.array([len(f) for f in found], pa.int64()),
-                pa.array([len(sentences(t)) if f else 0 for t, f in zip(texts, found, strict=True)], pa.int64()),
+                pa.array([len(k) for k in known], pa.int64()),
                 pa.array([",".join(f"{name}:{s}:{e}" for s, e, name in f) for f in found], pa.string()),
             ], names=["doc_id", "licenses", "n_matches", "n_sentences", "spans"])
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from contrail.llm.ann import hadamard, nearest
-from contrail.llm.licenses import RULES, SENTENCES, license_scan, licenses
+from contrail.llm.licenses import RULES, SENTENCES, TRIGGERS, license_scan, licenses, wordings
 from contrail.llm.mixing import mix_sources, source_rates
 from contrail.llm.quality import STATISTICS, fit, score_documents, statistics
 from contrail.llm.secrets import high_windows, scan, secret_scan
@@ -234,6 +234,16 @@ def test_published_license_texts(text, want):
     assert ",".join(x[2] for x in licenses(text)) == want
 
 
+def test_known_sentences_count_without_a_rule_and_across_line_breaks(spark):
+    rows = [(1, "See the GNU General Public License for more details.", "s"),
+            (2, "// This is free and unencumbered software released into the public\n// domain.", "s")]
+    got = {r.doc_id: r for r in license_scan(docs(spark, rows)).collect()}
+    assert (got[1].n_sentences, got[1].n_matches, got[1].licenses) == (1, 0, "")
+    assert (got[2].n_sentences, got[2].n_matches, got[2].licenses) == (1, 1, "Unlicense")
+    for _, sentence in wordings():
+        assert any(t in word.lower() for t in TRIGGERS for word in sentence.split()), sentence
+
+
 # ---- tokenizer ----
 
 @pytest.mark.skipif(not os.path.exists(MODEL), reason="tokenizer files not present")
