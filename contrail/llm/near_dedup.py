@@ -1,13 +1,15 @@
 """MinHash near-deduplication by chosen-path set similarity join.
 
 Documents become sets of word shingles; equal sets are one item. Each of several
-independent trees starts with all items. In a node two coordinates of the minwise
-sketch are selected by the node's own hash, and an item follows both: its child is
+trees starts with all items. The roots select coordinates of the minwise sketch without
+replacement, two each; in any other node two are selected by the node's own hash. An
+item follows both: its child is
 named by the coordinate and the token it has there, so similar items keep meeting
 while others part. Nodes of one item end; small nodes are compared exhaustively on
 their sketches; large ones branch again. A pair of similarity s is missed by a tree
 with probability at most 1 - (2s - 1) / s^2 at any depth (0.03 at 0.85), and by all
-trees with that to the power of their number.
+trees with about that to the power of their number: they share no coordinate at the
+roots, where a pair that meets nowhere is missed with (1 - s)^6, but may further down.
 
 Similarity is decided on full shingle sets inside the nodes: the texts of a block of
 items meet in one task, their overlaps are computed at once, and only a spanning
@@ -26,7 +28,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm.common import ROW_KEY, cut, keyed, same_row
@@ -47,6 +49,8 @@ WORDS_REMEMBERED = 500_000
 _rng = np.random.default_rng(SEED)
 _FACTOR = _rng.integers(0, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFT = _rng.integers(0, 2**63, SKETCH, dtype=np.uint64)
+#: Coordinates in the order in which the roots of the trees take them, BRANCH each.
+_ROOT_ORDER = np.random.default_rng([SEED, 1]).permutation(SKETCH).tolist()
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -112,12 +116,20 @@ def _describe(size: int) -> Callable:
 
 # ---- trees -------------------------------------------------------------------------------------------------------
 
-def _children(rows: DataFrame) -> DataFrame:
+def _children(rows: DataFrame, roots: bool) -> DataFrame:
     """(tree, node, item, sketch) -> the BRANCH children of each row, named by selected coordinate and token."""
+    if roots:
+        order = F.array(*[F.lit(c) for c in _ROOT_ORDER])
+        taken = (F.col("tree") - 1) * BRANCH
+        picks = [F.get(order, F.pmod(taken + i, F.lit(SKETCH)).cast("int")) for i in range(BRANCH)]
+        return _followed(rows, picks)
     first = F.pmod(F.xxhash64("node", F.lit(0)), F.lit(SKETCH))
     step = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(SKETCH - 1)) + 1
-    picks = F.explode(F.array(*[F.pmod(first + step * F.lit(i), F.lit(SKETCH)).cast("int") for i in range(BRANCH)]))
-    chosen = rows.withColumn("at", picks)
+    return _followed(rows, [F.pmod(first + step * F.lit(i), F.lit(SKETCH)).cast("int") for i in range(BRANCH)])
+
+
+def _followed(rows: DataFrame, picks: list[Column]) -> DataFrame:
+    chosen = rows.withColumn("at", F.explode(F.array(*picks)))
     return chosen.select("tree", F.xxhash64("node", "at", F.get("sketch", F.col("at"))).alias("node"), "item")
 
 
@@ -127,7 +139,7 @@ def leaf_nodes(items: DataFrame, trees: int = TREES, depth: int = DEPTH, node_si
     level = level.select("tree", F.col("tree").cast("long").alias("node"), "item", "sketch")
     leaves = None
     for d in range(1, depth + 1):
-        rows = cut(_children(level), "path-level")
+        rows = cut(_children(level, d == 1), "path-level")
         sizes = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
         sized = cut(rows.join(sizes, "node").select("tree", "node", "n", "item"), "path-sized")
         large = sized.where(F.col("n") > node_size)

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from contrail.llm.exact_dedup import exact_dedup, kept_documents
-from contrail.llm.near_dedup import components, near_dedup
+from contrail.llm.near_dedup import BRANCH, SKETCH, TREES, components, leaf_nodes, near_dedup
 from contrail.llm.substring_dedup import substring_dedup
 from contrail.llm.suffix_dedup import _front_coded, _restored, merge_runs, suffix_dedup
 
@@ -182,6 +182,13 @@ def test_near_dedup(spark, size, percent, node):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_roots_of_all_trees_take_different_coordinates(spark):
+    """One pair for each coordinate that agrees in no other: as many meet as coordinates are taken."""
+    rows = [((2 * c + side).to_bytes(16, "big"), [-1 if at == c else 2 * c + side for at in range(SKETCH)]) for c in range(SKETCH) for side in (0, 1)]
+    met = leaf_nodes(spark.createDataFrame(rows, "item binary, sketch array<int>"), depth=1)
+    assert met.select("item").distinct().count() == 2 * TREES * BRANCH
+
+
 def test_components_of_a_long_path(spark):
     item = lambda i: i.to_bytes(16, "big")
     links = [(item(i), item(i + 1)) for i in range(60) if i != 30] + [(item(i), item(100)) for i in range(101, 140)]
