@@ -58,14 +58,6 @@ def q_preview(spark, sf):
     return Q.preview(_raw(spark, sf), 5, KEYS).select(*RAW_COLS)
 
 
-_COL_LIST = "[" + ", ".join(f"'{c}'" for c in RAW_COLS) + "]"
-
-
-@register("schema_report", f"SELECT CAST(generate_subscripts({_COL_LIST}, 1) - 1 AS INTEGER) AS position, unnest({_COL_LIST}) AS column_name")
-def q_schema_report(spark, sf):
-    return Q.schema_report(_raw(spark, sf).select(*RAW_COLS)).select("position", "column_name")
-
-
 # --- B3-B5 ----------------------------------------------------------------
 
 def _null_row(c: str) -> str:

@@ -1,4 +1,5 @@
 from contrail.operators import quality as Q
+from contrail.plans import registry
 
 
 def test_duplicates_treat_null_as_equal(spark):
@@ -83,3 +84,9 @@ def test_time_text_examples_lengths_and_clean_gate(spark):
     lookup = spark.createDataFrame([("A",)], "IATA_CODE string")
     codes = spark.createDataFrame([("C", "B"), ("A", "D")], "o string, d string")
     assert [r.code for r in Q.code_set_difference(codes, lookup, ["o", "d"], first=2).collect()] == ["B", "C"]
+
+
+def test_schema_report_is_a_helper_and_no_query(spark):
+    df = spark.createDataFrame([], "a int, b string")
+    assert [tuple(r) for r in Q.schema_report(df).orderBy("position").collect()] == [(0, "a", "int"), (1, "b", "string")]
+    assert "schema_report" not in registry.queries() and "schema_report" not in registry.oracle_sql()
