@@ -40,8 +40,50 @@ g AS (SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) O
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g
 """
 
+# Escaping: backslashes doubled, then one after the first character of every control string of the template.
+CHAT_FORMAT = r"""
+WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, regexp_replace(replace(text, '\', '\\'),
+             '(<)(s>|/s>)|(\[)(SYS\]|/SYS\]|INST\]|/INST\]|BOT\]|ROLE\]|:\]|/ROLE\]|IMG\]|AUDIO\]|DOC\]|PART\])', '\1\3\\\2\4', 'g') AS escaped FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (3 + sum(length(escaped) + CASE role WHEN 'system' THEN 11 WHEN 'user' THEN 13 WHEN 'assistant' THEN 9
+                                  ELSE 16 + length(role) END))::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+COLLOCATIONS = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+grams AS (SELECT lang, 1 AS k, unnest(words) AS phrase FROM w
+""" + "".join(f"""          UNION ALL SELECT lang, {k}, unnest([array_to_string(words[s:s + {k - 1}], ' ') FOR s IN range(1, len(words) - {k - 2})]) FROM w WHERE len(words) >= {k}
+""" for k in range(2, 6)) + r"""),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING k = 1 OR count(*) >= 100),
+totals AS (SELECT lang, sum(a)::HUGEINT AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS words FROM f WHERE k > 1),
+lengths AS (SELECT a, lang, k, words, unnest(range(2, k)) AS m FROM cand WHERE k > 2),
+within AS (SELECT a, lang, unnest([array_to_string(words[s:s + m - 1], ' ') FOR s IN range(1, k - m + 2)]) AS phrase FROM lengths),
+inside AS MATERIALIZED (SELECT lang, phrase, max(a) AS longer FROM within GROUP BY 1, 2),
+rest AS (SELECT cand.* FROM cand LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR longer < a),
+split AS (SELECT lang, phrase, a, k, words, unnest(range(1, k)) AS c FROM rest),
+cuts AS MATERIALIZED (SELECT lang, phrase, a, c, array_to_string(words[1:c], ' ') AS first, array_to_string(words[c + 1:k], ' ') AS last FROM split),
+low AS (SELECT cuts.lang, cuts.phrase, cuts.a, c, x.a AS l, y.a AS r, n, 1000::HUGEINT * cuts.a * n // (x.a::HUGEINT * y.a) AS score
+        FROM cuts JOIN totals ON totals.lang = cuts.lang JOIN f AS x ON x.lang = cuts.lang AND x.phrase = first
+        JOIN f AS y ON y.lang = cuts.lang AND y.phrase = last
+        QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, c) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase,
+       a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM low QUALIFY rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op1_mixing": MIXING,
     "op2_substring_dedup": SUBSTRING_DEDUP,
     "op7_exact_dedup": EXACT_DEDUP,
+    "op12_chat_format": CHAT_FORMAT,
+    "op13_collocations": COLLOCATIONS,
 }
