@@ -16,21 +16,21 @@ broadcast never grows with the data.
 
 from __future__ import annotations
 
-from collections import Counter
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.llm.common import bound_batches, cut, text_or_empty
+from contrail.llm.spelling import _mixed
 
 # Fixed values of the contract.
-BREAKS = r"[.,;:!?\x0A-\x0D]+"
+BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 NO_LANG = "und"
 MAX_WORDS = 5
 MIN_COUNT = 100
@@ -42,26 +42,54 @@ BLOCK_CHARS = 8_000_000
 SHARD = 400_000
 #: Bits of the map of frequent words.
 MAP_BITS = 1 << 25
-#: Distinct words, or found extensions, that a task holds before it hands them on.
-FLUSH = 300_000
+#: Found extensions that a task holds before it hands their counts on.
 HOLD = 2_000_000
 
 
-def _word_id(lang: str, word: str, seed: int) -> int:
-    return xxhash.xxh64_intdigest(f"{lang}\0{word}".encode(), seed) - (1 << 63)
+#: What each byte of UTF-8 is: lower case for A-Z, a space for the white space between words, a break between pieces.
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_SPACE, _BREAK = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_SPACE[list(b" \t")] = True
+_BREAK[list(BREAKS)] = True
+
+
+def _raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, bytes) of an array of strings."""
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    return at - at[0], np.frombuffer(data, np.uint8)[at[0]:at[-1]] if data is not None else np.zeros(0, np.uint8)
+
+
+def _word_ids(lang: str, words: pa.Array, seed: int) -> np.ndarray:
+    """A 64-bit number of each word of a language: its bytes as random numbers, weighted by their places."""
+    rng = np.random.default_rng([seed, 13])
+    numbers, step = rng.integers(1, 1 << 63, 256, dtype=np.uint64), rng.integers(1 << 62, 1 << 63, dtype=np.uint64) | np.uint64(1)
+    at, data = _raw(words)
+    lengths = np.diff(at)
+    weights = np.cumprod(np.full(int(lengths.max()), step))
+    place = np.arange(len(data), dtype=np.int32) - np.repeat(at[:-1], lengths)
+    sums = np.add.reduceat(numbers[data] * weights[place], at[:-1])
+    salt = np.uint64(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest()))
+    return _mixed(sums ^ salt).view(np.int64)
 
 
 def _tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Distinct words, and the number of each word occurrence with -1 between pieces."""
-    t = pc.replace_substring_regex(pc.ascii_lower(texts), pattern=BREAKS, replacement=" \n ")
-    t = pc.binary_join_element_wise(pc.replace_substring(t, "\t", " "), "\n", " ")
-    coded = pc.dictionary_encode(pc.list_flatten(pc.split_pattern(t, " ")))
-    number = coded.indices.to_numpy(zero_copy_only=False)
-    words = coded.dictionary
-    is_empty, is_break = (pc.equal(words, mark).to_numpy(zero_copy_only=False) for mark in ("", "\n"))
-    is_word = ~(is_empty | is_break)
-    renamed = np.where(is_word, np.cumsum(is_word) - 1, -1).astype(np.int32)
-    return words.filter(pa.array(is_word)), renamed[number[~is_empty[number]]]
+    at, data = _raw(texts)
+    kept = ~(_SPACE | _BREAK)[data]
+    opens = np.zeros(len(data) + 1, dtype=bool)  # texts start here
+    opens[at[:-1]] = True
+    before = np.append(False, kept[:-1]) & ~opens[:-1]
+    starts = np.flatnonzero(kept & ~before)
+    if not len(starts):
+        return pa.array([], pa.string()), np.zeros(0, np.int32)
+    piece = np.cumsum(_BREAK[data], dtype=np.int32)[starts] + np.cumsum(opens, dtype=np.int32)[starts]
+    ends = np.append(np.cumsum(kept, dtype=np.int32)[starts[1:]] - 1, np.count_nonzero(kept)).astype(np.int32)
+    offsets = np.append(np.int32(0), ends).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets.tobytes()), pa.py_buffer(_LOWER[data[kept]].tobytes()))
+    coded = words.dictionary_encode()
+    return coded.dictionary, np.insert(coded.indices.to_numpy(zero_copy_only=False), np.flatnonzero(np.diff(piece)) + 1, -1).astype(np.int32)
 
 
 def text_blocks(docs: DataFrame, seed: int) -> DataFrame:
@@ -74,9 +102,10 @@ def text_blocks(docs: DataFrame, seed: int) -> DataFrame:
             for lang, held in waiting.items():
                 words, codes = _tokens(pa.concat_arrays(held))
                 if len(words):
-                    ids = [_word_id(lang, w, seed) for w in words.to_pylist()]
+                    one = pa.array([0, len(words)], pa.int32())
+                    ids = pa.array(_word_ids(lang, words, seed))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang]), pa.array([words.to_pylist()], pa.list_(pa.string())), pa.array([ids], pa.list_(pa.int64())),
+                        [pa.array([lang]), pa.ListArray.from_arrays(one, words), pa.ListArray.from_arrays(one, ids),
                          pa.array([codes.tobytes()], pa.binary())], names=["lang", "words", "ids", "codes"])
             waiting.clear()
 
@@ -110,28 +139,16 @@ def _ids(batch: pa.RecordBatch, row: int) -> np.ndarray:
     return batch.column("ids")[row].values.to_numpy()
 
 
-def _word_counts(seed: int) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-
-        def flush() -> pa.RecordBatch:
-            langs, words = zip(*counts, strict=True) if counts else ((), ())
-            ids = [_word_id(lang, w, seed) for lang, w in counts]
-            out = pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(ids, pa.int64()),
-                                              pa.array(counts.values(), pa.int64())], names=["lang", "word", "id", "n"])
-            counts.clear()
-            return out
-
-        for batch in batches:
-            for row, lang in enumerate(batch.column("lang").to_pylist()):
-                words = batch.column("words")[row].as_py()
-                codes = _codes(batch, row)
-                for word, n in zip(words, np.bincount(codes[codes >= 0], minlength=len(words)).tolist(), strict=True):
-                    counts[lang, word] += n
-                if len(counts) > FLUSH:
-                    yield flush()
-        yield flush()
-    return run
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks -> (lang, word, id, n), one row per distinct word of a block."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            codes, words = _codes(batch, row), batch.column("words")[row].values
+            n = np.bincount(codes[codes >= 0], minlength=len(words))
+            for at in range(0, len(words), 10_000):
+                some = words.slice(at, 10_000)
+                yield pa.RecordBatch.from_arrays([pa.array([batch.column("lang")[row].as_py()] * len(some), pa.string()), some,
+                                                  pa.array(_ids(batch, row)[at:at + 10_000]), pa.array(n[at:at + 10_000])], names=["lang", "word", "id", "n"])
 
 
 @dataclass
@@ -173,6 +190,8 @@ class DoubleArrayTrie:
             owner = owners[k]
             if widths[k] == 1 and owner:
                 break
+            if top + size + 2 > len(used):
+                used = np.concatenate([used, np.zeros(len(used) + size, dtype=bool)])
             children = order[starts[k]:starts[k] + widths[k]]
             words = label[children]
             begin = 1
@@ -182,8 +201,6 @@ class DoubleArrayTrie:
                         break
                 else:
                     begin = top
-                if begin + size >= len(used):
-                    used = np.concatenate([used, np.zeros(len(used) + size, dtype=bool)])
             used[begin + words] = True
             base_of[owner] = begin
             slot[children + 1] = begin + words
@@ -308,7 +325,7 @@ def phrase_counts(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int =
     spark = docs.sparkSession
     while True:
         blocks = cut(text_blocks(docs, seed), "colloc-blocks")
-        counts = cut(blocks.select("lang", "words", "codes").mapInArrow(_word_counts(seed), "lang string, word string, id long, n long")
+        counts = cut(blocks.mapInArrow(_word_counts, "lang string, word string, id long, n long")
                      .groupBy("lang", "word", "id").agg(F.sum("n").alias("n")), "colloc-words")
         if counts.groupBy("id").count().where("count > 1").isEmpty():
             break

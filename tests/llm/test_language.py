@@ -7,11 +7,12 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from contrail.llm.chat import PART, Template, digests, escape, format_chat, read_turns, text_parts, unescape
-from contrail.llm.collocations import DoubleArrayTrie, collocations, phrase_counts
+from contrail.llm.collocations import DoubleArrayTrie, _tokens, _word_ids, collocations, phrase_counts
 from contrail.llm.spelling import INSERTED, REPLACED, dropped, near_pairs, signatures, spelling_variants
 
 # Names that the operators use inside.
@@ -236,14 +237,33 @@ def test_collocations_empty(spark):
 def test_colliding_word_ids_are_dealt_anew(spark, monkeypatch):
     """Ids of seed 0 collide; those of seed 1 are taken."""
     import contrail.llm.collocations as module
-    real, seeds = module._word_id, []
-
-    def weak(lang, word, seed):
-        return real(lang, word, seed) % 3 if seed == 0 else real(lang, word, seed)
-    monkeypatch.setattr(module, "_word_id", weak)
+    real = module._word_ids
+    monkeypatch.setattr(module, "_word_ids", lambda lang, words, seed: real(lang, words, seed) % (3 if seed == 0 else 1 << 62))
     rows = [(i, "new york city", "en") for i in range(30)]
     _, phrases, _ = phrase_counts(frame(spark, rows), min_count=10)
-    assert sorted((r.phrase, r.a) for r in phrases.collect()) == [("new york", 30), ("new york city", 30), ("york city", 30)] and not seeds
+    assert sorted((r.phrase, r.a) for r in phrases.collect()) == [("new york", 30), ("new york city", 30), ("york city", 30)]
+
+
+def test_tokens_and_ids():
+    texts = ["A b\tc.d", "", "e", None, "É  f,g \u00a0x", "..", "a", "日本 語\x0bend "]
+    words, codes = _tokens(pa.array([t or "" for t in texts]).slice(0))
+    spelled = words.to_pylist()
+    assert [None if c < 0 else spelled[c] for c in codes] == ["a", "b", "c", None, "d", None, "e", None, "É", "f", None, "g", "\u00a0x", None, "a", None, "日本", "語", None, "end"]
+    assert _tokens(pa.array(["x y", "", " ."]).slice(1))[1].tolist() == []
+    many = pa.array([f"w{i}" for i in range(20_000)] + ["x" * n for n in range(1, 500)])
+    ids = _word_ids("en", many, 0)
+    assert len(set(ids.tolist())) == len(many) and not set(ids.tolist()) & set(_word_ids("fr", many, 0).tolist())
+    assert (_word_ids("en", many.slice(7, 90), 0) == ids[7:97]).all() and (_word_ids("en", many, 1) != ids).all()
+
+
+def test_trie_of_wide_nodes():
+    """Many parents with many children: the arrays grow as they fill."""
+    rng = np.random.default_rng(3)
+    phrases = np.unique(rng.integers(0, 300, (40_000, 2)), axis=0)
+    t = DoubleArrayTrie.build([phrases], [np.arange(len(phrases))])
+    codes = np.append(phrases, np.full((len(phrases), 1), -1), axis=1).ravel().astype(np.int32)
+    *_, (at, state) = t.walk(t.local(np.arange(300), codes))
+    assert (t.phrase[state] == np.arange(len(phrases))).all() and (at == np.arange(len(phrases)) * 3).all()
 
 
 def test_double_array_trie():
