@@ -92,9 +92,16 @@ WORDINGS: list[tuple[str, str]] = [
 ]
 
 # Names of licenses as notices give them. A notice is one of OPENINGS, an article and a name.
-OPENINGS = [*(f"{verb} under" for verb in ("Licensed", "Released", "Distributed", "Available")),
-            *(f"{what} <h> {be} {verb} under" for what in ("This", "The") for be in ("is", "are")
-              for verb in ("licensed", "released", "distributed", "available", "made available"))]
+_VERBS = ("licensed", "released", "distributed", "available", "made available")
+_UNDER = ("under", "under the terms of")
+OPENINGS = [*(f"{verb} {under}" for verb in _VERBS for under in _UNDER),
+            *(f"{what} <h> {be} {verb} {under}" for what in ("This", "The") for be in ("is", "are") for verb in _VERBS for under in _UNDER),
+            *(f"{what} {verb} under" for what in ("Code", "Source code", "Software", "Data", "Content", "Documentation", "Project", "Package", "Library")
+              for verb in (*_VERBS, "is licensed", "is released", "is distributed", "is available")),
+            *(f"{dual} licensed under" for dual in ("Dual", "Dual-", "Triple")), "Dual-licensed under", "Licensed under either", "Licensed under either of",
+            "Licensed under one of", "Released under either", "Released under either of"]
+#: Openings that a short name alone may follow: "License: MIT".
+LABELS = ["License", "Project license", "Code license", "License type"]
 NAMES: list[tuple[str, str]] = [
     ("MIT License", "MIT"), ("MIT licence terms", "MIT"), ("Apache License, Version 2.0", "Apache-2.0"), ("Apache License 2.0", "Apache-2.0"),
     ("Apache 2.0 License", "Apache-2.0"), ("Apache-2.0 License", "Apache-2.0"), ("BSD License", "BSD"), ("BSD 2-Clause License", "BSD-2-Clause"),
@@ -113,6 +120,25 @@ NAMES: list[tuple[str, str]] = [
         ("", ""), ("-ShareAlike", "-SA"), ("-NonCommercial", "-NC"), ("-NoDerivatives", "-ND"), ("-NonCommercial-ShareAlike", "-NC-SA"),
         ("-NonCommercial-NoDerivatives", "-NC-ND"))),
 ]
+# Short names, as they follow LABELS and OPENINGS.
+SHORT_NAMES: list[tuple[str, str]] = [
+    ("MIT", "MIT"), ("Apache-2.0", "Apache-2.0"), ("Apache 2.0", "Apache-2.0"), ("Apache 2", "Apache-2.0"), ("Apache License 2", "Apache-2.0"),
+    ("ASL 2.0", "Apache-2.0"), ("BSD", "BSD"), ("BSD-2-Clause", "BSD-2-Clause"), ("BSD 2-Clause", "BSD-2-Clause"), ("BSD-3-Clause", "BSD-3-Clause"),
+    ("BSD 3-Clause", "BSD-3-Clause"), ("3-Clause BSD", "BSD-3-Clause"), ("2-Clause BSD", "BSD-2-Clause"), ("ISC", "ISC"), ("Zlib", "Zlib"),
+    ("Unlicense", "Unlicense"), ("BSL-1.0", "BSL-1.0"), ("CC0", "CC0"), ("CC0 <v>", "CC0-<v>"), ("CC0-1.0", "CC0-1.0"),
+    ("MPL <v>", "MPL-<v>"), ("MPL-2.0", "MPL-2.0"), ("MPLv2", "MPL-2.0"), ("EPL <v>", "EPL-<v>"), ("EPL-2.0", "EPL-2.0"), ("EPL-1.0", "EPL-1.0"),
+    *((f"{cc}{sep} <v>", f"CC-BY{tail}-<v>") for tail in ("", "-SA", "-NC", "-ND", "-NC-SA", "-NC-ND")
+      for cc, sep in ((f"CC BY{tail}", ""), (f"CC-BY{tail}", ""), (f"CC BY{tail}", " International"))),
+    *((f"CC-BY{tail}-{v}", f"CC-BY{tail}-{v}") for tail in ("", "-SA", "-NC", "-ND", "-NC-SA", "-NC-ND") for v in ("3.0", "4.0")),
+    *((f"{gnu}{name}{version}{tail}", f"{name}-<v>{end}") for gnu in ("", "GNU ") for name in ("GPL", "LGPL", "AGPL")
+      for version in (" <v>", " version <v>", ", version <v>") for tail, end in (
+          ("", ""), (" or later", "-or-later"), (" or any later version", "-or-later"), (" only", "-only"))),
+    *((f"{gnu}{name}v{v}{tail}", f"{name}-{v}{end}") for gnu in ("", "GNU ") for name, versions in (("GPL", ("2", "3")), ("LGPL", ("2.1", "3")), ("AGPL", ("3",)))
+      for v in versions for tail, end in (("", ""), ("+", ".0-or-later" if "." not in v else "-or-later"), (" or later", ".0-or-later" if "." not in v else "-or-later"))),
+    *((f"{name}-{v}{end}", f"{name}-{v}{end}") for name, versions in (("GPL", ("2.0", "3.0")), ("LGPL", ("2.1", "3.0")), ("AGPL", ("3.0",)))
+      for v in versions for end in ("", "-only", "-or-later")),
+    *((f"{gnu}{name}", name) for gnu in ("", "GNU ") for name in ("GPL", "LGPL", "AGPL")),
+]
 
 # Ordered rules. "<v>" in a license name is the version that the sentence holds.
 RULES: list[tuple[str, tuple[str, ...]]] = [
@@ -161,26 +187,68 @@ def word_of(raw: str) -> str:
     return raw.strip(EDGE).lower().replace("licence", "license")
 
 
+def _all_names() -> list[tuple[str, str]]:
+    """License names; short ones also with the word license."""
+    return [*NAMES, *SHORT_NAMES, *((f"{name} license", out) for name, out in SHORT_NAMES if "<v>" not in name)]
+
+
 def wordings() -> list[tuple[str, str]]:
     """(identifier, wording) of every known sentence; a notice's identifier is its license."""
-    notices = [(f"notice {out}", f"{opening} {article}{name}") for opening in OPENINGS for article in ("the ", "a ", "an ", "") for name, out in NAMES]
-    return [*((name, x) for name, x in SENTENCES.items() if name != "spdx"), *WORDINGS, *notices]
+    return [*_plain(), *((f"notice {out}", f"{opening}{name}") for opening in _notice_openings() for name, out in _all_names())]
+
+
+def _plain() -> list[tuple[str, str]]:
+    return [*((name, x) for name, x in SENTENCES.items() if name != "spdx"), *WORDINGS]
+
+
+def _notice_openings() -> list[str]:
+    return [*(f"{opening} {article}" for opening in OPENINGS for article in ("the ", "a ", "an ", "")),
+            *(f"{label}: {article}" for label in LABELS for article in ("the ", ""))]
+
 
+def _enter(root: dict, sentence: str) -> dict:
+    node = root
+    for raw in sentence.replace(" v<v>", " <v>").split():
+        word = raw if raw in ("<v>", "<h>") else word_of(raw)
+        node = node.setdefault(word, {}) if word else node
+    return node
 
-def _trie() -> dict:
+
+def _trie(pairs: list[tuple[str, str]]) -> dict:
     root: dict = {}
-    for name, sentence in wordings():
+    for name, sentence in pairs:
+        _enter(root, sentence).setdefault(None, name)
+    return root
+
+
+def _joined(node: dict, more: dict) -> dict:
+    """Both tries in one; parts that only one of them has are shared, not copied."""
+    return more if not node else {w: _joined(node[w], more[w]) if w in node and w in more and w is not None else node.get(w, more.get(w)) for w in {**node, **more}}
+
+
+#: License names: what a notice's opening leads to, and what may follow a notice, "... or the MIT license".
+_NAMES_ROOT = _trie([(f"notice {out}", name) for name, out in _all_names()])
+
+
+def _sentence_trie() -> dict:
+    root = _trie(_plain())
+    # the longer openings first, as what is joined to a shorter one must hold them
+    for opening in _notice_openings():
+        _enter(root, opening)
+    for opening in sorted(_notice_openings(), key=lambda o: -len(o.split())):
+        *path, last = [w for w in (x if x == "<h>" else word_of(x) for x in opening.split()) if w]
         node = root
-        for raw in sentence.replace(" v<v>", " <v>").split():
-            word = raw if raw in ("<v>", "<h>") else word_of(raw)
-            node = node.setdefault(word, {}) if word else node
-        node.setdefault(None, name)
+        for w in path:
+            node = node[w]
+        node[last] = _joined(node[last], _NAMES_ROOT)
     return root
 
 
-_ROOT = _trie()
+_ROOT = _sentence_trie()
+ANOTHER = re.compile(r"[\s,;]*\s(?:and/or|and|or)\s+(?:under\s+)?(?:the\s+|an?\s+)?(?=\S)")
 #: Single words, as a text may break a line between any two. Each sentence holds one of these; texts with none are not searched further.
-TRIGGERS = ("licens", "licenc", "permission", "redistribution", "neither", "unencumbered", "software", "program", "mpl", "endorse", "apache")
+TRIGGERS = ("licens", "licenc", "permission", "redistribution", "neither", "unencumbered", "software", "program", "mpl", "endorse", "apache", "released",
+            "distributed", "available")
 
 
 def sentences(text: str) -> list[tuple[int, int, str, str]]:
@@ -196,6 +264,10 @@ def sentences(text: str) -> list[tuple[int, int, str, str]]:
         if at >= done and (best := _longest(text, at)) and not any(s < best[1] and at < e for s, e in named):
             out.append(best)
             done = best[1]
+            while best and best[2].startswith("notice ") and (more := ANOTHER.match(text, done)):
+                if best := _longest(text, more.end(), _NAMES_ROOT):
+                    out.append(best)
+                    done = best[1]
     return sorted(out)
 
 
@@ -206,13 +278,13 @@ def _balanced(expression: str) -> str:
     return expression
 
 
-def _longest(text: str, at: int) -> tuple[int, int, str, str] | None:
+def _longest(text: str, at: int, root: dict = _ROOT) -> tuple[int, int, str, str] | None:
     """Longest known sentence that starts at ``at``; of equally long ones the one with fewer slots."""
-    states, best, last = [(_ROOT, "", 0)], None, None  # node, version, words that the slot before the node may still take
+    states, best, last = [(root, "", 0)], None, None  # node, version, words that the slot before the node may still take
     for w in WORD.finditer(text, at):
         word = word_of(w[0])
         if not word:  # a comment mark at a line's start
-            if states[0][0] is _ROOT:
+            if states[0][0] is root:
                 break
             continue
         # a slot lies within one sentence
@@ -235,7 +307,7 @@ def _longest(text: str, at: int) -> tuple[int, int, str, str] | None:
 
 
 _BY_FIRST: dict[str, list[tuple[str, tuple[str, ...]]]] = {}
-for _name, _rule in sorted([*RULES, *((out, (f"notice {out}",)) for out in dict(NAMES[::-1]).values())], key=lambda r: -len(r[1])):
+for _name, _rule in sorted([*RULES, *((out, (f"notice {out}",)) for out in dict.fromkeys(out for _, out in _all_names()))], key=lambda r: -len(r[1])):
     _BY_FIRST.setdefault(_rule[0], []).append((_name, _rule))
 
 
