@@ -25,7 +25,7 @@ WITH parts AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10)))
 normal AS (SELECT doc_id, pos, unit, trim(regexp_replace(lower(unit), '[\x20\x09-\x0D]+', ' ', 'g')) AS n,
                   coalesce(sum(length(unit) + 1) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
            FROM parts),
-ranked AS (SELECT *, len(string_split(n, ' ')) >= 5 AND row_number() OVER (PARTITION BY n ORDER BY doc_id, pos) > 1 AS gone FROM normal)
+ranked AS (SELECT *, n <> '' AND row_number() OVER (PARTITION BY n ORDER BY doc_id, pos) > 1 AS gone FROM normal)
 SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed,
        coalesce(sum(length(unit)) FILTER (gone), 0)::BIGINT AS removed_chars,
        coalesce(string_agg(start || ':' || (start + length(unit)), ',' ORDER BY pos) FILTER (gone), '') AS removed_spans,

@@ -14,11 +14,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import ROW_KEY, keyed, same_row, squeeze
+from contrail.llm.common import ROW_KEY, cut, keyed, same_row, squeeze
+from contrail.operators.joins import join_group_values
 
 SEPARATOR = {"line": "\n", "paragraph": "\n\n"}
-#: Shorter units ("Yes.", page numbers) say nothing about copying and always stay.
-MIN_WORDS = 5
+#: Every unit that is not empty counts, whatever its length or script; a caller may spare short ones.
+MIN_WORDS = 1
 
 
 def normalise(unit: Column) -> Column:
@@ -27,10 +28,12 @@ def normalise(unit: Column) -> Column:
 
 
 def units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, row_hash, pos, digest of every unit of at least ``min_words`` words."""
+    """doc_id, row_hash, pos, digest of every unit that is not empty and has at least ``min_words`` words."""
     parts = keyed(docs).select(*ROW_KEY, F.posexplode(F.split("text", SEPARATOR[unit], -1)).alias("pos", "unit"))
     normal = parts.select(*ROW_KEY, "pos", normalise(F.col("unit")).alias("unit"))
-    long_enough = F.size(F.split("unit", " ", min_words)) >= min_words
+    long_enough = F.col("unit") != ""
+    if min_words > 1:
+        long_enough = F.size(F.split("unit", " ", min_words)) >= min_words
     return normal.where(long_enough).select(*ROW_KEY, "pos", F.unhex(F.md5("unit")).alias("digest"))
 
 
@@ -40,11 +43,13 @@ def removals(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) ->
     Rank: doc_id (nulls last), then the row's digest, then position. Rows alike in
     doc_id and text are one document.
     """
-    seen = units(docs, unit, min_words).distinct()
+    seen = cut(units(docs, unit, min_words), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_hash", "pos")
-    repeated = (seen.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n"))
-                .where("n > 1").select("digest", "first"))
-    later = seen.join(repeated, "digest").where(rank != F.col("first"))
+    repeated = (seen.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("__last"), F.count("*").alias("n"))
+                .where(F.col("first") != F.col("__last")).select("digest", "first", "n"))
+    # a frequent line's rows stay where they are: their first rank is broadcast
+    ranked = join_group_values(seen, ["digest"], repeated, "n", ["first"])
+    later = ranked.where(F.col("first").isNotNull() & (rank != F.col("first")))
     return later.groupBy(*ROW_KEY).agg(F.array_sort(F.collect_set("pos")).alias("gone"))
 
 
@@ -54,7 +59,7 @@ def substring_dedup(docs: DataFrame, unit: str = "line", min_words: int = MIN_WO
     Spans are 'start:end' in code points of the original text, end exclusive, joined by
     commas. ``kept_text`` joins the kept units by the separator.
 
-    - null text is empty (one empty unit, nothing removed);
+    - null text is empty (one empty unit, nothing removed); empty units, white space alone included, always stay;
     - units repeated inside one document count like any other repeat;
     - rows alike in doc_id and text get the same result;
     - an empty table gives an empty result; other columns are ignored.
