@@ -15,12 +15,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm.common import cut, free_name, id_and_text, squeeze
+from contrail.operators.joins import join_group_values
 
 MIN_CHUNK = 384
 MAX_CHUNK = 4096
-#: A chunk ends after a word that ends in one of these letters when the next word starts with
-#: one of those: a property of the content alone, so a shifted passage is cut in the same places.
-BOUNDARY = r"[dgkmpvyzé][,.;:!?]?\x20(?=[b-hB-H])"
+#: Where a chunk ends is a property of the few characters around the place alone, so a shifted passage is cut in the same
+#: places: between certain letters of two words (Latin; then Greek, Cyrillic, Hebrew, Arabic, Devanagari, Korean), between two
+#: frequent characters of scripts without spaces, and between two certain characters of a long run without spaces (code,
+#: base64). Each is met about once in a hundred characters: places more frequent than that would keep a shift going for long.
+BOUNDARY = ("(?:"
+            r"[dgkmpvyzé][,.;:!?]?\x20(?=[b-hB-H])"
+            r"|[\u03B9-\u03BD\u0438-\u043E\u05D9-\u05DD\u0643-\u0646\u0928-\u0930\uAC00-\uB3FF]\x20"
+            r"(?=[\u03B1-\u03B5\u0430-\u0435\u05D0-\u05D5\u0627-\u062B\u0905-\u0915\uAC00-\uB3FF])"
+            r"|[\u3001\u3002\u7684\u662F\u4E86\u5728\u4E0D\u4E00\u306E\u306F\u306B\u3092\u304C\u0E32\u0E19]"
+            r"[\u7684\u662F\u4E86\u5728\u4E0D\u4E00\u306E\u306F\u306B\u3092\u304C\u0E32\u0E19]"
+            r"|(?<=[\x21-\x7E]{20}[01ABab])(?=[45EFef])"
+            ")")
 
 
 def chunk_pattern(min_chunk: int = MIN_CHUNK, max_chunk: int = MAX_CHUNK, boundary: str = BOUNDARY) -> str:
@@ -38,14 +48,13 @@ def _chunked(docs: DataFrame, pattern: str, chunk_id: Callable[[Column], Column]
 
 def exact_dedup(docs: DataFrame, pattern: str | None = None,
                 chunk_id: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, n_rows, n_chunks.
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, n_chunks.
 
     Texts are equal when identical after white-space runs become one space; the row
     with the smallest doc_id of equal texts stays.
 
     - null text counts as empty; all empty texts are equal;
-    - rows that repeat both doc_id and text are one document: one result row whose
-      ``n_rows`` counts them; ``group_size`` counts rows;
+    - rows that repeat both doc_id and text have a result row each and the same decision; ``group_size`` counts rows;
     - rows that share a doc_id but not the text are separate documents;
     - a null doc_id is never the smallest unless its whole group has none;
     - no rows in, no rows out; columns other than doc_id and text are ignored.
@@ -65,16 +74,15 @@ def exact_dedup(docs: DataFrame, pattern: str | None = None,
     else:
         listed = _with_variants(chunked, per_text, distinct, clashing)
 
-    docs_seen = cut(listed.groupBy("doc_id", "recipe", "variants").agg(
-        F.first("text_sha256").alias("text_sha256"), F.count("*").alias("n_rows")), "recipes")
-    groups = (docs_seen.groupBy("recipe", "variants")
-              .agg(F.min("doc_id").alias("keep_id"), F.sum("n_rows").alias("group_size"), F.count("*").alias("n_docs"))
-              .where("n_docs > 1").drop("n_docs"))
-    out = docs_seen.join(groups, ["recipe", "variants"], "left")
+    seen = cut(listed, "recipes")
+    groups = (seen.groupBy("recipe", "variants").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+              .where("group_size > 1"))
+    # rows of a recipe with very many copies meet its group by broadcast and are not shuffled
+    out = join_group_values(seen, ["recipe", "variants"], groups, "group_size", ["keep_id", "group_size"])
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return out.select(
-        "doc_id", keep.alias("keep_id"), F.coalesce("group_size", "n_rows").alias("group_size"),
-        F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256", "n_rows", F.size("recipe").alias("n_chunks"))
+        "doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256", F.size("recipe").alias("n_chunks"))
 
 
 def _with_variants(chunked: DataFrame, per_text: DataFrame, distinct: DataFrame, clashing: DataFrame) -> DataFrame:
@@ -103,10 +111,11 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns; rows that repeat a kept doc_id and text stay once.
 
     Decisions join back on doc_id and the text's digest, so only digests move besides the documents.
+    An empty table gives an empty one.
     """
     sha = F.sha2(squeeze(F.coalesce(F.col("text").cast("string"), F.lit(""))), 256)
-    kept = cut(exact_dedup(docs).where("kept").select(
-        F.col("doc_id").alias("_keep"), F.col("text_sha256").alias("_sha"), "n_rows"), "kept")
+    kept = cut(exact_dedup(docs).where("kept").groupBy(F.col("doc_id").alias("_keep"), F.col("text_sha256").alias("_sha"))
+               .agg(F.count("*").alias("n_rows")), "kept")
     on = docs["doc_id"].cast("long").eqNullSafe(kept["_keep"]) & (sha == kept["_sha"])
     out = docs.join(kept, on, "left_semi")
     if kept.where("n_rows > 1").isEmpty():

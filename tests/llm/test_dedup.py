@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from contrail.llm.exact_dedup import exact_dedup, kept_documents
+from contrail.llm.exact_dedup import chunk_pattern, exact_dedup, kept_documents
 from contrail.llm.near_dedup import BRANCH, SKETCH, TREES, components, leaf_nodes, near_dedup
 from contrail.llm.substring_dedup import substring_dedup
 from contrail.llm.suffix_dedup import _front_coded, _restored, merge_runs, suffix_dedup
@@ -29,17 +29,37 @@ def by_str(rows):
 
 
 def exact_brute(rows):
-    seen, count, ids = collections.Counter(), collections.Counter(), {}
+    seen, count, ids = [], collections.Counter(), {}
     for d, t, *_ in rows:
         n = re.sub(WS, " ", t or "")
-        seen[(d, n)] += 1
+        seen.append((d, n))
         count[n] += 1
         if d is not None:
             ids[n] = min(d, ids.get(n, d))
-    return by_str((d, ids.get(n), count[n], d == ids.get(n), hashlib.sha256(n.encode()).hexdigest(), k) for (d, n), k in seen.items())
+    return by_str((d, ids.get(n), count[n], d == ids.get(n), hashlib.sha256(n.encode()).hexdigest()) for d, n in seen)
 
 
-COLUMNS = ["doc_id", "keep_id", "group_size", "kept", "text_sha256", "n_rows"]
+COLUMNS = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+
+
+def test_exact_dedup_has_a_row_per_input_row(spark):
+    rows = [(1, "a b", "x"), (1, "a b", "x"), (2, "a  b", "x")]
+    got = by_str(tuple(r) for r in exact_dedup(frame(spark, rows)).select(COLUMNS).collect())
+    assert got == exact_brute(rows) and len(got) == 3
+    assert [r.doc_id for r in kept_documents(frame(spark, rows)).collect()] == [1]
+
+
+@pytest.mark.parametrize("alphabet", [
+    "的是了在不一" + "".join(map(chr, range(0x4E10, 0x4E80))), "абвгдежзиклмнопрстуфхцчшщъыьэюя     ", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    "กขคงจฉชซานมยรลวสหอเแโ", "אבגדהוזחטיכלמנסעפצקרשת    ", "abcdefghijklmnopqrstuvwxyz     "])
+def test_chunks_of_any_script_survive_a_shift(spark, alphabet):
+    """A long text and the same text after a few more characters have most chunks in common."""
+    rng = random.Random(3)
+    text = "".join(rng.choice(alphabet) for _ in range(60_000))
+    chunks = lambda t: spark.createDataFrame([(t,)], "text string").select(F.regexp_extract_all("text", F.lit(chunk_pattern()), F.lit(0))).first()[0]
+    one, two = chunks(text), chunks("Zz" + "".join(rng.choice(alphabet) for _ in range(101)) + text)
+    assert "".join(one) == text and max(map(len, one)) <= 4200
+    assert len(set(one) & set(two)) > 0.8 * len(one) and len(one) > 40
 
 
 @pytest.mark.parametrize("clashes", [False, True])
@@ -69,7 +89,7 @@ def line_brute(rows, min_words):
         parts[d] = (t or "").split("\n")
         for i, u in enumerate(parts[d]):
             n = re.sub(WS, " ", u.lower()).strip()
-            if len(n.split(" ")) >= min_words:
+            if n and len(n.split(" ")) >= min_words:
                 first[n] = min(first.get(n, (d, i)), (d, i))
     out = []
     for d, us in parts.items():
@@ -80,9 +100,14 @@ def line_brute(rows, min_words):
 
 def test_substring_dedup(spark):
     a, b = "one two three four five", "SIX  seven\teight nine ten eleven"
-    rows = [(3, f"{a}\n{b}\nshort one"), (1, f"x\n{b.lower()}"), (2, None), (4, ""), (5, f"{a}\n{a}\n\n{a} "), (6, "short one"), (9, (a + "\n") * 3000)]
-    got = substring_dedup(frame(spark, [(d, t, "x") for d, t in rows])).collect()
-    assert by_str((r.doc_id, r.n_units, r.n_removed, r.kept_text) for r in got) == line_brute(rows, 5)
+    rows = [(3, f"{a}\n{b}\nshort one"), (1, f"x\n{b.lower()}"), (2, None), (4, ""), (5, f"{a}\n{a}\n\n{a} "), (6, "short one"), (9, (a + "\n") * 3000),
+            (10, "没有空格的一行文字\n \t\n"), (11, "\n没有空格的一行文字\nhttps://example.org/" + "x" * 300), (12, "HTTPS://example.org/" + "x" * 300)]
+    df = frame(spark, [(d, t, "x") for d, t in rows])
+    spared = substring_dedup(df, min_words=5).collect()
+    assert by_str((r.doc_id, r.n_units, r.n_removed, r.kept_text) for r in spared) == line_brute(rows, 5)
+    got = substring_dedup(df).collect()
+    assert by_str((r.doc_id, r.n_units, r.n_removed, r.kept_text) for r in got) == line_brute(rows, 1)
+    assert {r.doc_id: r.n_removed for r in got if r.doc_id in (6, 11, 12)} == {6: 1, 11: 1, 12: 1}
     for r in got:  # offsets are those of the original text
         text = dict(rows)[r.doc_id] or ""
         spans = [tuple(map(int, s.split(":"))) for s in r.kept_spans.split(",") if s]
