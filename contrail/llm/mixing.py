@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import text_or_empty
+from contrail.llm.common import cut, text_or_empty
+from contrail.operators.joins import lookup_join
 
 #: A rate above this is drawn as the sum of equal, independent draws of at most this mean.
 MAX_RATE_PER_DRAW = 64.0
@@ -55,31 +56,41 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, total
     return per_draw.select("source", "chars", "n_docs", "target", "rate", "draws", table.alias("cdf"))
 
 
+def _copies(docs: DataFrame, weights: dict[str, float] | None, total_rate: float, seed: int) -> DataFrame:
+    """_row (a struct of all columns of ``docs``), n_copies, copy, shuffle_key, in global shuffle order."""
+    known = lambda c: F.when(c.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), c.cast("string")))
+    rates = cut(source_rates(docs, weights, total_rate).select(known(F.col("source")).alias("__source"), "draws", "cdf"), "source-rates")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), known(F.col("source")).alias("__source"))
+    # one row per source, its size checked: documents do not move for it, nor, above the limit, those of hot sources
+    joined = lookup_join(rows, rates, ["__source"], "inner", check_unique=False)
+    doc = F.coalesce(F.col("_row.doc_id").cast("string"), F.lit("null"))
+
+    def one(total: Column, j: Column) -> Column:
+        u = _uniform(seed, doc, j)
+        return total + F.size(F.filter("cdf", lambda c: c <= u))
+
+    count = F.aggregate(F.sequence(F.lit(0), F.col("draws") - 1), F.lit(0), one)
+    copies = (joined.select("_row", count.alias("n_copies")).where("n_copies > 0")
+              .select("_row", "n_copies", F.explode(F.sequence(F.lit(1), F.col("n_copies"))).alias("copy")))
+    key = F.md5(F.concat_ws(":", F.lit(f"{seed}-shuffle"), doc, F.col("copy").cast("string")))
+    return copies.withColumn("shuffle_key", key).orderBy("shuffle_key")
+
+
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, total_rate: float = 1.0, seed: int = 17) -> DataFrame:
     """All columns of ``docs`` plus n_copies, copy (1..n_copies) and shuffle_key, in global shuffle order.
 
     - a null source is a source of its own; a null or empty text counts no characters;
     - rows that repeat a doc_id draw the same count;
     - a null doc_id draws as the text 'null';
-    - input columns called n_copies, copy or shuffle_key are replaced;
+    - input columns called n_copies, copy or shuffle_key, in whatever case, are replaced
+      (``repeat_documents`` keeps them);
     - an empty table gives an empty result.
-
-    The rate table has one row per source and is joined by key, so Spark broadcasts it
-    only where its measured size allows and splits a hot source otherwise.
     """
-    rates = source_rates(docs, weights, total_rate).select(F.col("source").alias("_source"), "draws", "cdf")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    joined = rows.join(rates, F.col("_row.source").cast("string").eqNullSafe(F.col("_source")))
-    doc = F.coalesce(F.col("_row.doc_id").cast("string"), F.lit("null"))
+    made = ("n_copies", "copy", "shuffle_key")
+    own = [F.col("_row")[c].alias(c) for c in docs.columns if c.lower() not in made]
+    return _copies(docs, weights, total_rate, seed).select(*own, *made)
 
-    def one(total: Column, j: Column) -> Column:
-        u = _uniform(seed, doc, j)
-        return total + F.size(F.filter("cdf", lambda c: c <= u))
 
-    count = F.aggregate(F.sequence(F.lit(0), F.col("draws") - 1), F.lit(0), one)
-    copies = (joined.select("_row", count.alias("n_copies")).where("n_copies > 0")
-              .select("_row", "n_copies", F.explode(F.sequence(F.lit(1), F.col("n_copies"))).alias("copy")))
-    key = F.md5(F.concat_ws(":", F.lit(f"{seed}-shuffle"), F.coalesce(F.col("_row.doc_id").cast("string"), F.lit("null")),
-                            F.col("copy").cast("string")))
-    own = [F.col("_row")[c].alias(c) for c in docs.columns if c not in ("n_copies", "copy", "shuffle_key")]
-    return copies.withColumn("shuffle_key", key).orderBy("shuffle_key").select(*own, "n_copies", "copy", "shuffle_key")
+def repeat_documents(docs: DataFrame, weights: dict[str, float] | None = None, total_rate: float = 1.0, seed: int = 17) -> DataFrame:
+    """The copies alone: the columns of ``docs`` with their own values, whatever their names, in global shuffle order."""
+    return _copies(docs, weights, total_rate, seed).select(*[F.col("_row")[c].alias(c) for c in docs.columns])

@@ -10,10 +10,13 @@ import numpy as np
 import pytest
 
 from contrail.llm.ann import hadamard, nearest
-from contrail.llm.licenses import RULES, SENTENCES, TRIGGERS, license_scan, licenses, wordings
-from contrail.llm.mixing import mix_sources, source_rates
+from contrail.llm.licenses import (
+    RULES, SENTENCES, START, TRIGGERS, WORDINGS, _all_names, _notice_openings, license_scan, licenses, word_of, wordings,
+)
+from contrail.llm.mixing import mix_sources, repeat_documents, source_rates
 from contrail.llm.quality import STATISTICS, fit, score_documents, statistics
-from contrail.llm.secrets import high_windows, scan, secret_scan
+from contrail.llm import secrets
+from contrail.llm.secrets import ALLOWED, high_windows, scan, secret_scan
 from contrail.llm.tokenize import MODEL, Encoder, Vocabulary, decode, suffix_order, tokenize
 
 DOC = "doc_id long, text string, source string, copy int, n_copies string, score int, ids string, cls int"
@@ -51,6 +54,25 @@ def test_mixing_large_rates_and_edges(spark):
     assert mix_sources(df, {}).where("source <> 'none'").count() == 0
 
 
+def test_documents_keep_columns_of_any_name(spark):
+    schema = "doc_id long, text string, source string, Copy int, N_COPIES string, shuffle_key int, _row int, draws int, cdf int, __source int"
+    df = spark.createDataFrame([(i, "abc" * (i % 5 + 1), "ab"[i % 2], 5, "n", i, 7, 8, 9, 10) for i in range(200)], schema)
+    out = repeat_documents(df)
+    assert out.columns == df.columns
+    rows = {r.doc_id: r for r in df.collect()}
+    got = out.collect()
+    assert got and all(r == rows[r.doc_id] for r in got)
+    assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in mix_sources(df).collect())
+    assert [c for c in mix_sources(df).columns if c.lower() in ("copy", "n_copies", "shuffle_key")] == ["n_copies", "copy", "shuffle_key"]
+
+
+def test_documents_move_once(spark):
+    """One exchange carries whole documents: the sort. Rates are broadcast."""
+    df = docs(spark, [(i, "x" * 10, "ab"[i % 2]) for i in range(50)])
+    plan = repeat_documents(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 1 and "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
 # ---- nearest neighbours ----
 
 def brute(rows, k=20):
@@ -226,6 +248,14 @@ PUBLISHED = [
     *((f"/* SPDX-License-Identifier: {x} */", x) for x in ("GPL-3.0-only", "LGPL-2.1-only", "ISC", "CC-BY-4.0", "MIT OR Apache-2.0",
                                                           "GPL-2.0-only WITH Classpath-exception-2.0", "(MIT AND ISC) OR BSL-1.0")),
     ("(SPDX-License-Identifier: MIT).", "MIT"),
+    # short forms and several licenses at once
+    ("Distributed under the terms of the MIT License.", "MIT"), ("License: MIT", "MIT"), ("license: Apache-2.0", "Apache-2.0"), ("Licensed under GPLv3.", "GPL-3"),
+    ("Released under the GPL v2 or later.", "GPL-2.0-or-later"), ("This package is licensed under the GNU GPL version 3.", "GPL-3"),
+    ("This dataset is released under CC BY 4.0.", "CC-BY-4.0"), ("Content is available under CC BY-SA 4.0.", "CC-BY-SA-4.0"),
+    ("Code available under the 3-clause BSD license.", "BSD-3-Clause"),
+    ("Dual licensed under the MIT License and the Apache License, Version 2.0.", "MIT,Apache-2.0"),
+    ("Licensed under either of Apache License, Version 2.0 or MIT license at your option.", "Apache-2.0,MIT"),
+    ("Licensed under the MIT license and our best wishes", "MIT"), ("It is not released under the GPL v2.", ""),
 ]
 
 
@@ -244,6 +274,72 @@ def test_known_sentences_count_without_a_rule_and_across_line_breaks(spark):
         assert any(t in word.lower() for t in TRIGGERS for word in sentence.split()), sentence
 
 
+def plain_scan(text):
+    """Every wording tried at every sentence start, every rule at every known sentence."""
+    words = [(m.start(), m.end(), word_of(m[0])) for m in re.finditer(r"\S+", text)]
+    words = [w for w in words if w[2]]
+
+    def new_sentence(i):
+        before, here = text[words[i - 1][0]:words[i - 1][1]] if i else "", text[words[i][0]:words[i][1]]
+        return i > 0 and bool(re.search(r"[.!?]\W*$", before) and here[0].isupper() or text.count("\n", words[i - 1][1], words[i][0]) > 1)
+
+    def ends(at, parts):
+        """(end, version) of every way to read ``parts`` from word ``at`` on."""
+        if not parts:
+            return [(at, "")]
+        if at >= len(words):
+            return []
+        first, rest, word = parts[0], parts[1:], words[at][2]
+        if first == "<h>":  # within one sentence
+            most = next((n for n in range(12) if at + n >= len(words) or new_sentence(at + n)), 12)
+            return [x for n in range(1, most + 1) for x in ends(at + n, rest)]
+        if first == "<v>":
+            return [(e, word.removeprefix("v")) for e, _ in ends(at + 1, rest)] if re.fullmatch(r"v?\d+(\.\d+)*", word) else []
+        return ends(at + 1, rest) if word == first else []
+    spelled = lambda s: [w for w in (x if x in ("<v>", "<h>") else word_of(x) for x in s.replace(" v<v>", " <v>").split()) if w]
+    whole = [(name, spelled(x)) for name, x in [*((n, x) for n, x in SENTENCES.items() if n != "spdx"), *WORDINGS]]
+    openings, names = [spelled(x) for x in _notice_openings()], [(f"notice {out}", spelled(x)) for name, out in _all_names() for x in [name]]
+    found, done = [], 0
+    for m in START.finditer(text):
+        at = next((i for i, w in enumerate(words) if w[0] >= m.end()), None)
+        if at is None or m.end() < done:
+            continue
+        hits = [(e, name, v) for name, parts in whole for e, v in ends(at, parts)]
+        hits += [(e, name, v) for o in openings for mid, _ in ends(at, o) for name, parts in names for e, v in ends(mid, parts)]
+        while hits:
+            end, name, version = max(hits, key=lambda h: h[0])
+            found.append((name, version))
+            done = words[end - 1][1]
+            more = re.match(r"[\s,;]*\s(?:and/or|and|or)\s+(?:under\s+)?(?:the\s+|an?\s+)?(?=\S)", text[done:]) if name.startswith("notice ") else None
+            nxt = next((i for i, w in enumerate(words) if w[0] >= done + more.end()), None) if more else None
+            hits = [(e, n, v) for n, parts in names for e, v in ends(nxt, parts)] if nxt is not None else []
+    rules = [*RULES, *((out, (f"notice {out}",)) for out in dict.fromkeys(out for _, out in _all_names()))]
+    out, i = [], 0
+    while i < len(found):
+        best = max((r for r in rules if tuple(n for n, _ in found[i:i + len(r[1])]) == r[1]), key=lambda r: len(r[1]), default=None)
+        if best:
+            version = found[i][1] + (".0" if best[0].endswith(("-or-later", "-only")) and "." not in found[i][1] else "")
+            out.append(best[0].replace("<v>", version))
+        i += len(best[1]) if best else 1
+    return out
+
+
+def test_licenses_equal_a_plain_scan():
+    rng = random.Random(17)
+    every = wordings()
+    plain = [*((n, x) for n, x in SENTENCES.items() if n != "spdx"), *WORDINGS]
+    noise = ["A line of no interest", "Licensed under nothing", "License", "The MIT", "Permission is hereby granted", "see the file", "under the GPL"]
+    filled = lambda x: x.replace("<v>", rng.choice(["2", "3.0", "v2", "2.1"])).replace("<h>", rng.choice(["work", "small tool", "fine set of data"]))
+    for _ in range(60):
+        parts = [filled(rng.choice(rng.choice([plain, every, every]))[1]) if rng.random() < 0.7 else rng.choice(noise) for _ in range(rng.randint(1, 5))]
+        if rng.random() < 0.3:
+            parts += [filled(SENTENCES[n]) for n in rng.choice(RULES)[1] if n != "spdx"]
+        if rng.random() < 0.4:
+            parts.append(f"Licensed under the MIT license {rng.choice(['or', 'and', 'and/or'])} {rng.choice(['the ', ''])}{filled(rng.choice(_all_names())[0])}")
+        text = "".join(p + rng.choice([".\n", "\n", ".\n\n"]) for p in parts)
+        assert [x[2] for x in licenses(text)] == plain_scan(text), text
+
+
 # ---- tokenizer ----
 
 @pytest.mark.skipif(not os.path.exists(MODEL), reason="tokenizer files not present")
@@ -313,3 +409,73 @@ def test_entropy_windows():
     assert scan(f"see {key} here")[1] == [(4, 4 + len(key), "entropy_base64")]
     assert scan("id 123e4567-e89b-12d3-a456-426614174000 and abcdefghijklmnopqrstuvwxyz0123456789")[1] == []
     assert scan("thetheirandoveragainstwithoutthatwhich plain words")[1] == []
+
+
+def test_long_runs_of_digits_and_letters_take_no_time():
+    """Rows of the alphabet and of digits that end in something else, and a long text of random characters."""
+    import time
+    rng = random.Random(5)
+    key = "".join(rng.choice("0123456789abcdef") for _ in range(24))
+    started = time.monotonic()
+    for row in ("0123456789", "abcdef", "abcdefghijklmnopqrstuvwxyz", "+/0123456789=", "abcdef_-"):
+        base, more = scan(row * 100 + key)
+        assert base or more
+        assert not ALLOWED.fullmatch(row * 100 + "x!") and ALLOWED.fullmatch(row * 100)
+    assert time.monotonic() - started < 5
+    letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"))
+    text = "".join(letters[np.random.default_rng(1).integers(0, 64, 10_000_000)])
+    started = time.monotonic()
+    base, more = scan(text)
+    assert time.monotonic() - started < 20 and more
+    started = time.monotonic()
+    lines = "\n".join(text[i:i + 60] for i in range(0, 1_200_000, 60))  # 20,000 spans
+    assert len(scan(lines)[1]) > 15_000 and time.monotonic() - started < 20
+
+
+def test_long_and_short_runs_are_counted_alike():
+    rng = random.Random(8)
+    for alphabet, window, bits in (("0123456789abcdef", 24, 3.0), ("ab01", 8, 1.5), ("ABCDEFGHIJKLMNOPabcdefgh0123456789+/", 24, 4.0)):
+        run = "".join(rng.choice(alphabet if i // 90 % 2 else alphabet[:3]) for i in range(3000))
+        assert len(run) >= secrets.LONG_RUN
+        long_ = high_windows(run, window, bits)
+        try:
+            secrets.LONG_RUN = 10**9
+            assert long_ == high_windows(run, window, bits) and long_
+        finally:
+            secrets.LONG_RUN = 512
+
+
+def test_pipeline_end_to_end(spark, tmp_path):
+    """All five stages over a small table, whose decisions can be followed."""
+    import corpus_pipeline
+    rng = random.Random(21)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(400)]
+    rows, labels = [], []
+    for i in range(300):
+        good = i % 3 != 0
+        words = [rng.choice(vocabulary) for _ in range(120)]
+        text = " ".join(words).capitalize() + "." if good else "@@## " + " ".join("$" * rng.randint(1, 9) for _ in range(60))
+        rows.append((i, text, "en", "ab"[i % 2]))
+        labels.append((i, int(good), 0))
+    copies = [(1000 + i, rows[1][1], "en", "a") for i in range(5)]
+    near = [(2000 + i, rows[2][1].replace(".", f" w{i}."), "en", "b") for i in range(5)]
+    frame = spark.createDataFrame([(*r, len(r[1]), 5, "n", 3) for r in rows + copies + near],
+                                  "doc_id long, text string, lang string, source string, n_chars long, Copy int, n_copies string, _row int")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    stage = frame
+    for name, fn in corpus_pipeline.STAGES[:-1]:
+        before, stage = stage, fn(spark, stage, str(tmp_path))
+        assert stage.columns == frame.columns, name
+        stage = spark.createDataFrame(stage.collect(), frame.schema)
+        ids = {r.doc_id for r in stage.collect()}
+        assert ids <= {r.doc_id for r in before.collect()}
+        if name == "quality":
+            assert len({i for i in ids if i < 300 and i % 3 == 0}) < 10 and len({i for i in ids if i < 300 and i % 3}) > 190
+        if name == "exact_dedup":
+            assert not ids & set(range(1000, 1005)) and set(range(2000, 2005)) <= ids
+        if name == "near_dedup":
+            assert not ids & set(range(2000, 2005)) and len(ids) > 190
+    assert {(r.Copy, r.n_copies, r["_row"]) for r in stage.collect()} == {(5, "n", 3)}
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert sorted(r.doc_id for r in out.collect()) == sorted(r.doc_id for r in stage.collect())
