@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm.common import ROW_KEY, cut, keyed, same_row
+from contrail.operators.joins import join_group_values
 
 WINDOW = 200
 GRAM = 32
@@ -42,6 +43,8 @@ RUN = 20_000
 #: Suffixes at an anchor that is found more often than this are told apart by half of their surroundings first.
 OFTEN = 5_000
 HOT = 200_000
+#: Tasks of one shuffle at most; a task merges its ranges one after the other.
+MAX_TASKS = 100_000
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
@@ -458,11 +461,15 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot
         return same_row(rows, mine, "inner").select(*ROW_KEY, "text", "pos", "gram", "often")
 
     runs = joined(False).mapInArrow(_runs(window, gram, ranges), "range int, size long, run binary")
-    out = runs.groupBy("range").applyInArrow(_merge(window, gram), spans)
+    # as many tasks as ranges: what one of them reads does not grow with the corpus
+    out = runs.repartition(min(ranges, MAX_TASKS), "range").groupBy("range").applyInArrow(_merge(window, gram), spans)
     if total[1]:
         windows = joined(True).select(*ROW_KEY, "text", "pos").mapInArrow(_hot_windows(window, gram), "doc_id long, row_hash long, start int, digest binary")
-        twice = windows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-        out = out.unionByName(windows.join(twice, "digest").select(*ROW_KEY, "start", (F.col("start") + window).alias("end")))
+        windows = cut(windows, "hot-windows")
+        twice = windows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest", "n")
+        # the windows of a frequent digest stay where they are; its count comes to them
+        met = join_group_values(windows, ["digest"], twice, "n", ["n"]).where("n IS NOT NULL")
+        out = out.unionByName(met.select(*ROW_KEY, "start", (F.col("start") + window).alias("end")))
     return out
 
 
