@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from contrail.llm.common import table
 from contrail.llm.exact_dedup import kept_documents
-from contrail.llm.mixing import mix_sources
+from contrail.llm.mixing import repeat_documents
 from contrail.llm.near_dedup import keep_one
 from contrail.llm.quality import keep_good
 from contrail.llm.tokenize import tokenize
@@ -35,7 +35,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources repeated to equal weights, as many characters as before; copies are rows of their own, globally shuffled."""
-    return mix_sources(docs).select(*docs.columns)
+    return repeat_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
