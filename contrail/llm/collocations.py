@@ -23,6 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,13 +38,15 @@ MIN_COUNT = 100
 TOP = 2000
 
 #: Characters of a block (a longer single text is a block of its own).
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
 #: Phrases of one broadcast trie.
 SHARD = 400_000
 #: Bits of the map of frequent words.
 MAP_BITS = 1 << 25
-#: Found extensions that a task holds before it hands their counts on.
-HOLD = 2_000_000
+#: Found extensions, and distinct words of blocks, that a task holds before it hands their counts on.
+HOLD, HOLD_WORDS = 1_500_000, 500_000
+#: Phrases whose counts travel as one row, and tasks whose rows are added up first.
+CHUNK, TASKS_OF_PART = 8192, 64
 
 
 #: What each byte of UTF-8 is: lower case for A-Z, a space for the white space between words, a break between pieces.
@@ -140,15 +143,34 @@ def _ids(batch: pa.RecordBatch, row: int) -> np.ndarray:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks -> (lang, word, id, n), one row per distinct word of a block."""
+    """Blocks -> (lang, word, id, n): how often each word occurs in the blocks that a task holds together."""
+    held: dict[str, list[tuple[pa.Array, np.ndarray, np.ndarray]]] = {}
+    size = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for lang, parts in held.items():
+            words, ids = pa.concat_arrays([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+            # by word and not by id: two words of one id have to show
+            coded = words.dictionary_encode()
+            number = coded.indices.to_numpy(zero_copy_only=False)
+            first = np.zeros(len(coded.dictionary), dtype=np.int64)
+            first[number[::-1]] = np.arange(len(number))[::-1]
+            n = np.bincount(number, np.concatenate([p[2] for p in parts]), minlength=len(first)).astype(np.int64)
+            for at in range(0, len(first), 20_000):
+                some = coded.dictionary.slice(at, 20_000)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), some, pa.array(ids[first[at:at + 20_000]]), pa.array(n[at:at + 20_000])],
+                                                 names=["lang", "word", "id", "n"])
+        held.clear()
+
     for batch in batches:
-        for row in range(batch.num_rows):
+        for row, lang in enumerate(batch.column("lang").to_pylist()):
             codes, words = _codes(batch, row), batch.column("words")[row].values
-            n = np.bincount(codes[codes >= 0], minlength=len(words))
-            for at in range(0, len(words), 10_000):
-                some = words.slice(at, 10_000)
-                yield pa.RecordBatch.from_arrays([pa.array([batch.column("lang")[row].as_py()] * len(some), pa.string()), some,
-                                                  pa.array(_ids(batch, row)[at:at + 10_000]), pa.array(n[at:at + 10_000])], names=["lang", "word", "id", "n"])
+            held.setdefault(lang, []).append((words, _ids(batch, row), np.bincount(codes[codes >= 0], minlength=len(words))))
+            size += len(words)
+            if size > HOLD_WORDS:
+                yield from flush()
+                size = 0
+    yield from flush()
 
 
 @dataclass
@@ -240,20 +262,54 @@ class DoubleArrayTrie:
             yield at, state
 
 
-def _extend(trie, bits) -> Callable:
-    """Blocks -> (pid, next, n): a phrase of the trie, the frequent word after it, how often in this task."""
+def _packed(*columns: np.ndarray) -> bytes:
+    """Sorted columns as compressed differences."""
+    return b"".join(len(z := pa.compress(np.diff(c, prepend=c.dtype.type(0)).tobytes(), "zstd", asbytes=True)).to_bytes(4, "little")
+                    + c.nbytes.to_bytes(4, "little") + z for c in columns)
+
+
+def _unpacked(blob: bytes, kinds: tuple) -> list[np.ndarray]:
+    out, at = [], 0
+    for kind in kinds:
+        size, full = (int.from_bytes(blob[at + i:at + i + 4], "little") for i in (0, 4))
+        out.append(np.cumsum(np.frombuffer(pa.decompress(blob[at + 8:at + 8 + size], full, "zstd", asbytes=True), kind), dtype=kind))
+        at += 8 + size
+    return out
+
+
+_PAIRS = (np.int64, np.int32, np.int32, np.int32)  # words, how many phrases each follows, those phrases, how often
+
+
+def _summed(word: np.ndarray, phrase: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal (word, phrase) pairs in one, sorted by both."""
+    words, number = np.unique(word, return_inverse=True)
+    span = int(phrase.max(initial=0)) + 1
+    keys, where = np.unique(number * span + phrase, return_inverse=True)
+    return words[keys // span], keys % span, np.bincount(where, n, minlength=len(keys)).astype(np.int64)
+
+
+def _extend(trie, bits, buckets: int) -> Callable:
+    """Blocks -> (bucket, pairs): how often each frequent word follows each phrase of the trie in this task. A pair has
+    one bucket, by both of its parts, so neither a frequent word nor a frequent phrase makes a large one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, frequent = trie.value, bits.value
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def flush() -> pa.RecordBatch:
-            phrase, word = (np.concatenate([h[i] for h in held] or [np.zeros(0, np.int64)]) for i in (0, 1))
+        def flush() -> Iterator[pa.RecordBatch]:
+            word, phrase = (np.concatenate([h[i] for h in held] or [np.zeros(0, np.int64)]) for i in (0, 1))
             held.clear()
-            words, number = np.unique(word, return_inverse=True)
-            rows, row = np.unique(phrase, return_inverse=True)
-            keys, n = np.unique(row * max(len(words), 1) + number, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(rows[keys // max(len(words), 1)]), pa.array(words[keys % max(len(words), 1)]),
-                                               pa.array(n.astype(np.int64))], names=["pid", "next", "n"])
+            if not len(word):
+                return
+            word, phrase, n = _summed(word, phrase, np.ones(len(word)))
+            bucket = (_mixed(word ^ phrase) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            word, phrase, n, bucket = word[order], phrase[order], n[order], bucket[order]
+            starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+            for start, end in zip(starts, np.append(starts[1:], len(bucket)), strict=True):
+                heads = np.flatnonzero(np.diff(word[start:end], prepend=word[start] - 1))
+                widths = np.diff(heads, append=end - start)
+                blob = _packed(word[start:end][heads], widths.astype(np.int32), phrase[start:end].astype(np.int32), n[start:end].astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array([bucket[start]], pa.int32()), pa.array([blob], pa.binary())], names=["bucket", "pairs"])
 
         for batch in batches:
             for row in range(batch.num_rows):
@@ -264,15 +320,26 @@ def _extend(trie, bits) -> Callable:
                     pass
                 follows = np.append(codes, -1)[at + t.depth]
                 good = allowed[follows]
-                held.append((t.phrase[state[good]], ids[follows[good]]))
+                held.append((ids[follows[good]], t.phrase[state[good]]))
                 if sum(len(h[0]) for h in held) > HOLD:
-                    yield flush()
-        yield flush()
+                    yield from flush()
+        yield from flush()
+    return run
+
+
+def _frequent_pairs(pids, min_count: int) -> Callable:
+    """applyInArrow: all pairs of a bucket -> (pid, next, n) of the frequent ones."""
+    def run(group: pa.Table) -> pa.Table:
+        parts = [_unpacked(blob, _PAIRS) for blob in group["pairs"].to_pylist()]
+        word = np.concatenate([np.repeat(words, widths) for words, widths, _, _ in parts])
+        word, phrase, n = _summed(word, np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts]))
+        good = n >= min_count
+        return pa.table({"pid": pids.value[phrase[good]], "next": word[good], "n": n[good]})
     return run
 
 
 def _counted(trie) -> Callable:
-    """Blocks -> (pid, n): occurrences of each phrase of the trie in this task."""
+    """Blocks -> (chunk, part, counts): occurrences of the trie's phrases in this task, CHUNK phrases to a row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = trie.value
         total = np.zeros(len(t.base), dtype=np.int64)
@@ -280,16 +347,35 @@ def _counted(trie) -> Callable:
             for row in range(batch.num_rows):
                 for _, state in t.walk(t.local(_ids(batch, row), _codes(batch, row))):
                     total += np.bincount(state, minlength=len(total))
-        seen = np.flatnonzero((total > 0) & (t.phrase >= 0))
-        yield pa.RecordBatch.from_arrays([pa.array(t.phrase[seen]), pa.array(total[seen])], names=["pid", "n"])
+        ends = np.flatnonzero(t.phrase >= 0)
+        counts = np.zeros(len(ends), dtype=np.int64)
+        counts[t.phrase[ends]] = total[ends]
+        part = TaskContext.get().partitionId() // TASKS_OF_PART
+        for chunk in range(0, len(counts), CHUNK):
+            if (some := counts[chunk:chunk + CHUNK]).any():
+                yield pa.RecordBatch.from_arrays([pa.array([chunk // CHUNK], pa.int32()), pa.array([part], pa.int32()), pa.array([_packed(some)], pa.binary())],
+                                                 names=["chunk", "part", "counts"])
+    return run
+
+
+def _added(group: pa.Table) -> pa.Table:
+    total = sum(_unpacked(blob, (np.int64,))[0] for blob in group["counts"].to_pylist())
+    return pa.table({"chunk": pa.array([group["chunk"][0].as_py()], pa.int32()), "counts": pa.array([_packed(total)], pa.binary())})
+
+
+def _spread(pids) -> Callable:
+    """applyInArrow: a chunk's sums -> (pid, n)."""
+    def run(group: pa.Table) -> pa.Table:
+        total = sum(_unpacked(blob, (np.int64,))[0] for blob in group["counts"].to_pylist())
+        at = group["chunk"][0].as_py() * CHUNK
+        return pa.table({"pid": pids.value[at:at + len(total)], "n": total})
     return run
 
 
-def _over_tries(blocks: DataFrame, phrases: DataFrame, shard: int, job: Callable, schema: str, keys: list[str], min_count: int, name: str) -> DataFrame:
-    """The sums of ``job`` over all blocks, for tries of about ``shard`` phrases (lang, pid, ids) one after the other."""
+def _over_tries(blocks: DataFrame, phrases: DataFrame, shard: int, job: Callable[..., DataFrame], schema: str, name: str) -> DataFrame:
+    """``job(blocks, trie, pids)`` for tries of about ``shard`` phrases (pid, ids) one after the other, all results together."""
     spark = blocks.sparkSession
-    size = phrases.count()
-    n_tries = -(-size // shard)
+    n_tries = -(-phrases.count() // shard)
     found = spark.createDataFrame([], schema)
     for i in range(n_tries):
         part = phrases if n_tries == 1 else phrases.where(F.pmod(F.xxhash64("pid"), F.lit(n_tries)) == i)
@@ -302,10 +388,10 @@ def _over_tries(blocks: DataFrame, phrases: DataFrame, shard: int, job: Callable
         sizes = np.unique(lengths)
         each = [np.flatnonzero(lengths == k) for k in sizes]
         words = [flat[(ends[rows] - k)[:, None] + np.arange(k)] for rows, k in zip(each, sizes, strict=True)]
-        trie = spark.sparkContext.broadcast(DoubleArrayTrie.build(words, [pids[rows] for rows in each]))
-        sums = blocks.select("ids", "codes").mapInArrow(job(trie), schema).groupBy(*keys).agg(F.sum("n").alias("n"))
-        found = found.unionByName(cut(sums.where(F.col("n") >= min_count), name))
-        trie.destroy()
+        sent = [spark.sparkContext.broadcast(x) for x in (DoubleArrayTrie.build(words, each), pids)]
+        found = found.unionByName(cut(job(blocks.select("ids", "codes"), *sent), name))
+        for x in sent:
+            x.destroy()
     return found
 
 
@@ -337,8 +423,19 @@ def phrase_counts(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int =
     level = words.select("lang", F.col("word").alias("phrase"), F.array("id").alias("ids"), F.col("id").alias("pid"))
     last = words.select(F.col("id").alias("next"), "word")
     levels = []
+    # what one bucket gathers stays the same however many words there are
+    buckets = max(1, (totals.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"] or 0) // HOLD)
+
+    def grow(some: DataFrame, trie, pids) -> DataFrame:
+        return (some.mapInArrow(_extend(trie, bits, buckets), "bucket int, pairs binary").groupBy("bucket")
+                .applyInArrow(_frequent_pairs(pids, min_count), "pid long, next long, n long"))
+
+    def count(some: DataFrame, trie, pids) -> DataFrame:
+        sums = some.mapInArrow(_counted(trie), "chunk int, part int, counts binary").groupBy("chunk", "part").applyInArrow(_added, "chunk int, counts binary")
+        return sums.groupBy("chunk").applyInArrow(_spread(pids), "pid long, n long")
+
     for k in range(2, max_words + 1):
-        grown = _over_tries(blocks, level, shard, lambda trie: _extend(trie, bits), "pid long, next long, n long", ["pid", "next"], min_count, f"colloc-grown-{k}")
+        grown = _over_tries(blocks, level, shard, grow, "pid long, next long, n long", f"colloc-grown-{k}")
         level = cut(grown.join(level, "pid").join(last, "next").select(
             "lang", F.concat_ws(" ", "phrase", "word").alias("phrase"), F.concat("ids", F.array("next")).alias("ids"),
             F.monotonically_increasing_id().alias("pid")), f"colloc-level-{k}")
@@ -348,8 +445,8 @@ def phrase_counts(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int =
     for more in levels[1:]:
         candidates = candidates.unionByName(more)
     candidates = cut(candidates.withColumn("pid", F.monotonically_increasing_id()), "colloc-candidates")
-    sums = _over_tries(blocks, candidates, shard, _counted, "pid long, n long", ["pid"], min_count, "colloc-counts")
-    phrases = cut(candidates.join(sums, "pid").select("lang", "phrase", F.size("ids").alias("k"), F.col("n").alias("a")), "colloc-phrases")
+    sums = _over_tries(blocks, candidates, shard, count, "pid long, n long", "colloc-counts")
+    phrases = cut(candidates.join(sums, "pid").where(F.col("n") >= min_count).select("lang", "phrase", F.size("ids").alias("k"), F.col("n").alias("a")), "colloc-phrases")
     return words.select("lang", F.col("word").alias("phrase"), "n"), phrases, totals
 
 
