@@ -6,7 +6,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from contrail.operators.enrich import join_airlines
-from contrail.operators.joins import attach_group_count, join_group_values, lookup_join
+from contrail.operators import joins
+from contrail.operators.joins import (
+    attach_group_count, fits_broadcast, join_group_values, lookup_join, row_count_at_most, semi_join, skewed_lookup_join,
+)
 
 
 def _skewed(spark):
@@ -75,3 +78,75 @@ def test_hot_identical_rows_are_not_shuffled_together(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_lookup_proofs_do_not_pass_to_another_frame_of_the_same_shape(spark, tmp_path):
+    """A good lookup first, one with duplicate keys second: in memory and from files."""
+    fact = spark.createDataFrame([("AA",)], "AIRLINE string")
+    good = [("AA", "x")]
+    twice = [("AA", "x"), ("AA", "y")]
+    frame = lambda rows: spark.createDataFrame(rows, "IATA_CODE string, AIRLINE string")
+    assert join_airlines(fact, frame(good)).count() == 1
+    with pytest.raises(ValueError):
+        join_airlines(fact, frame(twice))
+    path = str(tmp_path / "lookup")
+    frame(good).write.parquet(path)
+    assert join_airlines(fact, spark.read.parquet(path)).count() == 1
+    frame(twice).write.mode("overwrite").parquet(path)
+    with pytest.raises(ValueError):
+        join_airlines(fact, spark.read.parquet(path))
+
+
+def test_size_proofs_are_per_frame(spark):
+    small = spark.createDataFrame([(i,) for i in range(5)], "k int")
+    large = spark.createDataFrame([(i,) for i in range(500)], "k int")
+    assert row_count_at_most(small, 100) and not row_count_at_most(large, 100)
+    assert fits_broadcast(small, 100) and not fits_broadcast(large, 100)
+    wide = spark.range(50).selectExpr("id", "repeat('x', 1000) AS t")
+    assert fits_broadcast(wide, 100) and not fits_broadcast(wide, 100, max_bytes=10_000) and not fits_broadcast(wide, 0)
+
+
+def test_file_proofs_are_kept(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "kept")
+    spark.range(10).write.parquet(path)
+    assert row_count_at_most(spark.read.parquet(path), 10)
+    monkeypatch.setattr(joins.DataFrame, "limit", lambda *_: pytest.fail("read again"))
+    assert row_count_at_most(spark.read.parquet(path), 10)
+
+
+@pytest.fixture()
+def plain_joins(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_lookup_above_the_limit_with_a_hot_carrier(spark, plain_joins, how):
+    """One carrier holds half the rows: they stay in the eight tasks that read them; the others are shuffled."""
+    hot = spark.range(0, 4000, 1, 8).selectExpr("id", "'HOT' AS k")
+    cold = spark.range(4000, 8000, 1, 8).selectExpr("id", "IF(id % 40 = 0, NULL, concat('k', id % 900)) AS k")
+    fact = hot.unionByName(cold)
+    lookup = spark.range(850).selectExpr("concat('k', id) AS k", "id * 2 AS v", "repeat('n', 5) AS name").unionByName(
+        spark.sql("SELECT 'HOT' AS k, -1L AS v, 'hot' AS name"))
+    # a key of 1/100 of the rows is hot here: only HOT
+    got = lookup_join(fact, lookup, ["k"], how, max_broadcast_rows=0, max_hot_groups=100)
+    want = fact.join(lookup, ["k"], how)
+    assert got.columns == want.columns
+    tasks = got.where("k = 'HOT'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == 8 and {r["count"] for r in tasks} == {500}
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    tight = skewed_lookup_join(fact, lookup, ["k"], how, max_hot_groups=100_000, max_bytes=5_000)
+    assert sorted(map(str, tight.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_semi_and_anti_join_of_a_hot_key(spark, plain_joins, limit):
+    fact = spark.range(0, 4000, 1, 8).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 'HOT' WHEN id % 41 = 0 THEN NULL ELSE concat('k', id % 70) END AS k")
+    keys = spark.createDataFrame([("HOT",), ("HOT",), (None,)] + [(f"k{i}",) for i in range(30)], "code string")
+    for anti, how in ((False, "left_semi"), (True, "left_anti")):
+        got = semi_join(fact, "k", keys, "code", anti=anti, max_broadcast_rows=limit, max_hot_groups=100)
+        want = fact.join(keys, fact["k"] == keys["code"], how)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
