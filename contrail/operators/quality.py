@@ -20,8 +20,12 @@ from contrail.functions.text import (
     MAX_SPECIAL_CHARS, blank_sql, control_chars_sql, digits_only_sql, has_control_chars, hhmm_sql, is_blank,
     is_digits_only, special_char_count, special_char_count_sql, sql_ident,
 )
-from contrail.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, join_group_values
+from contrail.operators.heavy_hitters import COUNTERS, cells, top_values
+from contrail.operators.joins import (
+    DEFAULT_BROADCAST_ROWS, broadcast_if_small, fits_broadcast, join_group_values, lookup_join, semi_join,
+)
 from contrail.operators.stats import quartiles
+from contrail.session import materialize
 from contrail.sources.files import lookup_keys
 
 # ---------------------------------------------------------------------------
@@ -110,9 +114,10 @@ def numeric_summary(df: DataFrame, cols: Sequence[str], digits: int = 1,
     """Count, mean, std (sample), min, quartiles, max per column, rounded.
 
     Quartiles are exact with linear interpolation, from counts per (column, value) that
-    are combined before their shuffle; running counts over a column's sorted values find
-    them, so no aggregation state grows with the number of distinct values. With
-    ``relative_error`` they come from the bounded-memory ``percentile_approx`` instead.
+    are combined before their shuffle; running counts within ranges of a column's values find
+    them (``stats.running_counts``), so no task holds a column. With ``relative_error`` they
+    come from the mergeable, bounded-memory ``percentile_approx`` instead: values whose rank is
+    off by at most that share of the rows.
     """
     names = list(cols)
     aggs = []
@@ -129,9 +134,9 @@ def numeric_summary(df: DataFrame, cols: Sequence[str], digits: int = 1,
     if relative_error is not None:
         return wide
     pairs = _stack(df.selectExpr(*[f"{_num_sql(c)} AS {sql_ident(c)}" for c in names]), names, "double").where("value IS NOT NULL")
-    counts = pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("__c"))
+    counts = materialize(pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("__c")), "value-counts")
     q = quartiles(counts, "column_name", "value", "__c").select(
-        "column_name", *[F.round(a, digits).alias(b) for a, b in (("q1", "q25"), ("median", "q50"), ("q3", "q75"))]).distinct()
+        "column_name", *[F.round(a, digits).alias(b) for a, b in (("q1", "q25"), ("median", "q50"), ("q3", "q75"))])
     return wide.join(F.broadcast(q), "column_name", "left")  # one row per column
 
 
@@ -395,8 +400,9 @@ def invalid_codes(df: DataFrame, lookup: DataFrame, cols: Sequence[str], key: st
     keys = broadcast_if_small(lookup_keys(lookup, key).withColumnRenamed(key, "code"), max_broadcast_rows)
     per_side = None
     for c in cols:
-        part = (_codes(df, c).join(keys, "code", "left_anti")
-                .groupBy("code").agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit(c)))
+        # counted first: a frequent code is one row when it meets the lookup
+        part = (_codes(df, c).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+                .join(keys, "code", "left_anti").withColumn("side", F.lit(c)))
         per_side = part if per_side is None else per_side.unionByName(part)
     total = per_side.groupBy("code").agg(F.sum("n").alias("n")).withColumn("side", F.lit("ALL"))
     return per_side.unionByName(total)
@@ -420,11 +426,11 @@ def code_breakdown(df: DataFrame, airports: DataFrame, origin: str = "ORIGIN_AIR
     """Rows with both codes valid / any invalid / only origin / only
     destination / both invalid, with percentages (flags from two broadcast left
     joins, counted in one pass)."""
-    keys = broadcast_if_small(lookup_keys(airports, key), max_broadcast_rows)
-    o = keys.select(F.col(key).alias("__o"))
-    d = keys.select(F.col(key).alias("__d"))
-    flagged = (df.join(o, F.col(origin) == F.col("__o"), "left")
-               .join(d, F.col(destination) == F.col("__d"), "left"))
+    keys = lookup_keys(airports, key)
+    known = lambda c, flag: keys.select(F.col(key).alias(c), F.lit(True).alias(flag))
+    codes = df.select(F.col(origin).cast("string").alias(origin), F.col(destination).cast("string").alias(destination))
+    flagged = lookup_join(codes, known(origin, "__o"), [origin], "left", max_broadcast_rows, check_unique=False)
+    flagged = lookup_join(flagged, known(destination, "__d"), [destination], "left", max_broadcast_rows, check_unique=False)
     vo, vd = F.col("__o").isNotNull(), F.col("__d").isNotNull()
     n = F.count(F.lit(1))
     out = flagged.agg(n.alias("total_rows"), F.count_if(vo & vd).alias("both_valid"),
@@ -505,30 +511,61 @@ def patched_rows(enriched: DataFrame, codes: Sequence[str]) -> DataFrame:
 # Duplicates and junk text
 # ---------------------------------------------------------------------------
 
-def duplicate_report(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
+def row_digests(cols: Sequence[str]) -> list[Column]:
+    """Two independent 64-bit hashes of the values of ``cols``. Equal values have equal digests; different ones may
+    share them (nulls leave a hash as it is), so whoever uses digests compares the values afterwards."""
+    values = [F.col(f"`{c}`") for c in cols]
+    return [F.xxhash64(*values).alias("__d1"), F.xxhash64(F.lit(1), *reversed(values), F.lit(2)).alias("__d2")]
+
+
+def _repeated(df: DataFrame, subset: Sequence[str], digest) -> tuple[DataFrame, DataFrame]:
+    """(one row: rows, digests seen once; the rows of ``df`` whose digest occurs more than once).
+
+    Only digests are grouped over all rows. Whole rows move only where a digest is repeated, and
+    not even those where the repeated digests are few enough to broadcast.
+    """
+    keyed = df.select(*df.columns, *digest(subset))
+    counts = materialize(keyed.groupBy("__d1", "__d2").agg(F.count(F.lit(1)).alias("__c")), "row-digests")
+    once = counts.agg(F.coalesce(F.sum("__c"), F.lit(0)).alias("__rows"), F.count_if(F.col("__c") == 1).alias("__once"))
+    again = counts.where("__c > 1").select(F.col("__d1").alias("__r1"), F.col("__d2").alias("__r2"))
+    on = (F.col("__d1") == F.col("__r1")) & (F.col("__d2") == F.col("__r2"))
+    if fits_broadcast(again):
+        return once, keyed.join(F.broadcast(again), on, "left_semi").select(*df.columns)
+    pair = keyed.withColumn("__d", F.struct("__d1", "__d2"))
+    met = semi_join(pair, "__d", again.select(F.struct(F.col("__r1").alias("__d1"), F.col("__r2").alias("__d2")).alias("__r")), "__r", max_broadcast_rows=0)
+    return once, met.select(*df.columns)
+
+
+def duplicate_report(df: DataFrame, subset: Sequence[str] | None = None, digest=row_digests) -> DataFrame:
     """Duplicate rows (beyond the first of each group), their %, unique rows.
-    Groups compare nulls as equal; counting is a partial aggregation."""
+
+    Groups compare nulls as equal. Rows are grouped by digest; a digest that occurs once is a
+    unique row, the others are grouped by their values.
+    """
     subset = list(subset or df.columns)
-    groups = df.groupBy(*subset).agg(F.count(F.lit(1)).alias("__c"))
-    out = groups.agg(F.sum("__c").alias("total_rows"), F.count(F.lit(1)).alias("unique_rows"))
+    once, rows = _repeated(df.select(*subset), subset, digest)
+    groups = rows.groupBy(*subset).agg(F.lit(1)).agg(F.count(F.lit(1)).alias("__groups"))
+    out = once.join(F.broadcast(groups)).select(F.col("__rows").alias("total_rows"), (F.col("__once") + F.col("__groups")).alias("unique_rows"))  # one row each
     dup = F.col("total_rows") - F.col("unique_rows")
     return out.select("total_rows", dup.alias("duplicate_rows"),
-                      F.round(dup * 100.0 / F.col("total_rows"), 4).alias("duplicate_pct"), "unique_rows")
+                      F.round(F.try_divide(dup * 100.0, F.col("total_rows")), 4).alias("duplicate_pct"), "unique_rows")
 
 
-def duplicate_rows(df: DataFrame, subset: Sequence[str] | None = None, **skew) -> DataFrame:
+def duplicate_rows(df: DataFrame, subset: Sequence[str] | None = None, digest=row_digests, **skew) -> DataFrame:
     """Every member of a duplicate group (keep=False), with the group size ``copies``.
 
-    Without ``subset`` the members of a group are equal in all columns, so each group of
-    more than one row is repeated that often: no join. With it, only the groups of more
-    than one row are joined back (rows of hot groups meet a broadcast table and are not
-    shuffled; see ``join_group_values``).
+    Only rows whose digest occurs more than once are grouped by their values. Without
+    ``subset`` the members of a group are equal in all columns, so each group of more than
+    one row is repeated that often: no join. With it, only those rows are joined with their
+    groups (rows of hot groups meet a broadcast table and are not shuffled; see
+    ``join_group_values``).
     """
     subset = list(subset or df.columns)
-    groups = df.groupBy(*subset).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+    _, rows = _repeated(df, subset, digest)
+    groups = rows.groupBy(*subset).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
     if set(subset) == set(df.columns):
         return groups.select(*df.columns, "copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("col")
-    return join_group_values(df, subset, groups, "copies", ["copies"], null_safe=True, **skew).where(F.col("copies").isNotNull())
+    return join_group_values(rows, subset, groups, "copies", ["copies"], null_safe=True, **skew).where(F.col("copies").isNotNull())
 
 
 def junk_text_report(df: DataFrame, cols: Sequence[str] = S.JUNK_TEXT_COLS,
@@ -547,13 +584,30 @@ def junk_text_report(df: DataFrame, cols: Sequence[str] = S.JUNK_TEXT_COLS,
     return _long_sql(wide, rows)
 
 
-def junk_values(df: DataFrame, cols: Sequence[str] = S.JUNK_TEXT_COLS,
-                code_cols: Sequence[str] = S.CODE_COLS) -> DataFrame:
-    """The distinct offending values per column, all columns in one pass."""
-    cells = []
+def _junk_cells(df: DataFrame, cols: Sequence[str], code_cols: Sequence[str]) -> dict[str, Column]:
+    """The offending cell of each text column, null where it is fine."""
+    out = {}
     for c in [x for x in cols if x in df.columns]:
         bad = has_control_chars(c) | (special_char_count(c) > MAX_SPECIAL_CHARS)
         if c in code_cols:
             bad = bad | is_digits_only(c)
-        cells.append(F.when(bad, F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))))
-    return df.select(F.explode(F.array_compact(F.array(*cells))).alias("x")).select("x.*").distinct()
+        out[c] = F.when(bad, F.col(c).cast("string"))
+    return out
+
+
+def junk_values_topk(df: DataFrame, cols: Sequence[str] = S.JUNK_TEXT_COLS, code_cols: Sequence[str] = S.CODE_COLS,
+                     k: int = 10, counters: int = COUNTERS) -> DataFrame:
+    """B36 + I4: the most frequent offending values per column (top ``k``). Free text can hold any number of
+    different ones: tasks keep a bounded summary each (``heavy_hitters``)."""
+    return top_values(df.select(F.inline(cells(_junk_cells(df, cols, code_cols)))), k, counters)
+
+
+def frequent_texts(df: DataFrame, cols: Sequence[str], k: int = 20, counters: int = COUNTERS) -> DataFrame:
+    """I4: the most frequent values per text column (top ``k``), by bounded summaries."""
+    return top_values(df.select(F.inline(cells({c: F.col(c) for c in cols}))), k, counters)
+
+
+def junk_values(df: DataFrame, cols: Sequence[str] = S.JUNK_TEXT_COLS,
+                code_cols: Sequence[str] = S.CODE_COLS) -> DataFrame:
+    """The distinct offending values per column, all columns in one pass."""
+    return df.select(F.inline(cells(_junk_cells(df, cols, code_cols)))).distinct()

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from contrail.functions.special import chi2_pvalue, f_pvalue
 from contrail.operators.enrich import label_with_fallback
-from contrail.operators.joins import join_group_values
+from contrail.operators.joins import broadcast_if_small, join_group_values
+from contrail.session import materialize
 
 # ---------------------------------------------------------------------------
 # Significance level, box-plot whisker reach, per-group sample size
@@ -186,32 +187,54 @@ def correlation(df: DataFrame, x: str = CONGESTION, y: str = MINUTES, digits: in
                     F.count(F.lit(1)).alias("n_rows"))
 
 
-def quartiles(counts: DataFrame, group: str, value: str, count: str) -> DataFrame:
-    """``counts`` (group, value, count) with n and the exact quartiles (linear interpolation) of its group on every row.
+def running_counts(counts: DataFrame, group: str, value: str, count: str, ranges: int | None = None) -> DataFrame:
+    """``counts`` (group, value, count; one row per group and value) with ``upto``: how many rows of the group
+    have this value or a smaller one.
 
-    Running counts over the distinct values, sorted and spillable: no state grows with them.
+    The rows are dealt to ranges of (group, value) of about equal size. Each range is summed,
+    the sums of earlier ranges are added up (one row per group and range), and running counts
+    are taken inside a range only: no task holds a whole group, however many values it has.
     """
-    order = Window.partitionBy(group).orderBy(value)
-    whole = Window.partitionBy(group)
-    ranked = counts.withColumn("__upto", F.sum(count).over(order)).withColumn("n", F.sum(count).over(whole))
-
-    def at(p: float) -> Column:
-        place = F.lit(p) * (F.col("n") - 1)
-        value_at = lambda k: F.min(F.when(F.col("__upto") > k, F.col(value))).over(whole)
-        low, high = value_at(F.floor(place)), value_at(F.ceil(place))
-        return low + (place - F.floor(place)) * (high - low)
-    return ranked.withColumns({"q1": at(0.25), "median": at(0.5), "q3": at(0.75)}).drop("__upto")
+    spark = counts.sparkSession
+    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = counts.repartitionByRange(n, group, value).withColumn("__range", F.spark_partition_id())
+    dealt = materialize(dealt, "value-ranges")  # written, so that the ranges stay as they are
+    sums = dealt.groupBy(group, "__range").agg(F.sum(count).alias("__s"))
+    earlier = F.sum("__s").over(Window.partitionBy(group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    sums = sums.select(F.col(group).alias("__g"), F.col("__range").alias("__r"), F.coalesce(earlier, F.lit(0)).alias("__before"))
+    # one row per range, and one more for each further group in it
+    met = dealt.join(broadcast_if_small(materialize(sums, "range-sums")), F.col(group).eqNullSafe(F.col("__g")) & (F.col("__range") == F.col("__r")))
+    inside = F.sum(count).over(Window.partitionBy("__range", group).orderBy(value))
+    return met.withColumn("upto", F.col("__before") + inside).select(*counts.columns, "upto")
+
+
+def quartiles(counts: DataFrame, group: str, value: str, count: str, ranges: int | None = None) -> DataFrame:
+    """Per group of ``counts`` (group, value, count): n and the exact quartiles (linear interpolation) q1, median, q3.
+
+    A quartile lies between the values at two ranks; each is the smallest value with that many
+    rows up to it, an aggregation over ``running_counts``.
+    """
+    totals = counts.groupBy(F.col(group).alias("__g")).agg(F.sum(count).alias("n"))
+    upto = running_counts(counts, group, value, count, ranges)
+    ranked = upto.join(broadcast_if_small(materialize(totals, "group-totals")), F.col(group).eqNullSafe(F.col("__g")))
+    points = (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
+    place = {name: F.lit(p) * (F.col("n") - 1) for name, p in points}
+    at = lambda k: F.min(F.when(F.col("upto") > k, F.col(value)))
+    ends = ranked.groupBy(group, "n").agg(*[at(f(place[name])).alias(f"{name}_{end}") for name, _ in points for end, f in (("low", F.floor), ("high", F.ceil))])
+    between = lambda name: (F.col(f"{name}_low") + (place[name] - F.floor(place[name])) * (F.col(f"{name}_high") - F.col(f"{name}_low")))
+    return ends.select(group, "n", *[between(name).alias(name) for name, _ in points])
 
 
 def box_stats(df: DataFrame, value: str = MINUTES, group: str = GROUP, whis: float = WHISKER_IQR, digits: int = 4) -> DataFrame:
     """L4: per group n, mean, quartiles and box-plot whiskers: the most extreme values
     within ``whis`` IQR of the box.
 
-    The rows are read once, into counts per (group, value); the rest works on those.
+    The rows are read once, into counts per (group, value); the rest works on those, range by range.
     """
     v = F.col(value).cast("double")
-    counts = df.where(v.isNotNull()).groupBy(group, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-    q = quartiles(counts, group, "__v", "__c")
+    counts = materialize(df.where(v.isNotNull()).groupBy(group, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c")), "value-counts")
+    box = quartiles(counts, group, "__v", "__c").withColumnRenamed(group, "__box")
+    q = counts.join(broadcast_if_small(materialize(box, "quartiles")), F.col(group).eqNullSafe(F.col("__box")))
     reach = whis * (F.col("q3") - F.col("q1"))
     out = q.groupBy(group, "n", "q1", "median", "q3").agg(
         (F.sum(F.col("__v") * F.col("__c")) / F.col("n")).alias("mean"),

@@ -452,3 +452,25 @@ _CXL = ["YEAR", "MONTH", "DAY", "CANCELLED", "CANCELLATION_REASON", "DEPARTURE_T
 @register("cancelled_flights", O.with_stages(f"SELECT {_K}, {', '.join(_CXL)} FROM s_clean WHERE CANCELLED = 1"))
 def q_cancelled_flights(spark, sf):
     return fixture_frames(spark, sf).cleaned.where(F.col("CANCELLED") == 1).select(*KEYS, *_CXL)
+
+
+def _junk_rows(c: str) -> str:
+    return _junk_vals(c).replace("SELECT DISTINCT", "SELECT", 1)
+
+
+_RANKED = "SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS rank FROM (SELECT column_name, value, COUNT(*) AS n FROM cells GROUP BY 1, 2)"
+_TEXTS = ["TAIL_NUMBER", "AIRLINE", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT"]
+
+
+@register("junk_values_topk", O.with_stages(
+    f"SELECT * FROM ({_RANKED}) WHERE rank <= 10", f"cells AS ({_union([_junk_rows(c) for c in S.JUNK_TEXT_COLS])})"))
+def q_junk_values_topk(spark, sf):
+    return Q.junk_values_topk(fixture_enriched(spark, sf))
+
+
+@register("frequent_texts", O.with_stages(
+    f"SELECT * FROM ({_RANKED}) WHERE rank <= 20",
+    "cells AS (" + _union([f"SELECT '{c}' AS column_name, {c} AS value FROM fv WHERE {c} IS NOT NULL" for c in _TEXTS]) + ")"))
+def q_frequent_texts(spark, sf):
+    """Few counters, so that the bounded summary bites at the test scales."""
+    return Q.frequent_texts(_raw(spark, sf), _TEXTS, counters=64)

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from contrail.operators import quality as Q
 from contrail.plans import registry
 
@@ -10,6 +12,34 @@ def test_duplicates_treat_null_as_equal(spark):
         assert sorted((m.a, m.copies) for m in members.collect()) == [(1, 2), (1, 2), (2, 3), (2, 3), (2, 3)]
 
 
+def test_duplicates_with_clashing_digests(spark):
+    """Digests of two values only: groups are still those of the rows' values."""
+    df = spark.range(0, 400, 1, 4).selectExpr("IF(id % 7 = 0, NULL, id % 90) AS a", "IF(id % 5 = 0, NULL, concat('t', id % 11)) AS b", "id % 2 AS c")
+    weak = lambda cols: [F.pmod(F.xxhash64(*cols), F.lit(2)).alias("__d1"), F.lit(0).alias("__d2")]
+    for subset in (None, ["a", "b"]):
+        for digest in (weak, Q.row_digests):
+            sizes = df.groupBy(*(subset or df.columns)).count()
+            want = sizes.agg(F.sum("count").alias("n"), F.count("*").alias("u")).first()
+            r = Q.duplicate_report(df, subset, digest=digest).first()
+            assert (r.total_rows, r.unique_rows, r.duplicate_rows) == (want.n, want.u, want.n - want.u)
+            got = Q.duplicate_rows(df, subset, digest=digest)
+            back = sizes.where("count > 1").select(*[F.col(c).alias(f"k_{c}") for c in (subset or df.columns)], F.col("count").alias("copies"))
+            members = df.join(back, [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in (subset or df.columns)]).select(*df.columns, "copies")
+            assert sorted(map(str, got.collect())) == sorted(map(str, members.collect()))
+    assert Q.duplicate_report(df.limit(0)).first().total_rows == 0 and Q.duplicate_rows(df.limit(0)).count() == 0
+
+
+def test_unique_rows_are_not_shuffled_whole(spark, monkeypatch):
+    """Wide rows move only where a digest is repeated: the plan's exchanges carry digests or the few repeated rows."""
+    wide = spark.range(0, 3000, 1, 4).selectExpr("id % 2990 AS id", "repeat('x', 200) AS t")
+    _, rows = Q._repeated(wide, wide.columns, Q.row_digests)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and rows.count() == 20
+    monkeypatch.setattr(Q, "fits_broadcast", lambda *_: False)
+    _, again = Q._repeated(wide, wide.columns, Q.row_digests)
+    assert sorted(map(str, again.collect())) == sorted(map(str, rows.collect()))
+
+
 def test_junk_text(spark):
     nbsp = "Augusta Regional Airport at (Bush Field)"
     df = spark.createDataFrame([("A\x01B", nbsp, "123"), ("ok", "#$%^&*()", "AB")],

@@ -1,5 +1,6 @@
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,3 +83,25 @@ def test_tails_match_known_values():
     for f, a, b, p in [(4.9646027, 1, 10, .05), (3.3258345, 5, 10, .05), (5.1432528, 2, 6, .05), (1.5173, 24, 1_000_000, .05)]:
         assert f_sf(f, a, b) == pytest.approx(p, rel=1e-3)
     assert chi2_sf(0, 3) == 1.0 and f_sf(0, 2, 3) == 1.0
+
+
+def test_quartiles_of_many_values_take_no_task_per_group(spark):
+    """One group of a million distinct values beside small ones: every task counts about its share, and the result is exact."""
+    big = spark.range(0, 1_000_000, 1, 8).selectExpr("'big' AS g", "CAST(pmod(id * 7919, 1000003) AS DOUBLE) / 3 AS v", "1L AS c")
+    small = spark.createDataFrame([("a", 1.0, 3), ("a", 2.0, 1), ("b", -7.0, 1), ("b", 5.0, 1), (None, 4.0, 2), ("z", 9.0, 1)], "g string, v double, c long")
+    counts = big.unionByName(small)
+    upto = ST.running_counts(counts, "g", "v", "c", ranges=8)
+    plan = upto.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in plan) < 400_000
+    got = {r.g: (r.n, r.q1, r.median, r.q3) for r in ST.quartiles(counts, "g", "v", "c", ranges=8).collect()}
+    x = np.sort(np.array([i * 7919 % 1000003 for i in range(1_000_000)]) / 3.0)
+    assert got["big"][0] == 1_000_000 and np.allclose(got["big"][1:], np.quantile(x, [0.25, 0.5, 0.75]), rtol=1e-14)
+    assert got["a"] == (4, 1.0, 1.0, 1.25) and got[None] == (2, 4.0, 4.0, 4.0) and got["z"] == (1, 9.0, 9.0, 9.0)
+    assert got["b"] == (2, -4.0, -1.0, 2.0)
+    assert ST.quartiles(counts.limit(0), "g", "v", "c").count() == 0
+
+
+def test_running_counts_do_not_depend_on_ranges(spark):
+    counts = spark.range(500).selectExpr("CAST(id % 3 AS STRING) AS g", "CAST(id AS DOUBLE) AS v", "id % 4 + 1 AS c")
+    rows = [sorted(map(tuple, ST.running_counts(counts, "g", "v", "c", ranges=n).collect())) for n in (1, 5, 64)]
+    assert rows[0] == rows[1] == rows[2]
