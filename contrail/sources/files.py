@@ -58,6 +58,55 @@ def _typed(f: T.StructField) -> Column:
     return F.trim(text).try_cast(f.dataType).alias(f.name)
 
 
+#: Why a line goes to the rejects table, the first that applies.
+REJECT_REASONS = ("bad encoding", "open quote", "too few cells", "too many cells", "unreadable")
+_REPLACEMENT = "\ufffd"  # what a byte sequence that is no UTF-8 becomes on reading
+
+
+def read_quarantined(spark: SparkSession, path: str, schema: T.StructType = S.FLIGHTS_RAW) -> tuple[DataFrame, DataFrame]:
+    """A1 with a rejects table: (rows of whole lines, rejected lines).
+
+    The rows are those of ``_read``: columns bound by header name, typed with ``try_cast``.
+    The rejects are (file, line, reason), one per broken line: bytes that are no UTF-8, a quote
+    that is never closed, fewer or more cells than the header. Every line of the files but
+    headers and empty ones is in exactly one of the two. An unparsable cell does not reject
+    its line (``unparsable`` counts those).
+
+    Both frames scan the files with the same reader; nothing is shuffled.
+    """
+    try:
+        header = spark.read.option("header", True).option("encoding", "UTF-8").csv(path).columns
+    except AnalysisException as exc:
+        if _missing(exc):
+            raise FileNotFoundError(f"Input not found: {path}") from exc
+        raise
+    absent = [f.name for f in schema.fields if f.name not in header]
+    if absent:
+        raise ValueError(f"{path}: columns missing from the header: {', '.join(absent)}")
+    broken = "_broken"
+    while broken in header:
+        broken += "_"
+    # the lines as they are: one column named like the header line (so that other headers fail), no quotes, and a
+    # separator that no text holds
+    plain = spark.read.option("sep", "\uffff").option("quote", "").option("encoding", "UTF-8")
+    name = plain.option("header", True).csv(path).columns[0]
+    lines = (plain.option("header", True).option("enforceSchema", False).schema(T.StructType([T.StructField(name, T.StringType())])).csv(path)
+             .select(F.col(f"`{name.replace('`', '``')}`").alias("__line"), F.col("_metadata.file_path").alias("__file")).where("__line IS NOT NULL"))
+    row = F.from_csv("__line", ", ".join(f"`{c}` string" for c in [*header, broken]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken})
+    parsed = lines.select("__line", "__file", row.alias("__row")).select("__line", "__file", "__row.*")
+    quotes = F.length("__line") - F.length(F.replace(F.col("__line"), F.lit('"'), F.lit("")))
+    n_cells = F.size(F.split(F.regexp_replace("__line", r'"(?:[^"\\]|\\.|"")*"', ""), ",", -1))
+    reason = (F.when(F.contains("__line", F.lit(_REPLACEMENT)), REJECT_REASONS[0])
+              .when(quotes % 2 == 1, REJECT_REASONS[1])
+              .when(n_cells < len(header), REJECT_REASONS[2])
+              .when(n_cells > len(header), REJECT_REASONS[3])
+              .when(F.col(f"`{broken}`").isNotNull(), REJECT_REASONS[4]))
+    judged = parsed.withColumn("__reason", reason)
+    good = judged.where("__reason IS NULL").select(*[_typed(f) for f in schema.fields])
+    rejects = judged.where("__reason IS NOT NULL").select(F.col("__file").alias("file"), F.col("__line").alias("line"), F.col("__reason").alias("reason"))
+    return good, rejects
+
+
 def unparsable(spark: SparkSession, path: str, schema: T.StructType = S.FLIGHTS_RAW) -> DataFrame:
     """Per typed column of a CSV source: cells with text that its type cannot hold."""
     typed = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
