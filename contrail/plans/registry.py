@@ -11,15 +11,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from contrail import schema as S
 from contrail.operators import cleaning as C
 from contrail.operators import enrich as E
 from contrail.operators import features as FT
+from contrail.operators import incremental as INC
 from contrail.operators import reports as R
 from contrail.plans import oracle as O
 from contrail.plans import sql_layer as SQ
 from contrail.plans.pipeline import fixture_enriched, fixture_features, fixture_frames
+from contrail.session import scratch_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -224,6 +227,14 @@ def q_route(spark, sf):
     return _scalar_features(spark, sf).select(*KEYS, "ROUTE")
 
 
+@register("optional_column_defaults", O.with_stages(
+    f"SELECT {_K}, FALSE AS HAS_WEATHER_DELAY, FALSE AS IS_CANCELLED, FALSE AS IS_DIVERTED, CAST(NULL AS VARCHAR) AS DISTANCE_CATEGORY FROM s_clean"))
+def q_optional_column_defaults(spark, sf):
+    """Flights without the optional columns get their defaults."""
+    bare = fixture_frames(spark, sf).cleaned.drop("WEATHER_DELAY", "CANCELLED", "DIVERTED", "DISTANCE")
+    return FT.add_scalar_features(bare).select(*KEYS, "HAS_WEATHER_DELAY", "IS_CANCELLED", "IS_DIVERTED", "DISTANCE_CATEGORY")
+
+
 _TAIL = ["TAIL_NUMBER", "FLIGHT_DATE", "ISO_YEAR", "ISO_WEEK", FT.PER_DAY, FT.PER_WEEK]
 
 
@@ -240,6 +251,31 @@ def q_origin_congestion(spark, sf):
     return FT.add_origin_congestion(_scalar_features(spark, sf)).select(*KEYS, *_CONG)
 
 
+def _batches(flights):
+    """The flights as they might arrive: a half-year, then the rest of the year in two overlapping batches."""
+    late = F.coalesce("MONTH", F.lit(0)) > 6
+    odd = F.coalesce(F.col("DAY") % 2 == 1, F.lit(False))
+    return [flights.where(c) for c in (~late, late & odd, late & ~odd)]
+
+
+@register("incremental_tail_utilisation", O.with_stages(f"SELECT {_K}, {', '.join(_TAIL)} FROM feat"))
+def q_incremental_tail_utilisation(spark, sf):
+    """H1, H2 from counts that were built up batch by batch."""
+    flights, path = _scalar_features(spark, sf), scratch_path(spark, "tail-months")
+    for batch in _batches(flights):
+        INC.update_tail_counts(batch, path)
+    return FT.add_tail_counts(flights, groups=INC.read_counts(spark, path)).select(*KEYS, *_TAIL)
+
+
+@register("incremental_origin_congestion", O.with_stages(f"SELECT {_K}, {', '.join(_CONG)} FROM feat"))
+def q_incremental_origin_congestion(spark, sf):
+    """H3 from counts that were built up batch by batch."""
+    flights, path = _scalar_features(spark, sf), scratch_path(spark, "congestion-months")
+    for batch in _batches(flights):
+        INC.update_congestion(batch, path)
+    return FT.add_origin_congestion(flights, groups=INC.read_counts(spark, path)).select(*KEYS, *_CONG)
+
+
 # ---------------------------------------------------------------------------
 # The reports over the registered table (int 0/1 flags), and one SQL query on it
 # ---------------------------------------------------------------------------
