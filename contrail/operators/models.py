@@ -100,6 +100,9 @@ class TrainedModels:
     fitted: Column
     n_fit: int
     features: list[str] = field(default_factory=lambda: list(S.MODEL_FEATURES))
+    fraction: float = TRAIN_SAMPLE_FRACTION
+    test_fraction: float = TEST_FRACTION
+    seed: int = SEED
 
     def is_train(self) -> Column:
         """True for rows the models were fitted on (a predicate on the row's key)."""
@@ -122,8 +125,7 @@ def train_models(table: DataFrame, key: Sequence[str] | None = None, features: S
     if max_fit_rows:
         n_train = split.where(~F.col("is_test")).count()
         fraction = min(fraction, max_fit_rows / max(n_train, 1))
-    sampled = _bucket(seed, cols) < int(fraction * _BUCKETS)
-    held_out = _bucket(seed + 1, cols) < int(test_fraction * _BUCKETS)
+    sampled, _ = _sides(cols, fraction, test_fraction, seed)
     # Iterative learners re-read the training rows many times: keep them on the
     # executors (memory, spilling to disk) until the fits are done; a lost block is
     # recomputed from the persisted feature table.
@@ -134,7 +136,20 @@ def train_models(table: DataFrame, key: Sequence[str] | None = None, features: S
         if not names or name in names:
             models[name] = Pipeline(stages=[assembler(features), est]).fit(train)
     train.unpersist()
-    return TrainedModels(models, split.where(F.col("is_test")).drop("is_test"), sampled & ~held_out, n_fit, list(features))
+    return trained(models, table, cols, features, fraction, test_fraction, seed, n_fit)
+
+
+def _sides(cols: Sequence[str], fraction: float, test_fraction: float, seed: int) -> tuple[Column, Column]:
+    """(in the sample, held out), both by a digest of the row's key."""
+    return _bucket(seed, cols) < int(fraction * _BUCKETS), _bucket(seed + 1, cols) < int(test_fraction * _BUCKETS)
+
+
+def trained(models: dict[str, PipelineModel], table: DataFrame, key: Sequence[str], features: Sequence[str], fraction: float,
+            test_fraction: float, seed: int, n_fit: int) -> TrainedModels:
+    """Fitted models with the held-out rows of ``table`` and the predicate of the rows they were fitted on."""
+    sampled, held_out = _sides(list(key), fraction, test_fraction, seed)
+    split = with_split(table.withColumn(LABEL, F.col(S.MODEL_TARGET).cast("double")), test_fraction, seed, list(key))
+    return TrainedModels(models, split.where(F.col("is_test")).drop("is_test"), sampled & ~held_out, n_fit, list(features), fraction, test_fraction, seed)
 
 
 def accuracy(label: str = LABEL, prediction: str = "prediction") -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from contrail import schema as S
+from contrail.operators import model_store as MS
 from contrail.operators import models as M
 from contrail.operators.features import add_model_features
 from contrail.operators import prescribe as P
@@ -12,7 +13,7 @@ from contrail.operators import stats as ST
 from contrail.plans import oracle as O
 from contrail.plans.pipeline import fixture_features, fixture_frames
 from contrail.plans.registry import KEYS, register
-from contrail.session import session_key
+from contrail.session import materialize, scratch_path, session_key
 
 _K = ", ".join(KEYS)
 SAMPLE_N = ST.SAMPLE_PER_GROUP
@@ -158,6 +159,25 @@ def q_delay_distribution(spark, sf):
     return ST.box_stats(_base(spark, sf))
 
 
+# With an even first degree of freedom the tail of F is a finite sum:
+# p = x^(w/2) * sum over j < b/2 of (w/2)(w/2 + 1)...(w/2 + j - 1) / j! * (1 - x)^j,  x = w / (w + b F)
+_WEEKDAY = """wd AS (SELECT DAY_OF_WEEK, CAST(ARRIVAL_DELAY AS DOUBLE) AS v FROM feat WHERE ARRIVAL_DELAY IS NOT NULL AND DAY_OF_WEEK BETWEEN 1 AND 7),
+g AS (SELECT DAY_OF_WEEK, COUNT(*) AS n, AVG(v) AS m, VAR_SAMP(v) AS s2 FROM wd GROUP BY 1),
+t AS (SELECT SUM(n) AS nn, COUNT(*) AS k, SUM(n * m * m) AS snm2, SUM(n * m) AS snm, SUM((n - 1) * COALESCE(s2, 0)) AS ssw FROM g),
+a AS (SELECT (snm2 - snm * snm / nn) / (k - 1) / (ssw / (nn - k)) AS f, CAST(k - 1 AS BIGINT) AS b, CAST(nn - k AS BIGINT) AS w, k, nn FROM t),
+x AS (SELECT *, w / (w + b * f) AS x FROM a)"""
+
+
+@register("anova_test_by_weekday", O.with_stages(
+    "SELECT ROUND(f, 4) AS f_statistic, b AS df_between, w AS df_within, k AS n_groups, CAST(nn AS BIGINT) AS n_rows, "
+    "ROUND(exp(w / 2.0 * ln(x)) * list_sum([exp(lgamma(w / 2.0 + j) - lgamma(w / 2.0) - lgamma(j + 1)) * pow(1 - x, j) FOR j IN range(b // 2)]), 6) AS p_value "
+    "FROM x", _WEEKDAY))
+def q_anova_test_by_weekday(spark, sf):
+    """L2 + L6: arrival delay by day of the week; seven groups, so that SQL can sum the p-value."""
+    rows = fixture_features(spark, sf).where(F.col("ARRIVAL_DELAY").isNotNull() & F.col("DAY_OF_WEEK").between(1, 7))
+    return ST.anova_test(rows, "ARRIVAL_DELAY", "DAY_OF_WEEK", digits=4).withColumn("p_value", F.round("p_value", 6)).drop("reject_h0")
+
+
 # --- M1-M13 ---------------------------------------------------------------
 
 _MT_COLS = ("DISTANCE, DEPARTURE_HOUR, DAY_OF_WEEK, ORIGIN_CONGESTION, IS_LONG_DISTANCE, IS_EVENING, "
@@ -265,8 +285,16 @@ def q_model_classification_report(spark, sf):
     return M.model_reports(_trained(spark, sf))
 
 
+_SCORED: dict = {}
+
+
 def _forest_scores(spark, sf):
-    return M.delay_scores(_trained(spark, sf), _model_table(spark, sf))
+    """Every row scored by the forest, written once per session: four reports read it."""
+    key = (session_key(spark), sf)
+    if key not in _SCORED:
+        table = M.model_table(fixture_features(spark, sf), [*KEYS, "AIRLINE", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT"])
+        _SCORED[key] = materialize(M.delay_scores(_trained(spark, sf), table), "delay-scores", keep=True)
+    return _SCORED[key]
 
 
 @register("delay_scores")
@@ -274,14 +302,63 @@ def q_delay_scores(spark, sf):
     return _forest_scores(spark, sf).select(*KEYS, "delay_probability", "is_train", "prediction")
 
 
+_FITTED = (f"{_bucket_sql(M.SEED + 1)} >= {int(M.TEST_FRACTION * 1_000_000)} AND {_bucket_sql(M.SEED)} < (SELECT CAST(floor(least("
+           f"{M.TRAIN_SAMPLE_FRACTION}::DOUBLE, {M.MAX_FIT_ROWS}::DOUBLE / greatest(COUNT(*), 1)) * 1000000) AS BIGINT) "
+           f"FROM mt WHERE {_bucket_sql(M.SEED + 1)} >= {int(M.TEST_FRACTION * 1_000_000)})")
+
+
+@register("fitted_rows", O.with_stages(f"SELECT {_K} FROM mt WHERE {_FITTED}", _MT))
+def q_fitted_rows(spark, sf):
+    """M2: the rows that the models were fitted on."""
+    return _model_table(spark, sf).where(_trained(spark, sf).is_train()).select(*KEYS)
+
+
+@register("delay_score_keys", O.with_stages(f"SELECT {_K}, {_FITTED} AS is_train, TRUE AS in_range FROM mt", _MT))
+def q_delay_score_keys(spark, sf):
+    """Every row of the model table scored once, by a probability, flagged as fitted by the digest predicate."""
+    return _forest_scores(spark, sf).select(*KEYS, "is_train", F.col("delay_probability").between(0.0, 1.0).alias("in_range"))
+
+
+@register("model_invariants", O.with_stages(
+    f"SELECT COUNT(*) AS scored, COUNT_IF({_bucket_sql(M.SEED + 1)} < {int(M.TEST_FRACTION * 1_000_000)}) AS held_out, "
+    "COUNT(*) AS in_tiers, TRUE AS tiers_follow_scores, 3::BIGINT AS models, 1::BIGINT AS best, 9::BIGINT AS importances, "
+    "1.0::DOUBLE AS importance_sum FROM mt", _MT))
+def q_model_invariants(spark, sf):
+    """What holds whatever the forest says: rows scored, rows held out, tiers that follow the scores, one best of
+    three models, nine importances that add up to one."""
+    scores, t = P.add_risk(_forest_scores(spark, sf)), _trained(spark, sf)
+    p, tier = F.col(P.PROB), F.col("risk_level")
+    follows = (tier == F.when(p > 0.75, "High Risk").when(p > 0.5, "Medium Risk").otherwise("Low Risk"))
+    rows = scores.agg(F.count(F.lit(1)).alias("scored"), F.count_if(tier.isin("High Risk", "Medium Risk", "Low Risk")).alias("in_tiers"),
+                      F.coalesce(F.bool_and(follows), F.lit(True)).alias("tiers_follow_scores"))
+    held_out = t.test.agg(F.count(F.lit(1)).alias("held_out"))
+    compared = M.model_comparison(t).agg(F.count(F.lit(1)).alias("models"), F.count_if("is_best").alias("best"))
+    weights = M.feature_importance(t).agg(F.count(F.lit(1)).alias("importances"), F.round(F.sum("importance"), 6).alias("importance_sum"))
+    out = rows
+    for one_row in (held_out, compared, weights):
+        out = out.join(F.broadcast(one_row))
+    return out
+
+
+@register("stored_model_scores", O.with_stages(f"SELECT {_K}, TRUE AS same_score, TRUE AS same_flag FROM mt", _MT))
+def q_stored_model_scores(spark, sf):
+    """Models stored, loaded again for the table they were fitted on, and every row scored by the loaded forest."""
+    table = _model_table(spark, sf)
+    path = scratch_path(spark, "model-store")
+    MS.save_models(_trained(spark, sf), table, path, KEYS)
+    again = M.delay_scores(MS.load_models(spark, path, table), table).select(
+        *KEYS, F.col("delay_probability").alias("p"), F.col("is_train").alias("t"))
+    first = _forest_scores(spark, sf).select(*KEYS, "delay_probability", "is_train")
+    return again.join(first, KEYS).select(*KEYS, (F.col("p") == F.col("delay_probability")).alias("same_score"), (F.col("t") == F.col("is_train")).alias("same_flag"))
+
+
 @register("model_risk_distribution")
 def q_model_risk_distribution(spark, sf):
     return P.risk_distribution(P.add_risk(_forest_scores(spark, sf)))
 
 
 def _forest_recommendations(spark, sf):
-    table = M.model_table(fixture_features(spark, sf), [*KEYS, "AIRLINE", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT"])
-    return P.recommendation_table(M.delay_scores(_trained(spark, sf), table), id_cols=KEYS)
+    return P.recommendation_table(_forest_scores(spark, sf), id_cols=KEYS)
 
 
 @register("model_recommendations")
