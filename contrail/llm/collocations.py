@@ -45,6 +45,8 @@ SHARD = 400_000
 MAP_BITS = 1 << 25
 #: Found extensions, and distinct words of blocks, that a task holds before it hands their counts on.
 HOLD, HOLD_WORDS = 1_500_000, 500_000
+#: Phrases of a range whose pairs with a word travel together.
+WIDEST_RANGE = 16_384
 #: Phrases whose counts travel as one row, and tasks whose rows are added up first.
 CHUNK, TASKS_OF_PART = 8192, 64
 
@@ -143,29 +145,23 @@ def _ids(batch: pa.RecordBatch, row: int) -> np.ndarray:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks -> (lang, word, id, n): how often each word occurs in the blocks that a task holds together."""
-    held: dict[str, list[tuple[pa.Array, np.ndarray, np.ndarray]]] = {}
+    """Blocks -> (lang, word, n): how often each word occurs in the blocks that a task holds together."""
+    held: dict[str, list[tuple[pa.Array, np.ndarray]]] = {}
     size = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
         for lang, parts in held.items():
-            words, ids = pa.concat_arrays([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-            # by word and not by id: two words of one id have to show
-            coded = words.dictionary_encode()
-            number = coded.indices.to_numpy(zero_copy_only=False)
-            first = np.zeros(len(coded.dictionary), dtype=np.int64)
-            first[number[::-1]] = np.arange(len(number))[::-1]
-            n = np.bincount(number, np.concatenate([p[2] for p in parts]), minlength=len(first)).astype(np.int64)
-            for at in range(0, len(first), 20_000):
+            coded = pa.concat_arrays([p[0] for p in parts]).dictionary_encode()
+            n = np.bincount(coded.indices.to_numpy(zero_copy_only=False), np.concatenate([p[1] for p in parts]), minlength=len(coded.dictionary)).astype(np.int64)
+            for at in range(0, len(n), 20_000):
                 some = coded.dictionary.slice(at, 20_000)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), some, pa.array(ids[first[at:at + 20_000]]), pa.array(n[at:at + 20_000])],
-                                                 names=["lang", "word", "id", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), some, pa.array(n[at:at + 20_000])], names=["lang", "word", "n"])
         held.clear()
 
     for batch in batches:
         for row, lang in enumerate(batch.column("lang").to_pylist()):
             codes, words = _codes(batch, row), batch.column("words")[row].values
-            held.setdefault(lang, []).append((words, _ids(batch, row), np.bincount(codes[codes >= 0], minlength=len(words))))
+            held.setdefault(lang, []).append((words, np.bincount(codes[codes >= 0], minlength=len(words))))
             size += len(words)
             if size > HOLD_WORDS:
                 yield from flush()
@@ -173,6 +169,16 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
+def _named(seed: int) -> Callable:
+    """(lang, word, n) -> the same with the word's id."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang in pc.unique(batch.column("lang")).to_pylist():
+                some = batch.filter(pc.equal(batch.column("lang"), lang))
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(_word_ids(lang, some.column("word"), seed))], names=["lang", "word", "n", "id"])
+    return run
+
+
 @dataclass
 class DoubleArrayTrie:
     """Phrases as paths of states: from state s, word c leads to t = base[s] + c if check[t] is s. State 0 is the start."""
@@ -289,8 +295,13 @@ def _summed(word: np.ndarray, phrase: np.ndarray, n: np.ndarray) -> tuple[np.nda
 
 
 def _extend(trie, bits, buckets: int) -> Callable:
-    """Blocks -> (bucket, pairs): how often each frequent word follows each phrase of the trie in this task. A pair has
-    one bucket, by both of its parts, so neither a frequent word nor a frequent phrase makes a large one."""
+    """Blocks -> (bucket, pairs): how often each frequent word follows each phrase of the trie in this task.
+
+    A pair's bucket is that of its word and a range of phrases, the shorter the more buckets there are: over all
+    tasks no word brings more than about HOLD pairs to one bucket.
+    """
+    width = max(1, min(WIDEST_RANGE, HOLD // buckets))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, frequent = trie.value, bits.value
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -301,7 +312,7 @@ def _extend(trie, bits, buckets: int) -> Callable:
             if not len(word):
                 return
             word, phrase, n = _summed(word, phrase, np.ones(len(word)))
-            bucket = (_mixed(word ^ phrase) % np.uint64(buckets)).astype(np.int64)
+            bucket = (_mixed(word ^ _mixed(phrase // width).view(np.int64)) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             word, phrase, n, bucket = word[order], phrase[order], n[order], bucket[order]
             starts = np.flatnonzero(np.diff(bucket, prepend=-1))
@@ -411,8 +422,8 @@ def phrase_counts(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int =
     spark = docs.sparkSession
     while True:
         blocks = cut(text_blocks(docs, seed), "colloc-blocks")
-        counts = cut(blocks.mapInArrow(_word_counts, "lang string, word string, id long, n long")
-                     .groupBy("lang", "word", "id").agg(F.sum("n").alias("n")), "colloc-words")
+        counts = cut(blocks.select("lang", "words", "codes").mapInArrow(_word_counts, "lang string, word string, n long")
+                     .groupBy("lang", "word").agg(F.sum("n").alias("n")).mapInArrow(_named(seed), "lang string, word string, n long, id long"), "colloc-words")
         if counts.groupBy("id").count().where("count > 1").isEmpty():
             break
         seed += 1  # two words of one id: all ids anew
