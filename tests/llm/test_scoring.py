@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from contrail.llm.ann import hadamard, nearest
+from contrail.llm.ann import hadamard, nearest, nearest_cells, plan, rotate
 from contrail.llm.licenses import (
     RULES, SENTENCES, START, TRIGGERS, WORDINGS, _all_names, _notice_openings, license_scan, licenses, word_of, wordings,
 )
@@ -107,6 +107,19 @@ def test_nearest_recall_and_scores(spark, block):
         assert r.score == pytest.approx(float(np.dot(v[r.query_id].astype(float), v[r.vec_id].astype(float))), rel=1e-9)
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="driver test data not present")
+def test_nearest_of_the_given_vectors_goes_through_buckets(spark):
+    """No head, a part of the vectors compared, recall over 0.9."""
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = [(r.vec_id, [float(a) for a in r.embedding]) for r in df.collect() if r.embedding]
+    rotations, probes = plan(len(rows), 64)
+    assert probes < 0.1 * 128**rotations
+    want = {(q, j) for q, _, j, _ in brute(rows)}
+    got = {(r.query_id, r.vec_id) for r in nearest(df).collect()}
+    print("recall", len(want & got) / len(want))
+    assert len(got) == len(want) and len(want & got) >= 0.9 * len(want)
+
+
 @pytest.mark.parametrize("lengths", ["equal", "spread", "outlier"])
 def test_nearest_recall_does_not_depend_on_lengths(spark, lengths):
     """With a head of one row in twenty most of the work is left to the buckets."""
@@ -122,6 +135,45 @@ def test_nearest_recall_does_not_depend_on_lengths(spark, lengths):
     assert len(got) == len(want) and len(want & set(got)) >= 0.9 * len(want)
 
 
+def test_plan_grows_with_the_rows():
+    """More rows: more cells, fewer rows per cell, a smaller probed share."""
+    shares = []
+    for rows, rotations in ((0, 1), (500, 1), (50_000, 1), (2_000_000, 2), (10**9, 3)):
+        got, probes = plan(rows, 64)
+        assert got == rotations and 1 <= probes <= 128**rotations
+        shares.append(probes / 128**rotations)
+    assert all(a >= b for a, b in zip(shares, shares[1:])) and shares[-1] < 0.01
+
+
+def test_cells_of_several_rotations_are_the_nearest():
+    x = np.random.default_rng(5).normal(size=(7, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    got = nearest_cells(x, 3, 2, 20)
+    gaps = []
+    for r in (6, 7):
+        t = rotate(x, r)
+        signed = np.concatenate([t, -t], axis=1)
+        gaps.append((signed.max(axis=1, keepdims=True) - signed) ** 2)
+    every = (gaps[0][:, :, None] + gaps[1][:, None, :]).reshape(7, -1)
+    assert (np.sort(np.take_along_axis(every, got, axis=1), axis=1) == np.sort(every, axis=1)[:, :20]).all()
+    assert (nearest_cells(x, 3, 2, 1)[:, 0] == got[:, 0]).all()
+
+
+def test_nearest_with_several_rotations(spark, monkeypatch):
+    """Small cells: three rotations of four axes each for 600 vectors."""
+    import contrail.llm.ann as module
+    monkeypatch.setattr(module, "CELL_ROWS", 1)
+    monkeypatch.setattr(module, "SHARE", 0.15)
+    rng = np.random.default_rng(7)
+    v = rng.normal(size=(600, 4)) * rng.lognormal(0, 1, (600, 1))
+    v[3] *= 1e200
+    assert plan(600, 4)[0] == 3
+    rows = [(i, [float(a) for a in x]) for i, x in enumerate(v)]
+    got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), block=64).collect()
+    want = {(q, j) for q, _, j, _ in brute(rows)}
+    assert len(got) == len(want) and len({(r.query_id, r.vec_id) for r in got} & want) >= 0.9 * len(want)
+
+
 def test_nearest_ties_copies_and_bad_vectors(spark):
     same = [1.0, 2.0, 0.0]
     rows = [(i, same) for i in range(60)] + [(100, [2.0, 4.0, 0.0]), (101, None), (120, []), (140, [0.0, 0.0, 0.0]), (160, [float("nan"), 1.0, 1.0]),
