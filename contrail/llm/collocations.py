@@ -38,13 +38,17 @@ MIN_COUNT = 100
 TOP = 2000
 
 #: Characters of a block (a longer single text is a block of its own).
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 3_000_000
+#: Bytes of an Arrow batch of blocks; Spark's own limit would let a task hold all of its blocks several times over.
+BATCH_BYTES = 8 << 20
 #: Phrases of one broadcast trie.
 SHARD = 400_000
 #: Bits of the map of frequent words.
 MAP_BITS = 1 << 25
 #: Found extensions, and distinct words of blocks, that a task holds before it hands their counts on.
-HOLD, HOLD_WORDS = 1_500_000, 500_000
+HOLD, HOLD_WORDS = 1_000_000, 400_000
+#: Word occurrences per bucket of pairs.
+BUCKET = 1_500_000
 #: Phrases of a range whose pairs with a word travel together.
 WIDEST_RANGE = 16_384
 #: Phrases whose counts travel as one row, and tasks whose rows are added up first.
@@ -111,7 +115,7 @@ def text_blocks(docs: DataFrame, seed: int) -> DataFrame:
                     ids = pa.array(_word_ids(lang, words, seed))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lang]), pa.ListArray.from_arrays(one, words), pa.ListArray.from_arrays(one, ids),
-                         pa.array([codes.tobytes()], pa.binary())], names=["lang", "words", "ids", "codes"])
+                         pa.array([_stored(codes, len(words))], pa.binary())], names=["lang", "words", "ids", "codes"])
             waiting.clear()
 
         for batch in batches:
@@ -136,8 +140,14 @@ def text_blocks(docs: DataFrame, seed: int) -> DataFrame:
     return rows.mapInArrow(run, "lang string, words array<string>, ids array<long>, codes binary")
 
 
+def _stored(codes: np.ndarray, words: int) -> bytes:
+    """The kind of number, then the numbers: two bytes each where that is enough."""
+    return b"h" + codes.astype(np.int16).tobytes() if words < 1 << 15 else b"i" + codes.tobytes()
+
+
 def _codes(batch: pa.RecordBatch, row: int) -> np.ndarray:
-    return np.frombuffer(batch.column("codes")[row].as_buffer(), dtype=np.int32)
+    raw = batch.column("codes")[row].as_py()
+    return np.frombuffer(raw, dtype=raw[:1].decode(), offset=1).astype(np.int32)
 
 
 def _ids(batch: pa.RecordBatch, row: int) -> np.ndarray:
@@ -298,9 +308,9 @@ def _extend(trie, bits, buckets: int) -> Callable:
     """Blocks -> (bucket, pairs): how often each frequent word follows each phrase of the trie in this task.
 
     A pair's bucket is that of its word and a range of phrases, the shorter the more buckets there are: over all
-    tasks no word brings more than about HOLD pairs to one bucket.
+    tasks no word brings more than about BUCKET pairs to one bucket.
     """
-    width = max(1, min(WIDEST_RANGE, HOLD // buckets))
+    width = max(1, min(WIDEST_RANGE, BUCKET // buckets))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, frequent = trie.value, bits.value
@@ -417,8 +427,21 @@ def _frequent_map(words: DataFrame) -> np.ndarray:
     return out
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def phrase_counts(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, shard: int = SHARD, seed: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(words: lang, phrase, n of the frequent words; phrases: lang, phrase, k, a of 2 to ``max_words`` words; totals: lang, n of all words)."""
+    spark = docs.sparkSession
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, BATCH_BYTES)
+    try:
+        return _phrase_counts(docs, max_words, min_count, shard, seed)
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
+def _phrase_counts(docs: DataFrame, max_words: int, min_count: int, shard: int, seed: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     spark = docs.sparkSession
     while True:
         blocks = cut(text_blocks(docs, seed), "colloc-blocks")
@@ -435,7 +458,7 @@ def phrase_counts(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int =
     last = words.select(F.col("id").alias("next"), "word")
     levels = []
     # what one bucket gathers stays the same however many words there are
-    buckets = max(1, (totals.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"] or 0) // HOLD)
+    buckets = max(1, (totals.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"] or 0) // BUCKET)
 
     def grow(some: DataFrame, trie, pids) -> DataFrame:
         return (some.mapInArrow(_extend(trie, bits, buckets), "bucket int, pairs binary").groupBy("bucket")
