@@ -23,13 +23,15 @@ MAX_CHUNK = 4096
 #: places: between certain letters of two words (Latin; then Greek, Cyrillic, Hebrew, Arabic, Devanagari, Korean), between two
 #: frequent characters of scripts without spaces, and between two certain characters of a long run without spaces (code,
 #: base64). Each is met about once in a hundred characters: places more frequent than that would keep a shift going for long.
+#: The first look at each place is a cheap one, as most places are none.
 BOUNDARY = ("(?:"
             r"[dgkmpvyzé][,.;:!?]?\x20(?=[b-hB-H])"
-            r"|[\u03B9-\u03BD\u0438-\u043E\u05D9-\u05DD\u0643-\u0646\u0928-\u0930\uAC00-\uB3FF]\x20"
+            r"|(?=[^\x00-\x7F])(?:"
+            r"[\u03B9-\u03BD\u0438-\u043E\u05D9-\u05DD\u0643-\u0646\u0928-\u0930\uAC00-\uB3FF]\x20"
             r"(?=[\u03B1-\u03B5\u0430-\u0435\u05D0-\u05D5\u0627-\u062B\u0905-\u0915\uAC00-\uB3FF])"
             r"|[\u3001\u3002\u7684\u662F\u4E86\u5728\u4E0D\u4E00\u306E\u306F\u306B\u3092\u304C\u0E32\u0E19]"
-            r"[\u7684\u662F\u4E86\u5728\u4E0D\u4E00\u306E\u306F\u306B\u3092\u304C\u0E32\u0E19]"
-            r"|(?<=[\x21-\x7E]{20}[01ABab])(?=[45EFef])"
+            r"[\u7684\u662F\u4E86\u5728\u4E0D\u4E00\u306E\u306F\u306B\u3092\u304C\u0E32\u0E19])"
+            r"|(?=[45EFef])(?<=[01ABab])(?<=[\x21-\x7E]{21})"
             ")")
 
 
