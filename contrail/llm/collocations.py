@@ -1,7 +1,8 @@
 """Phrase collocation mining with double-array tries.
 
 Texts are cut into pieces and words and written once as blocks of one language: the
-block's distinct words and one small number per word occurrence. Phrases grow level by
+block's distinct words and one small number per word occurrence. Words have 64-bit
+ids that any task can compute. Phrases grow level by
 level (Apriori): a phrase of k words can be frequent only if its first k-1 words are, so
 the frequent phrases of a level, in a broadcast double-array trie, tell where a longer
 one can stand; what the tasks find there, summed over all of them, makes the next level's
@@ -27,8 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.common import bound_batches, cut, text_or_empty
-from contrail.llm.spelling import _mixed
+from contrail.llm.common import bound_batches, cut, mixed64, text_or_empty
 
 # Fixed values of the contract.
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -46,7 +46,7 @@ SHARD = 400_000
 #: Bits of the map of frequent words.
 MAP_BITS = 1 << 25
 #: Found extensions, and distinct words of blocks, that a task holds before it hands their counts on.
-HOLD, HOLD_WORDS = 1_000_000, 400_000
+HOLD, HOLD_WORDS = 700_000, 400_000
 #: Word occurrences per bucket of pairs.
 BUCKET = 1_500_000
 #: Phrases of a range whose pairs with a word travel together.
@@ -80,7 +80,7 @@ def _word_ids(lang: str, words: pa.Array, seed: int) -> np.ndarray:
     place = np.arange(len(data), dtype=np.int32) - np.repeat(at[:-1], lengths)
     sums = np.add.reduceat(numbers[data] * weights[place], at[:-1])
     salt = np.uint64(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest()))
-    return _mixed(sums ^ salt).view(np.int64)
+    return mixed64(sums ^ salt).view(np.int64)
 
 
 def _tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -101,8 +101,8 @@ def _tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return coded.dictionary, np.insert(coded.indices.to_numpy(zero_copy_only=False), np.flatnonzero(np.diff(piece)) + 1, -1).astype(np.int32)
 
 
-def text_blocks(docs: DataFrame, seed: int) -> DataFrame:
-    """lang, words, ids (a 64-bit number of each word of that language), codes (int32 positions in them, -1: a break)."""
+def text_blocks(docs: DataFrame) -> DataFrame:
+    """lang, words, codes (each occurrence's position among the words, -1: a break)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[str, list[pa.Array]] = {}
         size = 0
@@ -112,10 +112,9 @@ def text_blocks(docs: DataFrame, seed: int) -> DataFrame:
                 words, codes = _tokens(pa.concat_arrays(held))
                 if len(words):
                     one = pa.array([0, len(words)], pa.int32())
-                    ids = pa.array(_word_ids(lang, words, seed))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang]), pa.ListArray.from_arrays(one, words), pa.ListArray.from_arrays(one, ids),
-                         pa.array([_stored(codes, len(words))], pa.binary())], names=["lang", "words", "ids", "codes"])
+                        [pa.array([lang]), pa.ListArray.from_arrays(one, words), pa.array([_stored(codes, len(words))], pa.binary())],
+                        names=["lang", "words", "codes"])
             waiting.clear()
 
         for batch in batches:
@@ -137,7 +136,7 @@ def text_blocks(docs: DataFrame, seed: int) -> DataFrame:
 
     bound_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), text_or_empty().alias("text"))
-    return rows.mapInArrow(run, "lang string, words array<string>, ids array<long>, codes binary")
+    return rows.mapInArrow(run, "lang string, words array<string>, codes binary")
 
 
 def _stored(codes: np.ndarray, words: int) -> bytes:
@@ -150,10 +149,6 @@ def _codes(batch: pa.RecordBatch, row: int) -> np.ndarray:
     return np.frombuffer(raw, dtype=raw[:1].decode(), offset=1).astype(np.int32)
 
 
-def _ids(batch: pa.RecordBatch, row: int) -> np.ndarray:
-    return batch.column("ids")[row].values.to_numpy()
-
-
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks -> (lang, word, n): how often each word occurs in the blocks that a task holds together."""
     held: dict[str, list[tuple[pa.Array, np.ndarray]]] = {}
@@ -304,7 +299,7 @@ def _summed(word: np.ndarray, phrase: np.ndarray, n: np.ndarray) -> tuple[np.nda
     return words[keys // span], keys % span, np.bincount(where, n, minlength=len(keys)).astype(np.int64)
 
 
-def _extend(trie, bits, buckets: int) -> Callable:
+def _extend(trie, bits, buckets: int, seed: int) -> Callable:
     """Blocks -> (bucket, pairs): how often each frequent word follows each phrase of the trie in this task.
 
     A pair's bucket is that of its word and a range of phrases, the shorter the more buckets there are: over all
@@ -322,7 +317,7 @@ def _extend(trie, bits, buckets: int) -> Callable:
             if not len(word):
                 return
             word, phrase, n = _summed(word, phrase, np.ones(len(word)))
-            bucket = (_mixed(word ^ _mixed(phrase // width).view(np.int64)) % np.uint64(buckets)).astype(np.int64)
+            bucket = (mixed64(word ^ mixed64(phrase // width).view(np.int64)) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             word, phrase, n, bucket = word[order], phrase[order], n[order], bucket[order]
             starts = np.flatnonzero(np.diff(bucket, prepend=-1))
@@ -334,7 +329,7 @@ def _extend(trie, bits, buckets: int) -> Callable:
 
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, codes = _ids(batch, row), _codes(batch, row)
+                ids, codes = _word_ids(batch.column("lang")[row].as_py(), batch.column("words")[row].values, seed), _codes(batch, row)
                 spot = ids.view(np.uint64) % np.uint64(MAP_BITS)
                 allowed = np.append((frequent[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63))) & np.uint64(1), 0).astype(bool)
                 for at, state in t.walk(t.local(ids, codes)):  # noqa: B007  the last level is the whole phrase
@@ -359,14 +354,14 @@ def _frequent_pairs(pids, min_count: int) -> Callable:
     return run
 
 
-def _counted(trie) -> Callable:
+def _counted(trie, seed: int) -> Callable:
     """Blocks -> (chunk, part, counts): occurrences of the trie's phrases in this task, CHUNK phrases to a row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = trie.value
         total = np.zeros(len(t.base), dtype=np.int64)
         for batch in batches:
             for row in range(batch.num_rows):
-                for _, state in t.walk(t.local(_ids(batch, row), _codes(batch, row))):
+                for _, state in t.walk(t.local(_word_ids(batch.column("lang")[row].as_py(), batch.column("words")[row].values, seed), _codes(batch, row))):
                     total += np.bincount(state, minlength=len(total))
         ends = np.flatnonzero(t.phrase >= 0)
         counts = np.zeros(len(ends), dtype=np.int64)
@@ -410,7 +405,7 @@ def _over_tries(blocks: DataFrame, phrases: DataFrame, shard: int, job: Callable
         each = [np.flatnonzero(lengths == k) for k in sizes]
         words = [flat[(ends[rows] - k)[:, None] + np.arange(k)] for rows, k in zip(each, sizes, strict=True)]
         sent = [spark.sparkContext.broadcast(x) for x in (DoubleArrayTrie.build(words, each), pids)]
-        found = found.unionByName(cut(job(blocks.select("ids", "codes"), *sent), name))
+        found = found.unionByName(cut(job(blocks, *sent), name))
         for x in sent:
             x.destroy()
     return found
@@ -443,9 +438,9 @@ def phrase_counts(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int =
 
 def _phrase_counts(docs: DataFrame, max_words: int, min_count: int, shard: int, seed: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     spark = docs.sparkSession
+    blocks = cut(text_blocks(docs), "colloc-blocks")
     while True:
-        blocks = cut(text_blocks(docs, seed), "colloc-blocks")
-        counts = cut(blocks.select("lang", "words", "codes").mapInArrow(_word_counts, "lang string, word string, n long")
+        counts = cut(blocks.mapInArrow(_word_counts, "lang string, word string, n long")
                      .groupBy("lang", "word").agg(F.sum("n").alias("n")).mapInArrow(_named(seed), "lang string, word string, n long, id long"), "colloc-words")
         if counts.groupBy("id").count().where("count > 1").isEmpty():
             break
@@ -461,11 +456,11 @@ def _phrase_counts(docs: DataFrame, max_words: int, min_count: int, shard: int,
     buckets = max(1, (totals.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"] or 0) // BUCKET)
 
     def grow(some: DataFrame, trie, pids) -> DataFrame:
-        return (some.mapInArrow(_extend(trie, bits, buckets), "bucket int, pairs binary").groupBy("bucket")
+        return (some.mapInArrow(_extend(trie, bits, buckets, seed), "bucket int, pairs binary").groupBy("bucket")
                 .applyInArrow(_frequent_pairs(pids, min_count), "pid long, next long, n long"))
 
     def count(some: DataFrame, trie, pids) -> DataFrame:
-        sums = some.mapInArrow(_counted(trie), "chunk int, part int, counts binary").groupBy("chunk", "part").applyInArrow(_added, "chunk int, counts binary")
+        sums = some.mapInArrow(_counted(trie, seed), "chunk int, part int, counts binary").groupBy("chunk", "part").applyInArrow(_added, "chunk int, counts binary")
         return sums.groupBy("chunk").applyInArrow(_spread(pids), "pid long, n long")
 
     for k in range(2, max_words + 1):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,3 +72,11 @@ def free_name(df: DataFrame, name: str) -> str:
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: a Parquet table in the shared folder of spark.checkpoint.dir, read back."""
     return materialize(df, f"llm-{name}")
+
+
+def mixed64(x: np.ndarray) -> np.ndarray:
+    """A fixed 64-bit mixing of integers (splitmix64), the same on every executor."""
+    x = x.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import cut, id_and_text
+from contrail.llm.common import cut, id_and_text, mixed64
 
 # Fixed values of the contract.
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
@@ -77,14 +77,6 @@ def word_counts(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int =
     return parts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """A fixed 64-bit mixing of integers (splitmix64), the same on every executor."""
-    x = x.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def _dimensions(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(word number, dimension) of every letter: its code and how many equal ones the word has before it."""
     lengths = np.array([len(w) for w in words])
@@ -102,12 +94,12 @@ def _dimensions(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def signatures(words: list[str], changed: int, parts: int) -> np.ndarray:
     """One column per subset of ``parts - changed`` parts: the sum of the hashed dimensions in those parts."""
     owner, dims = _dimensions(words)
-    hashed = _mixed(dims)
-    part = (_mixed(dims + 1) % np.uint64(parts)).astype(np.int64)
+    hashed = mixed64(dims)
+    part = (mixed64(dims + 1) % np.uint64(parts)).astype(np.int64)
     sums = np.zeros((len(words), parts), dtype=np.uint64)
     np.add.at(sums, (owner, part), hashed)
     with np.errstate(over="ignore"):
-        return np.stack([_mixed(sums[:, list(c)].sum(axis=1, dtype=np.uint64) + np.uint64(i + 1))
+        return np.stack([mixed64(sums[:, list(c)].sum(axis=1, dtype=np.uint64) + np.uint64(i + 1))
                          for i, c in enumerate(combinations(range(parts), parts - changed))], axis=1)
 
 
@@ -129,10 +121,10 @@ def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # two words of one length, and a word as the shorter or as the longer of a pair
         for kind, (changed, parts), less in (("same", REPLACED, 0), ("other", INSERTED, 0), ("other", INSERTED, 1)):
             shorter = lengths - less
-            tag = _mixed(shorter * 2 + (kind == "same"))
+            tag = mixed64(shorter * 2 + (kind == "same"))
             halves = _halves(words, shorter.tolist())
             for signature in signatures(words, changed, parts).T:
-                columns += [_mixed(signature ^ tag ^ _mixed(halves[:, side])) for side in (0, 1)]
+                columns += [mixed64(signature ^ tag ^ mixed64(halves[:, side])) for side in (0, 1)]
         keys = np.stack(columns, axis=1)
         rows = np.repeat(np.arange(len(words)), keys.shape[1])
         yield pd.DataFrame({"key": keys.ravel().view(np.int64), "word": pdf["word"].to_numpy()[rows], "n": pdf["n"].to_numpy()[rows]})
