@@ -10,6 +10,7 @@ small enough to be built on the driver.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -41,6 +42,9 @@ FOREST_TREES = 150
 FOREST_MAX_DEPTH = 30  # the deepest that Spark offers; the reference's trees have no limit
 #: About this many rows at most are used to fit (after the sample fraction); fitting deep forests costs memory per row.
 MAX_FIT_ROWS = 4_000
+#: Rows of the fit in a partition, about. Each task of a forest level holds the statistics of every open node of every
+#: tree, however few rows it reads, and each iteration of a fit is a job of its own: small partitions cost, they do not help.
+FIT_PARTITION_ROWS = 1_000
 
 _BUCKETS = 1_000_000
 
@@ -89,7 +93,9 @@ def classifiers(n_train: int, forest_trees: int = FOREST_TREES, forest_depth: in
                                                   standardization=False),
         "Decision Tree": DecisionTreeClassifier(labelCol=LABEL, maxDepth=TREE_MAX_DEPTH, seed=seed),
         "Random Forest": RandomForestClassifier(labelCol=LABEL, numTrees=forest_trees, maxDepth=forest_depth,
-                                                featureSubsetStrategy="sqrt", seed=seed),
+                                                featureSubsetStrategy="sqrt", seed=seed,
+                                                # rows remember their nodes: 150 deep trees are not sent with each level's tasks
+                                                cacheNodeIds=True),
     }
 
 
@@ -129,7 +135,13 @@ def train_models(table: DataFrame, key: Sequence[str] | None = None, features: S
     # Iterative learners re-read the training rows many times: keep them on the
     # executors (memory, spilling to disk) until the fits are done; a lost block is
     # recomputed from the persisted feature table.
-    train = split.where(~F.col("is_test") & sampled).select(*features, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+    train = split.where(~F.col("is_test") & sampled)
+    if max_fit_rows:
+        # in partitions and an order that follow from the rows alone: the fit does not depend on how the table is split
+        parts = max(1, math.ceil(fraction * n_train / FIT_PARTITION_ROWS))
+        order = list(dict.fromkeys([*cols, *features, LABEL]))
+        train = train.select(*order).repartition(parts, *cols).sortWithinPartitions(*order)
+    train = train.select(*features, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
     n_fit = train.count()
     models = {}
     for name, est in classifiers(n_fit, seed=seed, **kw).items():

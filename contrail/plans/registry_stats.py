@@ -194,8 +194,21 @@ _MT = (f"{_MF},\nmt AS (SELECT {_K}, {_MT_COLS}, CAST(IS_DELAYED_ARRIVAL AS INTE
        + " AND IS_DELAYED_ARRIVAL IS NOT NULL)")
 
 
+_MODEL_IDS = [*KEYS, "AIRLINE", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT"]
+_TABLES: dict = {}
+
+
+def _model_rows(spark, sf):
+    """The model table with the flights' codes, written once per session: fits, tests and scores read it many times, and
+    its counts come from joins of the whole feature table."""
+    key = (session_key(spark), sf)
+    if key not in _TABLES:
+        _TABLES[key] = materialize(M.model_table(fixture_features(spark, sf), _MODEL_IDS), "model-table", keep=True)
+    return _TABLES[key]
+
+
 def _model_table(spark, sf):
-    return M.model_table(fixture_features(spark, sf), KEYS)
+    return _model_rows(spark, sf).select(*KEYS, *S.MODEL_FEATURES, S.MODEL_TARGET)
 
 
 @register("model_features", O.with_stages(
@@ -292,8 +305,7 @@ def _forest_scores(spark, sf):
     """Every row scored by the forest, written once per session: four reports read it."""
     key = (session_key(spark), sf)
     if key not in _SCORED:
-        table = M.model_table(fixture_features(spark, sf), [*KEYS, "AIRLINE", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT"])
-        _SCORED[key] = materialize(M.delay_scores(_trained(spark, sf), table), "delay-scores", keep=True)
+        _SCORED[key] = materialize(M.delay_scores(_trained(spark, sf), _model_rows(spark, sf)), "delay-scores", keep=True)
     return _SCORED[key]
 
 
