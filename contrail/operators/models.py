@@ -44,7 +44,8 @@ FOREST_MAX_DEPTH = 30  # the deepest that Spark offers; the reference's trees ha
 MAX_FIT_ROWS = 4_000
 #: Rows of the fit in a partition, about. Each task of a forest level holds the statistics of every open node of every
 #: tree, however few rows it reads, and each iteration of a fit is a job of its own: small partitions cost, they do not help.
-FIT_PARTITION_ROWS = 1_000
+#: More partitions than that are dealt anew by the rows' keys; fewer stay as they are.
+FIT_PARTITION_ROWS = 500
 
 _BUCKETS = 1_000_000
 
@@ -135,14 +136,15 @@ def train_models(table: DataFrame, key: Sequence[str] | None = None, features: S
     # Iterative learners re-read the training rows many times: keep them on the
     # executors (memory, spilling to disk) until the fits are done; a lost block is
     # recomputed from the persisted feature table.
-    train = split.where(~F.col("is_test") & sampled)
-    if max_fit_rows:
-        # in partitions and an order that follow from the rows alone: the fit does not depend on how the table is split
-        parts = max(1, math.ceil(fraction * n_train / FIT_PARTITION_ROWS))
-        order = list(dict.fromkeys([*cols, *features, LABEL]))
-        train = train.select(*order).repartition(parts, *cols).sortWithinPartitions(*order)
-    train = train.select(*features, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+    order = list(dict.fromkeys([*cols, *features, LABEL]))
+    train = split.where(~F.col("is_test") & sampled).select(*order).persist(StorageLevel.MEMORY_AND_DISK)
     n_fit = train.count()
+    parts = max(1, math.ceil(n_fit / FIT_PARTITION_ROWS))
+    if train.rdd.getNumPartitions() > parts:
+        few = train.repartition(parts, *cols).sortWithinPartitions(*order).persist(StorageLevel.MEMORY_AND_DISK)
+        few.count()
+        train.unpersist()
+        train = few
     models = {}
     for name, est in classifiers(n_fit, seed=seed, **kw).items():
         if not names or name in names:

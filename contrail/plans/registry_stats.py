@@ -199,8 +199,8 @@ _TABLES: dict = {}
 
 
 def _model_rows(spark, sf):
-    """The model table with the flights' codes, written once per session: fits, tests and scores read it many times, and
-    its counts come from joins of the whole feature table."""
+    """The model table with the flights' codes, written once per session: tests and scores read it many times, and its
+    counts come from joins of the whole feature table."""
     key = (session_key(spark), sf)
     if key not in _TABLES:
         _TABLES[key] = materialize(M.model_table(fixture_features(spark, sf), _MODEL_IDS), "model-table", keep=True)
@@ -256,7 +256,9 @@ _WITHOUT_CAUSE = [c for c in S.MODEL_FEATURES if c != "HAS_DELAY_CAUSE"]
 def _trained(spark, sf, features=tuple(S.MODEL_FEATURES)) -> M.TrainedModels:
     key = (session_key(spark), sf, tuple(features))
     if key not in _TRAINED:
-        _TRAINED[key] = M.train_models(_model_table(spark, sf), KEYS, list(features))
+        t = M.train_models(M.model_table(fixture_features(spark, sf), KEYS), KEYS, list(features))
+        # tests read the written table
+        _TRAINED[key] = M.trained(t.models, _model_table(spark, sf), KEYS, t.features, t.fraction, t.test_fraction, t.seed, t.n_fit)
     return _TRAINED[key]
 
 
