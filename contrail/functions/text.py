@@ -15,6 +15,8 @@ CONTROL_CHARS_PATTERN = r"[\x00-\x1F\x7F]"
 # One character outside letters, digits, white space, '-', '.', '/'.
 # (?U) makes \s Unicode-aware, so a no-break space counts as white space.
 SPECIAL_CHAR_PATTERN = r"(?U)[^a-zA-Z0-9\s\-\./]"
+# At least one ASCII digit.
+DIGIT_PATTERN = "[0-9]"
 # A code made of digits only.
 DIGITS_ONLY_PATTERN = r"^\d+$"
 # Empty or white space only.

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from contrail import schema as S
 from contrail.functions.hhmm import hhmm_normalise, hhmm_string
-from contrail.functions.text import is_blank
+from contrail.functions.text import DIGIT_PATTERN
 from contrail.operators.joins import DEFAULT_BROADCAST_ROWS, lookup_join, semi_join
 from contrail.sources.files import lookup_keys
 
@@ -61,7 +61,10 @@ def clean_delay_causes(df: DataFrame, cols: Sequence[str] = S.DELAY_CAUSE_COLS)
     for c in cols:
         if c not in df.columns:
             continue
-        text = F.when(~is_blank(c), F.col(c).cast("string"))
+        # Text without a digit (blank, 'ND', 'NaN', 'Infinity') gives 0. It is not cast: each failing cast raises and
+        # catches a Java exception, which costs more than all other rules of the row.
+        raw = F.col(c).cast("string")
+        text = F.when(raw.rlike(DIGIT_PATTERN), raw)
         v = F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
         exprs[c] = F.coalesce(v.try_cast("int"), F.lit(0))
     return df.withColumns(exprs)

@@ -33,6 +33,14 @@ def test_clean_delay_causes(spark):
     assert [r[0] for r in C.clean_delay_causes(df).collect()] == [0, 0, 0, 12, -3, 0, 7, 0]
 
 
+def test_delay_causes_without_a_digit_are_not_cast(spark):
+    rows = [("NaN", 0), ("Infinity", 0), ("-", 0), ("ND", 0), ("\u0663", 0), ("1e2", 100), (" 8 ", 8), ("x9", 0), ("99999999999", 0)]
+    out = C.clean_delay_causes(spark.createDataFrame(rows, "WEATHER_DELAY string, want int"))
+    assert all(r.WEATHER_DELAY == r.want for r in out.collect())
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "RLIKE(cast(WEATHER_DELAY" in plan and "[0-9]" in plan
+
+
 def test_keep_valid_airports_drops_null_and_unknown(spark):
     airports = spark.createDataFrame([("AAA",), ("BBB",), (None,)], "IATA_CODE string")
     df = spark.createDataFrame([("AAA", "BBB"), ("AAA", None), ("ZZZ", "AAA"), ("BBB", "BBB")],
