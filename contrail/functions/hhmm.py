@@ -38,8 +38,7 @@ def hhmm_normalise(c: str | Column) -> Column:
 def hhmm_string(c: str | Column) -> Column:
     """Four-character HHMM text of an integer time ('5' -> '0005', '-5' -> '-005',
     longer values unchanged); null stays null."""
-    v = _col(c)
-    return F.when(v.isNotNull(), F.format_string("%04d", v.cast("int")))
+    return zfill(_col(c).cast("int"), 4)
 
 
 def is_hhmm(c: str | Column) -> Column:

@@ -90,3 +90,13 @@ def test_distribution_tails():
     assert chi2_sf(30.0, 20) == pytest.approx(0.06985366069940, rel=1e-8)
     assert f_sf(13.5, 1, 4) == pytest.approx(0.021311641128756723, rel=1e-8)
     assert f_sf(0.0, 3, 10) == 1.0
+
+
+def test_hhmm_string_is_padded_without_a_formatter(spark):
+    from pyspark.sql import functions as F
+
+    from contrail.functions.hhmm import hhmm_string
+    df = spark.createDataFrame([(v,) for v in (0, 5, 45, 930, 2359, 12345, -5, -930, -12345, None)], "v int")
+    out = df.select("v", hhmm_string("v").alias("s"), F.format_string("%04d", "v").alias("f"))
+    assert "format_string" not in df.select(hhmm_string("v"))._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert all(r.s == (None if r.v is None else r.f) for r in out.collect())

@@ -37,3 +37,15 @@ def test_historical_score_matches_pandas(spark, max_hot):
 def test_top_risk_tie_break(spark):
     df = spark.createDataFrame([(3, 0.9), (1, 0.9), (2, 0.95), (4, 0.1)], "k int, delay_probability double")
     assert [r.k for r in P.top_risk(df, 3, tie_break=["k"]).collect()] == [2, 1, 3]
+
+
+def test_tables_are_written_by_compiled_stages(spark):
+    from contrail import session
+    before = spark.conf.get(session.METHOD_LIMIT_CONF)
+    spark.conf.set(session.METHOD_LIMIT_CONF, "65535")
+    try:
+        with session.compiled_stages(spark):
+            assert spark.conf.get(session.METHOD_LIMIT_CONF) == "8000"
+        assert spark.conf.get(session.METHOD_LIMIT_CONF) == "65535"
+    finally:
+        spark.conf.set(session.METHOD_LIMIT_CONF, before)
