@@ -11,22 +11,26 @@ small enough to be built on the driver.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    DecisionTreeClassifier, LogisticRegression, RandomForestClassifier,
+    DecisionTreeClassifier, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contrail import schema as S
 from contrail.operators.features import PER_DAY, PER_WEEK, add_model_features
+from contrail.session import scratch_path
 
 LABEL = "label"
 
@@ -46,6 +50,8 @@ MAX_FIT_ROWS = 4_000
 #: tree, however few rows it reads, and each iteration of a fit is a job of its own: small partitions cost, they do not help.
 #: More partitions than that are dealt anew by the rows' keys; fewer stay as they are.
 FIT_PARTITION_ROWS = 500
+#: Rows that one tree scores at a time: their split tests and the tree's nodes fit a core's cache.
+SCORE_BLOCK_ROWS = 4_096
 
 _BUCKETS = 1_000_000
 
@@ -100,6 +106,76 @@ def classifiers(n_train: int, forest_trees: int = FOREST_TREES, forest_depth: in
     }
 
 
+@dataclass
+class ForestArrays:
+    """A binary forest in arrays. ``tests``: its distinct (feature, threshold) pairs; per tree: the test of each node times
+    ``SCORE_BLOCK_ROWS``, its children (2 * node: right, 2 * node + 1: left; a leaf is its own), and its share of each class."""
+    tests: list[tuple[int, float]]
+    trees: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+
+
+def vote_counter(tests: list[tuple[int, float]], trees: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], block_rows: int = SCORE_BLOCK_ROWS):
+    """Rows (n x features) -> summed class shares (2 x n) of the leaves that they reach, added up in tree order. The function
+    goes to the executors whole: they need numpy, not this package."""
+    def votes(x: np.ndarray) -> np.ndarray:
+        out = np.zeros((2, len(x)))
+        left = np.zeros((len(tests), block_rows), dtype=np.int8)  # small, to stay in the cache
+        for at in range(0, len(x), block_rows):
+            block = x[at:at + block_rows].T
+            n = block.shape[1]
+            for i, (feature, threshold) in enumerate(tests):
+                left[i, :n] = block[feature] <= threshold
+            for test, child, is_leaf, shares in trees:
+                node, rows = np.zeros(n, dtype=np.int64), np.arange(n)
+                while len(rows):
+                    here = node[rows]
+                    for _ in range(4):  # levels between two looks for rows that have arrived
+                        here = child.take(2 * here + left.take(test.take(here) + rows))
+                    node[rows] = here
+                    rows = rows[~is_leaf.take(here)]
+                out[:, at:at + n] += shares[:, node]
+        return out
+    return votes
+
+
+def forest_arrays(model: PipelineModel, df: DataFrame) -> ForestArrays | None:
+    """The forest of a fitted pipeline of assembler and forest, read from its stored form; None for any other model.
+
+    The nodes are as many as the fit's bounded rows allow, whatever the table to be scored.
+    """
+    forest = model.stages[-1]
+    if len(model.stages) != 2 or not isinstance(forest, RandomForestClassificationModel) or forest.numClasses != 2 or forest.isDefined("thresholds"):
+        return None
+    if not all(isinstance(df.schema[c].dataType, (T.NumericType, T.BooleanType)) for c in model.stages[0].getInputCols()):
+        return None
+    spark = df.sparkSession
+    path = scratch_path(spark, "forest")
+    forest.write().overwrite().save(path)
+    split = F.col("nodeData.split")
+    nodes = spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), F.col("nodeData.id").alias("id"), F.col("nodeData.leftChild").alias("l"), F.col("nodeData.rightChild").alias("r"),
+        split["featureIndex"].alias("feature"), F.get(split["leftCategoriesOrThreshold"], 0).alias("threshold"), split["numCategories"].alias("kinds"),
+        *[F.get("nodeData.impurityStats", i).alias(f"c{i}") for i in (0, 1)]).orderBy("tree", "id").toPandas()
+    is_leaf = (nodes["l"] < 0).to_numpy()
+    if (nodes["kinds"][~is_leaf] >= 0).any():  # a split by categories has no threshold
+        return None
+    tests = sorted(set(zip(nodes["feature"][~is_leaf].astype(int), nodes["threshold"][~is_leaf].astype(float))))
+    number = {t: i for i, t in enumerate(tests)}
+    trees = []
+    for _, tree in nodes.groupby("tree", sort=True):
+        place = pd.Series(np.arange(len(tree)), index=tree["id"])
+        leaf = (tree["l"] < 0).to_numpy()
+        child = np.repeat(np.arange(len(tree)), 2)
+        child[0::2][~leaf], child[1::2][~leaf] = place[tree["r"][~leaf]], place[tree["l"][~leaf]]
+        test = np.zeros(len(tree), dtype=np.int64)
+        test[~leaf] = [number[int(f), float(t)] * SCORE_BLOCK_ROWS for f, t in zip(tree["feature"][~leaf], tree["threshold"][~leaf])]
+        counts = tree[["c0", "c1"]].to_numpy(dtype=float).T
+        total = counts[0] + counts[1]
+        trees.append((test, child, leaf, np.divide(counts, total, out=np.zeros_like(counts), where=total != 0)))
+    # trees of one leaf test nothing; a first test is looked up all the same
+    return ForestArrays(tests or [(0, 0.0)], trees)
+
+
 @dataclass
 class TrainedModels:
     models: dict[str, PipelineModel]
@@ -110,6 +186,8 @@ class TrainedModels:
     fraction: float = TRAIN_SAMPLE_FRACTION
     test_fraction: float = TEST_FRACTION
     seed: int = SEED
+    #: ``forest_arrays`` of the forests scored so far, by model name
+    arrays: dict[str, ForestArrays | None] = field(default_factory=dict, repr=False)
 
     def is_train(self) -> Column:
         """True for rows the models were fitted on (a predicate on the row's key)."""
@@ -171,10 +249,42 @@ def accuracy(label: str = LABEL, prediction: str = "prediction") -> Column:
     return F.avg((F.col(label) == F.col(prediction)).cast("double"))
 
 
+def score(trained: TrainedModels, rows: DataFrame, name: str, probability: str | None = None) -> DataFrame:
+    """``rows`` with the model's ``prediction`` (and, named by ``probability``, that of class 1); rows with an invalid
+    feature are skipped.
+
+    A forest scores Arrow batches tree by tree, with the sums of ``model.transform`` in the same order: that one walks all
+    trees for each row, and most of its steps wait for memory.
+    """
+    model = trained.models[name]
+    if name not in trained.arrays:
+        trained.arrays[name] = forest_arrays(model, rows)
+    forest = trained.arrays[name]
+    if forest is None:
+        scored = model.transform(rows)
+        if probability:
+            scored = scored.withColumn(probability, vector_to_array(F.col("probability"))[1])
+        return scored.drop("features", "rawPrediction", *(["probability"] if probability != "probability" else []))
+
+    votes = vote_counter(forest.tests, forest.trees)
+
+    def probabilities(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for columns in batches:
+            v = votes(np.column_stack([c.to_numpy(dtype=float) for c in columns]))
+            total = v.sum(axis=0)
+            yield pd.DataFrame({"p": np.divide(v[1], total, out=v[1].copy(), where=total != 0), "prediction": (v[1] > v[0]).astype(float)})
+
+    inputs = [F.col(c).cast("double") for c in model.stages[0].getInputCols()]
+    valid = reduce(lambda a, b: a & b, [c.isNotNull() & ~F.isnan(c) for c in inputs])
+    scored = rows.where(valid).withColumn("__s", F.pandas_udf(probabilities, "p double, prediction double")(*inputs))
+    scored = scored.withColumn("prediction", F.col("__s.prediction"))
+    return (scored.withColumn(probability, F.col("__s.p")) if probability else scored).drop("__s")
+
+
 def model_comparison(trained: TrainedModels) -> DataFrame:
     """M10 + M12: accuracy on all held-out rows per model (scored once each) and the best one."""
-    parts = [model.transform(trained.test).agg(accuracy().alias("accuracy")).withColumn("model", F.lit(name))
-             for name, model in trained.models.items()]
+    parts = [score(trained, trained.test, name).agg(accuracy().alias("accuracy")).withColumn("model", F.lit(name))
+             for name in trained.models]
     rows = reduce(DataFrame.unionByName, parts).agg(F.collect_list(F.struct("accuracy", "model")).alias("rows"))
     best = rows.withColumn("best", F.array_max("rows")["model"]).select(F.explode("rows").alias("r"), "best")
     return best.select("r.model", "r.accuracy", (F.col("r.model") == F.col("best")).alias("is_best"))
@@ -183,8 +293,8 @@ def model_comparison(trained: TrainedModels) -> DataFrame:
 def model_reports(trained: TrainedModels) -> DataFrame:
     """M9: the classification report of every model on all held-out rows."""
     return reduce(DataFrame.unionByName, [
-        classification_report(model.transform(trained.test), LABEL, "prediction").withColumn("model", F.lit(name))
-        for name, model in trained.models.items()])
+        classification_report(score(trained, trained.test, name), LABEL, "prediction").withColumn("model", F.lit(name))
+        for name in trained.models])
 
 
 def feature_importance(trained: TrainedModels, name: str = "Random Forest") -> DataFrame:
@@ -199,9 +309,7 @@ def delay_scores(trained: TrainedModels, rows: DataFrame, name: str = "Random Fo
     """M13 (+Q16): class-1 probability for every row, flagged when the row was used
     for training."""
     flagged = rows.withColumn("is_train", trained.is_train())
-    scored = trained.models[name].transform(flagged.withColumn(LABEL, F.col(S.MODEL_TARGET).cast("double")))
-    return (scored.withColumn("delay_probability", vector_to_array(F.col("probability"))[1])
-            .drop("features", "rawPrediction", "probability", LABEL))
+    return score(trained, flagged, name, "delay_probability")
 
 
 def classification_report(df: DataFrame, label: str, prediction: str, digits: int = 6) -> DataFrame:

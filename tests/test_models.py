@@ -62,3 +62,32 @@ def test_small_fit_does_not_depend_on_many_table_partitions(spark):
     trees = [t.models["Random Forest"].stages[-1] for t in fits]
     assert fits[0].n_fit == fits[1].n_fit > 400
     assert trees[0].toDebugString.split("\n")[1:] == trees[1].toDebugString.split("\n")[1:]
+
+
+def test_forest_scores_by_batches_as_spark_does(spark):
+    rows = [(i, float(100 + 37 * i % 2500), i % 24, 1 + i % 7, i % 9, i % 2, int(i % 24 >= 18), int(i % 4 == 0), 1 + i % 3, 2 + i % 5, int(i * 7 % 11 > 5))
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "k int, DISTANCE double, " + ", ".join(f"{c} int" for c in [*S.MODEL_FEATURES[1:], S.MODEL_TARGET]))
+    tm = M.train_models(df, ["k"], sample_fraction=None, max_fit_rows=None, names=["Random Forest"], forest_trees=12, forest_depth=9)
+    odd = df.unionByName(df.limit(3).withColumn("DISTANCE", M.F.lit(float("nan")))).unionByName(df.limit(2).withColumn("DAY_OF_WEEK", M.F.lit(None).cast("int")))
+    got = M.delay_scores(tm, odd)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1  # one pass of the batch scorer
+    assert got.columns == [*df.columns, "is_train", "prediction", "delay_probability"]
+    want = tm.models["Random Forest"].transform(odd).withColumn("p", M.vector_to_array("probability")[1])
+    a = {r.k: (r.delay_probability, r.prediction) for r in got.collect()}
+    assert a == {r.k: (r.p, r.prediction) for r in want.collect()} and len(a) == got.count() == 600
+
+
+def test_vote_counter_needs_no_package_on_the_executors():
+    import subprocess
+    import sys
+
+    import numpy as np
+    from pyspark import cloudpickle
+    leaf = np.array([False, True, True])
+    tree = (np.zeros(3, dtype=np.int64), np.array([2, 1, 1, 1, 2, 2]), leaf, np.array([[0.5, 0.25, 1.0], [0.5, 0.75, 0.0]]))
+    sent = cloudpickle.dumps(M.vote_counter([(0, 1.5)], [tree, tree]))
+    read = "import sys; sys.path[:] = [p for p in sys.path if p and 'repo' not in p]\nfrom pyspark import cloudpickle\nimport numpy as np\n" \
+           "print(cloudpickle.loads(sys.stdin.buffer.read())(np.array([[1.0], [1.5], [2.0]])).tolist(), 'contrail' in sys.modules)"
+    out = subprocess.run([sys.executable, "-c", read], input=sent, capture_output=True, cwd="/", check=True)
+    assert out.stdout.decode().strip() == "[[0.5, 0.5, 2.0], [1.5, 1.5, 0.0]] False"
