@@ -67,7 +67,7 @@ def main() -> None:
     fixture_frames(spark, sf_dir)            # raw flight table derived from the driver tables
     stages["source"] = round(time.perf_counter() - t0, 3)
     t = time.perf_counter()
-    fixture_enriched(spark, sf_dir)          # stage 1: clean + enrich + scalar features
+    fixture_enriched(spark, sf_dir, persist=True)          # stage 1: clean + enrich + scalar features
     stages["stage1"] = round(time.perf_counter() - t, 3)
     t = time.perf_counter()
     fixture_features(spark, sf_dir)          # stage 2: per-group counts

@@ -2,7 +2,7 @@
 built-in Spark functions, so it stays inside whole-stage codegen."""
 
 from contrail.functions.calendar import (  # noqa: F401
-    daypart, flight_date, is_peak_hour, is_weekend, iso_week, iso_year, season,
+    date_from_numbers, daypart, flight_date, is_peak_hour, is_weekend, iso_week, iso_year, season,
 )
 from contrail.functions.flags import (  # noqa: F401
     as_int, distance_category, flag_eq, flag_gt, rate,

@@ -54,7 +54,8 @@ def hour_from_hhmm(c: str | Column, default: int | None = None) -> Column:
     """
     # After zero-padding, "exactly four digits" means "at most four digits" before
     # padding, and the first two padded digits are the value divided by 100.
-    s = F.regexp_replace(_col(c).cast("string"), r"\.0+$", "")
+    s = _col(c).cast("string")
+    s = F.when(s.contains("."), F.regexp_replace(s, r"\.0+$", "")).otherwise(s)  # only few texts need the pattern
     hour = F.when(s.rlike(r"^\d{0,4}$"), F.coalesce(s.try_cast("int"), F.lit(0)) / 100).cast("int")
     hour = F.when(hour <= 23, hour)
     if default is not None:

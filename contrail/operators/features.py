@@ -12,10 +12,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contrail import schema as S
 from contrail.functions.calendar import (
-    daypart, flight_date, is_peak_hour, is_weekend, iso_week, iso_year, season,
+    date_from_numbers, daypart, flight_date, is_peak_hour, is_weekend, iso_week, iso_year, season,
 )
 from contrail.functions.flags import (
     DELAY_THRESHOLD_MIN, EVENING_FROM_HOUR, LONG_DISTANCE_MILES, distance_category, flag_eq, flag_gt,
@@ -37,7 +38,9 @@ def _has(df: DataFrame, *cols: str) -> bool:
 def add_scalar_features(df: DataFrame) -> DataFrame:
     """E1-E15 in one projection; a missing optional input gives the documented default."""
     hhmm_src = "SCHEDULED_DEPARTURE_STR" if "SCHEDULED_DEPARTURE_STR" in df.columns else "SCHEDULED_DEPARTURE"
-    date = (flight_date("YEAR", "MONTH", "DAY") if _has(df, "YEAR", "MONTH", "DAY")
+    parts = ("YEAR", "MONTH", "DAY")
+    whole = _has(df, *parts) and all(isinstance(df.schema[c].dataType, (T.ByteType, T.ShortType, T.IntegerType)) for c in parts)
+    date = (date_from_numbers(*parts) if whole else flight_date(*parts) if _has(df, *parts)
             else F.lit(None).cast("date"))
     # Hour and date first, so every later feature reads the computed column.
     df = df.withColumns({"DEPARTURE_HOUR": hour_from_hhmm(hhmm_src), "FLIGHT_DATE": date})

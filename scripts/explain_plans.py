@@ -45,7 +45,7 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session(8, shuffle_partitions=16)
     fr = fixture_frames(spark, sf)
-    s1 = fixture_enriched(spark, sf)
+    s1 = fixture_enriched(spark, sf, persist=True)
     feats = fixture_features(spark, sf)
     sections = [
         ("Stage 1: clean + enrich + scalar features (raw scan, broadcast semi/left joins, no shuffle)",

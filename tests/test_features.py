@@ -1,5 +1,8 @@
 from datetime import date
 
+from pyspark.sql import functions as F
+
+from contrail import schema as S
 from contrail.operators.features import (
     PER_DAY, PER_WEEK, add_features, add_model_features, add_scalar_features,
 )
@@ -66,3 +69,37 @@ def test_feature_stage_persists_only_when_told(spark):
     assert all("flights-features" in f for f in written.inputFiles())
     cols = sorted(lazy.columns)
     assert lazy.select(cols).exceptAll(written.select(cols)).count() == 0 and lazy.count() == written.count()
+
+
+def test_dates_of_integer_parts_are_not_parsed(spark):
+    """The arithmetic date is that of the text, for valid, invalid and null parts."""
+    from itertools import product
+
+    from contrail.functions.calendar import date_from_numbers, flight_date
+    parts = product([None, -2015, -5, 0, 999, 1900, 2015, 2016, 12345], [None, 0, 2, 4, 12, 13], [None, -3, 0, 1, 28, 29, 30, 31, 32])
+    df = spark.createDataFrame([(*p, 0) for p in parts], "YEAR int, MONTH int, DAY int, SCHEDULED_DEPARTURE int")
+    both = df.select(flight_date("YEAR", "MONTH", "DAY").alias("a"), date_from_numbers("YEAR", "MONTH", "DAY").alias("b"))
+    assert both.where(~F.col("a").eqNullSafe(F.col("b"))).isEmpty() and not both.where("b IS NOT NULL").isEmpty()
+    flights = df.withColumns({c: F.lit(0) for c in ("DEPARTURE_DELAY", "ARRIVAL_DELAY", "WEATHER_DELAY")}).withColumns(
+        {c: F.lit("x") for c in ("ORIGIN_AIRPORT", "DESTINATION_AIRPORT")})
+    dated = add_scalar_features(flights).select("FLIGHT_DATE")
+    assert "gettimestamp" not in dated._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_the_queries_share_no_written_wide_table(spark, tmp_path):
+    """A query over the enriched rows reads only the columns that it needs, from the raw flights."""
+    from contrail.plans.pipeline import FlightFrames, enriched_rows
+    raw = spark.createDataFrame([(1, 2015, 1, 2, 3, "AA", "N1", "JFK", "LAX")],
+                                "id int, YEAR int, MONTH int, DAY int, DAY_OF_WEEK int, AIRLINE string, TAIL_NUMBER string, ORIGIN_AIRPORT string, DESTINATION_AIRPORT string")
+    raw = raw.withColumns({c: F.lit(1) for c in (*S.TIME_COLS, *S.NA_WHEN_CANCELLED, "CANCELLED", "DIVERTED", "DISTANCE") if c not in raw.columns})
+    raw = raw.withColumns({c: F.lit("0") for c in ("CANCELLATION_REASON", *S.DELAY_CAUSE_COLS)})
+    raw.write.parquet(str(tmp_path / "raw"))
+    airports = spark.createDataFrame([("JFK", "J", "NYC", "NY", "USA", 1.0, 2.0), ("LAX", "L", "LA", "CA", "USA", 3.0, 4.0)],
+                                     "IATA_CODE string, AIRPORT string, CITY string, STATE string, COUNTRY string, LATITUDE double, LONGITUDE double")
+    airlines = spark.createDataFrame([("AA", "American")], "IATA_CODE string, AIRLINE string")
+    rows = enriched_rows(FlightFrames(spark.read.parquet(str(tmp_path / "raw")), airlines, airports))
+    assert len(rows.columns) > 40 and rows.count() == 1
+    cut = rows.select("ORIGIN_CITY", "MONTH")
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    scanned = [line for line in plan.splitlines() if "FileScan" in line][0]
+    assert cut.first()["ORIGIN_CITY"] == "NYC" and "TAXI_OUT" not in scanned and "WEATHER_DELAY" not in scanned
