@@ -150,3 +150,18 @@ def test_semi_and_anti_join_of_a_hot_key(spark, plain_joins, limit):
         got = semi_join(fact, "k", keys, "code", anti=anti, max_broadcast_rows=limit, max_hot_groups=100)
         want = fact.join(keys, fact["k"] == keys["code"], how)
         assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("broadcast_max_rows", [0, 1000])
+def test_a_join_of_group_values_that_are_not_read_is_not_planned(spark, broadcast_max_rows):
+    rows = spark.range(400).selectExpr("IF(id % 50 = 0, NULL, concat('k', id % 40)) AS k", "CAST(id % 2 AS INT) AS g", "id")
+    out = attach_group_count(rows, ["k", "g"], "n", max_hot_groups=1, broadcast_max_rows=broadcast_max_rows)
+    assert "Join" not in _plan(out.select("id", "g")) and "Join" in _plan(out)
+    assert sorted(r["id"] for r in out.select("id").collect()) == list(range(400))
+    got = {(r["id"], r["n"]) for r in out.collect()}
+    counted = rows.where("k IS NOT NULL").groupBy("k", "g").agg(F.count(F.lit(1)).alias("n"))
+    assert got == {(r["id"], r["n"]) for r in rows.join(counted, ["k", "g"], "left").collect()}
