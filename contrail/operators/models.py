@@ -194,15 +194,20 @@ class TrainedModels:
         return self.fitted
 
 
+def fit_partitions(rows: int) -> int:
+    return max(1, math.ceil(rows / FIT_PARTITION_ROWS))
+
+
 def train_models(table: DataFrame, key: Sequence[str] | None = None, features: Sequence[str] = S.MODEL_FEATURES,
                  sample_fraction: float | None = TRAIN_SAMPLE_FRACTION, max_fit_rows: int | None = MAX_FIT_ROWS,
                  test_fraction: float = TEST_FRACTION, seed: int = SEED,
-                 names: Sequence[str] | None = None, **kw) -> TrainedModels:
+                 names: Sequence[str] | None = None, deal: bool | None = None, **kw) -> TrainedModels:
     """M2-M7: split, sample the training side, fit each classifier in a pipeline with the assembler.
 
     ``key``: the row's key columns, which decide split and sample (all columns without
     one). ``max_fit_rows`` lowers the sample fraction where it would give more rows.
-    ``test`` holds every held-out row.
+    ``test`` holds every held-out row. ``deal``: whether the rows of the fit are dealt anew by their keys (by
+    default, where ``table`` has more partitions than the fit needs).
     """
     cols = list(key or table.columns)
     split = with_split(table.withColumn(LABEL, F.col(S.MODEL_TARGET).cast("double")), test_fraction, seed, cols)
@@ -217,8 +222,8 @@ def train_models(table: DataFrame, key: Sequence[str] | None = None, features: S
     order = list(dict.fromkeys([*cols, *features, LABEL]))
     train = split.where(~F.col("is_test") & sampled).select(*order).persist(StorageLevel.MEMORY_AND_DISK)
     n_fit = train.count()
-    parts = max(1, math.ceil(n_fit / FIT_PARTITION_ROWS))
-    if train.rdd.getNumPartitions() > parts:
+    parts = fit_partitions(n_fit)
+    if train.rdd.getNumPartitions() > parts if deal is None else deal:
         few = train.repartition(parts, *cols).sortWithinPartitions(*order).persist(StorageLevel.MEMORY_AND_DISK)
         few.count()
         train.unpersist()
