@@ -120,11 +120,13 @@ def fixture_enriched(spark: SparkSession, sf_dir: str, persist: bool = False) ->
     return _MEMO[key]
 
 
-def fixture_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stage 2 over ``sf_dir`` (planned once per session and input); its group tables are persisted."""
-    key = (session_key(spark), sf_dir, "features")
+def fixture_features(spark: SparkSession, sf_dir: str, persist: bool = False) -> DataFrame:
+    """Stage 2 over ``sf_dir`` (planned once per session and input); its group tables are persisted. ``persist``: on a
+    written stage 1, in whose files' order its rows come."""
+    key = (session_key(spark), sf_dir, "features-written" if persist else "features")
     if key not in _MEMO:
-        _MEMO[key] = feature_stage(fixture_enriched(spark, sf_dir))
+        stage1 = enriched_stage(fixture_frames(spark, sf_dir), FIXTURE_COORDINATE_PATCHES) if persist else fixture_enriched(spark, sf_dir)
+        _MEMO[key] = feature_stage(stage1)
     return _MEMO[key]
 
 

@@ -256,10 +256,12 @@ _WITHOUT_CAUSE = [c for c in S.MODEL_FEATURES if c != "HAS_DELAY_CAUSE"]
 def _trained(spark, sf, features=tuple(S.MODEL_FEATURES)) -> M.TrainedModels:
     key = (session_key(spark), sf, tuple(features))
     if key not in _TRAINED:
-        written, table = _model_table(spark, sf), M.model_table(fixture_features(spark, sf), KEYS)
-        # dealt anew, the fit's rows are the same from either table: the written one spares the joins, which are read twice
-        many = table.rdd.getNumPartitions() > M.fit_partitions(M.MAX_FIT_ROWS) + 1
-        t = M.train_models(written, KEYS, list(features), deal=True) if many else M.train_models(table, KEYS, list(features))
+        written = _model_table(spark, sf)
+        if fixture_features(spark, sf).rdd.getNumPartitions() > M.fit_partitions(M.MAX_FIT_ROWS) + 1:
+            # dealt anew, the fit's rows are the same from any table: the written one spares the joins, which are read twice
+            t = M.train_models(written, KEYS, list(features), deal=True)
+        else:  # a small table's rows are fitted in the order in which they lie
+            t = M.train_models(M.model_table(fixture_features(spark, sf, persist=True), KEYS), KEYS, list(features))
         # tests read the written table
         _TRAINED[key] = M.trained(t.models, written, KEYS, t.features, t.fraction, t.test_fraction, t.seed, t.n_fit)
     return _TRAINED[key]

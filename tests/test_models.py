@@ -91,3 +91,15 @@ def test_vote_counter_needs_no_package_on_the_executors():
            "print(cloudpickle.loads(sys.stdin.buffer.read())(np.array([[1.0], [1.5], [2.0]])).tolist(), 'contrail' in sys.modules)"
     out = subprocess.run([sys.executable, "-c", read], input=sent, capture_output=True, cwd="/", check=True)
     assert out.stdout.decode().strip() == "[[0.5, 0.5, 2.0], [1.5, 1.5, 0.0]] False"
+
+
+def test_a_dealt_fit_does_not_depend_on_where_the_rows_lie(spark):
+    """The forest fitted on few rows dealt by their keys is the same from a table in one part or in many, in any order."""
+    rows = [(i, float(100 + 37 * i % 2500), i * 7 % 24, i * 5 % 11, int(i % 4 == 0 or i % 13 > 9)) for i in range(600)]
+    df = spark.createDataFrame(rows, "k long, DISTANCE double, DEPARTURE_HOUR int, ORIGIN_CONGESTION int, IS_DELAYED_ARRIVAL int")
+    features = ["DISTANCE", "DEPARTURE_HOUR", "ORIGIN_CONGESTION"]
+    fit = lambda t: M.train_models(t, ["k"], features, sample_fraction=None, max_fit_rows=None, names=["Random Forest"], deal=True,
+                                   forest_trees=5, forest_depth=6).models["Random Forest"].stages[-1]
+    one = fit(df.coalesce(1))
+    for other in (df.repartition(7), df.orderBy("DISTANCE").coalesce(2)):
+        assert fit(other).toDebugString.split("\n")[1:] == one.toDebugString.split("\n")[1:]
