@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from contrail import schema as S
 from contrail.operators.features import PER_DAY, PER_WEEK, add_model_features
+from contrail.operators.joins import join_group_values
 from contrail.session import scratch_path
 
 LABEL = "label"
@@ -176,6 +177,44 @@ def forest_arrays(model: PipelineModel, df: DataFrame) -> ForestArrays | None:
     return ForestArrays(tests or [(0, 0.0)], trees)
 
 
+def forest_grid(tests: list[tuple[int, float]], n_features: int) -> list[np.ndarray]:
+    """Per feature the distinct thresholds in order, then infinity: all values from one threshold (exclusive) to the next
+    (inclusive) take the same way through every tree."""
+    return [np.array([*sorted({t for i, t in tests if i == f}), np.inf]) for f in range(n_features)]
+
+
+def cell_functions(grid: list[np.ndarray]):
+    """(rows' features -> number of their cell of the grid, numbers -> the cells' upper corners, which every tree sends where
+    it sends the rows). The functions go to the executors whole, like that of ``vote_counter``."""
+    def number(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for columns in batches:
+            cell = np.zeros(len(columns[0]), dtype=np.int64)
+            for edges, c in zip(grid, columns):
+                cell = cell * len(edges) + np.searchsorted(edges, c.to_numpy(dtype=float))
+            yield pd.Series(cell)
+
+    def corners(cell: np.ndarray) -> np.ndarray:
+        out = np.empty((len(cell), len(grid)))
+        for f in reversed(range(len(grid))):
+            cell, place = np.divmod(cell, len(grid[f]))
+            out[:, f] = grid[f][place]
+        return out
+    return number, corners
+
+
+_SCORE = "p double, prediction double"
+
+
+def _row_probabilities(votes):
+    """Batches of columns -> probability of class 1 and prediction, by the votes for the rows' matrix."""
+    def probabilities(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for columns in batches:
+            v = votes(np.column_stack([c.to_numpy() for c in (columns if isinstance(columns, tuple) else (columns,))]))
+            total = v.sum(axis=0)
+            yield pd.DataFrame({"p": np.divide(v[1], total, out=v[1].copy(), where=total != 0), "prediction": (v[1] > v[0]).astype(float)})
+    return probabilities
+
+
 @dataclass
 class TrainedModels:
     models: dict[str, PipelineModel]
@@ -198,6 +237,11 @@ def fit_partitions(rows: int) -> int:
     return max(1, math.ceil(rows / FIT_PARTITION_ROWS))
 
 
+def unbounded_fit_rows() -> int:
+    """Rows of a model table, about, up to which ``MAX_FIT_ROWS`` bounds nothing: the sample fraction alone gives fewer."""
+    return int(MAX_FIT_ROWS / (TRAIN_SAMPLE_FRACTION * (1 - TEST_FRACTION)))
+
+
 def train_models(table: DataFrame, key: Sequence[str] | None = None, features: Sequence[str] = S.MODEL_FEATURES,
                  sample_fraction: float | None = TRAIN_SAMPLE_FRACTION, max_fit_rows: int | None = MAX_FIT_ROWS,
                  test_fraction: float = TEST_FRACTION, seed: int = SEED,
@@ -259,7 +303,8 @@ def score(trained: TrainedModels, rows: DataFrame, name: str, probability: str |
     feature are skipped.
 
     A forest scores Arrow batches tree by tree, with the sums of ``model.transform`` in the same order: that one walks all
-    trees for each row, and most of its steps wait for memory.
+    trees for each row, and most of its steps wait for memory. Rows between the same thresholds of every feature (one cell
+    of the forest's grid) have one score: each cell that holds rows is scored once and joined back.
     """
     model = trained.models[name]
     if name not in trained.arrays:
@@ -272,16 +317,19 @@ def score(trained: TrainedModels, rows: DataFrame, name: str, probability: str |
         return scored.drop("features", "rawPrediction", *(["probability"] if probability != "probability" else []))
 
     votes = vote_counter(forest.tests, forest.trees)
-
-    def probabilities(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for columns in batches:
-            v = votes(np.column_stack([c.to_numpy(dtype=float) for c in columns]))
-            total = v.sum(axis=0)
-            yield pd.DataFrame({"p": np.divide(v[1], total, out=v[1].copy(), where=total != 0), "prediction": (v[1] > v[0]).astype(float)})
-
     inputs = [F.col(c).cast("double") for c in model.stages[0].getInputCols()]
     valid = reduce(lambda a, b: a & b, [c.isNotNull() & ~F.isnan(c) for c in inputs])
-    scored = rows.where(valid).withColumn("__s", F.pandas_udf(probabilities, "p double, prediction double")(*inputs))
+    grid = forest_grid(forest.tests, len(inputs))
+    if math.prod(len(g) for g in grid) >= 2**63:  # more cells than a long can number: each row by itself
+        scored = rows.where(valid).withColumn("__s", F.pandas_udf(_row_probabilities(votes), _SCORE)(*inputs))
+    else:
+        number, corners = cell_functions(grid)
+        celled = rows.where(valid).withColumn("__cell", F.pandas_udf(number, "long")(*inputs))
+        cells = celled.groupBy("__cell").agg(F.count(F.lit(1)).alias("__n"))
+        # a cell is few bytes and much work: it is dealt by count, not by size
+        cells = cells.repartition(2 * rows.sparkSession.sparkContext.defaultParallelism, "__cell")
+        cells = cells.withColumn("__s", F.pandas_udf(_row_probabilities(lambda x: votes(corners(x[:, 0]))), _SCORE)(F.col("__cell")))
+        scored = join_group_values(celled, ["__cell"], cells, "__n", ["__s"]).drop("__cell")
     scored = scored.withColumn("prediction", F.col("__s.prediction"))
     return (scored.withColumn(probability, F.col("__s.p")) if probability else scored).drop("__s")
 

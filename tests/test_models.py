@@ -103,3 +103,43 @@ def test_a_dealt_fit_does_not_depend_on_where_the_rows_lie(spark):
     one = fit(df.coalesce(1))
     for other in (df.repartition(7), df.orderBy("DISTANCE").coalesce(2)):
         assert fit(other).toDebugString.split("\n")[1:] == one.toDebugString.split("\n")[1:]
+
+
+def test_cells_of_a_forest_number_and_corner_every_side_of_a_threshold():
+    import numpy as np
+    import pandas as pd
+    tests = [(0, 1.5), (0, 3.0), (2, -1.0), (0, 1.5)]
+    grid = M.forest_grid(tests, 3)
+    number, corners = M.cell_functions(grid)
+    x = np.array([[a, b, c] for a in (-np.inf, 1.0, 1.5, 1.6, 3.0, 3.1, np.inf) for b in (0.0, 9.0) for c in (-2.0, -1.0, -0.5)])
+    cells = next(number(iter([tuple(pd.Series(c) for c in x.T)]))).to_numpy()
+    at = corners(cells)
+    assert len(set(cells)) == 6  # the second feature is never tested
+    for f, t in tests:
+        assert ((x[:, f] <= t) == (at[:, f] <= t)).all()
+
+
+def test_a_forest_scores_each_cell_of_its_grid_once(spark):
+    """Rows that differ only between thresholds share a score, which the trees compute once."""
+    base = [(float(100 + 37 * i % 2500), i * 7 % 24, int(i % 4 == 0 or i % 13 > 9)) for i in range(300)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(base)], "k long, DISTANCE double, DEPARTURE_HOUR int, IS_DELAYED_ARRIVAL int")
+    tm = M.train_models(df, ["k"], ["DISTANCE", "DEPARTURE_HOUR"], sample_fraction=None, max_fit_rows=None, names=["Random Forest"], forest_trees=4, forest_depth=5)
+    seen = spark.sparkContext.accumulator(0)
+    plain = M.vote_counter
+
+    def counted(tests, trees, *a):
+        votes = plain(tests, trees, *a)
+
+        def count(x):
+            seen.add(len(x))
+            return votes(x)
+        return count
+    many = df.crossJoin(spark.range(20).select((M.F.col("id") * 1e-9).alias("d"))).withColumn("DISTANCE", M.F.col("DISTANCE") + M.F.col("d")).drop("d")
+    M.vote_counter = counted
+    try:
+        got = M.delay_scores(tm, many).select("k", "delay_probability").collect()
+    finally:
+        M.vote_counter = plain
+    want = {r.k: r.p for r in tm.models["Random Forest"].transform(df).select("k", M.vector_to_array("probability")[1].alias("p")).collect()}
+    assert len(got) == 6000 and all(r.delay_probability == want[r.k] for r in got)
+    assert 0 < seen.value <= 600
