@@ -257,7 +257,7 @@ def _trained(spark, sf, features=tuple(S.MODEL_FEATURES)) -> M.TrainedModels:
     key = (session_key(spark), sf, tuple(features))
     if key not in _TRAINED:
         written = _model_table(spark, sf)
-        if fixture_features(spark, sf).rdd.getNumPartitions() > M.fit_partitions(M.MAX_FIT_ROWS) + 1:
+        if written.count() > M.unbounded_fit_rows():
             # dealt anew, the fit's rows are the same from any table: the written one spares the joins, which are read twice
             t = M.train_models(written, KEYS, list(features), deal=True)
         else:  # a small table's rows are fitted in the order in which they lie
@@ -365,10 +365,10 @@ def q_stored_model_scores(spark, sf):
     table = _model_table(spark, sf)
     path = scratch_path(spark, "model-store")
     MS.save_models(_trained(spark, sf), table, path, KEYS)
-    again = M.delay_scores(MS.load_models(spark, path, table), table).select(
-        *KEYS, F.col("delay_probability").alias("p"), F.col("is_train").alias("t"))
-    first = _forest_scores(spark, sf).select(*KEYS, "delay_probability", "is_train")
-    return again.join(first, KEYS).select(*KEYS, (F.col("p") == F.col("delay_probability")).alias("same_score"), (F.col("t") == F.col("is_train")).alias("same_flag"))
+    # the loaded forest scores the rows that hold the first scores: no row has to find its own by keys that may repeat
+    first = _forest_scores(spark, sf).select(*table.columns, F.col("delay_probability").alias("p"), F.col("is_train").alias("t"))
+    again = M.delay_scores(MS.load_models(spark, path, table), first)
+    return again.select(*KEYS, (F.col("p") == F.col("delay_probability")).alias("same_score"), (F.col("t") == F.col("is_train")).alias("same_flag"))
 
 
 @register("model_risk_distribution")
