@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from contrail import schema as S
 from contrail.operators import model_store as MS
 from contrail.operators import models as M
-from contrail.operators.features import add_model_features
+from contrail.operators.features import CONGESTION, add_model_features
 from contrail.operators import prescribe as P
 from contrail.operators import stats as ST
 from contrail.plans import oracle as O
@@ -33,7 +33,7 @@ _BASE = """base AS (SELECT f.l_orderkey, f.l_linenumber, f.l_partkey, f.l_suppke
 
 def _base(spark, sf):
     fr = fixture_frames(spark, sf)
-    return ST.stats_base(fixture_features(spark, sf), fr.airlines, KEYS)
+    return ST.stats_base(fixture_features(spark, sf, reads=[CONGESTION]), fr.airlines, KEYS)
 
 
 # --- G7-G9, G14, H4/L5 ----------------------------------------------------
@@ -174,7 +174,7 @@ x AS (SELECT *, w / (w + b * f) AS x FROM a)"""
     "FROM x", _WEEKDAY))
 def q_anova_test_by_weekday(spark, sf):
     """L2 + L6: arrival delay by day of the week; seven groups, so that SQL can sum the p-value."""
-    rows = fixture_features(spark, sf).where(F.col("ARRIVAL_DELAY").isNotNull() & F.col("DAY_OF_WEEK").between(1, 7))
+    rows = fixture_features(spark, sf, reads=[]).where(F.col("ARRIVAL_DELAY").isNotNull() & F.col("DAY_OF_WEEK").between(1, 7))
     return ST.anova_test(rows, "ARRIVAL_DELAY", "DAY_OF_WEEK", digits=4).withColumn("p_value", F.round("p_value", 6)).drop("reject_h0")
 
 
@@ -214,7 +214,7 @@ def _model_table(spark, sf):
 @register("model_features", O.with_stages(
     f"SELECT {_K}, IS_LONG_DISTANCE, IS_EVENING, HAS_DELAY_CAUSE FROM mf", _MF))
 def q_model_features(spark, sf):
-    return add_model_features(fixture_features(spark, sf)).select(
+    return add_model_features(fixture_features(spark, sf, reads=[])).select(
         *KEYS, "IS_LONG_DISTANCE", "IS_EVENING", "HAS_DELAY_CAUSE")
 
 
@@ -257,7 +257,7 @@ def _trained(spark, sf, features=tuple(S.MODEL_FEATURES)) -> M.TrainedModels:
     key = (session_key(spark), sf, tuple(features))
     if key not in _TRAINED:
         written = _model_table(spark, sf)
-        if written.count() > M.unbounded_fit_rows():
+        if written.count() > M.ORDERED_FIT_TABLE_ROWS:
             # dealt anew, the fit's rows are the same from any table: the written one spares the joins, which are read twice
             t = M.train_models(written, KEYS, list(features), deal=True)
         else:  # a small table's rows are fitted in the order in which they lie
@@ -407,7 +407,7 @@ ra AS (SELECT *, CASE risk_level WHEN 'High Risk' THEN 'Assign priority gate and
 
 
 def _scored(spark, sf):
-    return P.historical_delay_score(fixture_features(spark, sf), SCORE_KEYS)
+    return P.historical_delay_score(fixture_features(spark, sf, reads=[]), SCORE_KEYS)
 
 
 @register("risk_tiers", O.with_stages(
