@@ -93,3 +93,21 @@ def test_failed_rewrite_leaves_the_input(spark):
     with pytest.raises(Exception):
         FS.rewrite_in_place(spark, out, lambda d: d.select(F.raise_error(F.lit("no")).alias("id")))
     assert spark.read.parquet(out).count() == 5
+
+
+def test_a_file_with_one_row_group_is_spread_over_the_cores(spark, tmp_path):
+    """Its splits are many, but one task would read all rows."""
+    from contrail.sources.fixtures import spread
+    path, conf, cores = str(tmp_path / "t"), "spark.sql.files.maxPartitionBytes", spark.sparkContext.defaultParallelism
+    spark.range(50_000).selectExpr("id", "md5(string(id)) AS t").coalesce(1).write.parquet(path)
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "100000")
+    try:
+        df = spark.read.parquet(path)
+        full = lambda d: d.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert df.rdd.getNumPartitions() > cores and full(df) < cores
+        assert full(spread(df, "id")) == cores and spread(df, "id").count() == 50_000
+        dealt = df.repartition(cores, "id")
+        assert spread(dealt, "id") is dealt
+    finally:
+        spark.conf.set(conf, before)
