@@ -79,16 +79,16 @@ def tail_count_groups(df: DataFrame, tail: str = "TAIL_NUMBER") -> DataFrame:
 
 def add_tail_counts(df: DataFrame, tail: str = "TAIL_NUMBER", *, groups: DataFrame | None = None,
                     max_hot_groups: int = DEFAULT_MAX_HOT_GROUPS,
-                    broadcast_max_rows: int = DEFAULT_GROUP_BROADCAST_ROWS) -> DataFrame:
+                    broadcast_max_rows: int = DEFAULT_GROUP_BROADCAST_ROWS, unread: bool = False) -> DataFrame:
     """H1 + H2: flights per tail number per day and per ISO week, on every row
     (null when the tail number or the date is null). ``groups``: a precomputed
-    (already persisted) ``tail_count_groups`` table."""
+    (already persisted) ``tail_count_groups`` table. ``unread``: the caller reads neither count."""
     if tail not in df.columns:
         return df.withColumns({PER_DAY: F.lit(None).cast("long"), PER_WEEK: F.lit(None).cast("long")})
     both = groups if groups is not None else tail_count_groups(df, tail)
     return join_group_values(df, [tail, "FLIGHT_DATE"], both, PER_DAY, [PER_DAY, PER_WEEK],
                              max_hot_groups=max_hot_groups,
-                             broadcast_max_rows=broadcast_max_rows, persist_groups=groups is None)
+                             broadcast_max_rows=broadcast_max_rows, persist_groups=groups is None, unread=unread)
 
 
 CONGESTION_KEYS = ["ORIGIN_AIRPORT", "FLIGHT_DATE", "DEPARTURE_HOUR"]
@@ -103,12 +103,12 @@ def congestion_groups(df: DataFrame) -> DataFrame:
 
 def add_origin_congestion(df: DataFrame, *, groups: DataFrame | None = None,
                           max_hot_groups: int = DEFAULT_MAX_HOT_GROUPS,
-                          broadcast_max_rows: int = DEFAULT_GROUP_BROADCAST_ROWS) -> DataFrame:
-    """H3: departures per origin airport per date per scheduled hour."""
+                          broadcast_max_rows: int = DEFAULT_GROUP_BROADCAST_ROWS, unread: bool = False) -> DataFrame:
+    """H3: departures per origin airport per date per scheduled hour. ``unread``: the caller does not read them."""
     g = groups if groups is not None else congestion_groups(df)
     return join_group_values(df, CONGESTION_KEYS, g, CONGESTION, [CONGESTION],
                              max_hot_groups=max_hot_groups,
-                             broadcast_max_rows=broadcast_max_rows, persist_groups=groups is None)
+                             broadcast_max_rows=broadcast_max_rows, persist_groups=groups is None, unread=unread)
 
 
 def add_features(df: DataFrame, **skew) -> DataFrame:

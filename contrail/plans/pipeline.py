@@ -23,12 +23,14 @@ from contrail import schema as S
 from contrail.operators.cleaning import clean_flights, clean_rows
 from contrail.operators.enrich import enrich_flights
 from contrail.operators.features import (
-    add_origin_congestion, add_scalar_features, add_tail_counts, congestion_groups, tail_count_groups,
+    CONGESTION, PER_DAY, PER_WEEK, add_origin_congestion, add_scalar_features, add_tail_counts, congestion_groups, tail_count_groups,
 )
 from contrail.session import intermediates, materialize, session_key
 from contrail.sources.files import read_airlines, read_airports, read_flights
 from contrail.sources.fixtures import FIXTURE_COORDINATE_PATCHES, flight_views
 
+COUNTS = (PER_DAY, PER_WEEK, CONGESTION)
+
 
 @dataclass
 class FlightFrames:
@@ -58,18 +60,20 @@ def enriched_stage(frames: FlightFrames, patches: Mapping[str, tuple[float, floa
 
 def feature_stage(enriched: DataFrame, output: str | None = None,
                   partition_by: Sequence[str] = ("MONTH",), persist: bool = False,
-                  **skew) -> DataFrame:
+                  reads: Sequence[str] = COUNTS, **skew) -> DataFrame:
     """Stage 2: stage 1 plus the three per-group counts.
 
-    The two group tables are aggregated and persisted first. The whole table is
+    The two group tables are aggregated and persisted first, except those of which the caller
+    ``reads`` no column: their counts are planned, not computed until a query reads them. The whole table is
     written only where the caller asks for it, with ``output`` or ``persist=True``
     (worth it where many reads follow and a group table is too big to broadcast).
     """
-    tail_g = materialize(tail_count_groups(enriched), "tail-groups")
-    cong_g = materialize(congestion_groups(enriched), "congestion-groups")
-    table = (enriched.transform(add_tail_counts, groups=tail_g, **skew)
-             .transform(add_origin_congestion, groups=cong_g, **skew))
-    return _persist(table, "flights-features", output, partition_by) if output or persist else table
+    whole = bool(output or persist)
+    tail_read, cong_read = whole or PER_DAY in reads or PER_WEEK in reads, whole or CONGESTION in reads
+    tail_g, cong_g = tail_count_groups(enriched), congestion_groups(enriched)
+    table = (enriched.transform(add_tail_counts, groups=materialize(tail_g, "tail-groups") if tail_read else tail_g, unread=not tail_read, **skew)
+             .transform(add_origin_congestion, groups=materialize(cong_g, "congestion-groups") if cong_read else cong_g, unread=not cong_read, **skew))
+    return _persist(table, "flights-features", output, partition_by) if whole else table
 
 
 def _persist(table: DataFrame, name: str, output: str | None,
@@ -99,7 +103,7 @@ def build_feature_table(raw: DataFrame, airlines: DataFrame, airports: DataFrame
 # The same chain over the flight-shaped views of the driver tables
 # ---------------------------------------------------------------------------
 
-_MEMO: dict[tuple[str, str, str], DataFrame] = {}
+_MEMO: dict[tuple[str, ...], DataFrame] = {}
 
 
 def fixture_frames(spark: SparkSession, sf_dir: str) -> FlightFrames:
@@ -120,13 +124,18 @@ def fixture_enriched(spark: SparkSession, sf_dir: str, persist: bool = False) ->
     return _MEMO[key]
 
 
-def fixture_features(spark: SparkSession, sf_dir: str, persist: bool = False) -> DataFrame:
-    """Stage 2 over ``sf_dir`` (planned once per session and input); its group tables are persisted. ``persist``: on a
-    written stage 1, in whose files' order its rows come."""
-    key = (session_key(spark), sf_dir, "features-written" if persist else "features")
+def fixture_features(spark: SparkSession, sf_dir: str, persist: bool = False, reads: Sequence[str] = COUNTS) -> DataFrame:
+    """Stage 2 over ``sf_dir`` (planned once per session, input and counts that are read); its group tables are persisted.
+    ``persist``: on a written stage 1, in whose files' order its rows come. ``reads``: the counts that the query reads; a
+    table planned for more of them serves as well."""
+    kind = "features-written" if persist else "features"
+    whole = (session_key(spark), sf_dir, kind)
+    key = whole if persist or set(COUNTS) <= set(reads) else (*whole, "reads", *sorted(reads))
+    if whole in _MEMO:
+        return _MEMO[whole]
     if key not in _MEMO:
         stage1 = enriched_stage(fixture_frames(spark, sf_dir), FIXTURE_COORDINATE_PATCHES) if persist else fixture_enriched(spark, sf_dir)
-        _MEMO[key] = feature_stage(stage1)
+        _MEMO[key] = feature_stage(stage1, reads=COUNTS if key == whole else reads)
     return _MEMO[key]
 
 

@@ -88,12 +88,12 @@ ORDER BY delay_rate DESC, ORIGIN_AIRPORT LIMIT 20""")
 
 @register("airport_congestion", _congestion_sql(ORIGIN_MIN_FLIGHTS))
 def q_airport_congestion(spark, sf):
-    return R.airport_congestion(fixture_features(spark, sf), min_flights=ORIGIN_MIN_FLIGHTS)
+    return R.airport_congestion(fixture_features(spark, sf, reads=[FT.CONGESTION]), min_flights=ORIGIN_MIN_FLIGHTS)
 
 
 @register("airport_congestion_busy", _congestion_sql(ORIGIN_BUSY_FLIGHTS))
 def q_airport_congestion_busy(spark, sf):
-    return R.airport_congestion(fixture_features(spark, sf), min_flights=ORIGIN_BUSY_FLIGHTS)
+    return R.airport_congestion(fixture_features(spark, sf, reads=[FT.CONGESTION]), min_flights=ORIGIN_BUSY_FLIGHTS)
 
 
 @register("monthly_trend", O.with_stages(f"""

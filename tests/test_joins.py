@@ -165,3 +165,33 @@ def test_a_join_of_group_values_that_are_not_read_is_not_planned(spark, broadcas
     got = {(r["id"], r["n"]) for r in out.collect()}
     counted = rows.where("k IS NOT NULL").groupBy("k", "g").agg(F.count(F.lit(1)).alias("n"))
     assert got == {(r["id"], r["n"]) for r in rows.join(counted, ["k", "g"], "left").collect()}
+
+
+def test_unread_counts_are_planned_without_a_job_and_right_if_read(spark):
+    from contrail.operators import features as FT
+    from contrail.plans.pipeline import feature_stage
+    rows = [(i, None if i % 7 == 0 else f"N{i % 5}", "A" if i % 3 else "B", None if i % 11 == 0 else 2015 + i % 2, i % 24) for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, TAIL_NUMBER string, ORIGIN_AIRPORT string, y int, DEPARTURE_HOUR int")
+    df = df.withColumn("FLIGHT_DATE", F.make_date("y", F.lit(3), F.lit(1) + F.col("k") % 9)).drop("y")
+    spark.sparkContext.setJobGroup("unread", "unread")
+    lean = feature_stage(df, reads=[])
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("unread")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 0
+    assert "Join" not in lean.select("k", "ORIGIN_AIRPORT")._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, lean.collect()), key=str) == sorted(map(tuple, feature_stage(df).collect()), key=str)
+    part = feature_stage(df, reads=[FT.CONGESTION])
+    assert part.columns == lean.columns
+    assert sorted(map(str, part.select("k", FT.CONGESTION).collect())) == sorted(map(str, lean.select("k", FT.CONGESTION).collect()))
+
+
+def test_features_are_planned_apart_by_the_counts_that_are_read(spark, monkeypatch):
+    from contrail.operators import features as FT
+    from contrail.plans import pipeline as PL
+    monkeypatch.setattr(PL, "fixture_enriched", lambda spark, sf: "stage 1")
+    monkeypatch.setattr(PL, "feature_stage", lambda stage1, reads: tuple(reads))
+    monkeypatch.setattr(PL, "_MEMO", {})
+    assert PL.fixture_features(spark, "x", reads=[]) == ()
+    assert PL.fixture_features(spark, "x", reads=[FT.CONGESTION]) == (FT.CONGESTION,)
+    assert PL.fixture_features(spark, "x") == PL.COUNTS
+    assert PL.fixture_features(spark, "x", reads=[]) == PL.COUNTS  # planned for all: serves as well
