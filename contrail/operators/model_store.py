@@ -12,11 +12,13 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from dataclasses import asdict
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contrail.operators import forests as FO
 from contrail.operators import models as M
 from contrail.sources import versions as V
 
@@ -40,11 +42,16 @@ def save_models(trained: M.TrainedModels, table: DataFrame, path: str, key: Sequ
     """Store fitted models and the facts of their fit; returns the version."""
     spark = table.sparkSession
     base = V.current_version(spark, path)
-    names, folders = sorted(trained.models), {}
+    names, folders, tables = sorted(trained.models), {}, {}
     for name in names:
         folders[name] = f"models-{uuid.uuid4().hex}"
-        trained.models[name].write().save(f"{path.rstrip('/')}/{folders[name]}")
-    facts = {"folders": folders, "features": trained.features, "key": list(key or table.columns), "n_fit": trained.n_fit,
+        model, folder = trained.models[name], f"{path.rstrip('/')}/{folders[name]}"
+        if isinstance(model, FO.TreeTable):
+            model.trees(spark).write.parquet(folder)
+            tables[name] = {k: v for k, v in asdict(model).items() if k != "path"}
+        else:
+            model.write().save(folder)
+    facts = {"folders": folders, "tables": tables, "features": trained.features, "key": list(key or table.columns), "n_fit": trained.n_fit,
              "seed": trained.seed, "fraction": trained.fraction, "test_fraction": trained.test_fraction, "input": fingerprint(table)}
     return V.write_version(spark.createDataFrame([(json.dumps(facts),)], "facts string").coalesce(1), path, base)
 
@@ -57,7 +64,9 @@ def load_models(spark: SparkSession, path: str, table: DataFrame, check: bool =
     facts = json.loads(V.read_version(spark, path, version).first()["facts"])
     if check and fingerprint(table) != facts["input"]:
         raise ChangedInput(f"{path}: the models were fitted on other rows; fit them again, or load them with check=False")
-    models = {name: PipelineModel.load(f"{path.rstrip('/')}/{folder}") for name, folder in facts["folders"].items()}
+    at = lambda name: f"{path.rstrip('/')}/{facts['folders'][name]}"
+    tables = facts.get("tables", {})  # a version of before there were any has none
+    models = {name: FO.TreeTable(**tables[name], path=at(name)) if name in tables else PipelineModel.load(at(name)) for name in facts["folders"]}
     return M.trained(models, table, facts["key"], facts["features"], facts["fraction"], facts["test_fraction"], facts["seed"], facts["n_fit"])
 
 

@@ -1,11 +1,10 @@
 """Delay prediction (M1-M13) with ``pyspark.ml``.
 
-Training and scoring stay distributed: the model table is a DataFrame, sampling
-and the train/test split are predicates on a digest of the row's key (repeatable
-under retries and repartitioning, unlike ``rand``), and metrics are aggregations of
-the prediction column. Only the rows used to fit are sampled and bounded; every
-held-out row is evaluated and every row is scored. Only model summaries (accuracies, 9 importances) are
-small enough to be built on the driver.
+Training and scoring stay distributed: the model table is a DataFrame, the train/test
+split is a predicate on a digest of the row's key (repeatable under retries and
+repartitioning, unlike ``rand``), and metrics are aggregations of the prediction column.
+Every row that is not held out is fitted, every held-out row is evaluated and every row is
+scored. Only model summaries (accuracies, 9 importances) are small enough to be built on the driver.
 """
 
 from __future__ import annotations
@@ -29,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail import schema as S
+from contrail.operators import forests as FO
 from contrail.operators.features import PER_DAY, PER_WEEK, add_model_features
 from contrail.operators.joins import join_group_values
 from contrail.session import scratch_path
@@ -36,7 +36,7 @@ from contrail.session import scratch_path
 LABEL = "label"
 
 # ---------------------------------------------------------------------------
-# Sample and split fractions, seed, model settings
+# Sample (M2) and split fractions, seed, model settings
 # ---------------------------------------------------------------------------
 TRAIN_SAMPLE_FRACTION = 0.3
 TEST_FRACTION = 0.2
@@ -45,12 +45,15 @@ LOGISTIC_MAX_ITER = 1000
 TREE_MAX_DEPTH = 10
 FOREST_TREES = 150
 FOREST_MAX_DEPTH = 30  # the deepest that Spark offers; the reference's trees have no limit
-#: About this many rows at most are used to fit (after the sample fraction); fitting deep forests costs memory per row.
-MAX_FIT_ROWS = 4_000
-#: Rows of the fit in a partition, about. Each task of a forest level holds the statistics of every open node of every
+#: Up to this many rows, Spark's own learners fit the trees. They hold every node of every tree on the driver, and beyond 10,000
+#: rows they take their thresholds from a sample of the rows; larger fits grow the trees by ``operators.forests``, on all rows too.
+SPARK_TREE_ROWS = 4_000
+#: Rows of such a small fit in a partition, about. Each task of a forest level holds the statistics of every open node of every
 #: tree, however few rows it reads, and each iteration of a fit is a job of its own: small partitions cost, they do not help.
 #: More partitions than that are dealt anew by the rows' keys; fewer stay as they are.
 FIT_PARTITION_ROWS = 500
+#: Rows of a larger fit in a partition, about, and its partitions at least.
+LARGE_FIT_PARTITION_ROWS, LARGE_FIT_PARTITIONS = 50_000, 8
 #: Up to this many rows, a model table is fitted in the order in which its rows lie; beyond, the fit's rows are dealt by their keys.
 ORDERED_FIT_TABLE_ROWS = 100_000
 #: Rows that one tree scores at a time: their split tests and the tree's nodes fit a core's cache.
@@ -219,12 +222,12 @@ def _row_probabilities(votes):
 
 @dataclass
 class TrainedModels:
-    models: dict[str, PipelineModel]
+    models: dict[str, PipelineModel | FO.TreeTable]
     test: DataFrame
     fitted: Column
     n_fit: int
     features: list[str] = field(default_factory=lambda: list(S.MODEL_FEATURES))
-    fraction: float = TRAIN_SAMPLE_FRACTION
+    fraction: float = 1.0
     test_fraction: float = TEST_FRACTION
     seed: int = SEED
     #: ``forest_arrays`` of the forests scored so far, by model name
@@ -236,18 +239,21 @@ class TrainedModels:
 
 
 def fit_partitions(rows: int) -> int:
+    if rows > SPARK_TREE_ROWS:
+        return max(LARGE_FIT_PARTITIONS, math.ceil(rows / LARGE_FIT_PARTITION_ROWS))
     return max(1, math.ceil(rows / FIT_PARTITION_ROWS))
 
 
 def train_models(table: DataFrame, key: Sequence[str] | None = None, features: Sequence[str] = S.MODEL_FEATURES,
-                 sample_fraction: float | None = TRAIN_SAMPLE_FRACTION, max_fit_rows: int | None = MAX_FIT_ROWS,
+                 sample_fraction: float | None = None, max_fit_rows: int | None = None,
                  test_fraction: float = TEST_FRACTION, seed: int = SEED,
                  names: Sequence[str] | None = None, deal: bool | None = None, **kw) -> TrainedModels:
-    """M2-M7: split, sample the training side, fit each classifier in a pipeline with the assembler.
+    """M2-M7: split, fit each classifier on the whole training side in a pipeline with the assembler.
 
     ``key``: the row's key columns, which decide split and sample (all columns without
-    one). ``max_fit_rows`` lowers the sample fraction where it would give more rows.
-    ``test`` holds every held-out row. ``deal``: whether the rows of the fit are dealt anew by their keys (by
+    one). ``sample_fraction`` and ``max_fit_rows`` are for callers who ask for a sample: a part of the
+    training side, and a smaller one where that would give more rows. The trees of more than
+    ``SPARK_TREE_ROWS`` rows are grown by ``operators.forests``. ``test`` holds every held-out row. ``deal``: whether the rows of the fit are dealt anew by their keys (by
     default, where ``table`` has more partitions than the fit needs).
     """
     cols = list(key or table.columns)
@@ -269,20 +275,34 @@ def train_models(table: DataFrame, key: Sequence[str] | None = None, features: S
         few.count()
         train.unpersist()
         train = few
-    models = {}
+    models, grid = {}, None
     for name, est in classifiers(n_fit, seed=seed, **kw).items():
-        if not names or name in names:
-            models[name] = Pipeline(stages=[assembler(features), est]).fit(train)
+        if names and name not in names:
+            continue
+        if n_fit > SPARK_TREE_ROWS and isinstance(est, (DecisionTreeClassifier, RandomForestClassifier)) and FO.numeric(train, features):
+            grid = grid or FO.thresholds(train, features, est.getMaxBins())
+            if FO.cells_number(grid) < 2**63:  # more cells than a long can number: by Spark's learner
+                models[name] = _grown(est, train, features, grid)
+                continue
+        models[name] = Pipeline(stages=[assembler(features), est]).fit(train)
     train.unpersist()
     return trained(models, table, cols, features, fraction, test_fraction, seed, n_fit)
 
 
+def _grown(est, train: DataFrame, features: Sequence[str], grid: list[list[float]]) -> FO.TreeTable:
+    """The trees that the learner's settings ask for: a forest's on bootstrap weights with a few features drawn for each node."""
+    if isinstance(est, RandomForestClassifier):
+        tries = math.ceil(math.sqrt(len(features)))
+        return FO.fit_trees(train, LABEL, features, grid, est.getNumTrees(), est.getMaxDepth(), tries, True, est.getSeed())
+    return FO.fit_trees(train, LABEL, features, grid, 1, est.getMaxDepth(), len(features), False, est.getSeed())
+
+
 def _sides(cols: Sequence[str], fraction: float, test_fraction: float, seed: int) -> tuple[Column, Column]:
     """(in the sample, held out), both by a digest of the row's key."""
     return _bucket(seed, cols) < int(fraction * _BUCKETS), _bucket(seed + 1, cols) < int(test_fraction * _BUCKETS)
 
 
-def trained(models: dict[str, PipelineModel], table: DataFrame, key: Sequence[str], features: Sequence[str], fraction: float,
+def trained(models: dict[str, PipelineModel | FO.TreeTable], table: DataFrame, key: Sequence[str], features: Sequence[str], fraction: float,
             test_fraction: float, seed: int, n_fit: int) -> TrainedModels:
     """Fitted models with the held-out rows of ``table`` and the predicate of the rows they were fitted on."""
     sampled, held_out = _sides(list(key), fraction, test_fraction, seed)
@@ -301,9 +321,13 @@ def score(trained: TrainedModels, rows: DataFrame, name: str, probability: str |
 
     A forest scores Arrow batches tree by tree, with the sums of ``model.transform`` in the same order: that one walks all
     trees for each row, and most of its steps wait for memory. Rows between the same thresholds of every feature (one cell
-    of the forest's grid) have one score: each cell that holds rows is scored once and joined back.
+    of the forest's grid) have one score: each cell that holds rows is scored once and joined back. Trees stored as a table
+    score cells in the same way, but the cells are brought to the trees.
     """
     model = trained.models[name]
+    if isinstance(model, FO.TreeTable):
+        scored = FO.score_rows(model, rows).withColumn("prediction", F.col("__s.prediction"))
+        return (scored.withColumn(probability, F.col("__s.p")) if probability else scored).drop("__s")
     if name not in trained.arrays:
         trained.arrays[name] = forest_arrays(model, rows)
     forest = trained.arrays[name]
@@ -349,8 +373,9 @@ def model_reports(trained: TrainedModels) -> DataFrame:
 
 def feature_importance(trained: TrainedModels, name: str = "Random Forest") -> DataFrame:
     """The forest's feature importances, largest first."""
-    model = trained.models[name].stages[-1]
-    rows = list(zip(trained.features, [float(x) for x in model.featureImportances.toArray()]))
+    model = trained.models[name]
+    weights = model.importances if isinstance(model, FO.TreeTable) else model.stages[-1].featureImportances.toArray()
+    rows = list(zip(trained.features, [float(x) for x in weights]))
     spark = trained.test.sparkSession
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"))
 

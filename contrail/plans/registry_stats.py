@@ -321,14 +321,12 @@ def q_delay_scores(spark, sf):
     return _forest_scores(spark, sf).select(*KEYS, "delay_probability", "is_train", "prediction")
 
 
-_FITTED = (f"{_bucket_sql(M.SEED + 1)} >= {int(M.TEST_FRACTION * 1_000_000)} AND {_bucket_sql(M.SEED)} < (SELECT CAST(floor(least("
-           f"{M.TRAIN_SAMPLE_FRACTION}::DOUBLE, {M.MAX_FIT_ROWS}::DOUBLE / greatest(COUNT(*), 1)) * 1000000) AS BIGINT) "
-           f"FROM mt WHERE {_bucket_sql(M.SEED + 1)} >= {int(M.TEST_FRACTION * 1_000_000)})")
+_FITTED = f"{_bucket_sql(M.SEED + 1)} >= {int(M.TEST_FRACTION * 1_000_000)}"
 
 
 @register("fitted_rows", O.with_stages(f"SELECT {_K} FROM mt WHERE {_FITTED}", _MT))
 def q_fitted_rows(spark, sf):
-    """M2: the rows that the models were fitted on."""
+    """M2: the rows that the models were fitted on: all that are not held out."""
     return _model_table(spark, sf).where(_trained(spark, sf).is_train()).select(*KEYS)
 
 
