@@ -47,7 +47,7 @@ FOREST_TREES = 150
 FOREST_MAX_DEPTH = 30  # the deepest that Spark offers; the reference's trees have no limit
 #: Up to this many rows, Spark's own learners fit the trees. They hold every node of every tree on the driver, and beyond 10,000
 #: rows they take their thresholds from a sample of the rows; larger fits grow the trees by ``operators.forests``, on all rows too.
-SPARK_TREE_ROWS = 4_000
+SPARK_TREE_ROWS = 1_000
 #: Rows of such a small fit in a partition, about. Each task of a forest level holds the statistics of every open node of every
 #: tree, however few rows it reads, and each iteration of a fit is a job of its own: small partitions cost, they do not help.
 #: More partitions than that are dealt anew by the rows' keys; fewer stay as they are.
