@@ -12,6 +12,7 @@ from contrail.plans import registry_stats as R
 NAMES = [
     "fitted_rows",
     "delay_score_keys",
+    "delay_scores",
 ]
 
 
