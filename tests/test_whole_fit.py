@@ -13,6 +13,7 @@ NAMES = [
     "fitted_rows",
     "delay_score_keys",
     "delay_scores",
+    "feature_importance",
 ]
 
 
