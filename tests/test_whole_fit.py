@@ -14,6 +14,7 @@ NAMES = [
     "delay_score_keys",
     "delay_scores",
     "feature_importance",
+    "model_classification_report",
 ]
 
 
