@@ -15,6 +15,7 @@ NAMES = [
     "delay_scores",
     "feature_importance",
     "model_classification_report",
+    "model_comparison",
 ]
 
 
