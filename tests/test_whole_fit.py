@@ -16,6 +16,7 @@ NAMES = [
     "feature_importance",
     "model_classification_report",
     "model_comparison",
+    "model_comparison_without_cause",
 ]
 
 
