@@ -17,6 +17,7 @@ NAMES = [
     "model_classification_report",
     "model_comparison",
     "model_comparison_without_cause",
+    "model_invariants",
 ]
 
 
