@@ -18,6 +18,7 @@ NAMES = [
     "model_comparison",
     "model_comparison_without_cause",
     "model_invariants",
+    "model_recommendations",
 ]
 
 
