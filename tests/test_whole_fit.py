@@ -19,6 +19,7 @@ NAMES = [
     "model_comparison_without_cause",
     "model_invariants",
     "model_recommendations",
+    "model_risk_distribution",
 ]
 
 
