@@ -20,6 +20,7 @@ NAMES = [
     "model_invariants",
     "model_recommendations",
     "model_risk_distribution",
+    "model_top_risk_flights",
 ]
 
 
