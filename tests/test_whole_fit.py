@@ -21,6 +21,7 @@ NAMES = [
     "model_recommendations",
     "model_risk_distribution",
     "model_top_risk_flights",
+    "stored_model_scores",
 ]
 
 
